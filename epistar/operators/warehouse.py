@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from epistar.operators.columns import existing_columns, fill_numeric_zero
 from epistar.operators.dedupe import has_rows, keep_first
-from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, with_unknown_member
+from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, unknown_member_row, with_unknown_member
 from epistar.operators.sizing import row_count_at_most
 from epistar.spec import AUDIT_COLUMNS, UNKNOWN_KEY, TableSpec
 
@@ -92,7 +92,15 @@ def insert_rows(
         start = _max_key(target, spec)
         rows = assign_consecutive_keys(rows, keys, spec.surrogate_key, start)
     new = _complete(rows, spec)
-    return new if target is None else _complete(target, spec).unionByName(new)
+    out = new if target is None else _complete(target, spec).unionByName(new)
+    if spec.kind == "dimension" and spec.unknown_member:
+        # H6: a dimension always holds its unknown member (added once)
+        unknown = unknown_member_row(source.sparkSession, spec).withColumns(
+            {"created_ts": F.lit(batch_ts), "updated_ts": F.lit(batch_ts)}
+        )
+        missing = unknown.join(out.select(spec.surrogate_key), spec.surrogate_key, "left_anti")
+        out = out.unionByName(_complete(missing, spec))
+    return out
 
 
 def _max_key(target: DataFrame | None, spec: TableSpec) -> int:

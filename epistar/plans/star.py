@@ -26,3 +26,81 @@ def weekly_orders_through_date_dimension(spark: SparkSession, sf_dir: str) -> Da
         F.min("date").alias("first_order_date"),
         F.max("date").alias("last_order_date"),
     )
+
+
+# ---------------------------------------------------------------- N1-N4 over the warehouse
+
+
+def _dim(dims, name: str, *cols: str) -> DataFrame:
+    return F.broadcast(dims[name].select(*cols))
+
+
+def weekly_cases_trend(facts: dict, dims: dict) -> DataFrame:
+    """Weekly national cases and deaths with the continent's weekly totals."""
+    fact = facts["fact_cases_deaths_country_weekly"]
+    country = _dim(dims, "dim_country", "dim_country_key", "country_code", "continent")
+    week = _dim(dims, "dim_date", F.col("dim_date_key").alias("dim_week_start_date_key"), F.col("date").alias("week_start_date"))
+    rows = fact.join(country, "dim_country_key", "left").join(week, "dim_week_start_date_key", "left")
+    per_country = rows.groupBy("continent", "country_code", "week_start_date").agg(
+        F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths")
+    )
+    per_continent = per_country.groupBy("continent", "week_start_date").agg(
+        F.sum("cases").alias("continent_cases"), F.sum("deaths").alias("continent_deaths")
+    )
+    return per_country.join(per_continent, ["continent", "week_start_date"], "left")
+
+
+def doses_by_group_and_vaccine(facts: dict, dims: dict) -> DataFrame:
+    """Vaccine doses by target group and vaccine."""
+    fact = facts["fact_vaccine_tracker_country"]
+    group = _dim(dims, "dim_target_group", "dim_target_group_key", "target_group", "age_lower_limit", "age_upper_limit")
+    vaccine = _dim(dims, "dim_vaccine", "dim_vaccine_key", "vaccine_code")
+    rows = fact.join(group, "dim_target_group_key", "left").join(vaccine, "dim_vaccine_key", "left")
+    return rows.groupBy("target_group", "age_lower_limit", "age_upper_limit", "vaccine_code").agg(
+        F.sum("first_dose").alias("first_dose"),
+        F.sum("second_dose").alias("second_dose"),
+        F.sum(
+            F.col("additional_dose_1")
+            + F.col("additional_dose_2")
+            + F.col("additional_dose_3")
+            + F.col("additional_dose_4")
+            + F.col("additional_dose_5")
+        ).alias("additional_doses"),
+        F.sum("unknown_dose").alias("unknown_dose"),
+    )
+
+
+def regions_per_status(facts: dict, dims: dict) -> DataFrame:
+    """Regions per status colour per week."""
+    fact = facts["fact_movement_indicators_region"]
+    status = _dim(dims, "dim_status", "dim_status_key", "colour_name")
+    week = _dim(dims, "dim_date", F.col("dim_date_key").alias("dim_week_start_date_key"), F.col("date").alias("week_start_date"))
+    rows = fact.join(status, "dim_status_key", "left").join(week, "dim_week_start_date_key", "left")
+    return rows.groupBy("week_start_date", "colour_name").agg(F.countDistinct("dim_region_key").alias("n_regions"))
+
+
+def testing_national_vs_regional(facts: dict, dims: dict) -> DataFrame:
+    """National testing/positivity next to the average of the country's regions, per week."""
+    nat = facts["fact_movement_indicators_country"].select(
+        "dim_week_start_date_key",
+        "dim_country_key",
+        F.col("testing_rate").alias("national_testing_rate"),
+        F.col("positivity_rate").alias("national_positivity_rate"),
+    )
+    reg = (
+        facts["fact_movement_indicators_region"]
+        .groupBy("dim_week_start_date_key", "dim_country_key")
+        .agg(
+            F.avg("testing_rate").alias("regional_testing_rate"),
+            F.avg("positivity_rate").alias("regional_positivity_rate"),
+            F.count(F.lit(1)).alias("n_regions"),
+        )
+    )
+    week = _dim(dims, "dim_date", F.col("dim_date_key").alias("dim_week_start_date_key"), F.col("date").alias("week_start_date"))
+    country = _dim(dims, "dim_country", "dim_country_key", "country_code")
+    return (
+        nat.join(reg, ["dim_week_start_date_key", "dim_country_key"], "full_outer")
+        .join(week, "dim_week_start_date_key", "left")
+        .join(country, "dim_country_key", "left")
+        .drop("dim_week_start_date_key", "dim_country_key")
+    )
