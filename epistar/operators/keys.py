@@ -64,9 +64,10 @@ def unknown_member_row(spark, spec: TableSpec) -> DataFrame:
 
 def with_unknown_member(dim: DataFrame, spec: TableSpec) -> DataFrame:
     """H6: add the ``-1`` row once (idempotent: an existing ``-1`` row is kept)."""
+    if not dim.filter(F.col(spec.surrogate_key) == UNKNOWN_KEY).limit(1).isEmpty():
+        return dim
     unknown = unknown_member_row(dim.sparkSession, spec)
-    missing = unknown.join(dim.select(spec.surrogate_key), spec.surrogate_key, "left_anti")
-    return dim.unionByName(missing.select(*dim.columns), allowMissingColumns=False)
+    return dim.unionByName(unknown.select(*[c for c in unknown.columns if c in dim.columns]), allowMissingColumns=True)
 
 
 def date_role_column(fk_col: str) -> str:

@@ -95,11 +95,12 @@ def insert_rows(
     out = new if target is None else _complete(target, spec).unionByName(new)
     if spec.kind == "dimension" and spec.unknown_member:
         # H6: a dimension always holds its unknown member (added once)
-        unknown = unknown_member_row(source.sparkSession, spec).withColumns(
-            {"created_ts": F.lit(batch_ts), "updated_ts": F.lit(batch_ts)}
-        )
-        missing = unknown.join(out.select(spec.surrogate_key), spec.surrogate_key, "left_anti")
-        out = out.unionByName(_complete(missing, spec))
+        has_unknown = target is not None and not target.filter(F.col(spec.surrogate_key) == UNKNOWN_KEY).limit(1).isEmpty()
+        if not has_unknown:
+            unknown = unknown_member_row(source.sparkSession, spec).withColumns(
+                {"created_ts": F.lit(batch_ts), "updated_ts": F.lit(batch_ts)}
+            )
+            out = out.unionByName(_complete(unknown, spec))
     return out
 
 

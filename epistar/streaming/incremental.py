@@ -32,12 +32,12 @@ def stream_source(
     max_files_per_trigger: int = 1,
     pattern: str | None = None,
 ) -> DataFrame:
-    """File-source stream with order columns (``_file``, ``_pos`` within file)."""
+    """File-source stream with the ``_file`` order column (``_pos`` is added per micro-batch)."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     df = reader.format(fmt).load(folder)
-    return df.withColumns({"_file": F.col("_metadata.file_path"), "_pos": F.monotonically_increasing_id()})
+    return df.withColumns({"_file": F.col("_metadata.file_path"), "_split": F.col("_metadata.file_block_start")})
 
 
 def upsert_batches(
@@ -62,7 +62,10 @@ def upsert_batches(
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        outputs = transform(batch)
+        if "_pos" not in batch.columns:
+            # row order inside the batch: file, split, then row within the split
+            batch = batch.withColumn("_pos", F.monotonically_increasing_id())
+        outputs = transform(batch.drop("_split"))
         ts = clock(epoch_id)
         for name, df in outputs.items():
             spec = specs.get(name)
