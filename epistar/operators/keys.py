@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epistar.operators.sizing import DIMENSION_MAX_ROWS, bounded_broadcast
+from epistar.operators.sizing import DIMENSION_MAX_ROWS, row_count_at_most
 from epistar.spec import UNKNOWN_KEY, TableSpec
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
@@ -81,6 +81,7 @@ def resolve_foreign_keys(
     dimensions: Mapping[str, DataFrame],
     dim_specs: Mapping[str, TableSpec],
     max_broadcast_rows: int = DIMENSION_MAX_ROWS,
+    bounded_by_construction: frozenset[str] = frozenset({"dim_date"}),
 ) -> DataFrame:
     """Add every foreign key of ``spec`` to ``fact``.
 
@@ -89,10 +90,22 @@ def resolve_foreign_keys(
     * Other dimensions join on their business key; a miss gives ``-1`` (J6).
     * When the fact lacks the business key, the FK is the constant ``-1`` (J8).
 
-    Dimensions are broadcast behind a row-count check; above the bound the
-    join shuffles.
+    Dimensions are broadcast behind a row-count check, made once per
+    dimension however many roles it plays; above the bound the join
+    shuffles. A calendar is bounded by construction (one row per day of the
+    years 1-9999 at most, about 3.7 million rows of two columns) and skips
+    the check.
     """
     out = fact
+    small: dict[str, bool] = {}
+
+    def side_of(dim_name: str, frame: DataFrame) -> DataFrame:
+        if dim_name not in small:
+            small[dim_name] = dim_name in bounded_by_construction or row_count_at_most(
+                dimensions[dim_name], max_broadcast_rows
+            )
+        return F.broadcast(frame) if small[dim_name] else frame
+
     for fk_col, dim_name in spec.foreign_keys:
         dim_spec = dim_specs[dim_name]
         dim = dimensions[dim_name]
@@ -101,9 +114,9 @@ def resolve_foreign_keys(
             if role not in out.columns:
                 out = out.withColumn(fk_col, F.lit(UNKNOWN_KEY))
                 continue
-            side = bounded_broadcast(
+            side = side_of(
+                dim_name,
                 dim.select(F.col("date").alias(f"_{fk_col}_bk"), F.col(dim_spec.surrogate_key).alias(f"_{fk_col}_v")),
-                max_broadcast_rows,
             )
             out = out.join(side, F.col(role).cast("date") == F.col(f"_{fk_col}_bk"), "left")
         else:
@@ -111,9 +124,9 @@ def resolve_foreign_keys(
             if not all(b in out.columns for b in bks):
                 out = out.withColumn(fk_col, F.lit(UNKNOWN_KEY))
                 continue
-            side = bounded_broadcast(
+            side = side_of(
+                dim_name,
                 dim.select(*[F.col(b).alias(f"_{fk_col}_{b}") for b in bks], F.col(dim_spec.surrogate_key).alias(f"_{fk_col}_v")),
-                max_broadcast_rows,
             )
             cond = [F.col(b) == F.col(f"_{fk_col}_{b}") for b in bks]
             out = out.join(side, cond, "left")

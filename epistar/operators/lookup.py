@@ -21,6 +21,7 @@ from epistar.functions.text import length_window, normalize_name, prefix, simila
 from epistar.operators.dedupe import keep_first
 from epistar.operators.projection import replace_values
 from epistar.operators.sizing import LOOKUP_MAX_ROWS, bounded_broadcast
+from epistar.session import cut_lineage
 
 # Fixed value: the reference threshold for accepting a fuzzy match (0-100).
 FUZZY_MIN_SCORE = 75
@@ -30,11 +31,19 @@ FUZZY_MIN_SCORE = 75
 MATCH_ALIASES = {"United States Virgin Islands": "Virgin Islands US"}
 
 
-def prepare_lookup(lookup: DataFrame, name_col: str = "Name", code_col: str = "Code", pos_col: str | None = None) -> DataFrame:
+def prepare_lookup(
+    lookup: DataFrame,
+    name_col: str = "Name",
+    code_col: str = "Code",
+    pos_col: str | None = None,
+    materialize: bool = True,
+) -> DataFrame:
     """Normalise a (name, code) lookup to ``_lk_name, _lk_code, _lk_pos``.
 
     Names are lower-cased; duplicate names keep their first row so a join
-    can never multiply data rows.
+    can never multiply data rows. The small result is checkpointed to the
+    shared checkpoint folder: the exact pass, the fuzzy pass and their size
+    checks then read it instead of recomputing it from its source.
     """
     pos = F.col(pos_col) if pos_col else F.monotonically_increasing_id()
     lk = lookup.select(
@@ -42,7 +51,8 @@ def prepare_lookup(lookup: DataFrame, name_col: str = "Name", code_col: str = "C
         F.col(code_col).alias("_lk_code"),
         pos.alias("_lk_pos"),
     ).filter(F.col("_lk_name").isNotNull())
-    return keep_first(lk, ["_lk_name", "_lk_code", "_lk_pos"], ["_lk_name"], ["_lk_pos"])
+    prepared = keep_first(lk, ["_lk_name", "_lk_code", "_lk_pos"], ["_lk_name"], ["_lk_pos"])
+    return cut_lineage(prepared) if materialize else prepared
 
 
 def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str = "code_exact") -> DataFrame:

@@ -24,6 +24,7 @@ from epistar.operators.columns import existing_columns, fill_numeric_zero
 from epistar.operators.dedupe import has_rows, keep_first
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, unknown_member_row, with_unknown_member
 from epistar.operators.sizing import row_count_at_most
+from epistar.session import cut_lineage
 from epistar.spec import AUDIT_COLUMNS, UNKNOWN_KEY, TableSpec
 
 # Fixed value: batches up to this many rows are upserted without shuffling the target.
@@ -131,7 +132,9 @@ def upsert_rows(
     if valid is None:
         return None
     src, keys, supplied = valid
-    src = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in supplied], F.lit(True).alias("_in_s"))
+    # the batch is written once: the size check and the merge read the same rows,
+    # and a retried task never sees a recomputed (possibly different) batch
+    src = cut_lineage(src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in supplied], F.lit(True).alias("_in_s")))
     tgt = _complete(target, spec).withColumn("_in_t", F.lit(True))
 
     if row_count_at_most(src, broadcast_rows):
@@ -184,8 +187,8 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
 
 
-def list_versions(spark: SparkSession, table_root: str) -> list[int]:
-    """Complete versions (those with a ``_SUCCESS`` marker) of a table, ascending."""
+def list_versions(spark: SparkSession, table_root: str, complete_only: bool = True) -> list[int]:
+    """Versions of a table, ascending; by default only complete ones (with ``_SUCCESS``)."""
     fs, root, jvm = _hadoop_fs(spark, table_root)
     if not fs.exists(root):
         return []
@@ -193,7 +196,7 @@ def list_versions(spark: SparkSession, table_root: str) -> list[int]:
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         m = _VERSION_RE.match(name)
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+        if m and (not complete_only or fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))):
             out.append(int(m.group(1)))
     return sorted(out)
 
@@ -211,8 +214,12 @@ def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
 
 
 def write_version(df: DataFrame, table_root: str) -> str:
-    """Write ``df`` as the next version of a table and return its path."""
-    versions = list_versions(df.sparkSession, table_root)
+    """Write ``df`` as the next version of a table and return its path.
+
+    Numbering skips versions left half-written by a failed job, which
+    readers ignore because they lack ``_SUCCESS``.
+    """
+    versions = list_versions(df.sparkSession, table_root, complete_only=False)
     path = version_path(table_root, (versions[-1] + 1) if versions else 1)
     df.write.mode("errorifexists").parquet(path)
     return path

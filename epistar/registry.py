@@ -23,6 +23,7 @@ from epistar.operators import columns as colops
 from epistar.operators import dedupe, lookup, projection, series
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, with_unknown_member
 from epistar.operators.warehouse import insert_rows, upsert_rows
+from epistar.session import cut_lineage
 from epistar.sources.files import unseen_files
 from epistar.spec import TableSpec
 
@@ -141,9 +142,9 @@ def a4_first_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4+A6: per user, the first non-null value of each event type (long -> wide)."""
     events = _events_with_gaps(spark, sf_dir)
     value_map = {f"{t}_value": (t, "value") for t in EVENT_TYPES}
-    wide = dedupe.long_to_wide(events, ["user_id"], "event_type", value_map, ["event_id"])
-    first_any = dedupe.merge_first_non_null(events.select("user_id", "value", "event_id"), ["user_id"], ["event_id"])
-    return wide.join(first_any.select("user_id", F.col("value").alias("first_any_value")), "user_id", "inner")
+    # one aggregation: the per-type columns and the first value of any type
+    wide = dedupe.long_to_wide(events, ["user_id"], "event_type", value_map, ["event_id"], carry=["value"])
+    return wide.withColumnRenamed("value", "first_any_value")
 
 
 def a5_suffix_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,9 +494,10 @@ def h4_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"c_name": "string", "c_acctbal": "double", "c_mktsegment": "string"},
         key_types={"c_custkey": "bigint"},
     )
-    base = insert_rows(None, _t(spark, sf_dir, "customer"), spec, _BATCH_0)
+    # each step is materialised, as a load writes every version before the next one
+    base = cut_lineage(insert_rows(None, _t(spark, sf_dir, "customer"), spec, _BATCH_0))
     feed = _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("c_acctbal"))
-    step1 = upsert_rows(base, feed, spec, _BATCH_1)
+    step1 = cut_lineage(upsert_rows(base, feed, spec, _BATCH_1))
     newcomers = _t(spark, sf_dir, "supplier").select(
         (F.col("s_suppkey") + 1_000_000_000).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal")
     )
@@ -561,8 +563,10 @@ def n1_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = star.groupBy("n_name", "r_name", F.trunc("order_date", "week").alias("week_start_date")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum(_money("o_totalprice")).cast("decimal(18,2)").alias("value")
     )
-    totals = weekly.groupBy("r_name", "week_start_date").agg(F.sum("n_orders").alias("region_orders"))
-    return weekly.join(totals, ["r_name", "week_start_date"], "inner")
+    # the region total is a window over the already aggregated weekly rows
+    # (a handful of nations per region and week), so the star is scanned once
+    by_region_week = Window.partitionBy("r_name", "week_start_date")
+    return weekly.withColumn("region_orders", F.sum("n_orders").over(by_region_week))
 
 
 def n2_segment_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
