@@ -42,8 +42,9 @@ def prepare_lookup(
 
     Names are lower-cased; duplicate names keep their first row so a join
     can never multiply data rows. The small result is checkpointed to the
-    shared checkpoint folder: the exact pass, the fuzzy pass and their size
-    checks then read it instead of recomputing it from its source.
+    shared checkpoint folder and its size is checked once here: when it is
+    within ``LOOKUP_MAX_ROWS`` it carries a broadcast hint into the exact and
+    fuzzy joins; above the bound those joins shuffle.
     """
     pos = F.col(pos_col) if pos_col else F.monotonically_increasing_id()
     lk = lookup.select(
@@ -52,12 +53,14 @@ def prepare_lookup(
         pos.alias("_lk_pos"),
     ).filter(F.col("_lk_name").isNotNull())
     prepared = keep_first(lk, ["_lk_name", "_lk_code", "_lk_pos"], ["_lk_name"], ["_lk_pos"])
-    return cut_lineage(prepared) if materialize else prepared
+    if not materialize:
+        return prepared
+    return bounded_broadcast(cut_lineage(prepared), LOOKUP_MAX_ROWS)
 
 
 def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str = "code_exact") -> DataFrame:
     """Case-insensitive left equi-lookup of ``name_col`` -> ``out_col``."""
-    lk = bounded_broadcast(lookup.select("_lk_name", "_lk_code"), LOOKUP_MAX_ROWS)
+    lk = lookup.select("_lk_name", "_lk_code")
     joined = df.join(lk, normalize_name(F.col(name_col)) == F.col("_lk_name"), "left")
     return joined.withColumnRenamed("_lk_code", out_col).drop("_lk_name")
 
@@ -70,7 +73,7 @@ def best_fuzzy_matches(names: DataFrame, lookup: DataFrame, min_score: int = FUZ
     cand = names.select("_match_name").distinct().withColumn("_norm", normalize_name(F.col("_match_name")))
     lo, hi = length_window(F.length("_norm"), min_score)
     cand = cand.withColumn("_cand_len", F.explode(F.sequence(lo, hi)))
-    lk = bounded_broadcast(lookup.withColumn("_lk_len", F.length("_lk_name")), LOOKUP_MAX_ROWS)
+    lk = lookup.withColumn("_lk_len", F.length("_lk_name"))
     pairs = cand.join(lk, F.col("_cand_len") == F.col("_lk_len"), "inner").withColumn(
         "_score", similarity(F.col("_norm"), F.col("_lk_name"))
     )

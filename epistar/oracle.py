@@ -404,3 +404,83 @@ SELECT coalesce(p.week_start_date, s.week_start_date) AS week_start_date, p.n_or
 FROM p FULL OUTER JOIN s ON p.week_start_date = s.week_start_date
 """,
 }
+
+_ND_BASE = """
+no AS (
+  SELECT n.n_nationkey AS k, n.n_name, r.r_name, o.o_orderstatus AS st, CAST(o.o_orderdate AS DATE) AS d
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+pop AS (SELECT c_nationkey AS k, count(*) * 1000 AS population FROM customer GROUP BY 1),
+wk AS (
+  SELECT k, n_name, r_name, strftime(d, '%G-%V') AS year_week,
+         CASE st WHEN 'F' THEN 'cases' WHEN 'O' THEN 'deaths' ELSE 'tests' END AS indicator, count(*) AS weekly_count
+  FROM no GROUP BY ALL
+),
+wk2 AS (
+  SELECT wk.*, pop.population,
+         sum(weekly_count) OVER (PARTITION BY n_name, indicator ORDER BY year_week ROWS UNBOUNDED PRECEDING) AS cumulative_count,
+         CAST(weekly_count AS DOUBLE) * 1000.0 / pop.population AS rate
+  FROM wk JOIN pop USING (k)
+),
+weekly AS (
+  SELECT year_week,
+         CAST(date_trunc('week', make_date(CAST(split_part(year_week, '-', 1) AS INTEGER), 1, 4))
+              + (CAST(split_part(year_week, '-', 2) AS INTEGER) - 1) * INTERVAL 7 DAY AS DATE) AS week_start_date,
+         concat('T', lpad(CAST(k AS VARCHAR), 2, '0')) AS territory_code,
+         concat('C', k) AS country_code, r_name AS continent, CAST(population AS BIGINT) AS population,
+         'orders' AS source_name,
+         CAST(max(weekly_count) FILTER (WHERE indicator = 'cases') AS BIGINT) AS cases,
+         CAST(max(cumulative_count) FILTER (WHERE indicator = 'cases') AS BIGINT) AS cases_cumulative,
+         max(rate) FILTER (WHERE indicator = 'cases') AS cases_notification_rate,
+         CAST(max(weekly_count) FILTER (WHERE indicator = 'deaths') AS BIGINT) AS deaths,
+         CAST(max(cumulative_count) FILTER (WHERE indicator = 'deaths') AS BIGINT) AS deaths_cumulative,
+         max(rate) FILTER (WHERE indicator = 'deaths') AS deaths_notification_rate
+  FROM wk2 GROUP BY year_week, k, r_name, population
+)"""
+
+ORACLE_SQL.update(
+    {
+        "d2_cases_weekly": f"""
+WITH {_ND_BASE.strip()}
+SELECT year_week, week_start_date, CAST(week_start_date + INTERVAL 6 DAY AS DATE) AS week_end_date,
+       territory_code, country_code, continent, population, source_name,
+       cases, cases_cumulative, cases_notification_rate, deaths, deaths_cumulative, deaths_notification_rate
+FROM weekly
+""",
+        "d2_cases_daily": f"""
+WITH {_ND_BASE.strip()},
+dd AS (
+  SELECT k, r_name, d, count(*) FILTER (WHERE st = 'F') AS nf, count(*) FILTER (WHERE st = 'O') AS nd
+  FROM no GROUP BY ALL
+),
+daily AS (
+  SELECT dd.k, dd.r_name, dd.d, pop.population,
+         CASE WHEN nf > 0 THEN nf END AS cases, nd AS deaths
+  FROM dd JOIN pop USING (k)
+),
+cum AS (
+  SELECT *,
+         CASE WHEN cases IS NOT NULL THEN sum(cases) OVER (PARTITION BY k ORDER BY d ROWS UNBOUNDED PRECEDING) END AS cases_cumulative,
+         sum(deaths) OVER (PARTITION BY k ORDER BY d ROWS UNBOUNDED PRECEDING) AS deaths_cumulative
+  FROM daily
+)
+SELECT c.d AS date, concat('T', lpad(CAST(c.k AS VARCHAR), 2, '0')) AS territory_code, concat('C', c.k) AS country_code,
+       c.r_name AS continent, CAST(c.population AS BIGINT) AS population,
+       'Ministries of Health or National Public Health Institutes' AS source_name,
+       CAST(c.cases AS BIGINT) AS cases, CAST(c.cases_cumulative AS BIGINT) AS cases_cumulative,
+       CAST(c.deaths AS BIGINT) AS deaths, CAST(c.deaths_cumulative AS BIGINT) AS deaths_cumulative,
+       w.week_start_date, CAST(w.week_start_date + INTERVAL 6 DAY AS DATE) AS week_end_date,
+       w.cases_notification_rate, w.deaths_notification_rate
+FROM cum c JOIN weekly w
+  ON w.territory_code = concat('T', lpad(CAST(c.k AS VARCHAR), 2, '0'))
+ AND w.week_start_date = CAST(date_trunc('week', c.d) AS DATE)
+""",
+        "d2_countries": """
+SELECT concat('C', n_nationkey) AS country_code, n_name AS country_name,
+       concat('T', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')) AS territory_code, r_name AS continent
+FROM nation JOIN region ON n_regionkey = r_regionkey
+WHERE n_nationkey IN (SELECT DISTINCT c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+""",
+    }
+)

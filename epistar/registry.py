@@ -630,3 +630,140 @@ QUERIES: dict[str, QueryFn] = {
     "n3_status_week": n3_status_week,
     "n4_two_facts": n4_two_facts,
 }
+
+
+# ----------------------------------------------------------------- whole pipelines on derived sources
+
+
+def _nation_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _order_date(_t(spark, sf_dir, "orders")).select("o_custkey", "o_orderstatus", "order_date")
+    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = _t(spark, sf_dir, "nation")
+    region = _t(spark, sf_dir, "region")
+    return (
+        orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
+        .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "inner")
+        .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "inner")
+        .select("n_nationkey", "n_name", "r_name", "o_orderstatus", "order_date")
+    )
+
+
+def _nation_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = _t(spark, sf_dir, "customer")
+    return cust.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg((F.count(F.lit(1)) * 1000).alias("population"))
+
+
+def _territory(key) -> F.Column:
+    return F.concat(F.lit("T"), F.lpad(colops.col_of(key).cast("string"), 2, "0"))
+
+
+def _cases_weekly_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly long layout: one row per nation, ISO week and indicator, plus continent totals."""
+    rows = _nation_orders(spark, sf_dir).withColumn(
+        "indicator",
+        F.when(F.col("o_orderstatus") == "F", "cases").when(F.col("o_orderstatus") == "O", "deaths").otherwise("tests"),
+    )
+    rows = rows.withColumn("year_week", F.regexp_replace(cal.iso_year_week_label("order_date"), "-W", "-"))
+    pop = _nation_population(spark, sf_dir)
+    nations = rows.groupBy("n_nationkey", "n_name", "r_name", "year_week", "indicator").agg(
+        F.count(F.lit(1)).alias("weekly_count")
+    )
+    nations = nations.join(pop, "n_nationkey", "inner").select(
+        F.col("n_name").alias("country"),
+        _territory("n_nationkey").alias("country_code"),
+        F.col("r_name").alias("continent"),
+        "population",
+        "indicator",
+        "weekly_count",
+        "year_week",
+        F.col("n_nationkey").cast("long").alias("_key"),
+    )
+    totals = rows.groupBy("r_name", "year_week", "indicator").agg(F.count(F.lit(1)).alias("weekly_count"))
+    totals = totals.select(
+        F.concat(F.col("r_name"), F.lit(" (total)")).alias("country"),
+        F.lit(None).cast("string").alias("country_code"),
+        F.col("r_name").alias("continent"),
+        F.lit(None).cast("bigint").alias("population"),
+        "indicator",
+        "weekly_count",
+        "year_week",
+        F.lit(-1).cast("long").alias("_key"),
+    )
+    src = nations.unionByName(totals)
+    by_series = Window.partitionBy("country", "indicator").orderBy("year_week").rowsBetween(Window.unboundedPreceding, 0)
+    return src.select(
+        "country",
+        "country_code",
+        "continent",
+        "population",
+        "indicator",
+        "weekly_count",
+        F.sum("weekly_count").over(by_series).alias("cumulative_count"),
+        (F.col("weekly_count").cast("double") * 1000.0 / F.col("population")).alias("rate_14_day"),
+        "year_week",
+        F.lit("orders").alias("source"),
+        F.lit("weekly").alias("_file"),
+        "_key",
+    ).withColumn("_pos", F.col("_key")).drop("_key")
+
+
+def _cases_daily_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily layout: one row per nation and day; no cases that day reads as missing."""
+    rows = _nation_orders(spark, sf_dir)
+    daily = rows.groupBy("n_nationkey", "n_name", "r_name", "order_date").agg(
+        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("nf"),
+        F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("no"),
+    )
+    daily = daily.join(_nation_population(spark, sf_dir), "n_nationkey", "inner")
+    return daily.select(
+        F.dayofmonth("order_date").alias("day"),
+        F.month("order_date").alias("month"),
+        F.year("order_date").alias("year"),
+        F.when(F.col("nf") > 0, F.col("nf")).alias("cases"),
+        F.col("no").alias("deaths"),
+        F.col("n_name").alias("countriesAndTerritories"),
+        F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("geoId"),
+        _territory("n_nationkey").alias("countryterritoryCode"),
+        F.col("population").alias("popData2020"),
+        F.col("r_name").alias("continentExp"),
+        F.lit("daily").alias("_file"),
+        (F.col("n_nationkey").cast("long") * 100_000 + F.unix_date("order_date")).alias("_pos"),
+    )
+
+
+def _nation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = _t(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("Name"), F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("Code"), F.col("n_nationkey").alias("_pos")
+    )
+    return lookup.prepare_lookup(nation, pos_col="_pos")
+
+
+def _cases_deaths_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from epistar.plans import cases_deaths
+
+    inputs = [_cases_weekly_source(spark, sf_dir), _cases_daily_source(spark, sf_dir)]
+    return cases_deaths.transform(inputs, _nation_lookup(spark, sf_dir))
+
+
+def d2_cases_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 weekly fact: indicator rows -> wide, merged per (year_week, territory); continents excluded."""
+    return _cases_deaths_outputs(spark, sf_dir)["fact_cases_deaths_country_weekly"]
+
+
+def d2_cases_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 daily fact: running totals per territory, 14-day rates from the week holding the day."""
+    return _cases_deaths_outputs(spark, sf_dir)["fact_cases_deaths_country_daily"]
+
+
+def d2_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 country lookup: first row per resolved country code, continent rows left out."""
+    return _cases_deaths_outputs(spark, sf_dir)["dim_country"]
+
+
+QUERIES.update(
+    {
+        "d2_cases_weekly": d2_cases_weekly,
+        "d2_cases_daily": d2_cases_daily,
+        "d2_countries": d2_countries,
+    }
+)
