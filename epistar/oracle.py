@@ -484,3 +484,86 @@ WHERE n_nationkey IN (SELECT DISTINCT c.c_nationkey FROM orders o JOIN customer
 """,
     }
 )
+
+_TARGET_DESCRIPTION = """CASE {g}
+         WHEN 'ALL' THEN 'Overall adults (18+)'
+         WHEN 'Age<18' THEN 'Overall adolescents and children (0-17 years old)'
+         WHEN 'HCW' THEN 'Healthcare workers'
+         WHEN 'LTCF' THEN 'Residents in long term care facilities'
+         WHEN 'Age0_4' THEN '0-4 years old'
+         WHEN 'Age5_9' THEN '5-9 years old'
+         WHEN 'Age10_14' THEN '10-14 years old'
+         WHEN 'Age15_17' THEN '15-17 years old'
+         WHEN 'Age18_24' THEN '18-24 years old'
+         WHEN 'Age25_49' THEN '25-49 years old'
+         WHEN 'Age50_59' THEN '50-59 years old'
+         WHEN 'Age60_69' THEN '60-69 years old'
+         WHEN 'Age70_79' THEN '70-79 years old'
+         WHEN 'Age80+' THEN '80 years and over'
+         ELSE {g} END"""
+
+_VT_BASE = """
+vt AS (
+  SELECT strftime(CAST(l.l_shipdate AS DATE), '%G-W%V') AS year_week,
+         CAST(date_trunc('week', CAST(l.l_shipdate AS DATE)) AS DATE) AS week_start_date,
+         concat('C', s.s_nationkey) AS country_code,
+         CASE WHEN l.l_linenumber <= 2 THEN concat('C', s.s_nationkey)
+              ELSE concat('C', s.s_nationkey, '-R', l.l_linenumber % 3) END AS region_code,
+         CASE p.p_size % 5 WHEN 0 THEN 'ALL'
+              WHEN 1 THEN concat('Age', (p.p_size // 10) * 10, '_', (p.p_size // 10) * 10 + 9)
+              WHEN 2 THEN 'Age<18' WHEN 3 THEN 'Age80+' ELSE '1_Age60+' END AS target_group,
+         p.p_brand AS vaccine_code,
+         CAST(l.l_quantity AS BIGINT) AS first_dose,
+         CASE WHEN l.l_tax > 0.05 THEN 'yes' END AS first_dose_refused,
+         coalesce(CASE WHEN l.l_returnflag <> 'R' THEN CAST(l.l_quantity AS BIGINT) - 1 END, 0) AS second_dose,
+         CAST(l.l_linenumber AS BIGINT) AS additional_dose_1,
+         CAST(CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 0 END AS BIGINT) AS unknown_dose,
+         coalesce(CAST(trunc(TRY_CAST(CASE WHEN l.l_discount = 0 THEN 'n/a'
+                                           ELSE CAST(CAST(l.l_quantity AS BIGINT) * 10 AS VARCHAR) END AS DOUBLE)) AS BIGINT), 0) AS doses_received,
+         coalesce(CAST(trunc(TRY_CAST(concat(l.l_linenumber, '.0') AS DOUBLE)) AS BIGINT), 0) AS doses_exported,
+         CAST(s.s_nationkey + 1000 AS BIGINT) AS population,
+         coalesce(CAST(trunc(TRY_CAST(CASE WHEN l.l_discount > 0.08 THEN 'bad' ELSE '900' END AS DOUBLE)) AS BIGINT), 0) AS denominator
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+
+_AGE_BODY = "CASE WHEN starts_with({g}, 'Age') THEN substring({g}, 4) WHEN starts_with({g}, '1_Age') THEN substring({g}, 6) END"
+
+
+def _age_lower(g: str) -> str:
+    b = _AGE_BODY.format(g=g)
+    return (
+        f"CAST(CASE WHEN {b} LIKE '%\\_%' ESCAPE '\\' THEN TRY_CAST(split_part({b}, '_', 1) AS INTEGER) "
+        f"WHEN {b} LIKE '%<%' THEN 0 WHEN {b} LIKE '%+%' THEN TRY_CAST(replace({b}, '+', '') AS INTEGER) ELSE 0 END AS INTEGER)"
+    )
+
+
+def _age_upper(g: str) -> str:
+    b = _AGE_BODY.format(g=g)
+    return (
+        f"CAST(CASE WHEN {b} LIKE '%\\_%' ESCAPE '\\' THEN TRY_CAST(split_part({b}, '_', 2) AS INTEGER) "
+        f"WHEN {b} LIKE '%<%' THEN TRY_CAST(replace({b}, '<', '') AS INTEGER) WHEN {b} LIKE '%+%' THEN 200 ELSE 200 END AS INTEGER)"
+    )
+
+
+ORACLE_SQL.update(
+    {
+        "d3_vaccine_country": f"""
+WITH {_VT_BASE.strip()}
+SELECT country_code, target_group, vaccine_code, first_dose, first_dose_refused, second_dose,
+       additional_dose_1, unknown_dose, doses_received, doses_exported, population, denominator,
+       {_TARGET_DESCRIPTION.format(g="target_group")} AS target_description,
+       week_start_date, CAST(week_start_date + INTERVAL 6 DAY AS DATE) AS week_end_date
+FROM vt WHERE region_code = country_code
+""",
+        "d3_target_groups": f"""
+WITH {_VT_BASE.strip()}
+SELECT DISTINCT target_group, {_age_lower("target_group")} AS age_lower_limit, {_age_upper("target_group")} AS age_upper_limit,
+       {_TARGET_DESCRIPTION.format(g="target_group")} AS target_description
+FROM vt
+""",
+        "d3_regions": f"""
+WITH {_VT_BASE.strip()}
+SELECT DISTINCT region_code FROM vt WHERE region_code <> country_code
+""",
+    }
+)

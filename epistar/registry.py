@@ -767,3 +767,71 @@ QUERIES.update(
         "d2_countries": d2_countries,
     }
 )
+
+
+def _vaccine_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vaccine-tracker layout: one row per line item (country = supplier nation, vaccine = brand)."""
+    li = _t(spark, sf_dir, "lineitem")
+    supp = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    rows = li.join(supp, li.l_suppkey == supp.s_suppkey, "inner").join(part, li.l_partkey == part.p_partkey, "inner")
+    country = F.concat(F.lit("C"), F.col("s_nationkey").cast("string"))
+    decade = (F.col("p_size") / 10).cast("int") * 10
+    size_form = F.col("p_size") % 5
+    ship = F.col("l_shipdate").cast("date")
+    qty = F.col("l_quantity").cast("bigint")
+    return rows.select(
+        cal.iso_year_week_label(ship).alias("YearWeekISO"),
+        country.alias("ReportingCountry"),
+        F.when(F.col("l_linenumber") <= 2, country)
+        .otherwise(F.concat(country, F.lit("-R"), (F.col("l_linenumber") % 3).cast("string")))
+        .alias("Region"),
+        F.when(size_form == 0, F.lit("ALL"))
+        .when(size_form == 1, F.concat(F.lit("Age"), decade.cast("string"), F.lit("_"), (decade + 9).cast("string")))
+        .when(size_form == 2, F.lit("Age<18"))
+        .when(size_form == 3, F.lit("Age80+"))
+        .otherwise(F.lit("1_Age60+"))
+        .alias("TargetGroup"),
+        F.col("p_brand").alias("Vaccine"),
+        qty.alias("FirstDose"),
+        F.when(F.col("l_tax") > 0.05, F.lit("yes")).alias("FirstDoseRefused"),
+        F.when(F.col("l_returnflag") != "R", qty - 1).alias("SecondDose"),
+        F.col("l_linenumber").cast("bigint").alias("DoseAdditional1"),
+        F.when(F.col("l_linestatus") == "O", F.lit(1).cast("bigint")).alias("UnknownDose"),
+        F.when(F.col("l_discount") == 0, F.lit("n/a")).otherwise((qty * 10).cast("string")).alias("NumberDosesReceived"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit(".0")).alias("NumberDosesExported"),
+        (F.col("s_nationkey") + 1000).cast("bigint").alias("Population"),
+        F.when(F.col("l_discount") > 0.08, F.lit("bad")).otherwise(F.lit("900")).alias("Denominator"),
+        F.lit("vaccine-tracker").alias("_file"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_pos"),
+    )
+
+
+def _vaccine_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from epistar.plans import vaccines
+
+    return vaccines.transform([_vaccine_source(spark, sf_dir)])
+
+
+def d3_vaccine_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 national fact: renamed, snake-cased, coerced and zero-filled rows where region == country."""
+    return _vaccine_outputs(spark, sf_dir)["fact_vaccine_tracker_country"]
+
+
+def d3_target_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 target-group lookup with age limits and descriptions."""
+    return _vaccine_outputs(spark, sf_dir)["dim_target_group"]
+
+
+def d3_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 region lookup: the regions of the region-level rows."""
+    return _vaccine_outputs(spark, sf_dir)["dim_region"]
+
+
+QUERIES.update(
+    {
+        "d3_vaccine_country": d3_vaccine_country,
+        "d3_target_groups": d3_target_groups,
+        "d3_regions": d3_regions,
+    }
+)
