@@ -567,3 +567,73 @@ SELECT DISTINCT region_code FROM vt WHERE region_code <> country_code
 """,
     }
 )
+
+_MI_BASE = """
+no AS (
+  SELECT n.n_nationkey AS k, n.n_name, r.r_name, o.o_orderstatus AS st,
+         CAST(date_trunc('week', CAST(o.o_orderdate AS DATE)) AS DATE) AS ws
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+wk AS (SELECT k, n_name, r_name, ws, count(*) AS n, count(*) FILTER (WHERE st = 'F') AS nf FROM no GROUP BY ALL),
+m AS (
+  SELECT k, substring(r_name, 1, 2) AS country_code, concat('N', k) AS region_code, ws AS week_start_date,
+         CAST(ws + INTERVAL 6 DAY AS DATE) AS week_end_date, CAST(weekofyear(ws) AS INTEGER) AS week,
+         lower(coalesce(CASE WHEN n >= 8 THEN 'Dark Red' WHEN n >= 5 THEN 'Red' WHEN n >= 3 THEN 'Orange'
+                             WHEN n >= 2 THEN 'Green' END,
+                        CASE WHEN nf >= 1 THEN 'Purple' END)) AS colour_name,
+         CASE WHEN k % 2 = 0 THEN n * 10.0 END AS national_notification_rate,
+         CASE WHEN k % 2 <> 0 THEN n * 10.0 END AS regional_notification_rate,
+         CASE WHEN n > 5 THEN nf * 1.0 END AS national_vaccination_rate,
+         CASE WHEN n <= 5 THEN nf * 1.0 END AS regional_vaccination_rate,
+         CAST(NULL AS DOUBLE) AS national_testing_rate,
+         n * 2.0 AS regional_testing_rate,
+         CASE WHEN nf > 1 THEN nf * 0.5 END AS regional_positivity_rate,
+         nf * 0.5 AS positivity_rate_combined,
+         n * 4.0 AS testing_rate_combined,
+         n AS national_cases_7,
+         CAST(k + 1000 AS BIGINT) AS national_population,
+         CAST(k AS BIGINT) * 100000 + (ws - DATE '1970-01-01') AS pos
+  FROM wk
+)"""
+
+ORACLE_SQL.update(
+    {
+        "d1_movement_region": f"""
+WITH {_MI_BASE.strip()}
+SELECT country_code, colour_name, week, week_start_date, week_end_date, region_code,
+       regional_notification_rate AS notification_rate, regional_vaccination_rate AS vaccination_rate,
+       regional_testing_rate AS testing_rate, regional_positivity_rate AS positivity_rate,
+       positivity_rate_combined, testing_rate_combined
+FROM m
+""",
+        "d1_movement_country": f"""
+WITH {_MI_BASE.strip()},
+j AS (
+  SELECT m.*, m.national_cases_7 + coalesce(p.national_cases_7, 0) AS national_cases_14
+  FROM m LEFT JOIN m p ON p.country_code = m.country_code AND p.region_code = m.region_code
+   AND p.week_start_date + INTERVAL 7 DAY = m.week_start_date
+),
+f AS (SELECT *, row_number() OVER (PARTITION BY country_code, week_start_date ORDER BY pos) AS rn FROM j)
+SELECT country_code, colour_name, week, week_start_date, week_end_date,
+       national_notification_rate AS notification_rate, national_vaccination_rate AS vaccination_rate,
+       national_cases_7 AS new_cases_last_7days, national_cases_14 AS new_cases_last_14days,
+       national_population AS population, national_testing_rate AS testing_rate
+FROM f WHERE rn = 1
+""",
+        "d1_status": f"""
+WITH {_MI_BASE.strip()}
+SELECT DISTINCT colour_name,
+       CASE colour_name
+         WHEN 'green' THEN 'Weighted rate is less than 40'
+         WHEN 'orange' THEN 'Weighted rate is less than 100 but 40 or more'
+         WHEN 'red' THEN 'Weighted rate is less than 300 but 100 or more'
+         WHEN 'dark red' THEN 'Weighted rate is 300 or more'
+         WHEN 'dark grey' THEN 'Testing rate is 600 or less'
+         WHEN 'grey' THEN 'Insufficient data is available'
+         WHEN 'grey - no data' THEN 'no data'
+         ELSE colour_name END AS colour_description
+FROM m
+""",
+    }
+)

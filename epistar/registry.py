@@ -835,3 +835,89 @@ QUERIES.update(
         "d3_regions": d3_regions,
     }
 )
+
+
+def _movement_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Movement-indicator inputs in the current and the archive layout.
+
+    Continents (regions) play countries and nations play sub-national
+    regions; both layouts describe the same (region, nation, week) cells, so
+    the merge meets every key twice.
+    """
+    rows = _nation_orders(spark, sf_dir)
+    wk = rows.groupBy("n_nationkey", "n_name", "r_name", F.trunc("order_date", "week").alias("ws")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("nf")
+    )
+    label = cal.iso_year_week_label("ws")
+    location = F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))
+    pos = F.col("n_nationkey").cast("long") * 100_000 + F.unix_date("ws")
+    current = wk.select(
+        F.col("r_name").alias("Country"),
+        F.substring("r_name", 1, 2).alias("CountryISO2Code"),
+        location.alias("LocationCode"),
+        F.col("n_name").alias("LocationName"),
+        (F.col("n") * 10.0).alias("NotificationRate"),
+        F.when(F.col("n_nationkey") % 2 == 0, "National").otherwise("Regional").alias("NotificationRateGeoLevel"),
+        (F.col("nf") * 1.0).alias("VaccineUptake"),
+        F.when(F.col("n") > 5, "National").otherwise("Regional").alias("VaccineGeoLevel"),
+        (F.col("n") * 2.0).alias("TestingRate"),
+        F.lit("Regional").alias("TestingGeoLevel"),
+        (F.col("n") * 1.5).alias("WeightedRate"),
+        F.when(F.col("n") >= 8, "Dark Red").when(F.col("n") >= 5, "Red").when(F.col("n") >= 3, "Orange").when(F.col("n") >= 2, "Green").alias("Colour"),
+        label.alias("Week"),
+        F.lit("movementindicators.json").alias("_file"),
+        pos.alias("_pos"),
+    )
+    archive = wk.select(
+        F.col("r_name").alias("country"),
+        location.alias("geo_id_final"),
+        F.col("n_name").alias("region"),
+        F.regexp_replace(label, "-W", "-").alias("week"),
+        F.when(F.col("nf") >= 1, "Purple").alias("colour"),
+        (F.col("n") * 3.0).alias("subnational_rate_14"),
+        F.when(F.col("nf") > 1, "TRUE").otherwise("FALSE").alias("regional_testing_data"),
+        (F.col("nf") * 0.5).alias("positivity_rate_combined"),
+        (F.col("n") * 4.0).alias("testing_rate_combined"),
+        F.col("n").alias("national_cases_7"),
+        (F.col("n_nationkey") + 1000).cast("bigint").alias("national_population"),
+        F.lit("movementindicatorsarchive.json").alias("_file"),
+        pos.alias("_pos"),
+    )
+    return [current, archive]
+
+
+def _continent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = _t(spark, sf_dir, "region").select(
+        F.col("r_name").alias("Name"), F.substring("r_name", 1, 2).alias("Code"), F.col("r_regionkey").alias("_pos")
+    )
+    return lookup.prepare_lookup(region, pos_col="_pos")
+
+
+def _movement_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from epistar.plans import movement
+
+    return movement.transform(_movement_sources(spark, sf_dir), _continent_lookup(spark, sf_dir))
+
+
+def d1_movement_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 regional fact: both layouts merged per (country, region, week start), first non-null value wins."""
+    return _movement_outputs(spark, sf_dir)["fact_movement_indicators_region"]
+
+
+def d1_movement_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 national fact: 14-day cases from the previous week (0 if absent), first row per (country, week)."""
+    return _movement_outputs(spark, sf_dir)["fact_movement_indicators_country"]
+
+
+def d1_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 status lookup: lower-cased colours and their descriptions."""
+    return _movement_outputs(spark, sf_dir)["dim_status"]
+
+
+QUERIES.update(
+    {
+        "d1_movement_region": d1_movement_region,
+        "d1_movement_country": d1_movement_country,
+        "d1_status": d1_status,
+    }
+)
