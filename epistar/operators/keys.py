@@ -2,7 +2,8 @@
 (J6, J7, J8).
 
 Consecutive surrogate keys are assigned without a global single-task sort:
-new rows are range-partitioned by business key, each partition counts its
+new rows are range-partitioned by business key and numbered inside their
+partition (fixed once by a reliable checkpoint), each partition counts its
 rows, the (tiny) per-partition counts are turned into offsets, and every
 row's key is ``offset of its partition + position inside it``. The numbers
 equal ``max(existing) + row_number() over (order by business key)``.
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epistar.operators.sizing import DIMENSION_MAX_ROWS, row_count_at_most
+from epistar.session import cut_lineage
 from epistar.spec import UNKNOWN_KEY, TableSpec
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
@@ -40,6 +42,11 @@ def assign_consecutive_keys(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    # Partition ids and positions must be the same for the counts and for the
+    # keys, so they are fixed once in the shared checkpoint folder: two
+    # evaluations of the range shuffle (or a retried task) could otherwise
+    # place rows differently.
+    ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: a window over it is a handful of rows
     offsets = counts.select(
@@ -80,7 +87,7 @@ def resolve_foreign_keys(
     spec: TableSpec,
     dimensions: Mapping[str, DataFrame],
     dim_specs: Mapping[str, TableSpec],
-    max_broadcast_rows: int = DIMENSION_MAX_ROWS,
+    max_broadcast_rows: int | None = DIMENSION_MAX_ROWS,
     bounded_by_construction: frozenset[str] = frozenset({"dim_date"}),
 ) -> DataFrame:
     """Add every foreign key of ``spec`` to ``fact``.
@@ -94,15 +101,17 @@ def resolve_foreign_keys(
     dimension however many roles it plays; above the bound the join
     shuffles. A calendar is bounded by construction (one row per day of the
     years 1-9999 at most, about 3.7 million rows of two columns) and skips
-    the check.
+    the check. ``max_broadcast_rows=None`` makes no explicit broadcast for
+    other dimensions (for dimensions derived from a shuffle, where AQE decides
+    from the measured size).
     """
     out = fact
     small: dict[str, bool] = {}
 
     def side_of(dim_name: str, frame: DataFrame) -> DataFrame:
         if dim_name not in small:
-            small[dim_name] = dim_name in bounded_by_construction or row_count_at_most(
-                dimensions[dim_name], max_broadcast_rows
+            small[dim_name] = dim_name in bounded_by_construction or (
+                max_broadcast_rows is not None and row_count_at_most(dimensions[dim_name], max_broadcast_rows)
             )
         return F.broadcast(frame) if small[dim_name] else frame
 

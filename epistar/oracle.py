@@ -637,3 +637,57 @@ FROM m
 """,
     }
 )
+
+ORACLE_SQL.update(
+    {
+        "n1_cases_star": f"""
+WITH {_ND_BASE.strip()},
+pc AS (
+  SELECT continent, country_code, week_start_date,
+         CAST(sum(coalesce(cases, 0)) AS BIGINT) AS cases, CAST(sum(coalesce(deaths, 0)) AS BIGINT) AS deaths
+  FROM weekly GROUP BY ALL
+)
+SELECT continent, week_start_date, country_code, cases, deaths,
+       CAST(sum(cases) OVER (PARTITION BY continent, week_start_date) AS BIGINT) AS continent_cases,
+       CAST(sum(deaths) OVER (PARTITION BY continent, week_start_date) AS BIGINT) AS continent_deaths
+FROM pc
+""",
+        "n2_doses_star": f"""
+WITH {_VT_BASE.strip()}
+SELECT target_group, {_age_lower("target_group")} AS age_lower_limit, {_age_upper("target_group")} AS age_upper_limit,
+       vaccine_code,
+       CAST(sum(first_dose) AS BIGINT) AS first_dose, CAST(sum(second_dose) AS BIGINT) AS second_dose,
+       CAST(sum(additional_dose_1) AS BIGINT) AS additional_doses, CAST(sum(unknown_dose) AS BIGINT) AS unknown_dose
+FROM vt WHERE region_code = country_code
+GROUP BY ALL
+""",
+        "n3_status_star": f"""
+WITH {_MI_BASE.strip()}
+SELECT week_start_date, coalesce(colour_name, '-unknown-') AS colour_name, count(DISTINCT region_code) AS n_regions
+FROM m GROUP BY ALL
+""",
+        "n4_testing_star": f"""
+WITH {_MI_BASE.strip()},
+j AS (
+  SELECT m.*, row_number() OVER (PARTITION BY country_code, week_start_date ORDER BY pos) AS rn FROM m
+),
+nat AS (
+  SELECT country_code, week_start_date, coalesce(national_testing_rate, 0.0) AS national_testing_rate,
+         CAST(NULL AS DOUBLE) AS national_positivity_rate
+  FROM j WHERE rn = 1
+),
+reg AS (
+  SELECT country_code, week_start_date,
+         avg(coalesce(regional_testing_rate, 0.0)) AS regional_testing_rate,
+         avg(coalesce(regional_positivity_rate, 0.0)) AS regional_positivity_rate,
+         count(*) AS n_regions
+  FROM m GROUP BY ALL
+)
+SELECT coalesce(nat.country_code, reg.country_code) AS country_code,
+       coalesce(nat.week_start_date, reg.week_start_date) AS week_start_date,
+       nat.national_testing_rate, nat.national_positivity_rate,
+       reg.regional_testing_rate, reg.regional_positivity_rate, reg.n_regions
+FROM nat FULL OUTER JOIN reg ON nat.country_code = reg.country_code AND nat.week_start_date = reg.week_start_date
+""",
+    }
+)

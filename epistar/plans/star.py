@@ -60,11 +60,10 @@ def doses_by_group_and_vaccine(facts: dict, dims: dict) -> DataFrame:
         F.sum("first_dose").alias("first_dose"),
         F.sum("second_dose").alias("second_dose"),
         F.sum(
-            F.col("additional_dose_1")
-            + F.col("additional_dose_2")
-            + F.col("additional_dose_3")
-            + F.col("additional_dose_4")
-            + F.col("additional_dose_5")
+            sum(
+                (F.coalesce(F.col(f"additional_dose_{i}"), F.lit(0)) for i in range(1, 6) if f"additional_dose_{i}" in fact.columns),
+                F.lit(0),
+            )
         ).alias("additional_doses"),
         F.sum("unknown_dose").alias("unknown_dose"),
     )
@@ -81,20 +80,21 @@ def regions_per_status(facts: dict, dims: dict) -> DataFrame:
 
 def testing_national_vs_regional(facts: dict, dims: dict) -> DataFrame:
     """National testing/positivity next to the average of the country's regions, per week."""
-    nat = facts["fact_movement_indicators_country"].select(
+    def measure(df: DataFrame, name: str):
+        return F.col(name) if name in df.columns else F.lit(None).cast("double")
+
+    country_fact = facts["fact_movement_indicators_country"]
+    region_fact = facts["fact_movement_indicators_region"]
+    nat = country_fact.select(
         "dim_week_start_date_key",
         "dim_country_key",
-        F.col("testing_rate").alias("national_testing_rate"),
-        F.col("positivity_rate").alias("national_positivity_rate"),
+        measure(country_fact, "testing_rate").alias("national_testing_rate"),
+        measure(country_fact, "positivity_rate").alias("national_positivity_rate"),
     )
-    reg = (
-        facts["fact_movement_indicators_region"]
-        .groupBy("dim_week_start_date_key", "dim_country_key")
-        .agg(
-            F.avg("testing_rate").alias("regional_testing_rate"),
-            F.avg("positivity_rate").alias("regional_positivity_rate"),
-            F.count(F.lit(1)).alias("n_regions"),
-        )
+    reg = region_fact.groupBy("dim_week_start_date_key", "dim_country_key").agg(
+        F.avg(measure(region_fact, "testing_rate")).alias("regional_testing_rate"),
+        F.avg(measure(region_fact, "positivity_rate")).alias("regional_positivity_rate"),
+        F.count(F.lit(1)).alias("n_regions"),
     )
     week = _dim(dims, "dim_date", F.col("dim_date_key").alias("dim_week_start_date_key"), F.col("date").alias("week_start_date"))
     country = _dim(dims, "dim_country", "dim_country_key", "country_code")

@@ -921,3 +921,54 @@ QUERIES.update(
         "d1_status": d1_status,
     }
 )
+
+
+# ----------------------------------------------------------------- star analysis over assembled pipelines
+
+
+def _star(outputs: dict[str, dict[str, DataFrame]]):
+    from epistar.plans.assemble import assemble_star
+
+    return assemble_star(outputs)
+
+
+def n1_cases_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 on the star: weekly cases/deaths per country with continent totals (D2 -> D5/D6 -> N1)."""
+    from epistar.plans.star import weekly_cases_trend
+
+    dims, facts = _star({"nd": _cases_deaths_outputs(spark, sf_dir)})
+    return weekly_cases_trend(facts, dims)
+
+
+def n2_doses_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2 on the star: doses by target group and vaccine (D3 -> D5/D6 -> N2)."""
+    from epistar.plans.star import doses_by_group_and_vaccine
+
+    dims, facts = _star({"vt": _vaccine_outputs(spark, sf_dir)})
+    return doses_by_group_and_vaccine(facts, dims)
+
+
+def n3_status_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N3 on the star: regions per status colour per week (D1 -> D5/D6 -> N3)."""
+    from epistar.plans.star import regions_per_status
+
+    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir)})
+    return regions_per_status(facts, dims)
+
+
+def n4_testing_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N4 on the star: national testing next to the regional average, per week and country."""
+    from epistar.plans.star import testing_national_vs_regional
+
+    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir)})
+    return testing_national_vs_regional(facts, dims)
+
+
+QUERIES.update(
+    {
+        "n1_cases_star": n1_cases_star,
+        "n2_doses_star": n2_doses_star,
+        "n3_status_star": n3_status_star,
+        "n4_testing_star": n4_testing_star,
+    }
+)

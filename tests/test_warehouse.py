@@ -113,3 +113,14 @@ def test_versioned_load_and_refresh(spark, scratch):
     assert list_versions(spark, table) == [1, 2, 3]
     cur = {r.country_code: (r.dim_country_key, r.updated_ts) for r in read_current(spark, table).collect()}
     assert cur == {"--": (-1, T0), "DE": (1, T2)}
+
+
+def test_consecutive_keys_on_a_generated_calendar(spark):
+    from epistar.functions.calendar import date_dimension_rows, date_range_between
+
+    spans = spark.createDataFrame([(dt.date(2020, 1, 6),), (dt.date(2026, 9, 3),)], "d date")
+    days = spans.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).select(F.explode(date_range_between("lo", "hi")).alias("date"))
+    keyed = assign_consecutive_keys(date_dimension_rows(days), ["date"], "k", num_partitions=13)
+    rows = keyed.select("date", "k").collect()
+    assert len(rows) == len({r.k for r in rows})
+    assert all(r.date == dt.date(2020, 1, 6) + dt.timedelta(days=r.k - 1) for r in rows)
