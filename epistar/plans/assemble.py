@@ -62,29 +62,30 @@ def assemble_star(
     source_order: Sequence[str] | None = None,
     dim_specs: Mapping[str, TableSpec] = DIMENSIONS,
     fact_specs: Mapping[str, TableSpec] = FACTS,
-    materialize: bool = True,
+    materialize_outputs: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(dimensions, facts) of the star for the transforms' outputs.
 
-    With ``materialize`` the transform outputs and the keyed dimensions are
-    checkpointed first (the stage boundary where the reference lands its
-    cleansed files), so each is computed once and the star's plans stay small.
+    Surrogate keys are fixed by the checkpoint inside key assignment, so a
+    dimension read by several facts always shows the same keys. Call the
+    transforms with ``materialize=True`` so their shared stage is computed
+    once; outputs from elsewhere can be checkpointed with
+    ``materialize_outputs``.
     """
     order = list(source_order or sorted(outputs))
-    if materialize:
+    if materialize_outputs:
         used = set(DIMENSION_ORDER) | set(FACT_ORDER)
         outputs = {s: {n: cut_lineage(df) for n, df in outputs[s].items() if n in used} for s in order}
     dims: dict[str, DataFrame] = {}
     for name in DIMENSION_ORDER:
         frames = [outputs[s][name] for s in order if name in outputs[s]]
         if frames:
-            dim = conform_dimension(frames, dim_specs[name])
-            dims[name] = cut_lineage(dim) if materialize else dim
+            # keys are fixed by the checkpoint inside key assignment
+            dims[name] = conform_dimension(frames, dim_specs[name])
     raw_facts = {name: [outputs[s][name] for s in order if name in outputs[s]] for name in FACT_ORDER}
     all_fact_frames = [f for frames in raw_facts.values() for f in frames]
     if all_fact_frames:
-        calendar = calendar_for(all_fact_frames)
-        dims["dim_date"] = cut_lineage(calendar) if materialize else calendar
+        dims["dim_date"] = calendar_for(all_fact_frames)
     facts: dict[str, DataFrame] = {}
     for name, frames in raw_facts.items():
         if not frames:

@@ -738,11 +738,11 @@ def _nation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.prepare_lookup(nation, pos_col="_pos")
 
 
-def _cases_deaths_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _cases_deaths_outputs(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[str, DataFrame]:
     from epistar.plans import cases_deaths
 
     inputs = [_cases_weekly_source(spark, sf_dir), _cases_daily_source(spark, sf_dir)]
-    return cases_deaths.transform(inputs, _nation_lookup(spark, sf_dir))
+    return cases_deaths.transform(inputs, _nation_lookup(spark, sf_dir), materialize=materialize)
 
 
 def d2_cases_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -807,10 +807,10 @@ def _vaccine_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _vaccine_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _vaccine_outputs(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[str, DataFrame]:
     from epistar.plans import vaccines
 
-    return vaccines.transform([_vaccine_source(spark, sf_dir)])
+    return vaccines.transform([_vaccine_source(spark, sf_dir)], materialize=materialize)
 
 
 def d3_vaccine_country(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -893,10 +893,10 @@ def _continent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.prepare_lookup(region, pos_col="_pos")
 
 
-def _movement_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _movement_outputs(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[str, DataFrame]:
     from epistar.plans import movement
 
-    return movement.transform(_movement_sources(spark, sf_dir), _continent_lookup(spark, sf_dir))
+    return movement.transform(_movement_sources(spark, sf_dir), _continent_lookup(spark, sf_dir), materialize=materialize)
 
 
 def d1_movement_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -936,7 +936,7 @@ def n1_cases_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N1 on the star: weekly cases/deaths per country with continent totals (D2 -> D5/D6 -> N1)."""
     from epistar.plans.star import weekly_cases_trend
 
-    dims, facts = _star({"nd": _cases_deaths_outputs(spark, sf_dir)})
+    dims, facts = _star({"nd": _cases_deaths_outputs(spark, sf_dir, materialize=True)})
     return weekly_cases_trend(facts, dims)
 
 
@@ -944,7 +944,7 @@ def n2_doses_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N2 on the star: doses by target group and vaccine (D3 -> D5/D6 -> N2)."""
     from epistar.plans.star import doses_by_group_and_vaccine
 
-    dims, facts = _star({"vt": _vaccine_outputs(spark, sf_dir)})
+    dims, facts = _star({"vt": _vaccine_outputs(spark, sf_dir, materialize=True)})
     return doses_by_group_and_vaccine(facts, dims)
 
 
@@ -952,7 +952,7 @@ def n3_status_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N3 on the star: regions per status colour per week (D1 -> D5/D6 -> N3)."""
     from epistar.plans.star import regions_per_status
 
-    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir)})
+    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir, materialize=True)})
     return regions_per_status(facts, dims)
 
 
@@ -960,7 +960,7 @@ def n4_testing_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N4 on the star: national testing next to the regional average, per week and country."""
     from epistar.plans.star import testing_national_vs_regional
 
-    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir)})
+    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir, materialize=True)})
     return testing_national_vs_regional(facts, dims)
 
 

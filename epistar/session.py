@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +66,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable checkpoint).
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
 
-    A reliable checkpoint survives executor loss, unlike a local one.
+    The written table survives executor loss (unlike a local checkpoint),
+    is columnar and compressed (unlike an RDD checkpoint, which serialises
+    rows one by one), and its file statistics let the planner size it, e.g.
+    to broadcast a small result.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
