@@ -69,9 +69,13 @@ def unknown_member_row(spark, spec: TableSpec) -> DataFrame:
     return spark.range(1).select(*cols)
 
 
-def with_unknown_member(dim: DataFrame, spec: TableSpec) -> DataFrame:
-    """H6: add the ``-1`` row once (idempotent: an existing ``-1`` row is kept)."""
-    if not dim.filter(F.col(spec.surrogate_key) == UNKNOWN_KEY).limit(1).isEmpty():
+def with_unknown_member(dim: DataFrame, spec: TableSpec, check: bool = True) -> DataFrame:
+    """H6: add the ``-1`` row once (idempotent: an existing ``-1`` row is kept).
+
+    ``check=False`` skips the existence test for freshly keyed rows, whose
+    keys start at 1.
+    """
+    if check and not dim.filter(F.col(spec.surrogate_key) == UNKNOWN_KEY).limit(1).isEmpty():
         return dim
     unknown = unknown_member_row(dim.sparkSession, spec)
     return dim.unionByName(unknown.select(*[c for c in unknown.columns if c in dim.columns]), allowMissingColumns=True)

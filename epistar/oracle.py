@@ -691,3 +691,10 @@ FROM nat FULL OUTER JOIN reg ON nat.country_code = reg.country_code AND nat.week
 """,
     }
 )
+
+ORACLE_SQL["t1_incremental_upsert"] = """
+SELECT o_custkey, count(*) AS n_orders,
+       min(CAST(o_orderdate AS DATE)) AS first_order_date, max(CAST(o_orderdate AS DATE)) AS last_order_date,
+       count(*) FILTER (WHERE o_orderstatus = 'O') AS open_orders
+FROM orders GROUP BY o_custkey
+"""

@@ -10,6 +10,7 @@ successive upserts would leave it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def conform_dimension(frames: Sequence[DataFrame], spec: TableSpec) -> DataFrame
     aggs = [F.max_by(F.col(c), F.when(F.col(f"_has_{c}"), F.col("_src"))).alias(c) for c in cols]
     conformed = merged.groupBy(*keys).agg(*aggs) if aggs else merged.select(*keys).distinct()
     keyed = assign_consecutive_keys(conformed, keys, spec.surrogate_key)
-    return with_unknown_member(keyed, spec)
+    return with_unknown_member(keyed, spec, check=False)
 
 
 def calendar_for(facts: Sequence[DataFrame]) -> DataFrame:
@@ -76,16 +77,21 @@ def assemble_star(
     if materialize_outputs:
         used = set(DIMENSION_ORDER) | set(FACT_ORDER)
         outputs = {s: {n: cut_lineage(df) for n, df in outputs[s].items() if n in used} for s in order}
-    dims: dict[str, DataFrame] = {}
+    raw_facts = {name: [outputs[s][name] for s in order if name in outputs[s]] for name in FACT_ORDER}
+    all_fact_frames = [f for frames in raw_facts.values() for f in frames]
+    # Dimensions (and the calendar) are independent: their keying jobs are
+    # submitted together, and Spark runs them side by side.
+    work = {}
     for name in DIMENSION_ORDER:
         frames = [outputs[s][name] for s in order if name in outputs[s]]
         if frames:
             # keys are fixed by the checkpoint inside key assignment
-            dims[name] = conform_dimension(frames, dim_specs[name])
-    raw_facts = {name: [outputs[s][name] for s in order if name in outputs[s]] for name in FACT_ORDER}
-    all_fact_frames = [f for frames in raw_facts.values() for f in frames]
+            work[name] = (conform_dimension, frames, dim_specs[name])
     if all_fact_frames:
-        dims["dim_date"] = calendar_for(all_fact_frames)
+        work["dim_date"] = (lambda frames, _spec: calendar_for(frames), all_fact_frames, None)
+    with ThreadPoolExecutor(max_workers=max(1, min(len(work), 4))) as pool:
+        futures = {name: pool.submit(fn, frames, spec) for name, (fn, frames, spec) in work.items()}
+        dims: dict[str, DataFrame] = {name: f.result() for name, f in futures.items()}
     facts: dict[str, DataFrame] = {}
     for name, frames in raw_facts.items():
         if not frames:
