@@ -7,17 +7,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epistar.registry import _keyed_date_dim, j7_role_date
+from epistar.functions.calendar import date_dimension_rows, date_range_between
+from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys
+from epistar.spec import TableSpec
+
+_ORDER_FACT = TableSpec(
+    "fact_orders",
+    "fact",
+    ("dim_date_key", "dim_week_start_date_key", "dim_week_end_date_key"),
+    {},
+    foreign_keys=(
+        ("dim_date_key", "dim_date"),
+        ("dim_week_start_date_key", "dim_date"),
+        ("dim_week_end_date_key", "dim_date"),
+    ),
+)
+_DATE_DIM = TableSpec("dim_date", "dimension", ("date",), {}, surrogate_key="dim_date_key")
 
 
 def weekly_orders_through_date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders keyed to a generated date dimension, then counted per ISO year and week.
+    """Orders keyed to a generated date dimension, then counted per ISO week.
 
-    G1+F10 build the calendar, H5 keys it, J7 resolves the role keys, and the
-    trend reads the calendar attributes back through the surrogate key.
+    G1+F10 build a calendar covering every order's week (Monday of the first
+    to Sunday of the last), H5 keys it, J7 resolves the three date roles, and
+    the trend reads the week start back through its surrogate key.
     """
-    dim = _keyed_date_dim(spark, sf_dir).select("dim_date_key", "year", "week", "date")
-    fact = j7_role_date(spark, sf_dir)
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("date")
+    )
+    orders = orders.withColumns(
+        {"week_start_date": F.trunc("date", "week"), "week_end_date": F.date_add(F.trunc("date", "week"), 6)}
+    )
+    bounds = orders.agg(F.min("week_start_date").alias("lo"), F.max("week_end_date").alias("hi"))
+    days = bounds.select(F.explode(date_range_between("lo", "hi")).alias("date"))
+    dim = assign_consecutive_keys(date_dimension_rows(days), ["date"], "dim_date_key")
+    fact = resolve_foreign_keys(orders, _ORDER_FACT, {"dim_date": dim}, {"dim_date": _DATE_DIM}).select(
+        "o_orderkey", "dim_date_key", "dim_week_start_date_key", "dim_week_end_date_key"
+    )
+    dim = dim.select("dim_date_key", "year", "week", "date")
     joined = fact.join(F.broadcast(dim), "dim_date_key", "inner")
     week_start = dim.select(F.col("dim_date_key").alias("dim_week_start_date_key"), F.col("date").alias("week_start_date"))
     joined = joined.join(F.broadcast(week_start), "dim_week_start_date_key", "left")

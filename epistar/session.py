@@ -52,13 +52,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared file system path set by the cluster
-    configuration. Only when it is unset (local tests) do we create a
-    scratch folder of our own.
+    configuration. Only when it is unset on a local master (tests) do we
+    create a scratch folder of our own; on a cluster an unset value is an
+    error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would be lost with its executor
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an object store)")
         configured = tempfile.mkdtemp(prefix="epistar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
