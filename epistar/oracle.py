@@ -698,3 +698,17 @@ SELECT o_custkey, count(*) AS n_orders,
        count(*) FILTER (WHERE o_orderstatus = 'O') AS open_orders
 FROM orders GROUP BY o_custkey
 """
+
+ORACLE_SQL["j4_interval_join"] = """
+WITH m AS (
+  SELECT s.s_nationkey AS nationkey, CAST(date_trunc('month', CAST(l.l_shipdate AS DATE)) AS DATE) AS month_start,
+         CAST(sum(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS month_qty
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY ALL
+),
+p AS (
+  SELECT o.o_orderkey, c.c_nationkey AS nationkey, CAST(o.o_orderdate AS DATE) AS order_date
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+)
+SELECT p.o_orderkey, p.nationkey, p.order_date, m.month_start, CAST(last_day(m.month_start) AS DATE) AS month_end, m.month_qty
+FROM p JOIN m ON p.nationkey = m.nationkey AND p.order_date BETWEEN m.month_start AND last_day(m.month_start)
+"""
