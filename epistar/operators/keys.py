@@ -3,9 +3,10 @@
 
 Consecutive surrogate keys are assigned without a global single-task sort:
 new rows are range-partitioned by business key and numbered inside their
-partition (fixed once by a reliable checkpoint), each partition counts its
-rows, the (tiny) per-partition counts are turned into offsets, and every
-row's key is ``offset of its partition + position inside it``. The numbers
+partition (fixed once by a written checkpoint table), each partition counts
+its rows, the per-partition counts (one number per partition) are turned
+into offsets, and every row's key is ``offset of its partition + position
+inside it``. The numbers
 equal ``max(existing) + row_number() over (order by business key)``.
 """
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epistar.operators.sizing import DIMENSION_MAX_ROWS, row_count_at_most
@@ -47,12 +48,14 @@ def assign_consecutive_keys(
     # evaluations of the range shuffle (or a retried task) could otherwise
     # place rows differently.
     ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per partition: a window over it is a handful of rows
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-    )
+    # one count per range partition (at most n rows, bounded by configuration,
+    # not by data) becomes a table of running offsets
+    counts = sorted((r["_pid"], r["_cnt"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+    running, rows = 0, []
+    for pid, cnt in counts:
+        rows.append((pid, running))
+        running += cnt
+    offsets = df.sparkSession.createDataFrame(rows, "_pid int, _off long")
     keyed = ranged.join(F.broadcast(offsets), "_pid", "left")
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS)
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
