@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,17 +60,32 @@ def load_dimensions(
     warehouse_root: str,
     batch_ts: _dt.datetime,
 ) -> dict[str, list[str]]:
-    """Every dimension data set of every source, in source order."""
-    written: dict[str, list[str]] = {}
-    for dim in DIMENSION_ORDER:
+    """Every dimension data set of every source, in source order.
+
+    Tables are independent, so each table's loads run in their own thread
+    (Spark schedules the jobs side by side); inside a table the sources are
+    applied one after another, as their order decides which values win.
+    """
+
+    def load_one(dim: str) -> list[str]:
+        paths = []
         for source in sorted(outputs):
             df = outputs[source].get(dim)
             if df is None:
                 continue
             path = load_table(spark, DIMENSIONS[dim], df, table_root(warehouse_root, dim), batch_ts)
             if path:
-                written.setdefault(dim, []).append(path)
-    return written
+                paths.append(path)
+        return paths
+
+    return _per_table(DIMENSION_ORDER, load_one)
+
+
+def _per_table(names, load_one) -> dict[str, list[str]]:
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        futures = {name: pool.submit(load_one, name) for name in names}
+        results = {name: f.result() for name, f in futures.items()}
+    return {name: paths for name, paths in results.items() if paths}
 
 
 def current_dimensions(spark: SparkSession, warehouse_root: str) -> dict[str, DataFrame]:
@@ -90,9 +106,10 @@ def load_facts(
 ) -> dict[str, list[str]]:
     """Resolve dimension keys (J6-J8), numeric nulls -> 0 (P15), then load (H8)."""
     dims = current_dimensions(spark, warehouse_root)
-    written: dict[str, list[str]] = {}
-    for fact in FACT_ORDER:
+
+    def load_one(fact: str) -> list[str]:
         spec = fact_specs[fact]
+        paths = []
         for source in sorted(outputs):
             df = outputs[source].get(fact)
             if df is None:
@@ -100,8 +117,10 @@ def load_facts(
             keyed = prepare_fact(df, spec, dims, DIMENSIONS)
             path = load_table(spark, spec, keyed, table_root(warehouse_root, fact), batch_ts)
             if path:
-                written.setdefault(fact, []).append(path)
-    return written
+                paths.append(path)
+        return paths
+
+    return _per_table(FACT_ORDER, load_one)
 
 
 def load_warehouse(
