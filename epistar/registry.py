@@ -23,6 +23,7 @@ from epistar.operators import columns as colops
 from epistar.operators import dedupe, lookup, projection, series
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, with_unknown_member
 from epistar.operators.warehouse import insert_rows, upsert_rows
+from epistar.plans.vaccines import TARGET_DESCRIPTIONS
 from epistar.session import cut_lineage
 from epistar.sources.files import unseen_files
 from epistar.spec import TableSpec
@@ -267,25 +268,6 @@ def p16_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return colops.cast_existing(filled, {"k": "bigint", "absent": "int"})
 
 
-# Descriptions of the reference's target groups; unknown groups describe themselves.
-TARGET_DESCRIPTIONS = {
-    "ALL": "Overall adults (18+)",
-    "Age<18": "Overall adolescents and children (0-17 years old)",
-    "HCW": "Healthcare workers",
-    "LTCF": "Residents in long term care facilities",
-    "Age0_4": "0-4 years old",
-    "Age5_9": "5-9 years old",
-    "Age10_14": "10-14 years old",
-    "Age15_17": "15-17 years old",
-    "Age18_24": "18-24 years old",
-    "Age25_49": "25-49 years old",
-    "Age50_59": "50-59 years old",
-    "Age60_69": "60-69 years old",
-    "Age70_79": "70-79 years old",
-    "Age80+": "80 years and over",
-}
-
-
 def _customer_target_group() -> F.Column:
     """A target-group label per customer in one of the source spellings."""
     n = F.col("c_nationkey").cast("string")
