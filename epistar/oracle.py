@@ -379,7 +379,7 @@ w AS (
          count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS value
   FROM star GROUP BY ALL
 )
-SELECT w.*, sum(n_orders) OVER (PARTITION BY r_name, week_start_date) AS region_orders FROM w
+SELECT w.*, CAST(sum(n_orders) OVER (PARTITION BY r_name, week_start_date) AS BIGINT) AS region_orders FROM w
 """,
     "n2_segment_priority": f"""
 WITH {_ORDERS_STAR.strip()}
@@ -582,15 +582,15 @@ m AS (
          lower(coalesce(CASE WHEN n >= 8 THEN 'Dark Red' WHEN n >= 5 THEN 'Red' WHEN n >= 3 THEN 'Orange'
                              WHEN n >= 2 THEN 'Green' END,
                         CASE WHEN nf >= 1 THEN 'Purple' END)) AS colour_name,
-         CASE WHEN k % 2 = 0 THEN n * 10.0 END AS national_notification_rate,
-         CASE WHEN k % 2 <> 0 THEN n * 10.0 END AS regional_notification_rate,
-         CASE WHEN n > 5 THEN nf * 1.0 END AS national_vaccination_rate,
-         CASE WHEN n <= 5 THEN nf * 1.0 END AS regional_vaccination_rate,
+         CASE WHEN k % 2 = 0 THEN CAST(n AS DOUBLE) * 10 END AS national_notification_rate,
+         CASE WHEN k % 2 <> 0 THEN CAST(n AS DOUBLE) * 10 END AS regional_notification_rate,
+         CASE WHEN n > 5 THEN CAST(nf AS DOUBLE) END AS national_vaccination_rate,
+         CASE WHEN n <= 5 THEN CAST(nf AS DOUBLE) END AS regional_vaccination_rate,
          CAST(NULL AS DOUBLE) AS national_testing_rate,
-         n * 2.0 AS regional_testing_rate,
-         CASE WHEN nf > 1 THEN nf * 0.5 END AS regional_positivity_rate,
-         nf * 0.5 AS positivity_rate_combined,
-         n * 4.0 AS testing_rate_combined,
+         CAST(n AS DOUBLE) * 2 AS regional_testing_rate,
+         CASE WHEN nf > 1 THEN CAST(nf AS DOUBLE) * 0.5 END AS regional_positivity_rate,
+         CAST(nf AS DOUBLE) * 0.5 AS positivity_rate_combined,
+         CAST(n AS DOUBLE) * 4 AS testing_rate_combined,
          n AS national_cases_7,
          CAST(k + 1000 AS BIGINT) AS national_population,
          CAST(k AS BIGINT) * 100000 + (ws - DATE '1970-01-01') AS pos

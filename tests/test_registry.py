@@ -63,3 +63,19 @@ def test_plans_have_no_cross_or_nested_loop_joins(spark):
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+_SPARK_FAMILY = {"int": "int32", "bigint": "int64", "double": "float64", "string": "string", "date": "date", "boolean": "bool"}
+_DUCK_FAMILY = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "bool"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    spark_types = {f.name: _SPARK_FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString().replace(" ", "")) for f in df.schema.fields}
+    rel = duck.sql(E.oracle_sql()[name])
+    duck_types = {}
+    for c, t in zip(rel.columns, rel.types):
+        t = str(t)
+        duck_types[c] = _DUCK_FAMILY.get(t, t.lower().replace(" ", ""))
+    assert spark_types == duck_types
