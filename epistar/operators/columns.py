@@ -66,14 +66,16 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     order. When two present sources map to one target, the first non-null
     value (in map order) wins.
     """
+    names = df.columns
+    present = set(names)
     targets: dict[str, list[str]] = {}
     for src, dst in mapping.items():
-        if src in df.columns:
+        if src in present:
             targets.setdefault(dst, []).append(src)
     renamed_sources = {s for srcs in targets.values() for s in srcs}
     out: list[Column] = []
     emitted: set[str] = set()
-    for name in df.columns:
+    for name in names:
         if name in renamed_sources:
             dst = next(d for d, srcs in targets.items() if name in srcs)
             if dst in emitted:
@@ -126,7 +128,8 @@ def select_existing(df: DataFrame, *groups: Iterable[str] | None) -> DataFrame:
 
 def drop_existing(df: DataFrame, *cols: str) -> DataFrame:
     """Drop columns, ignoring absent ones."""
-    return df.drop(*[c for c in cols if c in df.columns])
+    present = set(df.columns)
+    return df.drop(*[c for c in cols if c in present])
 
 
 def add_if_missing(df: DataFrame, name: str, value) -> DataFrame:
@@ -138,7 +141,8 @@ def add_if_missing(df: DataFrame, name: str, value) -> DataFrame:
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Per-column null defaults for columns that exist."""
-    present = {k: v for k, v in defaults.items() if k in df.columns}
+    names = set(df.columns)
+    present = {k: v for k, v in defaults.items() if k in names}
     if not present:
         return df
     return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in present.items()})
@@ -150,11 +154,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def fill_numeric_zero(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
     """Null -> 0 on numeric columns only (strings keep their nulls)."""
-    numeric = set(numeric_columns(df))
-    cols = [c for c in (subset if subset is not None else df.columns) if c in numeric]
+    types = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)}
+    cols = [c for c in (subset if subset is not None else df.columns) if c in types]
     if not cols:
         return df
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(types[c])) for c in cols})
 
 
 def tolerant_number(c, as_type: str = "bigint") -> Column:
@@ -171,7 +175,8 @@ def tolerant_number(c, as_type: str = "bigint") -> Column:
 
 def coerce_numbers(df: DataFrame, cols: Iterable[str], as_type: str = "bigint") -> DataFrame:
     """P16 over the columns that exist."""
-    present = [c for c in cols if c in df.columns]
+    names = set(df.columns)
+    present = [c for c in cols if c in names]
     if not present:
         return df
     return df.withColumns({c: tolerant_number(c, as_type) for c in present})
@@ -179,7 +184,8 @@ def coerce_numbers(df: DataFrame, cols: Iterable[str], as_type: str = "bigint")
 
 def cast_existing(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Declared casts for the columns that exist."""
-    present = {c: t for c, t in types.items() if c in df.columns}
+    names = set(df.columns)
+    present = {c: t for c, t in types.items() if c in names}
     if not present:
         return df
     return df.withColumns({c: F.col(c).cast(t) for c, t in present.items()})
@@ -187,7 +193,8 @@ def cast_existing(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def lower_case(df: DataFrame, *cols: str) -> DataFrame:
     """P20: lower-case the listed columns that exist."""
-    present = [c for c in cols if c in df.columns]
+    names = set(df.columns)
+    present = [c for c in cols if c in names]
     if not present:
         return df
     return df.withColumns({c: F.lower(F.col(c)) for c in present})
@@ -199,7 +206,8 @@ def level_by_columns(df: DataFrame, rules: Iterable[tuple[str, str]], name: str
     ``rules`` is ``[(column, label), ...]``. Returns ``None`` when no rule
     applies, so the caller can skip the input.
     """
+    names = set(df.columns)
     for column, label in rules:
-        if column in df.columns:
+        if column in names:
             return df.withColumn(name, F.lit(label))
     return None

@@ -65,15 +65,16 @@ def merge_first_non_null(df: DataFrame, keys: Sequence[str], order_cols: Sequenc
     still order the merged rows.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    names = df.columns
     aggs = []
-    for c in df.columns:
+    for c in names:
         if c in keys:
             continue
         if c in order:
             aggs.append(F.min(F.col(c)).alias(c))
         else:
             aggs.append(first_non_null(c, order).alias(c))
-    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    return df.groupBy(*keys).agg(*aggs).select(*names)
 
 
 # Column-name suffixes that pick an aggregate when rows are merged.
@@ -90,15 +91,16 @@ def merge_by_suffix(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     n_rows = F.count(F.lit(1))
+    types = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
-    for c in df.columns:
+    for c in types:
         if c in keys:
             continue
         col = F.col(c)
         if c.endswith("_set"):
             agg = F.array_sort(F.collect_set(col))
         elif c.endswith("_sum"):
-            agg = F.when(n_rows > 1, F.coalesce(F.sum(col), F.lit(0).cast(df.schema[c].dataType))).otherwise(F.sum(col))
+            agg = F.when(n_rows > 1, F.coalesce(F.sum(col), F.lit(0).cast(types[c]))).otherwise(F.sum(col))
         elif c.endswith("_mean"):
             agg = F.avg(col)
         elif c.endswith("_max"):
@@ -110,7 +112,7 @@ def merge_by_suffix(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
         else:
             agg = first_non_null(c, order)
         aggs.append(agg.alias(c))
-    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    return df.groupBy(*keys).agg(*aggs).select(*types)
 
 
 def long_to_wide(
@@ -132,7 +134,8 @@ def long_to_wide(
     for new, (value, source) in value_map.items():
         hit = (F.col(indicator) == F.lit(value)) & F.col(source).isNotNull()
         aggs.append(F.min_by(F.col(source), F.when(hit, ordering)).alias(new))
-    aggs += [first_non_null(c, order_cols).alias(c) for c in carry if c in df.columns]
+    names = set(df.columns)
+    aggs += [first_non_null(c, order_cols).alias(c) for c in carry if c in names]
     return df.groupBy(*keys).agg(*aggs)
 
 

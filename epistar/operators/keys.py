@@ -81,7 +81,8 @@ def with_unknown_member(dim: DataFrame, spec: TableSpec, check: bool = True) ->
     if check and not dim.filter(F.col(spec.surrogate_key) == UNKNOWN_KEY).limit(1).isEmpty():
         return dim
     unknown = unknown_member_row(dim.sparkSession, spec)
-    return dim.unionByName(unknown.select(*[c for c in unknown.columns if c in dim.columns]), allowMissingColumns=True)
+    names = set(dim.columns)
+    return dim.unionByName(unknown.select(*[c for c in unknown.columns if c in names]), allowMissingColumns=True)
 
 
 def date_role_column(fk_col: str) -> str:

@@ -63,9 +63,10 @@ def _typed_null(spec: TableSpec, col: str):
 
 def _complete(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Order and type the columns as the table has them (absent ones null)."""
+    names = set(df.columns)
     cols = []
     for c in spec.all_columns + list(AUDIT_COLUMNS):
-        if c in df.columns:
+        if c in names:
             t = "timestamp" if c in AUDIT_COLUMNS else spec.type_of(c)
             cols.append(F.col(c).cast(t).alias(c))
         else:

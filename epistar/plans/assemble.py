@@ -30,7 +30,8 @@ def conform_dimension(frames: Sequence[DataFrame], spec: TableSpec) -> DataFrame
     cols = [c for c in spec.columns if c not in keys]
     staged = []
     for order, frame in enumerate(frames):
-        present = [c for c in cols if c in frame.columns]
+        names = set(frame.columns)
+        present = [c for c in cols if c in names]
         staged.append(
             frame.select(
                 *keys,
@@ -46,12 +47,18 @@ def conform_dimension(frames: Sequence[DataFrame], spec: TableSpec) -> DataFrame
     return with_unknown_member(keyed, spec, check=False)
 
 
+def _contract(fact: DataFrame, spec: TableSpec) -> DataFrame:
+    names = set(fact.columns)
+    return fact.select(*[c for c in spec.all_columns if c in names])
+
+
 def calendar_for(facts: Sequence[DataFrame]) -> DataFrame:
     """``dim_date`` spanning every date the facts refer to (bounded by construction)."""
     spans = []
     for fact in facts:
+        names = set(fact.columns)
         for c in ("date", "week_start_date", "week_end_date"):
-            if c in fact.columns:
+            if c in names:
                 spans.append(fact.select(F.col(c).cast("date").alias("d")))
     bounds = union_all(*spans).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     days = bounds.select(F.explode(date_range_between("lo", "hi")).alias("date"))
@@ -100,5 +107,5 @@ def assemble_star(
         spec = fact_specs[name]
         keyed = [fill_numeric_zero(resolve_foreign_keys(f, spec, dims, dim_specs, None)) for f in frames]
         # H2: a fact holds its keys and measures only, as the loaded table does
-        facts[name] = union_all(*[k.select(*[c for c in spec.all_columns if c in k.columns]) for k in keyed])
+        facts[name] = union_all(*[_contract(k, spec) for k in keyed])
     return dims, facts

@@ -82,13 +82,14 @@ def doses_by_group_and_vaccine(facts: dict, dims: dict) -> DataFrame:
     fact = facts["fact_vaccine_tracker_country"]
     group = _dim(dims, "dim_target_group", "dim_target_group_key", "target_group", "age_lower_limit", "age_upper_limit")
     vaccine = _dim(dims, "dim_vaccine", "dim_vaccine_key", "vaccine_code")
+    names = set(fact.columns)
     rows = fact.join(group, "dim_target_group_key", "left").join(vaccine, "dim_vaccine_key", "left")
     return rows.groupBy("target_group", "age_lower_limit", "age_upper_limit", "vaccine_code").agg(
         F.sum("first_dose").alias("first_dose"),
         F.sum("second_dose").alias("second_dose"),
         F.sum(
             sum(
-                (F.coalesce(F.col(f"additional_dose_{i}"), F.lit(0)) for i in range(1, 6) if f"additional_dose_{i}" in fact.columns),
+                (F.coalesce(F.col(f"additional_dose_{i}"), F.lit(0)) for i in range(1, 6) if f"additional_dose_{i}" in names),
                 F.lit(0),
             )
         ).alias("additional_doses"),
