@@ -27,6 +27,16 @@ from epistar.operators.sizing import row_count_at_most
 from epistar.session import cut_lineage
 from epistar.spec import AUDIT_COLUMNS, UNKNOWN_KEY, TableSpec
 
+# Audit columns are wall-clock times without a zone (as the DDL's TIMESTAMP),
+# so their values never depend on the session time zone.
+AUDIT_TYPE = "timestamp_ntz"
+
+
+def audit_time(batch_ts: _dt.datetime):
+    """H7: a batch time as a zone-free timestamp literal."""
+    return F.lit(batch_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(AUDIT_TYPE)
+
+
 # Fixed value: batches up to this many rows are upserted without shuffling the target.
 UPSERT_BROADCAST_ROWS = 5_000_000
 
@@ -67,10 +77,10 @@ def _complete(df: DataFrame, spec: TableSpec) -> DataFrame:
     cols = []
     for c in spec.all_columns + list(AUDIT_COLUMNS):
         if c in names:
-            t = "timestamp" if c in AUDIT_COLUMNS else spec.type_of(c)
+            t = AUDIT_TYPE if c in AUDIT_COLUMNS else spec.type_of(c)
             cols.append(F.col(c).cast(t).alias(c))
         else:
-            cols.append(_typed_null(spec, c) if c not in AUDIT_COLUMNS else F.lit(None).cast("timestamp").alias(c))
+            cols.append(_typed_null(spec, c) if c not in AUDIT_COLUMNS else F.lit(None).cast(AUDIT_TYPE).alias(c))
     return df.select(*cols)
 
 
@@ -89,7 +99,7 @@ def insert_rows(
     if valid is None:
         return None
     rows, keys, _ = valid
-    rows = rows.withColumns({"created_ts": F.lit(batch_ts), "updated_ts": F.lit(batch_ts)})
+    rows = rows.withColumns({"created_ts": audit_time(batch_ts), "updated_ts": audit_time(batch_ts)})
     if spec.surrogate_key:
         start = _max_key(target, spec)
         rows = assign_consecutive_keys(rows, keys, spec.surrogate_key, start)
@@ -100,7 +110,7 @@ def insert_rows(
         has_unknown = target is not None and not target.filter(F.col(spec.surrogate_key) == UNKNOWN_KEY).limit(1).isEmpty()
         if not has_unknown:
             unknown = unknown_member_row(source.sparkSession, spec).withColumns(
-                {"created_ts": F.lit(batch_ts), "updated_ts": F.lit(batch_ts)}
+                {"created_ts": audit_time(batch_ts), "updated_ts": audit_time(batch_ts)}
             )
             out = out.unionByName(_complete(unknown, spec))
     return out
@@ -152,8 +162,8 @@ def upsert_rows(
     merged_cols = {}
     for c in supplied:
         merged_cols[c] = F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(c))
-    merged_cols["created_ts"] = F.coalesce(F.col("created_ts"), F.lit(batch_ts))
-    merged_cols["updated_ts"] = F.when(in_s, F.lit(batch_ts)).otherwise(F.col("updated_ts"))
+    merged_cols["created_ts"] = F.coalesce(F.col("created_ts"), audit_time(batch_ts))
+    merged_cols["updated_ts"] = F.when(in_s, audit_time(batch_ts)).otherwise(F.col("updated_ts"))
     merged = both.withColumns(merged_cols)
     if not spec.surrogate_key:
         merged = _complete(merged, spec)
@@ -252,12 +262,12 @@ def load_table(
 def empty_table(spark: SparkSession, spec: TableSpec, batch_ts: _dt.datetime) -> DataFrame:
     """H9 (+H6): the table as created: empty, or just the unknown member for dimensions."""
     schema = ", ".join(
-        f"`{c}` {('timestamp' if c in AUDIT_COLUMNS else spec.type_of(c))}" for c in spec.all_columns + list(AUDIT_COLUMNS)
+        f"`{c}` {(AUDIT_TYPE if c in AUDIT_COLUMNS else spec.type_of(c))}" for c in spec.all_columns + list(AUDIT_COLUMNS)
     )
     base = spark.createDataFrame([], schema)
     if spec.kind == "dimension" and spec.unknown_member:
         base = with_unknown_member(base, spec).withColumns(
-            {"created_ts": F.lit(batch_ts), "updated_ts": F.lit(batch_ts)}
+            {"created_ts": audit_time(batch_ts), "updated_ts": audit_time(batch_ts)}
         )
     return base
 

@@ -79,3 +79,18 @@ def test_query_types_match_oracle(spark, duck, name):
         t = str(t)
         duck_types[c] = _DUCK_FAMILY.get(t, t.lower().replace(" ", ""))
     assert spark_types == duck_types
+
+
+@pytest.mark.parametrize("name", ["h4_upsert", "a5_suffix_rules", "g1_date_dim", "w1_running_total", "t1_incremental_upsert"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        cols = sorted(df.columns)
+        got = _sorted([tuple(_norm(r[c]) for c in cols) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    cur = duck.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in cur.description]
+    idx = [dcols.index(c) for c in cols]
+    assert got == _sorted([tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()])
