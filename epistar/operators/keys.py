@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epistar.operators.sizing import DIMENSION_MAX_ROWS, row_count_at_most
@@ -28,18 +28,21 @@ def assign_consecutive_keys(
     df: DataFrame,
     order_cols: Sequence[str],
     key_col: str,
-    start_after: int | Column = 0,
+    start_after: int = 0,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """H5: ``key = start_after + rank by order_cols`` (1, 2, 3, ...), distributed.
 
-    ``order_cols`` must be unique per row. ``start_after`` may be a literal
-    or a one-row scalar Column (e.g. a max over the existing table).
+    ``order_cols`` must be unique per row; ``start_after`` is the largest key
+    already in use (0 for a new table).
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (a five-row dimension does not get thousands of tasks); coalescing joins
+    # neighbouring ranges, so partition order still follows key order.
     ranged = (
-        df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
+        (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
+        .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -58,8 +61,7 @@ def assign_consecutive_keys(
     offsets = df.sparkSession.createDataFrame(rows, "_pid int, _off long")
     keyed = ranged.join(F.broadcast(offsets), "_pid", "left")
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS)
-    base = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    return keyed.withColumn(key_col, (base + F.col("_off") + position + 1).cast("int")).drop("_pid", "_mid", "_off")
+    return keyed.withColumn(key_col, (F.lit(start_after) + F.col("_off") + position + 1).cast("int")).drop("_pid", "_mid", "_off")
 
 
 def unknown_member_row(spark, spec: TableSpec) -> DataFrame:
