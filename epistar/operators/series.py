@@ -16,8 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epistar.functions.calendar import previous_week_start
-
 
 def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from epistar.operators import columns as colops
 from epistar.operators import dedupe, projection
 

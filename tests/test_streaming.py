@@ -1,10 +1,9 @@
-import datetime as dt
 import json
 import os
 
 from epistar.operators.warehouse import list_versions, read_current
 from epistar.plans import vaccines
-from epistar.spec import DIMENSIONS, FACTS
+from epistar.spec import DIMENSIONS
 from epistar.streaming.incremental import stream_source, upsert_batches
 
 SCHEMA = (
