@@ -94,3 +94,39 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     idx = [dcols.index(c) for c in cols]
     assert got == _sorted([tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()])
+
+
+def _is_unpartitioned_window(line: str) -> bool:
+    """A window spec without partition columns starts with a sort key or its frame."""
+    spec = line[line.index("windowspecdefinition(") + len("windowspecdefinition("):]
+    depth, first = 0, ""
+    for ch in spec:
+        if ch == "," and depth == 0:
+            break
+        depth += ch == "("
+        depth -= ch == ")"
+        first += ch
+    return first.startswith("specifiedwindowframe") or " ASC" in first or " DESC" in first
+
+
+def test_window_spec_parser(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(10).withColumn("g", F.col("id") % 2)
+    cases = [
+        (df.withColumn("r", F.row_number().over(Window.orderBy("id"))), True),
+        (df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("id"))), False),
+        (df.withColumn("r", F.sum("id").over(Window.partitionBy("g"))), False),
+    ]
+    for frame, expected in cases:
+        lines = [l for l in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "windowspecdefinition(" in l]
+        assert lines and all(_is_unpartitioned_window(l) == expected for l in lines)
+
+
+def test_plans_have_no_unpartitioned_window(spark):
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        for line in plan.splitlines():
+            if "windowspecdefinition(" in line:
+                assert not _is_unpartitioned_window(line), (name, line)
