@@ -112,6 +112,26 @@ def fuzzy_lookup(
     return out.drop("_match_name")
 
 
+def name_codes(names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_SCORE, aliases: Mapping[str, str] = MATCH_ALIASES) -> DataFrame:
+    """J1+J2 over distinct names: ``_name, _code_exact, _code_fuzzy, match_name, match_score``.
+
+    The exact pass and the fuzzy pass both run on the distinct names only, so
+    a name repeated on millions of rows is resolved once.
+    """
+    distinct = names.filter(F.col("_name").isNotNull()).distinct()
+    exact = exact_lookup(distinct, "_name", lookup, "_code_exact")
+    keyed = exact.withColumn("_match_name", replace_values(F.col("_name"), aliases))
+    best = best_fuzzy_matches(keyed.filter(F.col("_code_exact").isNull()), lookup, min_score)
+    joined = keyed.join(best, "_match_name", "left")
+    return joined.select(
+        "_name",
+        "_code_exact",
+        F.when(F.col("_code_exact").isNull(), F.col("code_fuzzy")).alias("_code_fuzzy"),
+        "match_name",
+        "match_score",
+    )
+
+
 def resolve_codes(
     df: DataFrame,
     lookup: DataFrame,
@@ -123,17 +143,21 @@ def resolve_codes(
 ) -> DataFrame:
     """``code = exact ?? fuzzy ?? first two chars of territory ?? original code``.
 
-    Columns that do not exist are left out of the chain. The result replaces
-    (or creates) ``code_col``.
+    Names are resolved once per distinct name (``name_codes``, a pass that
+    reads only the name column) and joined back in one join; AQE picks a
+    broadcast or a shuffle for it from the measured number of names. Columns
+    that do not exist are left out of the chain. The result replaces (or
+    creates) ``code_col``.
     """
-    if name_col not in df.columns:
+    names = set(df.columns)
+    if name_col not in names:
         return df
-    out = exact_lookup(df, name_col, lookup, "_code_exact")
-    out = fuzzy_lookup(out, name_col, lookup, "_code_exact", "_code_fuzzy", min_score)
+    codes = name_codes(df.select(F.col(name_col).alias("_name")), lookup, min_score)
+    out = df.join(codes, df[name_col].eqNullSafe(codes["_name"]), "left").drop("_name")
     chain = [F.col("_code_exact"), F.col("_code_fuzzy")]
-    if territory_col in out.columns:
+    if territory_col in names:
         chain.append(prefix(F.col(territory_col), 2))
-    if code_col in out.columns:
+    if code_col in names:
         chain.append(F.col(code_col))
     out = out.withColumn(code_col, F.coalesce(*chain))
     drop = ["_code_exact", "_code_fuzzy"]

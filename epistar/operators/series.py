@@ -73,20 +73,18 @@ def previous_period_value(
 ) -> DataFrame:
     """Value of the same key ``step_days`` earlier, ``default`` when that period is absent.
 
-    A self equi-join on (keys, period - step). Unlike ``lag(1)``, a gap in
-    the series yields the default, not the last seen value. Keys are compared
-    null-safely. The lookup side must be unique on (keys, period).
+    Rows must be unique on (keys, period), as they are after a merge. Then
+    the previous row of a key (by period) is the period ``step_days``
+    earlier exactly when its period says so; otherwise (a gap) the default
+    applies, unlike a plain ``lag(1)``. A key's window partition holds one
+    row per period, so it is bounded by the calendar, not by the data.
+    Keys compare null-safely (nulls form one partition).
     """
-    prev = df.select(
-        *[F.col(k).alias(f"_p_{k}") for k in keys],
-        F.date_add(F.col(period_col), step_days).alias("_p_period"),
-        F.col(value_col).alias("_p_value"),
-    )
-    cond = [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in keys] + [F.col(period_col) == F.col("_p_period")]
-    joined = df.join(prev, on=cond, how="left")
-    return joined.withColumn(out_col, F.coalesce(F.col("_p_value"), F.lit(default))).drop(
-        *[f"_p_{k}" for k in keys], "_p_period", "_p_value"
-    )
+    by_key = Window.partitionBy(*keys).orderBy(period_col)
+    prev_period = F.lag(F.col(period_col)).over(by_key)
+    prev_value = F.lag(F.col(value_col)).over(by_key)
+    hit = F.date_add(prev_period, step_days) == F.col(period_col)
+    return df.withColumn(out_col, F.when(hit, F.coalesce(prev_value, F.lit(default))).otherwise(F.lit(default)))
 
 
 def trailing_two_weeks(
