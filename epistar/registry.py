@@ -723,7 +723,8 @@ def _nation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cases_deaths_outputs(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[str, DataFrame]:
     from epistar.plans import cases_deaths
 
-    inputs = [_cases_weekly_source(spark, sf_dir), _cases_daily_source(spark, sf_dir)]
+    # the derived source files are landed once, as extracted files would be
+    inputs = [cut_lineage(_cases_weekly_source(spark, sf_dir)), cut_lineage(_cases_daily_source(spark, sf_dir))]
     return cases_deaths.transform(inputs, _nation_lookup(spark, sf_dir), materialize=materialize)
 
 
@@ -878,7 +879,9 @@ def _continent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _movement_outputs(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[str, DataFrame]:
     from epistar.plans import movement
 
-    return movement.transform(_movement_sources(spark, sf_dir), _continent_lookup(spark, sf_dir), materialize=materialize)
+    # the derived source files are landed once, as extracted files would be
+    sources = [cut_lineage(src) for src in _movement_sources(spark, sf_dir)]
+    return movement.transform(sources, _continent_lookup(spark, sf_dir), materialize=materialize)
 
 
 def d1_movement_region(spark: SparkSession, sf_dir: str) -> DataFrame:
