@@ -44,27 +44,71 @@ def find_files(spark: SparkSession, folder: str, pattern: str) -> list[str] | No
     return files or None
 
 
+def json_shape(spark: SparkSession, path: str, probe_bytes: int = 4096) -> str:
+    """``"object"`` or ``"array"``: the first non-blank character of a JSON file.
+
+    Reads a few bytes on the driver (file metadata, not data), so a caller
+    that knows the record schema never needs a schema-inference pass.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(hpath)
+    try:
+        buf = bytearray()
+        while len(buf) < probe_bytes:
+            b = stream.read()
+            if b < 0:
+                break
+            if not chr(b).isspace():
+                return {"{": "object", "[": "array"}.get(chr(b), "other")
+            buf.append(b)
+    finally:
+        stream.close()
+    return "other"
+
+
+def _records_schema(schema) -> T.StructType | str:
+    if isinstance(schema, T.StructType):
+        return T.StructType([T.StructField("records", T.ArrayType(schema))])
+    return f"records ARRAY<STRUCT<{schema}>>"
+
+
+def _explode_records(raw: DataFrame) -> DataFrame:
+    base = raw.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("records").alias("_pos", "_rec"))
+    return base.select("_rec.*", "_file", F.col("_pos").cast("long").alias("_pos"))
+
+
 def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
     """Read ``{"records": [...]}`` documents or top-level arrays as rows.
 
-    ``schema`` is the schema of one record. Anything that is neither shape
-    raises ``ValueError``.
+    ``schema`` is the schema of one record. With it, each file's shape is
+    told from its first byte and every file is read once with the right
+    schema; without it, Spark infers the schema (an extra pass). Anything
+    that is neither shape raises ``ValueError``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if schema is not None:
+        shapes: dict[str, list[str]] = {}
+        for path in paths:
+            shapes.setdefault(json_shape(spark, path), []).append(path)
+        if "other" in shapes:
+            raise ValueError(f"Unsupported JSON structure: {shapes['other']}")
+        frames = []
+        if "object" in shapes:
+            raw = spark.read.schema(_records_schema(schema)).option("multiLine", True).json(shapes["object"])
+            frames.append(_explode_records(raw))
+        if "array" in shapes:
+            frames.append(_with_order(spark.read.schema(schema).option("multiLine", True).json(shapes["array"])))
+        out = frames[0]
+        for frame in frames[1:]:
+            out = out.unionByName(frame)
+        return out
     raw = spark.read.option("multiLine", True).json(paths)
     if "records" in raw.columns and isinstance(raw.schema["records"].dataType, T.ArrayType):
-        if schema is not None:
-            if isinstance(schema, T.StructType):
-                doc_schema = T.StructType([T.StructField("records", T.ArrayType(schema))])
-            else:
-                doc_schema = f"records ARRAY<STRUCT<{schema}>>"
-            raw = spark.read.schema(doc_schema).option("multiLine", True).json(paths)
-        base = raw.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("records").alias("_pos", "_rec"))
-        return base.select("_rec.*", "_file", F.col("_pos").cast("long").alias("_pos"))
+        return _explode_records(raw)
     if "_corrupt_record" in raw.columns and len(raw.columns) == 1:
         raise ValueError("Unsupported JSON structure")
-    if schema is not None:
-        raw = spark.read.schema(schema).option("multiLine", True).json(paths)
     return _with_order(raw)
 
 

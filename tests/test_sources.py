@@ -22,12 +22,18 @@ def test_records_and_arrays_keep_file_order(spark, scratch):
     assert [r.x for r in arr] == [9, 8]
     typed = files.read_json_records(spark, a, "x bigint, y string")
     assert typed.columns[:2] == ["x", "y"]
+    # with a schema, both shapes are told apart from their first byte and read together
+    both = files.read_json_records(spark, [a, b], "x bigint")
+    assert sorted(r.x for r in both.collect()) == [1, 2, 3, 8, 9]
+    assert files.json_shape(spark, a) == "object" and files.json_shape(spark, b) == "array"
 
 
 def test_unsupported_json_raises(spark, scratch):
     bad = _write(scratch, "bad.json", "42")
     with pytest.raises(ValueError):
         files.read_json_records(spark, bad)
+    with pytest.raises(ValueError):
+        files.read_json_records(spark, bad, "x bigint")
 
 
 def test_find_files_and_manifest(spark, scratch):
