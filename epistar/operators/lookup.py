@@ -153,7 +153,8 @@ def resolve_codes(
     if name_col not in names:
         return df
     codes = name_codes(df.select(F.col(name_col).alias("_name")), lookup, min_score)
-    out = df.join(codes, df[name_col].eqNullSafe(codes["_name"]), "left").drop("_name")
+    # null names never resolve, so a plain equality join is exact
+    out = df.join(codes, df[name_col] == codes["_name"], "left").drop("_name")
     chain = [F.col("_code_exact"), F.col("_code_fuzzy")]
     if territory_col in names:
         chain.append(prefix(F.col(territory_col), 2))
