@@ -96,3 +96,20 @@ def test_load_warehouse_and_star(spark, landed, scratch):
     load_warehouse(spark, outputs, root, dt.datetime(2024, 5, 2), date_span_args=span)
     after = sorted(tuple(r)[:-2] for r in read_current(spark, table_root(root, "fact_cases_deaths_country_weekly")).collect())
     assert before == after
+
+
+def test_command_line_run(spark, landed, scratch):
+    from epistar.cli import main
+
+    wh = os.path.join(scratch, "wh_cli")
+    written = main(["--raw", landed, "--warehouse", wh, "--run-date", "2022-12-31", "--years", "-3", "--refresh"], spark)
+    assert {"dim_date", "dim_country", "fact_cases_deaths_country_weekly", "fact_vaccine_tracker_country"} <= set(written)
+    weekly = read_current(spark, table_root(wh, "fact_cases_deaths_country_weekly"))
+    assert weekly.count() == 2
+
+
+def test_transforms_without_country_list(spark, landed, scratch):
+    out = cases_deaths.transform(_inputs(spark, landed, "nationalcasedeath*.json"), None)
+    codes = {r.country_code for r in out["dim_country"].collect()}
+    # the daily file's own code; weekly rows carry none without the list (a null-key group)
+    assert codes == {"DE", None}
