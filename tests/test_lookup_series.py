@@ -115,3 +115,13 @@ def test_week_interval_join_equals_between(spark):
     want = sorted((r.id, r.wid) for r in brute.select("a.id", "b.wid").collect())
     assert sorted((r.id, r.wid) for r in eq.collect()) == want
     assert sorted((r.id, r.wid) for r in gen.collect()) == want
+
+
+def test_running_total_splits_a_hot_cell_with_a_struct_bucket(spark):
+    # one (key, day) cell holds a third of all rows; a (day, pos range) bucket splits it
+    rows = [(0, dt.date(2021, 1, 1) if i % 3 == 0 else dt.date(2021, 1, 1) + dt.timedelta(days=i % 30), 1, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, d date, v int, pos int")
+    bucket = F.struct(F.col("d"), F.floor(F.col("pos") / 100))
+    got = {r.pos: r.v_cumulative for r in series.running_total(df, ["k"], ["d", "pos"], ["v"], bucket=bucket).collect()}
+    ordered = sorted(rows, key=lambda r: (r[1], r[3]))
+    assert all(got[r[3]] == i for i, r in enumerate(ordered, 1))
