@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 from epistar.operators.lookup import prepare_lookup
 from epistar.plans import cases_deaths, movement, vaccines
 from epistar.plans.load import load_warehouse
-from epistar.session import build_session
+from epistar.session import build_session, cut_lineage
 from epistar.sources.files import find_files, read_json_records, read_lookup_csv
 
 # Landed file patterns of the three source families and the country list.
@@ -38,8 +38,11 @@ def transform_landed(spark: SparkSession, raw: str) -> dict:
     lookup = prepare_lookup(read_lookup_csv(spark, lookup_path[0]), pos_col="_pos") if lookup_path else None
 
     def inputs(pattern: str):
+        # A multi-line JSON document is parsed by one task, and a transform reads
+        # its inputs more than once, so each file is parsed once and landed as
+        # Parquet in the shared checkpoint folder; later reads are columnar.
         files = find_files(spark, raw, pattern)
-        return [read_json_records(spark, f) for f in files] if files else []
+        return [cut_lineage(read_json_records(spark, f)) for f in files] if files else []
 
     outputs = {}
     if mi := inputs(MOVEMENT_FILES):

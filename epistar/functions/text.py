@@ -50,12 +50,12 @@ def age_band(group) -> tuple[Column, Column]:
     lower = (
         F.when(has_range, F.when(two_parts, range_parts.getItem(0).try_cast("int")))
         .when(has_upper, F.lit(AGE_ALL_LOWER))
-        .when(has_plus, F.regexp_replace(body, r"\+", "").try_cast("int"))
+        .when(has_plus, F.replace(body, F.lit("+"), F.lit("")).try_cast("int"))
         .otherwise(F.lit(AGE_ALL_LOWER))
     )
     upper = (
         F.when(has_range, F.when(two_parts, range_parts.getItem(1).try_cast("int")))
-        .when(has_upper, F.regexp_replace(body, "<", "").try_cast("int"))
+        .when(has_upper, F.replace(body, F.lit("<"), F.lit("")).try_cast("int"))
         .when(has_plus, F.lit(AGE_OPEN_UPPER))
         .otherwise(F.lit(AGE_OPEN_UPPER))
     )
