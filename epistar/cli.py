@@ -32,8 +32,13 @@ VACCINE_FILES = "vaccine-tracker*.json"
 LOOKUP_FILE = "data.csv"
 
 
-def transform_landed(spark: SparkSession, raw: str) -> dict:
-    """The three transforms over whatever families are landed in ``raw``."""
+def transform_landed(spark: SparkSession, raw: str, land_partitions: int | None = None) -> dict:
+    """The three transforms over whatever families are landed in ``raw``.
+
+    ``land_partitions`` spreads each parsed document over that many tasks
+    while landing it (one shuffle), for documents too large for the single
+    task that parses them to feed the rest of the job.
+    """
     lookup_path = find_files(spark, raw, LOOKUP_FILE)
     lookup = prepare_lookup(read_lookup_csv(spark, lookup_path[0]), pos_col="_pos") if lookup_path else None
 
@@ -42,7 +47,10 @@ def transform_landed(spark: SparkSession, raw: str) -> dict:
         # its inputs more than once, so each file is parsed once and landed as
         # Parquet in the shared checkpoint folder; later reads are columnar.
         files = find_files(spark, raw, pattern)
-        return [cut_lineage(read_json_records(spark, f)) for f in files] if files else []
+        parsed = [read_json_records(spark, f) for f in files or []]
+        if land_partitions:
+            parsed = [df.repartition(land_partitions) for df in parsed]
+        return [cut_lineage(df) for df in parsed]
 
     outputs = {}
     if mi := inputs(MOVEMENT_FILES):
@@ -56,8 +64,16 @@ def transform_landed(spark: SparkSession, raw: str) -> dict:
     return outputs
 
 
-def run(spark: SparkSession, raw: str, warehouse: str, run_date: _dt.date, years: int, refresh: bool) -> dict:
-    outputs = transform_landed(spark, raw)
+def run(
+    spark: SparkSession,
+    raw: str,
+    warehouse: str,
+    run_date: _dt.date,
+    years: int,
+    refresh: bool,
+    land_partitions: int | None = None,
+) -> dict:
+    outputs = transform_landed(spark, raw, land_partitions)
     batch_ts = _dt.datetime.combine(run_date, _dt.time())
     return load_warehouse(
         spark, outputs, warehouse, batch_ts, date_span_args={"today": run_date, "num_years": years}, refresh=refresh
@@ -72,9 +88,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     parser.add_argument("--years", type=int, default=-10)
     parser.add_argument("--refresh", action="store_true")
     parser.add_argument("--master", default=None)
+    parser.add_argument("--land-partitions", type=int, default=None)
     args = parser.parse_args(argv)
     spark = spark or build_session(args.master)
-    written = run(spark, os.path.abspath(args.raw) if "://" not in args.raw else args.raw, args.warehouse, args.run_date, args.years, args.refresh)
+    raw = os.path.abspath(args.raw) if "://" not in args.raw else args.raw
+    written = run(spark, raw, args.warehouse, args.run_date, args.years, args.refresh, args.land_partitions)
     print(json.dumps(written, indent=1))
     return written
 

@@ -102,7 +102,10 @@ def test_command_line_run(spark, landed, scratch):
     from epistar.cli import main
 
     wh = os.path.join(scratch, "wh_cli")
-    written = main(["--raw", landed, "--warehouse", wh, "--run-date", "2022-12-31", "--years", "-3", "--refresh"], spark)
+    written = main(
+        ["--raw", landed, "--warehouse", wh, "--run-date", "2022-12-31", "--years", "-3", "--refresh", "--land-partitions", "3"],
+        spark,
+    )
     assert {"dim_date", "dim_country", "fact_cases_deaths_country_weekly", "fact_vaccine_tracker_country"} <= set(written)
     weekly = read_current(spark, table_root(wh, "fact_cases_deaths_country_weekly"))
     assert weekly.count() == 2
