@@ -224,14 +224,18 @@ def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
     return spark.read.parquet(version_path(table_root, versions[-1]))
 
 
-def write_version(df: DataFrame, table_root: str) -> str:
+def write_version(df: DataFrame, table_root: str, cluster_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the next version of a table and return its path.
 
+    ``cluster_by`` sorts each write task's rows (no shuffle), so Parquet
+    min/max statistics let range filters on those columns skip row groups.
     Numbering skips versions left half-written by a failed job, which
     readers ignore because they lack ``_SUCCESS``.
     """
     versions = list_versions(df.sparkSession, table_root, complete_only=False)
     path = version_path(table_root, (versions[-1] + 1) if versions else 1)
+    if cluster_by:
+        df = df.sortWithinPartitions(*cluster_by)
     df.write.mode("errorifexists").parquet(path)
     return path
 
@@ -256,7 +260,8 @@ def load_table(
         new = insert_rows(current, source, spec, batch_ts, order_cols)
     if new is None:
         return None
-    return write_version(new, table_root)
+    # facts cluster on their leading key (a date key for most), dimensions on their business key
+    return write_version(new, table_root, spec.unique_keys[:1])
 
 
 def empty_table(spark: SparkSession, spec: TableSpec, batch_ts: _dt.datetime) -> DataFrame:

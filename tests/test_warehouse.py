@@ -124,3 +124,15 @@ def test_consecutive_keys_on_a_generated_calendar(spark):
     rows = keyed.select("date", "k").collect()
     assert len(rows) == len({r.k for r in rows})
     assert all(r.date == dt.date(2020, 1, 6) + dt.timedelta(days=r.k - 1) for r in rows)
+
+
+def test_versions_are_clustered_on_the_leading_key(spark, scratch):
+    import pyarrow.parquet as pq
+
+    from epistar.operators.warehouse import write_version
+
+    df = spark.range(0, 500).select(((F.col("id") * 7919) % 500).alias("k")).coalesce(1)
+    path = write_version(df, os.path.join(scratch, "clustered"), ["k"])
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    keys = pq.read_table(os.path.join(path, files[0])).column("k").to_pylist()
+    assert keys == sorted(keys)
