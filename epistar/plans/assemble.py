@@ -71,9 +71,14 @@ def assemble_star(
     dim_specs: Mapping[str, TableSpec] = DIMENSIONS,
     fact_specs: Mapping[str, TableSpec] = FACTS,
     materialize_outputs: bool = False,
+    facts: Sequence[str] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(dimensions, facts) of the star for the transforms' outputs.
 
+    ``facts`` limits the star to those fact tables and the dimensions they
+    reference (the calendar then spans only their dates); by default every
+    fact and dimension present in the outputs is built.
+
     Surrogate keys are fixed by the checkpoint inside key assignment, so a
     dimension read by several facts always shows the same keys. Call the
     transforms with ``materialize=True`` so their shared stage is computed
@@ -84,12 +89,16 @@ def assemble_star(
     if materialize_outputs:
         used = set(DIMENSION_ORDER) | set(FACT_ORDER)
         outputs = {s: {n: cut_lineage(df) for n, df in outputs[s].items() if n in used} for s in order}
-    raw_facts = {name: [outputs[s][name] for s in order if name in outputs[s]] for name in FACT_ORDER}
+    wanted = [name for name in FACT_ORDER if facts is None or name in facts]
+    raw_facts = {name: [outputs[s][name] for s in order if name in outputs[s]] for name in wanted}
     all_fact_frames = [f for frames in raw_facts.values() for f in frames]
+    referenced = {dim for name in wanted for _, dim in fact_specs[name].foreign_keys}
     # Dimensions (and the calendar) are independent: their keying jobs are
     # submitted together, and Spark runs them side by side.
     work = {}
     for name in DIMENSION_ORDER:
+        if facts is not None and name not in referenced:
+            continue
         frames = [outputs[s][name] for s in order if name in outputs[s]]
         if frames:
             # keys are fixed by the checkpoint inside key assignment

@@ -911,17 +911,17 @@ QUERIES.update(
 # ----------------------------------------------------------------- star analysis over assembled pipelines
 
 
-def _star(outputs: dict[str, dict[str, DataFrame]]):
+def _star(outputs: dict[str, dict[str, DataFrame]], facts: list[str]):
     from epistar.plans.assemble import assemble_star
 
-    return assemble_star(outputs)
+    return assemble_star(outputs, facts=facts)
 
 
 def n1_cases_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N1 on the star: weekly cases/deaths per country with continent totals (D2 -> D5/D6 -> N1)."""
     from epistar.plans.star import weekly_cases_trend
 
-    dims, facts = _star({"nd": _cases_deaths_outputs(spark, sf_dir, materialize=True)})
+    dims, facts = _star({"nd": _cases_deaths_outputs(spark, sf_dir, materialize=True)}, ["fact_cases_deaths_country_weekly"])
     return weekly_cases_trend(facts, dims)
 
 
@@ -929,7 +929,7 @@ def n2_doses_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N2 on the star: doses by target group and vaccine (D3 -> D5/D6 -> N2)."""
     from epistar.plans.star import doses_by_group_and_vaccine
 
-    dims, facts = _star({"vt": _vaccine_outputs(spark, sf_dir, materialize=True)})
+    dims, facts = _star({"vt": _vaccine_outputs(spark, sf_dir, materialize=True)}, ["fact_vaccine_tracker_country"])
     return doses_by_group_and_vaccine(facts, dims)
 
 
@@ -937,7 +937,7 @@ def n3_status_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N3 on the star: regions per status colour per week (D1 -> D5/D6 -> N3)."""
     from epistar.plans.star import regions_per_status
 
-    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir, materialize=True)})
+    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir, materialize=True)}, ["fact_movement_indicators_region"])
     return regions_per_status(facts, dims)
 
 
@@ -945,7 +945,10 @@ def n4_testing_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N4 on the star: national testing next to the regional average, per week and country."""
     from epistar.plans.star import testing_national_vs_regional
 
-    dims, facts = _star({"mi": _movement_outputs(spark, sf_dir, materialize=True)})
+    dims, facts = _star(
+        {"mi": _movement_outputs(spark, sf_dir, materialize=True)},
+        ["fact_movement_indicators_country", "fact_movement_indicators_region"],
+    )
     return testing_national_vs_regional(facts, dims)
 
 
