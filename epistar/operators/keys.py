@@ -6,8 +6,8 @@ new rows are range-partitioned by business key and numbered inside their
 partition (fixed once by a written checkpoint table), each partition counts
 its rows, the per-partition counts (one number per partition) are turned
 into offsets, and every row's key is ``offset of its partition + position
-inside it``. The numbers
-equal ``max(existing) + row_number() over (order by business key)``.
+inside it``. The numbers equal
+``max(existing) + row_number() over (order by business key)``.
 """
 
 from __future__ import annotations
