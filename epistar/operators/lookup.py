@@ -12,6 +12,7 @@ lookup row.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -20,9 +21,11 @@ from pyspark.sql import functions as F
 from epistar.functions.text import length_window, normalize_name, prefix, similarity
 from epistar.operators.dedupe import keep_first
 from epistar.operators.projection import replace_values
-from epistar.operators.sizing import LOOKUP_MAX_ROWS, bounded_broadcast
+from epistar.operators.sizing import LOOKUP_MAX_ROWS, row_count_at_most
 from epistar.session import cut_lineage
 
+log = logging.getLogger(__name__)
+
 # Fixed value: the reference threshold for accepting a fuzzy match (0-100).
 FUZZY_MIN_SCORE = 75
 
@@ -55,7 +58,11 @@ def prepare_lookup(
     prepared = keep_first(lk, ["_lk_name", "_lk_code", "_lk_pos"], ["_lk_name"], ["_lk_pos"])
     if not materialize:
         return prepared
-    return bounded_broadcast(cut_lineage(prepared), LOOKUP_MAX_ROWS)
+    stored = cut_lineage(prepared)
+    if not row_count_at_most(stored, LOOKUP_MAX_ROWS):
+        log.warning("lookup exceeds %d rows: it will not be broadcast and fuzzy candidates shuffle by length", LOOKUP_MAX_ROWS)
+        return stored
+    return F.broadcast(stored)
 
 
 def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str = "code_exact") -> DataFrame:
