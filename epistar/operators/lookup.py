@@ -1,8 +1,9 @@
 """Name -> code resolution: exact (J1), fuzzy (J2, F12, O2) and the fallback
 chain (J3).
 
-The lookup is small and bounded (a country list), so it is broadcast behind a
-size check. The fuzzy step scores only the *distinct* names the exact pass
+The lookup is normally small and bounded (a country list), so it is
+broadcast behind a size check; a lookup above the bound switches the fuzzy
+step to exact segment blocking. The fuzzy step scores only the *distinct* names the exact pass
 missed. Candidates are paired by an exact length window turned into an
 equi-join key, so no cross join is planned: a pair outside the window can
 never reach the threshold (see ``length_window``). The best candidate per
@@ -15,10 +16,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistar.functions.text import length_window, normalize_name, prefix, similarity
+from epistar.functions.text import TOKEN_SORT_WEIGHT, length_window, normalize_name, prefix, similarity, token_sort
 from epistar.operators.dedupe import keep_first
 from epistar.operators.projection import replace_values
 from epistar.operators.sizing import LOOKUP_MAX_ROWS, row_count_at_most
@@ -60,9 +61,12 @@ def prepare_lookup(
         return prepared
     stored = cut_lineage(prepared)
     if not row_count_at_most(stored, LOOKUP_MAX_ROWS):
-        log.warning("lookup exceeds %d rows: it will not be broadcast and fuzzy candidates shuffle by length", LOOKUP_MAX_ROWS)
+        log.info("lookup exceeds %d rows: joins shuffle and fuzzy matching uses segment blocking", LOOKUP_MAX_ROWS)
+        stored.epistar_fuzzy_blocking = "segments"
         return stored
-    return F.broadcast(stored)
+    small = F.broadcast(stored)
+    small.epistar_fuzzy_blocking = "window"
+    return small
 
 
 def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str = "code_exact") -> DataFrame:
@@ -72,18 +76,106 @@ def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str =
     return joined.withColumnRenamed("_lk_code", out_col).drop("_lk_name")
 
 
-def best_fuzzy_matches(names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_SCORE) -> DataFrame:
+def _max_edits(length: Column, min_ratio: int) -> Column:
+    """Largest edit distance d with round(100 * (L - d) / L) >= min_ratio."""
+    return F.floor(length * F.lit(201 - 2 * min_ratio) / 200).cast("int")
+
+
+def _segment(m: Column, d: Column, i: Column) -> tuple[Column, Column]:
+    """(start, length) of segment i when a string of length m is cut into d + 1 parts."""
+    k = d + 1
+    base = (m / k).cast("int")
+    boundary = k - m % k
+    start = i * base + F.greatest(F.lit(0), i - boundary)
+    length = base + F.when(i >= boundary, 1).otherwise(0)
+    return start, length
+
+
+def _segment_keys(text: Column, ratios: tuple[int, ...], min_score: int, side: str) -> Column:
+    """Exploded blocking keys ``struct(variant, m, d, i, piece)`` for one string.
+
+    Pigeonhole: if lev(a, b) <= d, cutting b into d + 1 segments leaves one
+    segment unedited, found in a at most d positions from where it starts in
+    b. The lookup side ("b") emits its segments for every d its partners'
+    lengths can imply; the query side ("a") emits, for every partner length m
+    in its window, the substrings that could be such a segment.
+    """
+    keys = []
+    for variant, (ratio, source) in enumerate(ratios):
+        t = source(text)
+        n = F.length(t)
+        lo, hi = length_window(n, min_score)
+        if side == "b":
+            ds = F.sequence(_max_edits(n, ratio), _max_edits(F.greatest(n, hi), ratio))
+            per_d = F.transform(
+                ds,
+                lambda d: F.transform(
+                    F.sequence(F.lit(0), d),
+                    lambda i: F.struct(
+                        F.lit(variant).alias("v"),
+                        n.alias("m"),
+                        d.alias("d"),
+                        i.alias("i"),
+                        F.substr(t, _segment(n, d, i)[0] + 1, _segment(n, d, i)[1]).alias("piece"),
+                    ),
+                ),
+            )
+        else:
+            def per_m(m):
+                d = _max_edits(F.greatest(n, m), ratio)
+
+                def per_i(i):
+                    start, length = _segment(m, d, i)
+                    first, last = F.greatest(F.lit(0), start - d), F.least(n - length, start + d)
+                    starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+                    return F.transform(
+                        starts,
+                        lambda st: F.struct(
+                            F.lit(variant).alias("v"),
+                            m.alias("m"),
+                            d.alias("d"),
+                            i.alias("i"),
+                            F.substr(t, st + 1, length).alias("piece"),
+                        ),
+                    )
+
+                return F.flatten(F.transform(F.sequence(F.lit(0), d), per_i))
+
+            per_d = F.transform(F.sequence(F.greatest(lo, F.lit(0)), hi), per_m)
+        keys.append(F.flatten(per_d))
+    return F.explode(F.array_distinct(F.concat(*keys)))
+
+
+def _segment_pairs(cand: DataFrame, lookup: DataFrame, min_score: int) -> DataFrame:
+    """Candidate (name, lookup entry) pairs by exact segment blocking, for large lookups."""
+    sorted_ratio = -(-(100 * min_score - 50) // TOKEN_SORT_WEIGHT)  # weighted form needs this plain ratio
+    ratios = ((min_score, lambda c: c), (sorted_ratio, token_sort))
+    q = cand.select("_match_name", "_norm", _segment_keys(F.col("_norm"), ratios, min_score, "a").alias("_k"))
+    b = lookup.select("_lk_name", "_lk_code", "_lk_pos", _segment_keys(F.col("_lk_name"), ratios, min_score, "b").alias("_k"))
+    return q.join(b, "_k", "inner").select("_match_name", "_norm", "_lk_name", "_lk_code", "_lk_pos").distinct()
+
+
+def best_fuzzy_matches(
+    names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_SCORE, blocking: str = "window"
+) -> DataFrame:
     """J2 core: for each distinct ``_match_name``, the best lookup entry scoring >= min_score.
 
+    ``blocking="window"`` pairs names with the (broadcast, bounded) lookup
+    entries whose length can reach the threshold. ``blocking="segments"``
+    is for lookups too large to broadcast: pairs meet on exact segment keys
+    (see ``_segment_keys``), so no shuffle partition holds all names of one
+    length. Both find every pair that can score ``min_score`` or more.
     Returns ``_match_name, match_name, match_score, code_fuzzy``.
     """
     cand = names.select("_match_name").distinct().withColumn("_norm", normalize_name(F.col("_match_name")))
-    lo, hi = length_window(F.length("_norm"), min_score)
-    cand = cand.withColumn("_cand_len", F.explode(F.sequence(lo, hi)))
-    lk = lookup.withColumn("_lk_len", F.length("_lk_name"))
-    pairs = cand.join(lk, F.col("_cand_len") == F.col("_lk_len"), "inner").withColumn(
-        "_score", similarity(F.col("_norm"), F.col("_lk_name"))
-    )
+    if blocking == "segments":
+        pairs = _segment_pairs(cand, lookup, min_score)
+    else:
+        lo, hi = length_window(F.length("_norm"), min_score)
+        cand = cand.withColumn("_cand_len", F.explode(F.sequence(lo, hi)))
+        lk = lookup.withColumn("_lk_len", F.length("_lk_name"))
+        pairs = cand.join(lk, F.col("_cand_len") == F.col("_lk_len"), "inner")
+    pairs = pairs.withColumn("_score", similarity(F.col("_norm"), F.col("_lk_name")))
     best = pairs.groupBy("_match_name").agg(
         F.max_by(
             F.struct(F.col("_lk_name").alias("match_name"), F.col("_score").alias("match_score"), F.col("_lk_code").alias("code_fuzzy")),
@@ -119,7 +211,13 @@ def fuzzy_lookup(
     return out.drop("_match_name")
 
 
-def name_codes(names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_SCORE, aliases: Mapping[str, str] = MATCH_ALIASES) -> DataFrame:
+def name_codes(
+    names: DataFrame,
+    lookup: DataFrame,
+    min_score: int = FUZZY_MIN_SCORE,
+    aliases: Mapping[str, str] = MATCH_ALIASES,
+    blocking: str | None = None,
+) -> DataFrame:
     """J1+J2 over distinct names: ``_name, _code_exact, _code_fuzzy, match_name, match_score``.
 
     The exact pass and the fuzzy pass both run on the distinct names only, so
@@ -128,7 +226,8 @@ def name_codes(names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_S
     distinct = names.filter(F.col("_name").isNotNull()).distinct()
     exact = exact_lookup(distinct, "_name", lookup, "_code_exact")
     keyed = exact.withColumn("_match_name", replace_values(F.col("_name"), aliases))
-    best = best_fuzzy_matches(keyed.filter(F.col("_code_exact").isNull()), lookup, min_score)
+    blocking = blocking or getattr(lookup, "epistar_fuzzy_blocking", "window")
+    best = best_fuzzy_matches(keyed.filter(F.col("_code_exact").isNull()), lookup, min_score, blocking)
     joined = keyed.join(best, "_match_name", "left")
     return joined.select(
         "_name",
@@ -147,6 +246,7 @@ def resolve_codes(
     code_col: str = "country_code",
     min_score: int = FUZZY_MIN_SCORE,
     keep_match_details: bool = False,
+    blocking: str | None = None,
 ) -> DataFrame:
     """``code = exact ?? fuzzy ?? first two chars of territory ?? original code``.
 
@@ -159,7 +259,7 @@ def resolve_codes(
     names = set(df.columns)
     if name_col not in names:
         return df
-    codes = name_codes(df.select(F.col(name_col).alias("_name")), lookup, min_score)
+    codes = name_codes(df.select(F.col(name_col).alias("_name")), lookup, min_score, blocking=blocking)
     # null names never resolve, so a plain equality join is exact
     out = df.join(codes, df[name_col] == codes["_name"], "left").drop("_name")
     chain = [F.col("_code_exact"), F.col("_code_fuzzy")]

@@ -125,3 +125,50 @@ def test_running_total_splits_a_hot_cell_with_a_struct_bucket(spark):
     got = {r.pos: r.v_cumulative for r in series.running_total(df, ["k"], ["d", "pos"], ["v"], bucket=bucket).collect()}
     ordered = sorted(rows, key=lambda r: (r[1], r[3]))
     assert all(got[r[3]] == i for i, r in enumerate(ordered, 1))
+
+
+def test_segment_blocking_finds_the_same_best_matches(spark):
+    import random
+
+    rng = random.Random(11)
+
+    def word():
+        return "".join(rng.choice("abcde ") for _ in range(rng.randint(1, 16))).strip() or "a"
+
+    def mutate(w):
+        w = list(w)
+        for _ in range(rng.randint(0, 4)):
+            p = rng.randint(0, len(w))
+            op = rng.randint(0, 2)
+            if op == 0:
+                w.insert(p, rng.choice("abcde"))
+            elif w:
+                q = min(p, len(w) - 1)
+                if op == 1:
+                    w.pop(q)
+                else:
+                    w[q] = rng.choice("abcde")
+        return "".join(w) or "b"
+
+    base = [word() for _ in range(60)]
+    lk = lookup.prepare_lookup(
+        spark.createDataFrame([(w, f"C{i}", i) for i, w in enumerate(base)], "Name string, Code string, _pos long"),
+        pos_col="_pos",
+        materialize=False,
+    )
+    names = spark.createDataFrame(
+        [(mutate(rng.choice(base)),) for _ in range(200)] + [(word(),) for _ in range(60)], "_match_name string"
+    )
+    for score in (55, 75, 88):
+        window = sorted(tuple(r) for r in lookup.best_fuzzy_matches(names, lk, score, "window").collect())
+        segments = sorted(tuple(r) for r in lookup.best_fuzzy_matches(names, lk, score, "segments").collect())
+        assert window == segments and window
+
+
+def test_large_lookup_path_resolves_codes(spark):
+    lk = _lookup(spark)
+    df = spark.createDataFrame([(1, "Czechia x"), (2, "Namibia")], "id int, country_name string")
+    got = {r.id: r.country_code for r in lookup.resolve_codes(df, lk, blocking="segments").collect()}
+    assert got == {1: "CZ", 2: "NA"}
+    plan = lookup.resolve_codes(df, lk, blocking="segments")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
