@@ -62,11 +62,17 @@ def prepare_lookup(
     stored = cut_lineage(prepared)
     if not row_count_at_most(stored, LOOKUP_MAX_ROWS):
         log.info("lookup exceeds %d rows: joins shuffle and fuzzy matching uses segment blocking", LOOKUP_MAX_ROWS)
-        stored.epistar_fuzzy_blocking = "segments"
-        return stored
-    small = F.broadcast(stored)
-    small.epistar_fuzzy_blocking = "window"
-    return small
+        return _with_blocking(stored, "segments")
+    return _with_blocking(F.broadcast(stored), "window")
+
+
+def _with_blocking(lookup: DataFrame, blocking: str) -> DataFrame:
+    """Remember which fuzzy blocking suits this lookup (callers may override it)."""
+    try:
+        lookup.epistar_fuzzy_blocking = blocking
+    except AttributeError:  # frames that take no attributes fall back to the default
+        pass
+    return lookup
 
 
 def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str = "code_exact") -> DataFrame:
