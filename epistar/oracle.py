@@ -712,3 +712,6 @@ p AS (
 SELECT p.o_orderkey, p.nationkey, p.order_date, m.month_start, CAST(last_day(m.month_start) AS DATE) AS month_end, m.month_qty
 FROM p JOIN m ON p.nationkey = m.nationkey AND p.order_date BETWEEN m.month_start AND last_day(m.month_start)
 """
+
+# the segment-blocking path must return exactly what the length-window path returns
+ORACLE_SQL["j2_fuzzy_segments"] = ORACLE_SQL["j2_fuzzy"]

@@ -384,16 +384,25 @@ def _perturbed_segment() -> F.Column:
     )
 
 
-def j2_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2+F12+O2: best lookup entry for each distinct name the exact pass missed (score >= 75)."""
+def _fuzzy_best(spark: SparkSession, sf_dir: str, blocking: str) -> DataFrame:
     lk = _segment_lookup(spark, sf_dir)
     names = _t(spark, sf_dir, "customer").select(_perturbed_segment().alias("name"))
     exact = lookup.exact_lookup(names, "name", lk, "code_exact")
     unmatched = exact.filter(F.col("code_exact").isNull()).select(F.col("name").alias("_match_name"))
-    best = lookup.best_fuzzy_matches(unmatched, lk, lookup.FUZZY_MIN_SCORE)
+    best = lookup.best_fuzzy_matches(unmatched, lk, lookup.FUZZY_MIN_SCORE, blocking)
     return best.select(F.col("_match_name").alias("name"), "match_name", "match_score", F.col("code_fuzzy").alias("code"))
 
 
+def j2_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2+F12+O2: best lookup entry for each distinct name the exact pass missed (score >= 75)."""
+    return _fuzzy_best(spark, sf_dir, "window")
+
+
+def j2_fuzzy_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 as run against a lookup too large to broadcast: exact segment blocking, same result."""
+    return _fuzzy_best(spark, sf_dir, "segments")
+
+
 def j3_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code = exact ?? fuzzy ?? territory prefix ?? original code, per customer."""
     lk = _segment_lookup(spark, sf_dir)
@@ -600,6 +609,7 @@ QUERIES: dict[str, QueryFn] = {
     "j9_prev_week": j9_prev_week,
     "j4_week_interval": j4_week_interval,
     "j2_fuzzy": j2_fuzzy,
+    "j2_fuzzy_segments": j2_fuzzy_segments,
     "j3_fallback": j3_fallback,
     "j6_dim_keys": j6_dim_keys,
     "h5_surrogate": h5_surrogate,
