@@ -172,3 +172,17 @@ def test_large_lookup_path_resolves_codes(spark):
     assert got == {1: "CZ", 2: "NA"}
     plan = lookup.resolve_codes(df, lk, blocking="segments")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fuzzy_lookup_fills_only_unmatched_rows(spark):
+    lk = _lookup(spark)
+    df = spark.createDataFrame([(1, "Czechia x", None), (2, "Czechia x", "ZZ")], "id int, name string, code_exact string")
+    got = {r.id: r.code_fuzzy for r in lookup.fuzzy_lookup(df, "name", lk).collect()}
+    assert got == {1: "CZ", 2: None}
+
+
+def test_name_codes_one_row_per_distinct_name(spark):
+    lk = _lookup(spark)
+    names = spark.createDataFrame([("Namibia",), ("Namibia",), ("Czechia x",), (None,)], "_name string")
+    rows = {r._name: (r._code_exact, r._code_fuzzy) for r in lookup.name_codes(names, lk).collect()}
+    assert rows == {"Namibia": ("NA", None), "Czechia x": (None, "CZ")}

@@ -136,3 +136,18 @@ def test_versions_are_clustered_on_the_leading_key(spark, scratch):
     files = [f for f in os.listdir(path) if f.endswith(".parquet")]
     keys = pq.read_table(os.path.join(path, files[0])).column("k").to_pylist()
     assert keys == sorted(keys)
+
+
+def test_size_checked_broadcast_and_roles(spark):
+    from epistar.operators.keys import date_role_column
+    from epistar.operators.sizing import bounded_broadcast, row_count_at_most
+
+    df = spark.range(0, 10)
+    assert row_count_at_most(df, 10) and not row_count_at_most(df, 9)
+    small = bounded_broadcast(df, 10)
+    big = bounded_broadcast(df, 5)
+    joined_small = spark.range(0, 100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
+    joined_big = spark.range(0, 100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in joined_small.lower() and "broadcast" not in joined_big.lower()
+    assert date_role_column("dim_week_start_date_key") == "week_start_date"
+    assert date_role_column("dim_date_key") == "date"
