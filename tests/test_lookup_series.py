@@ -186,3 +186,20 @@ def test_name_codes_one_row_per_distinct_name(spark):
     names = spark.createDataFrame([("Namibia",), ("Namibia",), ("Czechia x",), (None,)], "_name string")
     rows = {r._name: (r._code_exact, r._code_fuzzy) for r in lookup.name_codes(names, lk).collect()}
     assert rows == {"Namibia": ("NA", None), "Czechia x": (None, "CZ")}
+
+
+def test_interval_join_long_intervals_and_left_rows(spark):
+    points = spark.createDataFrame(
+        [("A", dt.date(2020, 1, 1) + dt.timedelta(days=d), d) for d in range(0, 400, 9)], "k string, d date, id int"
+    )
+    intervals = spark.createDataFrame(
+        [("A", dt.date(2020, 1, 10), dt.date(2020, 6, 30), 1), ("A", dt.date(2020, 9, 1), dt.date(2020, 9, 1), 2)],
+        "k string, s date, e date, iv int",
+    )
+    out = series.interval_join(points, intervals, ["k"], "d", "s", "e", bucket_days=7, how="left")
+    got = {r.id: r.iv for r in out.collect()}
+    want = {
+        d: (1 if dt.date(2020, 1, 10) <= dt.date(2020, 1, 1) + dt.timedelta(days=d) <= dt.date(2020, 6, 30) else None)
+        for d in range(0, 400, 9)
+    }
+    assert got == want

@@ -116,3 +116,11 @@ def test_transforms_without_country_list(spark, landed, scratch):
     codes = {r.country_code for r in out["dim_country"].collect()}
     # the daily file's own code; weekly rows carry none without the list (a null-key group)
     assert codes == {"DE", None}
+
+
+def test_daily_rows_without_a_week_can_be_kept(spark, landed):
+    lk = prepare_lookup(read_lookup_csv(spark, os.path.join(landed, "data.csv")), pos_col="_pos")
+    out = cases_deaths.transform(_inputs(spark, landed, "nationalcasedeath*.json"), lk, keep_unmatched_days=True)
+    daily = {r.date.day: r for r in out["fact_cases_deaths_country_daily"].collect()}
+    assert set(daily) == {1, 8, 9, 10}
+    assert daily[1].cases_notification_rate is None and daily[1].cases_cumulative == 7
