@@ -17,9 +17,14 @@ def composite_key(*cols, sep: str = "|") -> Column:
     return F.concat_ws(sep, *[col_of(c).cast("string") for c in cols])
 
 
+# Fixed value: stands for a null in a hashed key, as no text key holds it.
+NULL_MARK = "\0"
+
+
 def row_hash(*cols, sep: str = "|") -> Column:
-    """SHA-256 hex digest of the ``|``-joined key columns."""
-    return F.sha2(composite_key(*cols, sep=sep), 256)
+    """SHA-256 hex digest of the ``|``-joined key columns (a null keeps its place)."""
+    marked = [F.coalesce(col_of(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
+    return F.sha2(F.concat_ws(sep, *marked), 256)
 
 
 def prefix(c, n: int = 2) -> Column:

@@ -164,13 +164,18 @@ def fill_numeric_zero(df: DataFrame, subset: Iterable[str] | None = None) -> Dat
 def tolerant_number(c, as_type: str = "bigint") -> Column:
     """Text or number to ``as_type``; unparseable text becomes null.
 
-    Goes through double first so ``"12.0"`` and ``12.7`` both become 12 for
-    integer targets, like a coercing numeric parse followed by an int cast.
+    Whole numbers are read exactly, up to the target's own range. Only other
+    text goes through a decimal, then a double, so ``"12.0"``, ``12.7`` and
+    ``"1.2e1"`` become 12 for integer targets. What the target cannot hold is
+    null.
     """
-    as_double = col_of(c).cast("string").try_cast("double")
+    text = F.trim(col_of(c).cast("string"))
+    as_double = text.try_cast("double")
     if as_type in ("double", "float"):
         return as_double.cast(as_type)
-    return F.when(F.abs(as_double) < 9.2e18, as_double.cast(as_type))
+    whole = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast(as_type))
+    cut = F.when(text.rlike(r"^[+-]?[0-9]*\.[0-9]*$"), F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).try_cast(as_type))
+    return F.coalesce(whole, cut, F.when(~text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$"), as_double.try_cast(as_type)))
 
 
 def coerce_numbers(df: DataFrame, cols: Iterable[str], as_type: str = "bigint") -> DataFrame:

@@ -61,17 +61,18 @@ def first_non_null(c: str, order_cols: Sequence[str] | str) -> Column:
 def merge_first_non_null(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | str) -> DataFrame:
     """A4: one row per key; every other column takes its first non-null value.
 
-    Order columns are carried through as their minimum so a later merge can
-    still order the merged rows.
+    Order columns are carried through as those of the group's first row, so a
+    later merge can still order the merged rows.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     names = df.columns
+    first_row = F.min(F.struct(*[F.col(c) for c in order]))
     aggs = []
     for c in names:
         if c in keys:
             continue
         if c in order:
-            aggs.append(F.min(F.col(c)).alias(c))
+            aggs.append(first_row[c].alias(c))
         else:
             aggs.append(first_non_null(c, order).alias(c))
     return df.groupBy(*keys).agg(*aggs).select(*names)
@@ -91,6 +92,7 @@ def merge_by_suffix(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     n_rows = F.count(F.lit(1))
+    first_row = F.min(F.struct(*[F.col(c) for c in order]))
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for c in types:
@@ -108,7 +110,7 @@ def merge_by_suffix(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
         elif c.endswith("_min"):
             agg = F.min(col)
         elif c in order:
-            agg = F.min(col)
+            agg = first_row[c]
         else:
             agg = first_non_null(c, order)
         aggs.append(agg.alias(c))

@@ -35,6 +35,7 @@ def running_total(
     later rows (1, null, 2 -> 1, null, 3). ``bucket`` must be a monotone
     function of the leading order column (default: the first order column
     itself, e.g. the date), so that buckets are contiguous runs of the order.
+    Rows without an order value come after all others; null keys are a key.
     """
     keys, order, values = _as_list(keys), _as_list(order_cols), _as_list(value_cols)
     bucket = F.col(order[0]) if bucket is None else bucket
@@ -43,23 +44,26 @@ def running_total(
     # level 1: per (key, bucket) totals, partially aggregated map-side
     totals = staged.groupBy(*keys, "_bucket").agg(*[F.sum(v).alias(f"_bt_{v}") for v in values])
     # level 2: prefix sums of earlier buckets over the per-key bucket calendar
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    by_bucket = Window.partitionBy(*keys).orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys,
-        "_bucket",
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_bucket").alias("_key__bucket"),
         *[F.coalesce(F.sum(f"_bt_{v}").over(by_bucket), F.lit(0)).alias(f"_off_{v}") for v in values],
     )
     # level 3: running sums inside each (key, bucket)
-    within = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    in_order = [F.col(c).asc_nulls_last() for c in order]
+    within = Window.partitionBy(*keys, "_bucket").orderBy(*in_order).rowsBetween(Window.unboundedPreceding, 0)
     staged = staged.withColumns({f"_in_{v}": F.sum(v).over(within) for v in values})
-    joined = staged.join(offsets, on=[*keys, "_bucket"], how="left")
+    same_cell = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in [*keys, "_bucket"]]
+    joined = staged.join(offsets, on=same_cell, how="left")
     out = joined.withColumns(
         {
             f"{v}{suffix}": F.when(F.col(v).isNotNull(), F.col(f"_off_{v}") + F.col(f"_in_{v}"))
             for v in values
         }
     )
-    return out.drop("_bucket", *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
+    helpers = [f"_key_{k}" for k in [*keys, "_bucket"]]
+    return out.drop("_bucket", *helpers, *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
 
 
 def previous_period_value(

@@ -48,7 +48,10 @@ def validate_against_spec(
 
     Returns ``(rows, keys, supplied_columns)`` or ``None`` when a unique-key
     column is missing. The first row per key wins (by ``order_cols`` when
-    given, else by the smallest row value, which is deterministic).
+    given, else by the smallest row value with nulls last, which is
+    deterministic). A dimension's member needs a whole business key: rows
+    with a null in it are left out, and facts that point there fall to the
+    unknown member.
     """
     keys = list(spec.unique_keys)
     if not set(keys).issubset(df.columns):
@@ -56,11 +59,14 @@ def validate_against_spec(
     (supplied,) = existing_columns(df, [c for c in spec.columns if c not in keys])
     cols = keys + supplied
     rows = df.select(*cols, *[c for c in (order_cols or []) if c not in cols])
+    if spec.kind == "dimension":
+        rows = rows.dropna(subset=keys)
     if supplied:
         if order_cols:
             rows = keep_first(rows, cols, keys, order_cols)
         else:
-            rows = rows.groupBy(*keys).agg(F.min(F.struct(*supplied)).alias("_r")).select(*keys, "_r.*")
+            nulls_last = [x for c in supplied for x in (F.col(c).isNull(), F.col(c))]
+            rows = rows.groupBy(*keys).agg(F.min_by(F.struct(*supplied), F.struct(*nulls_last)).alias("_r")).select(*keys, "_r.*")
     else:
         rows = rows.select(*keys).distinct()
     rows = rows.select(*[F.col(c).cast(spec.type_of(c)).alias(c) for c in cols])

@@ -44,28 +44,24 @@ def find_files(spark: SparkSession, folder: str, pattern: str) -> list[str] | No
     return files or None
 
 
-def json_shape(spark: SparkSession, path: str, probe_bytes: int = 4096) -> str:
-    """``"object"`` or ``"array"``: the first non-blank character of a JSON file.
+def json_shape(spark: SparkSession, path: str) -> str:
+    """``"object"`` or ``"array"``: the first character of a JSON file that is no blank.
 
-    Reads a few bytes on the driver (file metadata, not data), so a caller
-    that knows the record schema never needs a schema-inference pass.
+    Reads up to that character on the driver, however many blanks lead to it;
+    a UTF-8 byte-order mark is skipped.
     """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(hpath)
+    stream = jvm.java.io.BufferedInputStream(fs.open(hpath))
     try:
-        buf = bytearray()
-        while len(buf) < probe_bytes:
+        while True:
             b = stream.read()
-            if b < 0:
-                break
-            if not chr(b).isspace():
-                return {"{": "object", "[": "array"}.get(chr(b), "other")
-            buf.append(b)
+            if b in (0xEF, 0xBB, 0xBF) or (b >= 0 and chr(b).isspace()):
+                continue
+            return {"{": "object", "[": "array"}.get(chr(b), "other") if b >= 0 else "other"
     finally:
         stream.close()
-    return "other"
 
 
 def _records_schema(schema) -> T.StructType | str:
@@ -82,34 +78,32 @@ def _explode_records(raw: DataFrame) -> DataFrame:
 def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
     """Read ``{"records": [...]}`` documents or top-level arrays as rows.
 
-    ``schema`` is the schema of one record. With it, each file's shape is
-    told from its first byte and every file is read once with the right
-    schema; without it, Spark infers the schema (an extra pass). Anything
-    that is neither shape raises ``ValueError``.
+    ``schema`` is the schema of one record. Each file's shape is told from its
+    first character, so objects and arrays mix; without a schema Spark infers
+    one by shape (an extra pass). Anything that is neither shape raises
+    ``ValueError``, and a document that breaks off fails the read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if schema is not None:
-        shapes: dict[str, list[str]] = {}
-        for path in paths:
-            shapes.setdefault(json_shape(spark, path), []).append(path)
-        if "other" in shapes:
-            raise ValueError(f"Unsupported JSON structure: {shapes['other']}")
-        frames = []
-        if "object" in shapes:
-            raw = spark.read.schema(_records_schema(schema)).option("multiLine", True).json(shapes["object"])
-            frames.append(_explode_records(raw))
-        if "array" in shapes:
-            frames.append(_with_order(spark.read.schema(schema).option("multiLine", True).json(shapes["array"])))
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
-    raw = spark.read.option("multiLine", True).json(paths)
-    if "records" in raw.columns and isinstance(raw.schema["records"].dataType, T.ArrayType):
-        return _explode_records(raw)
-    if "_corrupt_record" in raw.columns and len(raw.columns) == 1:
-        raise ValueError("Unsupported JSON structure")
-    return _with_order(raw)
+    shapes: dict[str, list[str]] = {}
+    for path in paths:
+        shapes.setdefault(json_shape(spark, path), []).append(path)
+    if "other" in shapes:
+        raise ValueError(f"neither an object nor an array at the start of {', '.join(shapes['other'])}")
+    # a document that breaks off must not lose its rows silently
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+    frames = []
+    if "object" in shapes:
+        raw = (reader.schema(_records_schema(schema)) if schema is not None else reader).json(shapes["object"])
+        if "records" not in raw.columns or not isinstance(raw.schema["records"].dataType, T.ArrayType):
+            raise ValueError(f"no array of records in {', '.join(shapes['object'])}")
+        frames.append(_explode_records(raw))
+    if "array" in shapes:
+        reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+        frames.append(_with_order((reader.schema(schema) if schema is not None else reader).json(shapes["array"])))
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
 
 
 def read_json_table(spark: SparkSession, paths: str | Sequence[str], schema=None) -> DataFrame:
