@@ -24,6 +24,11 @@ at most ``1 - threshold / 100``. Three triangle-inequality steps cut the space:
    the window members they can reach. What no longer shrinks is compared
    exactly, block against block.
 
+Most members of a region only share a phrase. Before whole sets move, the
+members' *quarters* (a fixed quarter of the shingle space) are compared: where
+these alone differ by more than linked sets may, the pair is out, and a member
+without any partner left leaves the region.
+
 Links go to connected components by alternating star contraction, all in
 Spark. Equal sets are one point of the space from the start, so groups of
 copies never become pairs.
@@ -179,7 +184,15 @@ def _regions(cells: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _sets_of(docs: DataFrame, text_col: str, size: int, members: DataFrame) -> DataFrame:
+def quarter(s: np.ndarray) -> np.ndarray:
+    """The part of a set in a fixed quarter of the shingle space, its values cut to 32 bits.
+
+    Two sets differ by at least as many shingles as their quarters do.
+    """
+    return distinct((s[(s & np.uint64(3)) == 0] >> np.uint64(32)).astype(np.uint32))
+
+
+def _sets_of(docs: DataFrame, text_col: str, size: int, members: DataFrame, form=lambda s: s) -> DataFrame:
     """(sid, shingles) of the sets that lie in a region: a fixed-size filter first, then an exact join."""
     spark = docs.sparkSession
 
@@ -202,7 +215,7 @@ def _sets_of(docs: DataFrame, text_col: str, size: int, members: DataFrame) -> D
                 if sid not in seen and hit[(sid & 0xFFFFFFFFFFFFFFFF) % BLOOM_BITS]:
                     seen.add(sid)
                     sids.append(sid)
-                    sets.append(s.tobytes())
+                    sets.append(form(s).tobytes())
             if sids:
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], names=["sid", "shingles"])
 
@@ -210,22 +223,67 @@ def _sets_of(docs: DataFrame, text_col: str, size: int, members: DataFrame) -> D
     return sets.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
 
 
+class Region:
+    """Intersection sizes inside one region, by its inverted lists."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        every = np.concatenate(sets)
+        by = np.argsort(every, kind="stable")
+        ranked = every[by]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+        self.counts = np.diff(np.concatenate([first, [len(ranked)]]))
+        self.first = first
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[by]
+        self.list_of = np.empty(len(every), dtype=np.int64)
+        self.list_of[by] = np.repeat(np.arange(len(first)), self.counts)
+        self.begin = np.concatenate([[0], np.cumsum(self.sizes)])
+
+    def shared_with(self, i: int) -> np.ndarray:
+        """Shingles that each member shares with member i (0 for itself)."""
+        g = self.list_of[self.begin[i] : self.begin[i + 1]]
+        g = g[self.counts[g] > 1]
+        if not len(g):
+            return np.zeros(len(self.sizes), np.int64)
+        inter = np.bincount(self.owners[ranges(self.first[g], self.counts[g])], minlength=len(self.sizes))
+        inter[i] = 0
+        return inter
+
+
+def _prune(regions: DataFrame, quarters: DataFrame, threshold: int) -> DataFrame:
+    """Regions of bounded size without the members whose quarters differ too much from all others'."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in key_groups(batches, ["region"]):
+            if group.num_rows < 2:
+                continue
+            n = group.column("n").to_numpy().astype(np.int64)
+            region = Region([np.frombuffer(s.as_buffer(), dtype=np.uint32) for s in group.column("shingles")])
+            keep = np.zeros(len(n), dtype=bool)
+            for i in range(len(n)):
+                differ = region.sizes[i] + region.sizes - 2 * region.shared_with(i)
+                may = differ * (100 + threshold) <= (n[i] + n) * (100 - threshold)
+                may[i] = False
+                keep[i] = may.any()
+            if keep.any():
+                yield pa.RecordBatch.from_arrays(
+                    [group.column(c).combine_chunks().filter(pa.array(keep)) for c in ("region", "sid", "n")], names=["region", "sid", "n"]
+                )
+
+    light = regions.join(_weights(regions), "region").where(F.col("weight") <= 4 * REGION_SHINGLES).drop("weight")
+    heavy = regions.join(_weights(regions), "region").where(F.col("weight") > 4 * REGION_SHINGLES).drop("weight")
+    judged = (
+        light.join(quarters, "sid").repartition("region").sortWithinPartitions("region").select("region", "sid", "n", "shingles")
+        .mapInArrow(judge, "region long, sid long, n int")
+    )
+    return judged.unionByName(heavy)
+
+
 def region_links(sids: np.ndarray, sets: list[np.ndarray], inner: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     """Links that connect all linked sets of one region (exact; inner sets are known to be linked with each other)."""
     m = len(sets)
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    every = np.concatenate(sets)
-    doc = np.repeat(np.arange(m), sizes)
-    by = np.argsort(every, kind="stable")
-    ranked = every[by]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    group = np.cumsum(new) - 1
-    first = np.flatnonzero(new)
-    counts = np.diff(np.concatenate([first, [len(ranked)]]))
-    owners = doc[by]
-    gid = np.empty(len(every), dtype=np.int64)
-    gid[by] = group
-    begin = np.concatenate([[0], np.cumsum(sizes)])
+    region = Region(sets)
+    sizes = region.sizes
     root = np.arange(m)
 
     def find(i: int) -> int:
@@ -236,12 +294,7 @@ def region_links(sids: np.ndarray, sets: list[np.ndarray], inner: np.ndarray, th
 
     links = []
     for i in np.flatnonzero(~inner).tolist():
-        g = gid[begin[i] : begin[i + 1]]
-        g = g[counts[g] > 1]
-        if not len(g):
-            continue
-        inter = np.bincount(owners[ranges(first[g], counts[g])], minlength=m)
-        inter[i] = 0
+        inter = region.shared_with(i)
         for j in np.flatnonzero((inter > 0) & linked(inter, sizes[i], sizes, threshold)).tolist():
             a, b = find(i), find(j)
             if a != b:
@@ -419,6 +472,7 @@ def jaccard_components(
     if regions.isEmpty():
         roots = docs.sparkSession.createDataFrame([], "sid long, root long")
     else:
+        regions = cut_lineage(_prune(regions, _sets_of(docs, text_col, size, regions, quarter), threshold))
         sets = cut_lineage(_sets_of(docs, text_col, size, regions))
         roots = components(_links(regions, sets, threshold))
     # the smallest id of each set, then of each component
