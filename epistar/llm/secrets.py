@@ -47,6 +47,7 @@ PLAIN_WORDS = (
     "commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "id", "build", "version", "revision", "etag", "order", "invoice",
     "isbn", "phone", "card", "image", "asset", "file", "path", "page", "ref",
 )
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk_live_", "sk_test_", "rk_test_", "sk-", "xox", "AIza", "eyJ")
 DICTIONARY = (
     "access", "account", "admin", "api", "app", "asset", "auth", "base", "build", "cache", "class", "client", "code", "common", "config", "content", "core",
     "data", "date", "default", "dev", "doc", "example", "factory", "file", "get", "home", "html", "http", "image", "index", "info", "item", "lib", "linux",
@@ -56,7 +57,7 @@ DICTIONARY = (
 )
 FEATURES = (
     "length", "digits", "upper", "lower", "other", "digit_letter", "case_change", "same_class", "entropy", "hex", "coverage", "longest_letters",
-    "vowels", "slashes", "dashes", "prefix_capitals", "after_equals", "after_quote", "url_before", "path_before", "key_word", "key_near", "plain_word", "dotted",
+    "vowels", "slashes", "dashes", "prefix_capitals", "after_equals", "after_quote", "url_before", "path_before", "key_word", "key_near", "plain_word", "dotted", "known_prefix",
 )
 
 
@@ -93,7 +94,7 @@ def features(before: str, x: str, after: str) -> list[float]:
         sum(c in "aeiou" for c in low) / n, float(x.count("/")), float(x.count("-") + x.count("_")),
         float(bool(re.match(r"[A-Z]{3,}", x))), float(lead[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'")), float("://" in near[-30:]),
         float(bool(re.search(r"[/.\\]$", before))), float(bool(words) and any(k in words[-1] for k in KEY_WORDS)),
-        float(any(k in w for w in words[-4:] for k in KEY_WORDS)), float(any(w in PLAIN_WORDS for w in words[-2:])), float(after[:1] == "."),
+        float(any(k in w for w in words[-4:] for k in KEY_WORDS)), float(any(w in PLAIN_WORDS for w in words[-2:])), float(after[:1] == "."), float(x.startswith(PREFIXES)),
     ]
 
 
@@ -119,6 +120,7 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
             (prose() + "authorization: bearer ", "eyJ" + pick(alnum, rng.randint(20, 60)), "."),
             (prose() + key.upper() + sign + quote, pick(alnum + "+/", 40), quote),
         ]
+        syllables = "".join(rng.choice("STNRLDCHMP") + rng.choice("EAIOU") + rng.choice(["", "N", "R", "S", "CH"]) for _ in range(rng.randint(6, 14)))
         number = pick("0123456789", rng.randint(12, 19))
         no = [
             (prose() + rng.choice(["", "card ", "order ", "isbn ", "id "]), number, " "),
@@ -128,6 +130,7 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
             (prose() + "/usr/" + word() + "/", f"{word()}/{word()}{rng.randint(1, 99)}/{word()}-{word()}", ".txt"),
             (prose() + "https://" + word() + ".example.com/", f"{word()}/{rng.randint(2000, 2030)}/{word()}-{word()}-{word()}", " "),
             (prose(), word() + "".join(word().title() for _ in range(rng.randint(1, 3))) + str(rng.randint(1, 20)), "("),
+            (prose().upper(), syllables.ljust(16, "E"), rng.choice(["!! ", " ", ". "])),
             (prose(), word().title() + word().title() + word().title() + "Factory", " "),
             (prose(), f"{word()}_{word()}_{rng.randint(1, 999)}_{word()}", " "),
             (prose() + rng.choice(["on ", "at ", ""]), f"20{rng.randint(10, 30)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(10, 23)}", ":15"),
