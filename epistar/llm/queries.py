@@ -7,6 +7,7 @@ from epistar.llm.html_text import op6_html_extraction
 from epistar.llm.language_id import op9_language_id
 from epistar.llm.mixing import op8_mix_to_weights
 from epistar.llm.ngram_join import op1_ngram_jaccard_join
+from epistar.llm.oracle_sql import ORACLE_SQL
 from epistar.llm.pii import op2_pii
 from epistar.llm.quality_model import op7_quality_classifier
 from epistar.llm.quality_rules import op10_quality_rules
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
