@@ -8,7 +8,6 @@ Catalyst collapses and prunes down to the scan.
 
 from __future__ import annotations
 
-import logging
 import re
 from collections.abc import Iterable, Mapping
 
@@ -16,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-log = logging.getLogger(__name__)
 
 NUMERIC_TYPES = (
     T.ByteType,
@@ -34,28 +32,16 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def existing_columns(df: DataFrame, *col_lists: Iterable[str] | None, warn: bool = False) -> tuple[list[str], ...]:
-    """Keep, per list, only the columns present in ``df`` (order kept).
-
-    A missing or empty list comes back as an empty list, so callers can
-    concatenate results freely.
-    """
-    present = set(df.columns)
-    out = []
-    for cols in col_lists:
-        cols = list(cols or [])
-        kept = [c for c in cols if c in present]
-        missing = [c for c in cols if c not in present]
-        if missing and warn:
-            log.warning("Removing columns not found in data: %s", missing)
-        out.append(kept)
-    return tuple(out)
+def present_in(df: DataFrame, wanted: Iterable[str] | None) -> list[str]:
+    """The wanted columns that ``df`` has, in the wanted order."""
+    have = frozenset(df.columns)
+    return [name for name in wanted or () if name in have]
 
 
-def is_subset(full: Iterable[str], sub: Iterable[str]) -> bool:
-    """P5: every name of a non-empty ``sub`` is in ``full``."""
-    sub = list(sub)
-    return bool(sub) and set(sub).issubset(set(full))
+def has_all(df: DataFrame, wanted: Iterable[str]) -> bool:
+    """P5: ``df`` has every wanted column, and at least one is wanted."""
+    wanted = frozenset(wanted)
+    return len(wanted) > 0 and wanted <= frozenset(df.columns)
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -121,7 +107,7 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
 def select_existing(df: DataFrame, *groups: Iterable[str] | None) -> DataFrame:
     """Select the listed columns that exist, in list order."""
     cols: list[str] = []
-    for group in existing_columns(df, *groups):
+    for group in (present_in(df, wanted) for wanted in groups):
         cols.extend(c for c in group if c not in cols)
     return df.select(*cols)
 

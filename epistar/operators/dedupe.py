@@ -11,13 +11,14 @@ partial row per map task, never as a third of the data.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from epistar.operators.columns import existing_columns
+from epistar.operators.columns import present_in
 
 
 def _ordering(order_cols: Sequence[str] | str) -> Column:
@@ -39,7 +40,7 @@ def keep_first(
     whole projected row is the key (A2, ``distinct``). Null keys form one
     group. The first row is the one with the smallest ``order_cols``.
     """
-    cols, key = existing_columns(df, cols, key)
+    cols, key = present_in(df, cols), present_in(df, key)
     cols = cols or list(df.columns)
     if not key:
         return df.select(*cols).distinct()
@@ -78,43 +79,42 @@ def merge_first_non_null(df: DataFrame, keys: Sequence[str], order_cols: Sequenc
     return df.groupBy(*keys).agg(*aggs).select(*names)
 
 
-# Column-name suffixes that pick an aggregate when rows are merged.
-SUFFIX_RULES = ("_set", "_sum", "_mean", "_max", "_min")
+def _sum_of_group(c: Column, zero: Column) -> Column:
+    """Sum; a group of several rows without a value gives 0, a lone row keeps its null."""
+    return F.coalesce(F.sum(c), F.when(F.count(F.lit(1)) > 1, zero))
 
 
-def merge_by_suffix(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | str) -> DataFrame:
-    """A5: merge rows per key by column-name suffix.
+# A merge rule makes the aggregate of a column from the column and a typed zero.
+MergeRule = Callable[[Column, Column], Column]
+MERGE_RULES: dict[str, MergeRule] = {
+    "set": lambda c, zero: F.array_sort(F.collect_set(c)),
+    "sum": _sum_of_group,
+    "mean": lambda c, zero: F.avg(c),
+    "max": lambda c, zero: F.max(c),
+    "min": lambda c, zero: F.min(c),
+}
 
-    ``_set`` -> sorted distinct non-null values (always an array);
-    ``_sum`` -> sum, null-only groups of two or more rows give 0 while a
-    single row keeps its value; ``_mean`` -> mean; ``_max``/``_min``;
-    anything else -> first non-null value by order.
+
+def merge_by_suffix(
+    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | str, rules: Mapping[str, MergeRule] = MERGE_RULES
+) -> DataFrame:
+    """A5: merge rows per key; the part of a column's name after its last ``_`` picks the rule.
+
+    Columns without a rule take their first non-null value by order, the
+    order columns those of the first row. ``set`` gives the sorted distinct
+    values, so it is meant for columns of few values per key.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    n_rows = F.count(F.lit(1))
     first_row = F.min(F.struct(*[F.col(c) for c in order]))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = []
-    for c in types:
-        if c in keys:
-            continue
-        col = F.col(c)
-        if c.endswith("_set"):
-            agg = F.array_sort(F.collect_set(col))
-        elif c.endswith("_sum"):
-            agg = F.when(n_rows > 1, F.coalesce(F.sum(col), F.lit(0).cast(types[c]))).otherwise(F.sum(col))
-        elif c.endswith("_mean"):
-            agg = F.avg(col)
-        elif c.endswith("_max"):
-            agg = F.max(col)
-        elif c.endswith("_min"):
-            agg = F.min(col)
-        elif c in order:
-            agg = first_row[c]
-        else:
-            agg = first_non_null(c, order)
-        aggs.append(agg.alias(c))
-    return df.groupBy(*keys).agg(*aggs).select(*types)
+
+    def merged(name: str, kind) -> Column:
+        rule = rules.get(name.rpartition("_")[2]) if "_" in name else None
+        if rule is not None:
+            return rule(F.col(name), F.lit(0).cast(kind) if isinstance(kind, T.NumericType) else F.lit(None))
+        return first_row[name] if name in order else first_non_null(name, order)
+
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    return df.groupBy(*keys).agg(*[merged(n, t).alias(n) for n, t in fields.items() if n not in keys]).select(*fields)
 
 
 def long_to_wide(

@@ -87,11 +87,6 @@ def with_unknown_member(dim: DataFrame, spec: TableSpec, check: bool = True) ->
     return dim.unionByName(unknown.select(*[c for c in unknown.columns if c in names]), allowMissingColumns=True)
 
 
-def date_role_column(fk_col: str) -> str:
-    """``dim_week_start_date_key`` -> ``week_start_date``; ``dim_date_key`` -> ``date``."""
-    return fk_col.replace("dim_", "", 1).replace("_key", "")
-
-
 def resolve_foreign_keys(
     fact: DataFrame,
     spec: TableSpec,
@@ -129,7 +124,7 @@ def resolve_foreign_keys(
         dim_spec = dim_specs[dim_name]
         dim = dimensions[dim_name]
         if dim_name == "dim_date":
-            role = date_role_column(fk_col)
+            role = spec.date_roles.get(fk_col, "date")
             if role not in out.columns:
                 out = out.withColumn(fk_col, F.lit(UNKNOWN_KEY))
                 continue

@@ -4,30 +4,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistar.operators.columns import col_of, is_subset
+from epistar.operators.columns import col_of
 
-# (required columns, {new column: (filter column, filter value, source column)})
-ConditionalSpec = Sequence[tuple[Sequence[str], Mapping[str, tuple[str, object, str]]]]
+@dataclass(frozen=True)
+class LevelSplit:
+    """One value column, told apart by one level column: ``outputs`` maps a level to its new column."""
 
+    value: str
+    level: str
+    outputs: Mapping[object, str]
 
-def conditional_projection(df: DataFrame, spec: ConditionalSpec) -> DataFrame:
-    """``new = source where filter_col == value else null`` per map entry.
 
-    A group of entries applies only when all its required columns exist.
-    All new columns are added in one projection.
+def split_by_level(df: DataFrame, splits: Sequence[LevelSplit]) -> DataFrame:
+    """Per split, a column for each level that holds the value on that level's rows and null elsewhere.
+
+    A split whose value or level column the frame lacks adds nothing.
     """
-    new_cols: dict[str, Column] = {}
-    for required, assignments in spec:
-        if not is_subset(df.columns, required):
-            continue
-        for new_col, (filter_col, value, source_col) in assignments.items():
-            new_cols[new_col] = F.when(F.col(filter_col) == F.lit(value), F.col(source_col))
-    return df.withColumns(new_cols) if new_cols else df
+    have = set(df.columns)
+    added = {
+        name: F.when(F.col(s.level) == F.lit(level), F.col(s.value))
+        for s in splits if {s.value, s.level} <= have
+        for level, name in s.outputs.items()
+    }
+    return df.withColumns(added) if added else df
 
 
 def level_label(region, country, same: str = "country", other: str = "region") -> Column:
@@ -48,11 +53,3 @@ def replace_values(c, aliases: Mapping[str, str]) -> Column:
     """Swap whole values by an alias map (e.g. a name and its working alias)."""
     return map_with_fallback(c, aliases)
 
-
-def fill_from(target, *fallbacks) -> Column:
-    """Fill only the null rows of ``target`` from the first non-null fallback."""
-    return F.coalesce(col_of(target), *[col_of(f) for f in fallbacks])
-
-
-def when_present(df: DataFrame, cols: Iterable[str]) -> list[str]:
-    return [c for c in cols if c in df.columns]

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epistar.operators.columns import existing_columns, fill_numeric_zero
+from epistar.operators.columns import fill_numeric_zero, present_in
 from epistar.operators.dedupe import has_rows, keep_first
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, unknown_member_row, with_unknown_member
 from epistar.operators.sizing import row_count_at_most
@@ -56,7 +56,7 @@ def validate_against_spec(
     keys = list(spec.unique_keys)
     if not set(keys).issubset(df.columns):
         return None
-    (supplied,) = existing_columns(df, [c for c in spec.columns if c not in keys])
+    supplied = present_in(df, [c for c in spec.columns if c not in keys])
     cols = keys + supplied
     rows = df.select(*cols, *[c for c in (order_cols or []) if c not in cols])
     if spec.kind == "dimension":

@@ -219,19 +219,12 @@ def p1_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values projected into per-flag columns, null where the flag differs."""
     li = _t(spark, sf_dir, "lineitem")
-    spec = [
-        (
-            ["l_returnflag", "l_quantity"],
-            {
-                "qty_returned": ("l_returnflag", "R", "l_quantity"),
-                "qty_accepted": ("l_returnflag", "A", "l_quantity"),
-                "qty_none": ("l_returnflag", "N", "l_quantity"),
-            },
-        ),
-        (["l_linestatus", "l_extendedprice"], {"price_final": ("l_linestatus", "F", "l_extendedprice")}),
-        (["no_such_column"], {"never": ("no_such_column", "x", "no_such_column")}),
+    splits = [
+        projection.LevelSplit("l_quantity", "l_returnflag", {"R": "qty_returned", "A": "qty_accepted", "N": "qty_none"}),
+        projection.LevelSplit("l_extendedprice", "l_linestatus", {"F": "price_final"}),
+        projection.LevelSplit("no_such_column", "no_such_column", {"x": "never"}),
     ]
-    out = projection.conditional_projection(li, spec)
+    out = projection.split_by_level(li, splits)
     return out.select("l_orderkey", "l_linenumber", "qty_returned", "qty_accepted", "qty_none", "price_final")
 
 
@@ -975,12 +968,16 @@ QUERIES.update(
 # ----------------------------------------------------------------- incremental load
 
 
+T1_FILES, T1_BATCHES = 8, 4
+
+
 def t1_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders file streamed through a micro-batch transform and keyed upserts.
+    """The orders landed as chunk files, streamed through micro-batches of keyed upserts.
 
-    Each micro-batch is aggregated per customer and upserted into a versioned
-    table in the shared checkpoint folder; the result is the table's current
-    version. A fresh stream checkpoint is used per run so the file is read.
+    Each order is a row of the table under its own key, so batches add up, a
+    replayed batch changes nothing and the per-customer figures are taken when
+    the table is read. The stream has several batches whatever the number of
+    files the orders came in; a fresh stream checkpoint is used per run.
     """
     import uuid
 
@@ -989,33 +986,30 @@ def t1_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from epistar.streaming.incremental import stream_source, upsert_batches
 
     spec = TableSpec(
-        "customer_orders",
-        "fact",
-        ("o_custkey",),
-        {"n_orders": "bigint", "first_order_date": "date", "last_order_date": "date", "open_orders": "bigint"},
-        key_types={"o_custkey": "bigint"},
+        "orders_seen", "fact", ("o_orderkey",), {"o_custkey": "bigint", "order_date": "date", "is_open": "boolean"}, key_types={"o_orderkey": "bigint"}
     )
     run = uuid.uuid4().hex
     root = scratch_path(spark, f"t1/{run}/warehouse")
-    schema = _t(spark, sf_dir, "orders").schema
-    stream = stream_source(spark, sf_dir, schema, fmt="parquet", max_files_per_trigger=1, pattern="orders.parquet")
+    landing = scratch_path(spark, f"t1/{run}/landing")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    orders.repartition(T1_FILES, "o_orderkey").write.parquet(landing)
+    stream = stream_source(spark, landing, orders.schema, fmt="parquet", max_files_per_trigger=T1_FILES // T1_BATCHES)
 
     def per_batch(batch: DataFrame) -> dict[str, DataFrame]:
-        d = F.col("o_orderdate").cast("date")
-        agg = batch.groupBy("o_custkey").agg(
-            F.count(F.lit(1)).alias("n_orders"),
-            F.min(d).alias("first_order_date"),
-            F.max(d).alias("last_order_date"),
-            F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("open_orders"),
-        )
-        return {"customer_orders": agg}
+        row = batch.withColumn("order_date", F.col("o_orderdate").cast("date")).withColumn("is_open", F.col("o_orderstatus") == "O")
+        return {"orders_seen": row}
 
     query = upsert_batches(
-        stream, per_batch, {"customer_orders": spec}, root, f"t1_{run}", checkpoint_location=scratch_path(spark, f"t1/{run}/stream")
+        stream, per_batch, {"orders_seen": spec}, root, f"t1_{run}", checkpoint_location=scratch_path(spark, f"t1/{run}/stream")
     )
     query.awaitTermination()
-    table = read_current(spark, f"{root}/customer_orders")
-    return table.select("o_custkey", "n_orders", "first_order_date", "last_order_date", "open_orders")
+    table = read_current(spark, f"{root}/orders_seen")
+    return table.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.min("order_date").alias("first_order_date"),
+        F.max("order_date").alias("last_order_date"),
+        F.count(F.when(F.col("is_open"), 1)).alias("open_orders"),
+    )
 
 
 QUERIES["t1_incremental_upsert"] = t1_incremental_upsert

@@ -12,6 +12,10 @@ import datetime as _dt
 from dataclasses import dataclass, field
 
 
+# The columns that hold the day of each date key.
+DATE_ROLES = {"dim_date_key": "date", "dim_week_start_date_key": "week_start_date", "dim_week_end_date_key": "week_end_date"}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -21,6 +25,7 @@ class TableSpec:
     surrogate_key: str | None = None
     foreign_keys: tuple[tuple[str, str], ...] = ()  # (fk column, dimension table)
     unknown_member: dict | None = None
+    date_roles: dict[str, str] = field(default_factory=lambda: dict(DATE_ROLES))  # date key -> column with its day
     key_types: dict[str, str] = field(default_factory=dict)
 
     @property

@@ -4,8 +4,10 @@ Landed chunk files (JSON lines or Parquet) are read by the file source with
 ``maxFilesPerTrigger``; every micro-batch is transformed and upserted by key
 into the versioned warehouse tables. The upsert is idempotent by key, so a
 batch replayed after a failure (the checkpoint records which files were
-committed) yields the same table. Order columns come from the data (file and
-position), never from arrival time.
+committed) yields the same table. An upsert replaces: a transform hands over
+rows under their own unique key and leaves totals to the reader; totals of one
+batch would overwrite those of the batch before. Order columns come from the
+data (file, split, position in the split), never from arrival time.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from epistar.operators.warehouse import load_table
 from epistar.session import checkpoint_dir
 from epistar.spec import TableSpec
 
+# A batch's row order: file, start of the split in it, position in the split.
+ORDER_COLUMNS = ("_file", "_split", "_pos")
 BatchTransform = Callable[[DataFrame], Mapping[str, DataFrame]]
 
 
@@ -63,15 +67,16 @@ def upsert_batches(
         if batch.isEmpty():
             return
         if "_pos" not in batch.columns:
-            # row order inside the batch: file, split, then row within the split
+            # row order inside a split; the split's place in its file comes before it
             batch = batch.withColumn("_pos", F.monotonically_increasing_id())
-        outputs = transform(batch.drop("_split"))
+        outputs = transform(batch)
         ts = clock(epoch_id)
         for name, df in outputs.items():
             spec = specs.get(name)
             if spec is None:
                 continue
-            load_table(batch.sparkSession, spec, df, f"{warehouse_root.rstrip('/')}/{name}", ts)
+            order = [c for c in ORDER_COLUMNS if c in df.columns] or None
+            load_table(batch.sparkSession, spec, df, f"{warehouse_root.rstrip('/')}/{name}", ts, order)
 
     return (
         stream.writeStream.queryName(query_name)

@@ -28,10 +28,10 @@ def test_snake_and_replace():
     assert colops.camel_to_snake("year_week") == "year_week"
 
 
-def test_existing_columns_and_subset(spark):
+def test_present_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
-    assert colops.existing_columns(df, ["a", "z"], None, ["z"]) == (["a"], [], [])
-    assert colops.is_subset(df.columns, ["a"]) and not colops.is_subset(df.columns, [])
+    assert colops.present_in(df, ["a", "z"]) == ["a"] and colops.present_in(df, None) == [] and colops.present_in(df, ["z"]) == []
+    assert colops.has_all(df, ["a"]) and not colops.has_all(df, []) and not colops.has_all(df, ["a", "z"])
 
 
 def test_fill_numeric_only_and_coerce(spark):
@@ -51,17 +51,45 @@ def test_level_label_and_map(spark):
     assert got == ["Weighted rate is 300 or more", "purple"]
 
 
-def test_conditional_projection_needs_all_columns(spark):
+def test_level_split_needs_its_columns(spark):
     df = spark.createDataFrame([("cases", 5), ("deaths", 1)], "indicator string, weekly_count int")
-    spec = [
-        (["indicator", "weekly_count"], {"cases": ("indicator", "cases", "weekly_count")}),
-        (["indicator", "rate_14_day"], {"rate": ("indicator", "cases", "rate_14_day")}),
+    splits = [
+        projection.LevelSplit("weekly_count", "indicator", {"cases": "cases"}),
+        projection.LevelSplit("rate_14_day", "indicator", {"cases": "rate"}),
     ]
-    out = projection.conditional_projection(df, spec)
+    out = projection.split_by_level(df, splits)
     assert "rate" not in out.columns
     assert sorted((r.indicator, r.cases) for r in out.collect()) == [("cases", 5), ("deaths", None)]
 
 
+def test_merged_order_is_that_of_one_row(spark):
+    df = spark.createDataFrame([("k", 1, "A", 50), ("k", None, "B", 3)], "k string, v int, file string, pos int")
+    r = dedupe.merge_first_non_null(df, ["k"], ["file", "pos"]).first()
+    assert (r.v, r.file, r.pos) == (1, "A", 50)
+
+
+def test_large_integers_stay_exact(spark):
+    rows = [("9210000000000000000",), ("9007199254740993",), ("9223372036854775807",), ("9223372036854775808",), ("12.0",), ("12.7",), ("-3.9",), ("x",), (None,), ("1.2e1",)]
+    df = spark.createDataFrame(rows, "c string")
+    got = [r[0] for r in df.select(colops.tolerant_number("c")).collect()]
+    assert got == [9210000000000000000, 9007199254740993, 9223372036854775807, None, 12, 12, -3, None, None, 12]
+
+
+def test_row_hash_keeps_the_place_of_a_null(spark):
+    from epistar.functions.text import row_hash
+
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a", "b", "")], "x string, y string, z string")
+    assert df.select(row_hash("x", "y", "z").alias("h")).distinct().count() == 3
+
+
+def test_undated_rows_come_last_in_running_totals(spark):
+    from epistar.operators.series import running_total
+
+    df = spark.createDataFrame([("k", None, 100), ("k", "2021-01-02", 2), ("k", "2021-01-01", 1), (None, "2021-01-01", 7)], "k string, d string, v int")
+    got = {(r.k, r.d): r.v_cumulative for r in running_total(df, "k", "d", "v").collect()}
+    assert got == {("k", "2021-01-01"): 1, ("k", "2021-01-02"): 3, ("k", None): 103, (None, "2021-01-01"): 7}
+
+
 def test_first_non_null_interleaved(spark):
     df = spark.createDataFrame([(1, None, 2, 0), (1, 1, None, 1), (1, 9, 9, 2)], "k int, a int, b int, pos int")
     r = dedupe.merge_first_non_null(df, ["k"], ["pos"]).first()

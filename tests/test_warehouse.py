@@ -139,7 +139,6 @@ def test_versions_are_clustered_on_the_leading_key(spark, scratch):
 
 
 def test_size_checked_broadcast_and_roles(spark):
-    from epistar.operators.keys import date_role_column
     from epistar.operators.sizing import bounded_broadcast, row_count_at_most
 
     df = spark.range(0, 10)
@@ -149,5 +148,5 @@ def test_size_checked_broadcast_and_roles(spark):
     joined_small = spark.range(0, 100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
     joined_big = spark.range(0, 100).join(big, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in joined_small.lower() and "broadcast" not in joined_big.lower()
-    assert date_role_column("dim_week_start_date_key") == "week_start_date"
-    assert date_role_column("dim_date_key") == "date"
+    roles = FACT_CD_DAILY.date_roles
+    assert roles["dim_week_start_date_key"] == "week_start_date" and roles["dim_date_key"] == "date"
