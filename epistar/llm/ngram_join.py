@@ -426,6 +426,14 @@ def _links(regions: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return out
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Every vertex has one parent, or is one, and never both."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(sid, root): connected components of links (a, b), by alternating large and small stars.
 
@@ -435,21 +443,16 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut_lineage(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    last = None
-    while True:
+    while not _is_star_forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         edges = cut_lineage(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")).first()
-        if state == last or state[0] == 0:
-            break
-        last = state
     return edges.select(F.col("u").alias("sid"), F.col("v").alias("root"))
 
 
