@@ -73,7 +73,7 @@ def load_dimensions(
             df = outputs[source].get(dim)
             if df is None:
                 continue
-            path = load_table(spark, DIMENSIONS[dim], df, table_root(warehouse_root, dim), batch_ts)
+            path = load_table(spark, DIMENSIONS[dim], df, table_root(warehouse_root, dim), batch_ts, source_order(df))
             if path:
                 paths.append(path)
         return paths
@@ -81,6 +81,11 @@ def load_dimensions(
     return _per_table(DIMENSION_ORDER, load_one)
 
 
+def source_order(df: DataFrame) -> list[str] | None:
+    """The columns that say which of several rows of a key came first, where a source carries them."""
+    return [c for c in ("_file", "_pos") if c in df.columns] or None
+
+
 def _per_table(names, load_one) -> dict[str, list[str]]:
     with ThreadPoolExecutor(max_workers=4) as pool:
         futures = {name: pool.submit(load_one, name) for name in names}
@@ -115,7 +120,7 @@ def load_facts(
             if df is None:
                 continue
             keyed = prepare_fact(df, spec, dims, DIMENSIONS)
-            path = load_table(spark, spec, keyed, table_root(warehouse_root, fact), batch_ts)
+            path = load_table(spark, spec, keyed, table_root(warehouse_root, fact), batch_ts, source_order(keyed))
             if path:
                 paths.append(path)
         return paths

@@ -801,7 +801,7 @@ def _vaccine_outputs(spark: SparkSession, sf_dir: str, materialize: bool = False
 
 def d3_vaccine_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 national fact: renamed, snake-cased, coerced and zero-filled rows where region == country."""
-    return _vaccine_outputs(spark, sf_dir)["fact_vaccine_tracker_country"]
+    return _vaccine_outputs(spark, sf_dir)["fact_vaccine_tracker_country"].drop("_file", "_pos")
 
 
 def d3_target_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
