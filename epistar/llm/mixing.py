@@ -117,11 +117,12 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: the columns of ``docs``, ``repetition`` (from 1) and ``taken`` words, a row per repetition.
 
     A cut repetition holds its first words, joined by one space, and ``n_chars``
-    (if there) counts them. Documents that take no word leave the mix.
+    (if there) counts them. Documents that take no word leave the mix. Rows that
+    agree in id, source and size share a cut between them evenly.
     """
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("text"), F.col("source"))
     plans = plan(docs).where("taken > 0").groupBy(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size")).agg(
-        F.max("whole").alias("whole"), F.max("part").alias("part")
+        F.max("whole").alias("whole"), F.floor(F.sum("part") / F.count("*")).cast("long").alias("part")
     )
     size = word_count(F.col("text"))
     joined = packed.withColumn("size", size).join(
