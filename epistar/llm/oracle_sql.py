@@ -100,8 +100,7 @@ refs AS (SELECT *, {" + ".join(f"c_{c}" for c in _Q.CLASSES)} AS chars FROM (SEL
 short AS (
   SELECT lang, x, count(*) AS k FROM (SELECT lang, unnest(pw) AS x FROM f) WHERE length(x) <= {_Q.SHORT} AND regexp_matches(x, '\p{{L}}') GROUP BY ALL),
 top AS (
-  SELECT lang, x, k FROM short WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY k DESC, x) <= {_Q.COMMON_WORDS}
-  UNION ALL (SELECT '{_Q.ALL}', x, sum(k) AS k FROM short GROUP BY x ORDER BY k DESC, x LIMIT {_Q.COMMON_WORDS})),
+  SELECT lang, x, k FROM short WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY k DESC, x) <= {_Q.COMMON_WORDS}),
 q AS (SELECT top.lang, x, k / refs.n AS q FROM top JOIN refs ON refs.lang = top.lang),
 keyed AS (SELECT f.*, CASE WHEN lang IN (SELECT lang FROM ref) THEN lang ELSE '{_Q.ALL}' END AS key FROM f),
 hist AS (
