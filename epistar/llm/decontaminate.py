@@ -6,12 +6,15 @@ of ``STRIDE`` words, so any run of up to ``STRIDE`` words lies whole in one.
 
 An item's BM25 score for a passage is divided by the score the item gets for
 its own text, so one threshold fits short and long items: 1 means that all the
-item's words are there. Search skips as block-max WAND does, from the loosest
-bound to the tightest, and never loses an item above the threshold:
+item's words are there. Search skips as block-max WAND does and never loses an
+item above the threshold. Frequent terms, as long as they give no item more
+than ``COMMON_SHARE`` of the threshold, are not followed: an item's sum over them is
+known beforehand and bounds what they can add.
 
-1. the sum of the largest weights any item gives the passage's words;
-2. the same by block of ``BLOCK_ITEMS`` items, with each block's own maxima;
-3. the scores of the items of the surviving blocks.
+1. The other terms of a passage add up their largest weight in each block of
+   ``BLOCK_ITEMS`` items; with the block's bound for frequent terms, most blocks
+   stay below the threshold and are skipped.
+2. The items of the remaining blocks are scored over all terms.
 
 Retrieved items are verified on the whole text: an item's question is its text
 up to the last sentence and its answer the last sentence (an item of one
@@ -35,11 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epistar.llm.common import bounded_batches, table
-from epistar.llm.tokens import chunks, grams, hash_runs, mix, runs
+from epistar.llm.tokens import chunks, grams, hash_runs, ranges, runs
 
 STRIDE = 64
 BLOCK_ITEMS = 8
 THRESHOLD = 0.5
+COMMON_SHARE = 0.6
 MATCH_WORDS = 4
 MIN_QUESTION = 0.6
 MIN_ANSWER = 0.5
@@ -79,9 +83,12 @@ class Index(NamedTuple):
     ids: np.ndarray  # item ids
     terms: np.ndarray  # sorted term hashes
     slots: np.ndarray  # bit per slot: some term falls there
-    best: np.ndarray  # by term: largest weight of any item
-    block_best: np.ndarray  # by term and block: largest weight of the block's items
-    first: np.ndarray  # postings of each term: offsets
+    followed: np.ndarray  # by term: not one of the frequent terms
+    common: np.ndarray  # by block: most that the frequent terms give one of its items
+    block_first: np.ndarray  # by term: offsets into its blocks
+    blocks: np.ndarray
+    block_best: np.ndarray  # largest weight of the term in the block
+    keys: np.ndarray  # postings by term * blocks + block
     items: np.ndarray
     weights: np.ndarray
     parts: list  # by item: (question runs, answer runs, their lengths in words)
@@ -118,14 +125,27 @@ def build_index(rows: list[tuple[int, str]]) -> Index | None:
     weight /= np.bincount(owner, weight, len(ids))[owner]  # an item scores 1 for its own text
     by = np.lexsort((owner, at))
     at, owner, weight = at[by], owner[by], weight[by]
-    blocks = (len(ids) + BLOCK_ITEMS - 1) // BLOCK_ITEMS
-    block_best = np.zeros((len(terms), blocks), dtype=np.float32)
-    np.maximum.at(block_best, (at, owner // BLOCK_ITEMS), weight.astype(np.float32))
+    n_blocks = (len(ids) + BLOCK_ITEMS - 1) // BLOCK_ITEMS
+    followed = np.ones(len(terms), dtype=bool)
+    common = np.zeros(len(ids))
+    begin = np.concatenate([[0], np.cumsum(df)])
+    for t in np.argsort(-df, kind="stable").tolist():
+        more = common.copy()
+        more[owner[begin[t] : begin[t + 1]]] += weight[begin[t] : begin[t + 1]]
+        if df[t] < 2 or more.max() > COMMON_SHARE * THRESHOLD:
+            break
+        common, followed[t] = more, False
+    keys = at * n_blocks + owner // BLOCK_ITEMS
+    cells, cell_of = np.unique(keys, return_inverse=True)
+    block_best = np.zeros(len(cells))
+    np.maximum.at(block_best, cell_of, weight)
+    common_by_block = np.zeros(n_blocks)
+    np.maximum.at(common_by_block, np.arange(len(ids)) // BLOCK_ITEMS, common)
     slots = np.zeros(SLOTS, dtype=bool)
     slots[(terms % np.uint64(SLOTS)).astype(np.int64)] = True
     return Index(
-        np.array(ids, dtype=np.int64), terms, slots, block_best.max(axis=1), block_best,
-        np.concatenate([[0], np.cumsum(df)]), owner, weight, parts,
+        np.array(ids, dtype=np.int64), terms, slots, followed, common_by_block,
+        np.searchsorted(cells // n_blocks, np.arange(len(terms) + 1)), cells % n_blocks, block_best, keys, owner, weight, parts,
     )
 
 
@@ -137,45 +157,55 @@ def term_of(index: Index, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[ok], t[ok]
 
 
-def retrieve(index: Index, h: np.ndarray, by_doc: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
-    """(document, item number, best passage score) of all passages that reach the threshold."""
-    slack = threshold - 1e-4  # weights of the bounds are rounded
+def passage_terms(index: Index, h: np.ndarray, by_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, term) pairs without repeats, sorted, and the document of each passage.
+
+    Passage s holds the strides s and s + 1 of its document; a document's last
+    stride is in the passage before it, unless it is the only one.
+    """
     at, term = term_of(index, h)
     doc = np.searchsorted(by_doc, at, "right") - 1
-    stride_no = (at - by_doc[doc]) // STRIDE
     strides = np.maximum(1, -(-np.diff(by_doc) // STRIDE))
     base = np.concatenate([[0], np.cumsum(strides)])
-    n_terms = len(index.terms)
-    key = np.unique((base[doc] + stride_no) * n_terms + term)  # distinct terms of each stride
-    stride, term = key // n_terms, key % n_terms
-    begin = np.searchsorted(stride, np.arange(base[-1] + 1))
-    held = np.bincount(stride, index.best[term], base[-1])
-    following = np.zeros_like(held)
-    following[:-1] = held[1:]
-    last = np.zeros(base[-1], dtype=bool)
-    last[base[1:] - 1] = True
-    following[last] = 0
-    lone = np.zeros(base[-1], dtype=bool)
-    lone[base[:-1][strides == 1]] = True
-    # a text's last stride is in the passage before it
-    hot = np.flatnonzero((held + following >= slack) & (~last | lone))
+    stride = base[doc] + (at - by_doc[doc]) // STRIDE
+    doc_of = np.repeat(np.arange(len(strides)), strides)
+    opens = stride < base[doc + 1] - 1  # a passage starts here
+    opens |= strides[doc] == 1
+    follows = stride > base[doc]
+    n = len(index.terms)
+    key = np.unique(np.concatenate([stride[opens] * n + term[opens], (stride[follows] - 1) * n + term[follows]]))
+    return key // n, key % n, doc_of
+
+
+def retrieve(index: Index, h: np.ndarray, by_doc: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
+    """(document, item number, best passage score) of all passages that reach the threshold."""
+    passage, term, doc_of = passage_terms(index, h, by_doc)
+    if not len(passage):
+        return []
+    n_blocks = len(index.common)
+    # bound of each (passage, block) from the followed terms and the block's frequent ones
+    use = index.followed[term]
+    p, t = passage[use], term[use]
+    count = index.block_first[t + 1] - index.block_first[t]
+    at = ranges(index.block_first[t], count)
+    bound = np.bincount(np.repeat(p, count) * n_blocks + index.blocks[at], index.block_best[at], len(doc_of) * n_blocks)
+    cell = np.flatnonzero(bound + np.tile(index.common, len(doc_of)) >= threshold - 1e-9)
+    if not len(cell):
+        return []
+    # exact scores of the items in the remaining blocks, over all terms of the passage
+    begin = np.searchsorted(passage, np.arange(len(doc_of) + 1))
+    p, block = cell // n_blocks, cell % n_blocks
+    held = begin[p + 1] - begin[p]
+    mine = np.repeat(np.arange(len(cell)), held)
+    key = term[ranges(begin[p], held)] * n_blocks + block[mine]
+    lo, hi = np.searchsorted(index.keys, key), np.searchsorted(index.keys, key, "right")
+    post = ranges(lo, hi - lo)
+    mine = np.repeat(mine, hi - lo)
+    score = np.bincount(mine * BLOCK_ITEMS + index.items[post] % BLOCK_ITEMS, index.weights[post], len(cell) * BLOCK_ITEMS)
     out: dict[tuple[int, int], float] = {}
-    for s in hot.tolist():
-        end = begin[s + 1] if last[s] else begin[s + 2]
-        t = np.unique(term[begin[s] : end])
-        if index.best[t].sum() < slack:
-            continue
-        for block in np.flatnonzero(index.block_best[t].sum(axis=0) >= slack).tolist():
-            lo = block * BLOCK_ITEMS
-            score = np.zeros(BLOCK_ITEMS)
-            for x in t[index.block_best[t, block] > 0].tolist():
-                a, b = index.first[x], index.first[x + 1]
-                items = index.items[a:b]
-                inside = (items >= lo) & (items < lo + BLOCK_ITEMS)
-                score[items[inside] - lo] += index.weights[a:b][inside]
-            d = int(np.searchsorted(base, s, "right") - 1)
-            for k in np.flatnonzero(score >= threshold).tolist():
-                out[d, lo + k] = max(out.get((d, lo + k), 0.0), float(score[k]))
+    for k in np.flatnonzero(score >= threshold).tolist():
+        found = int(doc_of[p[k // BLOCK_ITEMS]]), int(block[k // BLOCK_ITEMS] * BLOCK_ITEMS + k % BLOCK_ITEMS)
+        out[found] = max(out.get(found, 0.0), float(score[k]))
     return [(d, i, x) for (d, i), x in out.items()]
 
 
