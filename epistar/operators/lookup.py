@@ -1,19 +1,17 @@
 """Name -> code resolution: exact (J1), fuzzy (J2, F12, O2) and the fallback
 chain (J3).
 
-The lookup is normally small and bounded (a country list), so it is
-broadcast behind a size check; a lookup above the bound switches the fuzzy
-step to exact segment blocking. The fuzzy step scores only the *distinct* names the exact pass
-missed. Candidates are paired by an exact length window turned into an
-equi-join key, so no cross join is planned: a pair outside the window can
-never reach the threshold (see ``length_window``). The best candidate per
+Matching works the same way at every size of the lookup. The fuzzy step scores
+only the *distinct* names the exact pass missed, and pairs them by exact
+segment blocking: two names within the edit budget share an unedited piece near
+its place, so pairs meet on equi-join keys and no pair that can reach the
+threshold is lost. The best candidate per
 name is picked by an aggregate (``max_by``), ties going to the earliest
 lookup row.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -22,10 +20,8 @@ from pyspark.sql import functions as F
 from epistar.functions.text import TOKEN_SORT_WEIGHT, length_window, normalize_name, prefix, similarity, token_sort
 from epistar.operators.dedupe import keep_first
 from epistar.operators.projection import replace_values
-from epistar.operators.sizing import LOOKUP_MAX_ROWS, row_count_at_most
 from epistar.session import cut_lineage
 
-log = logging.getLogger(__name__)
 
 # Fixed value: the reference threshold for accepting a fuzzy match (0-100).
 FUZZY_MIN_SCORE = 75
@@ -45,10 +41,9 @@ def prepare_lookup(
     """Normalise a (name, code) lookup to ``_lk_name, _lk_code, _lk_pos``.
 
     Names are lower-cased; duplicate names keep their first row so a join
-    can never multiply data rows. The small result is checkpointed to the
-    shared checkpoint folder and its size is checked once here: when it is
-    within ``LOOKUP_MAX_ROWS`` it carries a broadcast hint into the exact and
-    fuzzy joins; above the bound those joins shuffle.
+    can never multiply data rows. The result is written once to the shared
+    checkpoint folder; whether a join broadcasts it follows from its bytes
+    there, and matching works the same way at every size.
     """
     pos = F.col(pos_col) if pos_col else F.monotonically_increasing_id()
     lk = lookup.select(
@@ -59,20 +54,8 @@ def prepare_lookup(
     prepared = keep_first(lk, ["_lk_name", "_lk_code", "_lk_pos"], ["_lk_name"], ["_lk_pos"])
     if not materialize:
         return prepared
-    stored = cut_lineage(prepared)
-    if not row_count_at_most(stored, LOOKUP_MAX_ROWS):
-        log.info("lookup exceeds %d rows: joins shuffle and fuzzy matching uses segment blocking", LOOKUP_MAX_ROWS)
-        return _with_blocking(stored, "segments")
-    return _with_blocking(F.broadcast(stored), "window")
-
-
-def _with_blocking(lookup: DataFrame, blocking: str) -> DataFrame:
-    """Remember which fuzzy blocking suits this lookup (callers may override it)."""
-    try:
-        lookup.epistar_fuzzy_blocking = blocking
-    except AttributeError:  # frames that take no attributes fall back to the default
-        pass
-    return lookup
+    # its file size tells the planner whether to broadcast it
+    return cut_lineage(prepared)
 
 
 def exact_lookup(df: DataFrame, name_col: str, lookup: DataFrame, out_col: str = "code_exact") -> DataFrame:
@@ -153,7 +136,7 @@ def _segment_keys(text: Column, ratios: tuple[int, ...], min_score: int, side: s
 
 
 def _segment_pairs(cand: DataFrame, lookup: DataFrame, min_score: int) -> DataFrame:
-    """Candidate (name, lookup entry) pairs by exact segment blocking, for large lookups."""
+    """Candidate (name, lookup entry) pairs by exact segment blocking."""
     sorted_ratio = -(-(100 * min_score - 50) // TOKEN_SORT_WEIGHT)  # weighted form needs this plain ratio
     ratios = ((min_score, lambda c: c), (sorted_ratio, token_sort))
     q = cand.select("_match_name", "_norm", _segment_keys(F.col("_norm"), ratios, min_score, "a").alias("_k"))
@@ -162,15 +145,15 @@ def _segment_pairs(cand: DataFrame, lookup: DataFrame, min_score: int) -> DataFr
 
 
 def best_fuzzy_matches(
-    names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_SCORE, blocking: str = "window"
+    names: DataFrame, lookup: DataFrame, min_score: int = FUZZY_MIN_SCORE, blocking: str = "segments"
 ) -> DataFrame:
     """J2 core: for each distinct ``_match_name``, the best lookup entry scoring >= min_score.
 
-    ``blocking="window"`` pairs names with the (broadcast, bounded) lookup
-    entries whose length can reach the threshold. ``blocking="segments"``
-    is for lookups too large to broadcast: pairs meet on exact segment keys
-    (see ``_segment_keys``), so no shuffle partition holds all names of one
-    length. Both find every pair that can score ``min_score`` or more.
+    Pairs meet on exact segment keys (see ``_segment_keys``), so only names
+    that share a piece are scored and no shuffle partition holds all names of
+    one length. ``blocking="window"`` pairs all names whose lengths fit
+    instead; it is there to check the segments against, as both find every
+    pair that can score ``min_score`` or more.
     Returns ``_match_name, match_name, match_score, code_fuzzy``.
     """
     cand = names.select("_match_name").distinct().withColumn("_norm", normalize_name(F.col("_match_name")))
@@ -222,7 +205,7 @@ def name_codes(
     lookup: DataFrame,
     min_score: int = FUZZY_MIN_SCORE,
     aliases: Mapping[str, str] = MATCH_ALIASES,
-    blocking: str | None = None,
+    blocking: str = "segments",
 ) -> DataFrame:
     """J1+J2 over distinct names: ``_name, _code_exact, _code_fuzzy, match_name, match_score``.
 
@@ -232,7 +215,6 @@ def name_codes(
     distinct = names.filter(F.col("_name").isNotNull()).distinct()
     exact = exact_lookup(distinct, "_name", lookup, "_code_exact")
     keyed = exact.withColumn("_match_name", replace_values(F.col("_name"), aliases))
-    blocking = blocking or getattr(lookup, "epistar_fuzzy_blocking", "window")
     best = best_fuzzy_matches(keyed.filter(F.col("_code_exact").isNull()), lookup, min_score, blocking)
     joined = keyed.join(best, "_match_name", "left")
     return joined.select(
@@ -252,7 +234,7 @@ def resolve_codes(
     code_col: str = "country_code",
     min_score: int = FUZZY_MIN_SCORE,
     keep_match_details: bool = False,
-    blocking: str | None = None,
+    blocking: str = "segments",
 ) -> DataFrame:
     """``code = exact ?? fuzzy ?? first two chars of territory ?? original code``.
 

@@ -36,6 +36,22 @@ def test_unsupported_json_raises(spark, scratch):
         files.read_json_records(spark, bad, "x bigint")
 
 
+def test_leading_blanks_and_byte_order_mark(spark, scratch):
+    far = _write(scratch, "far.json", " \n" * 5000 + '{"records": [{"x": 1}]}')
+    marked = _write(scratch, "bom.json", "\ufeff" + '[{"x": 2}]')
+    assert files.json_shape(spark, far) == "object" and files.json_shape(spark, marked) == "array"
+    assert [r.x for r in files.read_json_records(spark, far, "x bigint").collect()] == [1]
+
+
+def test_shapes_mix_without_a_schema_and_broken_documents_fail(spark, scratch):
+    a = _write(scratch, "a.json", {"records": [{"x": 3}]})
+    b = _write(scratch, "b.json", [{"x": 9}])
+    assert sorted(r.x for r in files.read_json_records(spark, [a, b]).collect()) == [3, 9]
+    broken = _write(scratch, "broken.json", '{"records": [{"x": 1}, {"x": 2')
+    with pytest.raises(Exception):
+        files.read_json_records(spark, broken, "x bigint").collect()
+
+
 def test_find_files_and_manifest(spark, scratch):
     assert files.find_files(spark, scratch, "nationalcasedeath*.json") is None
     for name in ("nationalcasedeath.json", "nationalcasedeath_archive.json", "other.json"):
