@@ -354,3 +354,17 @@ def test_pipeline_keeps_clean_documents(spark):
         assert k == len(corpus_pipeline.STAGES) - 1 or step.columns == names
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == [*names, "repetition", "taken"] and 0 < out.select("doc_id").distinct().count() < docs.count()
+
+
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard_join", "op4_substring_dedup", "op8_mix_to_weights", "op10_quality_rules"])
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    from epistar.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    frame = QUERIES[name](spark, SF)
+    got = sorted(tuple(r) for r in frame.collect())
+    cur = con.execute(f"SELECT {', '.join(frame.columns)} FROM ({ORACLE_SQL[name]})")
+    assert got == sorted(cur.fetchall())
