@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epistar.llm.common import bounded_batches, table
@@ -99,8 +99,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (fold(F.col(id_col), 3) != 1))
         .groupBy(F.col(id_col).alias("l_id")).agg(F.min(label_col).cast("int").alias("y"))
     )
-    by_hash = Window.partitionBy("y").orderBy(F.xxhash64("l_id"), "l_id")
-    picked = known.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= TRAIN_DOCS // 2).drop("r")
+    of_label = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("l_id"), "l_id").limit(TRAIN_DOCS // 2)
+    picked = of_label(0).unionByName(of_label(1))
     # at most TRAIN_DOCS ids
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), F.col("id") == F.col("l_id"))
 
