@@ -300,9 +300,10 @@ def _examples(rows: list[tuple[str, list[tuple[str, int, int]]]], per_text: int
 
 def fit(docs: DataFrame) -> SemiMarkov:
     """Train on the default islands and on a bounded sample of ``docs`` (id, text)."""
-    sample = (
-        docs.where(F.col("text").rlike("[0-9@]")).select("id", "text").orderBy(F.xxhash64("id"), "id", "text").limit(TRAIN_DOCS)
-    )
+    with_anchor = docs.where(F.col("text").rlike("[0-9@]")).select("id", "text")
+    # only ids are ordered; at most TRAIN_DOCS of them meet the texts again
+    picked = with_anchor.where("id is not null").select(F.col("id").alias("p_id")).distinct().orderBy(F.xxhash64("p_id"), "p_id").limit(TRAIN_DOCS)
+    sample = with_anchor.join(F.broadcast(picked), F.col("id") == F.col("p_id"), "left_semi")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Only the islands travel to the driver, with their surroundings."""
