@@ -19,9 +19,9 @@ at most ``1 - threshold / 100``. Three triangle-inequality steps cut the space:
    smallest set. A region too heavy for one task takes several of its
    documents as pivots; each member goes to the Voronoi cell of its nearest
    pivot and, by its window ``d(x, p) <= d(x, nearest) + 2 r``, to the cells it
-   may have partners in. Members within the radius of their pivot are linked
-   at once and need no comparison with each other; those beyond it recur with
-   the window members they can reach. What no longer shrinks is compared
+   may have partners in. Members within the radius of the same pivot are linked
+   at once and need no comparison with each other; all others, window members
+   too, recur with the members they can reach. What no longer shrinks is compared
    exactly, block against block.
 
 Most members of a region only share a phrase. Before whole sets move, the
@@ -408,9 +408,20 @@ def _links(regions: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         cells = cut_lineage(_split_by_pivots(heavy, sets, threshold))
         found.append(cells.where("inner").select(F.col("sid").alias("a"), F.col("pivot").alias("b")))
         cells = cells.withColumn("region", F.xxhash64("region", "pivot"))
-        # only sets beyond the radius still need comparing, with those their windows reach
-        outer = cells.where("home and not inner").groupBy("region").agg(F.min("d").alias("least"))
-        near = cells.join(outer, "region").where((F.col("d") >= F.col("least") - (100 - threshold) / 100 - 1e-9) | ~F.col("inner"))
+        # a linked pair shares the home cells of both its sets and is compared there, unless both lie within the radius;
+        # its distances to a pivot differ by at most the radius, so a set stays where some partner of that kind can be
+        reach = (100 - threshold) / 100 + 1e-9
+        bounds = cells.groupBy("region").agg(
+            F.min(F.when(~F.col("inner"), F.col("d"))).alias("least"),
+            F.min(F.when(F.col("home") & ~F.col("inner"), F.col("d"))).alias("least_home"),
+            F.max(F.when(F.col("home"), F.col("d"))).alias("most_home"),
+        )
+        partner = (
+            F.when(F.col("home"), ~F.col("inner") | (F.col("d") >= F.col("least") - reach))
+            .when(F.col("inner"), F.col("d") >= F.col("least_home") - reach)
+            .otherwise(F.col("d") <= F.col("most_home") + reach)
+        )
+        near = cells.join(bounds, "region").where(partner)
         todo = near.select("region", "sid", "n", "inner", "parent")
         weights = _weights(todo)
         todo = cut_lineage(todo.join(weights, "region").select("region", "sid", "n", "inner", "weight", "parent"))

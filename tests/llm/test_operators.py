@@ -84,6 +84,28 @@ def test_jaccard_components_equal_brute_force(spark, docs, monkeypatch, bound):
     assert got == brute_components(odd_rows())
 
 
+def version_chains(seed: int = 5, families: int = 30, versions: int = 12) -> list[tuple]:
+    """Families edited version by version: neighbours are linked, distant versions are not."""
+    rng, rows = random.Random(seed), []
+    for f in range(families):
+        words = [f"w{f}x{k}" for k in range(100)]
+        for v in range(versions):
+            rows.append((1000 * f + v, " ".join(words), "en", "a", 0))
+            words[4 + (7 * v) % 90] = f"new{f}x{v}"
+            if rng.random() < 0.5:
+                words[rng.randrange(100)] = f"odd{f}x{v}"
+    return rows
+
+
+def test_jaccard_links_that_bridge_two_pivots(spark, monkeypatch):
+    # neighbouring versions within the radius of different pivots are linked only by comparing them
+    monkeypatch.setattr(ngram_join, "REGION_SHINGLES", 500)
+    monkeypatch.setattr(ngram_join, "REGION_PIVOTS", 3)
+    rows = version_chains()
+    got = sorted((tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, DOC)).collect()), key=str)
+    assert got == brute_components(rows)
+
+
 def test_jaccard_keep_first(spark, docs):
     kept = ngram_join.keep_first(docs.withColumn("_keep", F.lit(1)).withColumnRenamed("_keep", "component_id"))
     assert kept.columns[-1] == "component_id"
