@@ -4,12 +4,16 @@ The test items are the indexed side; every passage of every training text is a
 query against them. A text's passages are windows of two neighbouring strides
 of ``STRIDE`` words, so any run of up to ``STRIDE`` words lies whole in one.
 
-An item's BM25 score for a passage is divided by the score the item gets for
-its own text, so one threshold fits short and long items: 1 means that all the
-item's words are there. Search skips as block-max WAND does and never loses an
+An item of more than ``STRIDE`` words is indexed whole and as overlapping
+sections of ``STRIDE`` words, as one passage may not hold enough of it; an item
+is retrieved by any of its units and scores as its best one. A unit's BM25 score
+for a passage is divided by the score the unit gets for its own text, so one
+threshold fits short and long ones: 1 means that all the unit's words are
+there. Search skips as block-max WAND does and never loses an
 item above the threshold. Frequent terms, as long as they give no item more
 than ``COMMON_SHARE`` of the threshold, are not followed: an item's sum over them is
-known beforehand and bounds what they can add.
+known beforehand and bounds what they can add. (In the search, ``item`` stands
+for such a unit.)
 
 1. The other terms of a passage add up their largest weight in each block of
    ``BLOCK_ITEMS`` items; with the block's bound for frequent terms, most blocks
@@ -22,8 +26,9 @@ sentence is halved). Both must be found, in ``MATCH_WORDS``-word runs: at least
 ``MIN_QUESTION`` of the question's and ``MIN_ANSWER`` of the answer's runs.
 
 Words are runs of letters and digits in lower case. The index is broadcast in
-slices of at most ``INDEX_ITEMS`` items, each of which reads the texts once; an
-index of a test suite is one slice.
+slices of about ``INDEX_ITEMS`` units, each of which reads the texts once; an
+index of a test suite is one slice. Document frequencies and the mean length
+are those of all items, whatever their slice.
 """
 
 from __future__ import annotations
@@ -81,6 +86,7 @@ class Index(NamedTuple):
     """BM25 weights of one slice of items, sorted by term."""
 
     ids: np.ndarray  # item ids
+    unit_of: np.ndarray  # by unit: item number
     terms: np.ndarray  # sorted term hashes
     slots: np.ndarray  # bit per slot: some term falls there
     followed: np.ndarray  # by term: not one of the frequent terms
@@ -97,13 +103,44 @@ class Index(NamedTuple):
 SLOTS = 1 << 20
 
 
-def build_index(rows: list[tuple[int, str]]) -> Index | None:
-    """Index items (id, text); items without a word are left out."""
-    ids, tfs, parts = [], [], []
+class Counts(NamedTuple):
+    """What all items together give to the weights of each."""
+
+    n: int
+    words: int
+    terms: np.ndarray  # sorted
+    df: np.ndarray
+
+
+def item_words(text: str) -> np.ndarray:
+    _, _, data, offsets = next(chunks(pa.array([text.lower()], pa.large_string())))
+    return word_hashes(data, offsets)[0]
+
+
+def count_items(rows: list[tuple[int, str]], before: Counts | None = None) -> Counts:
+    """The counts of items (id, text), added to those of the slices before."""
+    held = [h for h in (item_words(text) for _, text in rows) if len(h)]
+    n, words, terms, df = before or Counts(0, 0, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    every = np.concatenate([terms, *[np.unique(h) for h in held]])
+    added = np.concatenate([df, np.ones(len(every) - len(df), np.int64)])
+    terms, at = np.unique(every, return_inverse=True)
+    return Counts(n + len(held), words + sum(map(len, held)), terms, np.bincount(at, added, len(terms)).astype(np.int64))
+
+
+def units(h: np.ndarray) -> list[np.ndarray]:
+    """A whole item and, if it is longer than a stride, its sections of one stride, half a stride apart."""
+    if len(h) <= STRIDE:
+        return [h]
+    starts = [*range(0, len(h) - STRIDE, STRIDE // 2), len(h) - STRIDE]
+    return [h, *[h[a : a + STRIDE] for a in starts]]
+
+
+def build_index(rows: list[tuple[int, str]], counts: Counts | None = None) -> Index | None:
+    """Index items (id, text), weighted by ``counts`` (of these items if None); items without a word are left out."""
+    counts = counts or count_items(rows)
+    ids, tfs, unit_of, parts = [], [], [], []
     for item, text in rows:
-        one = pa.array([text.lower()], pa.large_string())
-        _, _, data, offsets = next(chunks(one))
-        h, _ = word_hashes(data, offsets)
+        h = item_words(text)
         if not len(h):
             continue
         found = []
@@ -111,28 +148,31 @@ def build_index(rows: list[tuple[int, str]]) -> Index | None:
             raw = np.frombuffer(part.encode(), dtype=np.uint8)
             ph, _ = word_hashes(raw, np.array([0, len(raw)]))
             found += [match_runs(ph), min(MATCH_WORDS, len(ph))]
+        for unit in units(h):
+            tfs.append(np.unique(unit, return_counts=True))
+            unit_of.append(len(ids))
         ids.append(item)
-        tfs.append(np.unique(h, return_counts=True))
         parts.append(tuple(found))
     if not ids:
         return None
     lengths = np.array([c.sum() for _, c in tfs], dtype=float)
-    owner = np.repeat(np.arange(len(ids)), [len(t) for t, _ in tfs])
+    owner = np.repeat(np.arange(len(tfs)), [len(t) for t, _ in tfs])
     every, tf = np.concatenate([t for t, _ in tfs]), np.concatenate([c for _, c in tfs]).astype(float)
-    terms, at, df = np.unique(every, return_inverse=True, return_counts=True)
-    idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5))
-    weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] / lengths.mean()))
-    weight /= np.bincount(owner, weight, len(ids))[owner]  # an item scores 1 for its own text
+    terms, at, held = np.unique(every, return_inverse=True, return_counts=True)
+    df = counts.df[np.searchsorted(counts.terms, terms)]
+    idf = np.log(1 + (counts.n - df + 0.5) / (df + 0.5))
+    weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] * counts.n / counts.words))
+    weight /= np.bincount(owner, weight, len(tfs))[owner]  # a unit scores 1 for its own text
     by = np.lexsort((owner, at))
     at, owner, weight = at[by], owner[by], weight[by]
-    n_blocks = (len(ids) + BLOCK_ITEMS - 1) // BLOCK_ITEMS
+    n_blocks = (len(tfs) + BLOCK_ITEMS - 1) // BLOCK_ITEMS
     followed = np.ones(len(terms), dtype=bool)
-    common = np.zeros(len(ids))
-    begin = np.concatenate([[0], np.cumsum(df)])
-    for t in np.argsort(-df, kind="stable").tolist():
+    common = np.zeros(len(tfs))
+    begin = np.concatenate([[0], np.cumsum(held)])
+    for t in np.argsort(-held, kind="stable").tolist():
         more = common.copy()
         more[owner[begin[t] : begin[t + 1]]] += weight[begin[t] : begin[t + 1]]
-        if df[t] < 2 or more.max() > COMMON_SHARE * THRESHOLD:
+        if held[t] < 2 or more.max() > COMMON_SHARE * THRESHOLD:
             break
         common, followed[t] = more, False
     keys = at * n_blocks + owner // BLOCK_ITEMS
@@ -140,11 +180,11 @@ def build_index(rows: list[tuple[int, str]]) -> Index | None:
     block_best = np.zeros(len(cells))
     np.maximum.at(block_best, cell_of, weight)
     common_by_block = np.zeros(n_blocks)
-    np.maximum.at(common_by_block, np.arange(len(ids)) // BLOCK_ITEMS, common)
+    np.maximum.at(common_by_block, np.arange(len(tfs)) // BLOCK_ITEMS, common)
     slots = np.zeros(SLOTS, dtype=bool)
     slots[(terms % np.uint64(SLOTS)).astype(np.int64)] = True
     return Index(
-        np.array(ids, dtype=np.int64), terms, slots, followed, common_by_block,
+        np.array(ids, dtype=np.int64), np.array(unit_of, dtype=np.int64), terms, slots, followed, common_by_block,
         np.searchsorted(cells // n_blocks, np.arange(len(terms) + 1)), cells % n_blocks, block_best, keys, owner, weight, parts,
     )
 
@@ -204,7 +244,7 @@ def retrieve(index: Index, h: np.ndarray, by_doc: np.ndarray, threshold: float =
     score = np.bincount(mine * BLOCK_ITEMS + index.items[post] % BLOCK_ITEMS, index.weights[post], len(cell) * BLOCK_ITEMS)
     out: dict[tuple[int, int], float] = {}
     for k in np.flatnonzero(score >= threshold).tolist():
-        found = int(doc_of[p[k // BLOCK_ITEMS]]), int(block[k // BLOCK_ITEMS] * BLOCK_ITEMS + k % BLOCK_ITEMS)
+        found = int(doc_of[p[k // BLOCK_ITEMS]]), int(index.unit_of[block[k // BLOCK_ITEMS] * BLOCK_ITEMS + k % BLOCK_ITEMS])
         out[found] = max(out.get(found, 0.0), float(score[k]))
     return [(d, i, x) for (d, i), x in out.items()]
 
@@ -229,11 +269,19 @@ def contaminated(
     schema = "id long, item_id long, score double, question_overlap double, answer_overlap double"
     found = spark.createDataFrame([], schema)
     items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
-    n = items.count()
-    slices = max(1, -(-n // INDEX_ITEMS))
-    for k in range(slices):
-        part = items if slices == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == k)
-        index = build_index(sorted((r["i"], r["t"]) for r in part.collect()))
+    # about as many units as the index will have: sections are half a stride apart
+    words = F.size(F.split("t", r"[^\p{L}\p{N}]+"))
+    n = items.agg(F.sum(F.when(words > STRIDE, F.ceil(words * 2 / STRIDE)).otherwise(1))).first()[0] or 0
+    n = n if n > INDEX_ITEMS else 1
+    slices = -(-n // INDEX_ITEMS)
+    parts = [items if slices == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == k) for k in range(slices)]
+    rows_of = lambda part: sorted((r["i"], r["t"]) for r in part.collect())
+    counts = None
+    if slices > 1:
+        for part in parts:
+            counts = count_items(rows_of(part), counts)
+    for part in parts:
+        index = build_index(rows_of(part), counts)
         if index is None:
             continue
         found = found.unionByName(_search(docs, id_col, text_col, spark.sparkContext.broadcast(tuple(index)), threshold, schema))

@@ -249,6 +249,21 @@ def test_decontamination_retrieves_all_above_threshold(spark):
     assert want and got == want
 
 
+def test_decontamination_of_long_items(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [prose(rng, n) + ". " + prose(rng, 20) + "." for n in (40, 100, 400, 1500)]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(i, prose(rng, 70) + " " + t.upper() + " " + prose(rng, 300), "en", "a", 0) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows + [(9, prose(rng, 2000), "en", "a", 0)], DOC)
+    whole = sorted(tuple(r) for r in decontaminate.contaminated(frame, bench).collect())
+    assert [r[:2] for r in whole] == [(i, i) for i in range(4)] and all(r[2] > 0.99 for r in whole)
+    # slices change neither what is found nor its scores
+    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", 30)
+    sliced = sorted(tuple(r) for r in decontaminate.contaminated(frame, bench).collect())
+    assert [r[:2] for r in sliced] == [r[:2] for r in whole]
+    assert [r[2] for r in sliced] == pytest.approx([r[2] for r in whole])
+
+
 def test_mixing_targets_and_counts(spark, docs, none):
     rows = mixing.plan(docs).collect()
     size = {}
