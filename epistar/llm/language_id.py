@@ -6,8 +6,8 @@ frequency. Document frequencies are counted over all learning documents, whole.
 
 The regression learns by per-coordinate FTRL-proximal updates with elastic-net
 penalties from at most ``PER_LANGUAGE`` documents of each language and
-``TRAIN_DOCS`` in all (documented bounds of the sample, in hash order of the id; the
-``MAX_LANGUAGES`` most frequent languages). A fifth of the sample is kept from the updates
+``TRAIN_DOCS`` in all (documented bounds of the sample, in hash order of the id; with very
+many languages ``LEAST_DOCS`` of each instead). Every language is learned. A fifth of the sample is kept from the updates
 and sets the temperature that calibrates the probabilities.
 
 Prediction is one pass over whole texts without a shuffle.
@@ -29,7 +29,7 @@ from epistar.llm.tokens import mix
 DIM = 1 << 16
 PER_LANGUAGE = 800
 TRAIN_DOCS = 6000
-MAX_LANGUAGES = 64
+LEAST_DOCS = 10
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.01
 SCALE = 20.0  # of a text's term frequencies, which sum to one
@@ -129,17 +129,16 @@ def temperature(scores: np.ndarray, y: np.ndarray) -> float:
 
 def train(learn: DataFrame) -> tuple[list[str], np.ndarray, float]:
     """(languages, weights with idf and calibration folded in, none if there is no language)."""
-    counts = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in counts)
+    langs = sorted(r["lang"] for r in learn.select("lang").distinct().collect())
     if not langs:
         return [], np.zeros((DIM + 1, 0), np.float32), 1.0
     df, n_docs = document_frequencies(learn)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
-    slim = learn.where(F.col("lang").isin(langs)).select("id", "lang", F.xxhash64("id", "text").alias("h"))
+    slim = learn.select("id", "lang", F.xxhash64("id", "text").alias("h"))
     by_hash = Window.partitionBy("lang").orderBy("h", "id")
     picked = slim.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= PER_LANGUAGE)
-    picked = picked.orderBy("r", "lang", "h", "id").limit(TRAIN_DOCS).select(F.col("h").alias("p_h"), F.col("lang").alias("p_lang")).distinct()
-    # at most TRAIN_DOCS hashes
+    picked = picked.orderBy("r", "lang", "h", "id").limit(max(TRAIN_DOCS, LEAST_DOCS * len(langs))).select(F.col("h").alias("p_h"), F.col("lang").alias("p_lang")).distinct()
+    # at most TRAIN_DOCS hashes, or LEAST_DOCS a language
     sample = learn.join(F.broadcast(picked), (F.xxhash64("id", "text") == F.col("p_h")) & (F.col("lang") == F.col("p_lang")))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,8 +160,11 @@ def train(learn: DataFrame) -> tuple[list[str], np.ndarray, float]:
     for r in found:
         at = np.frombuffer(r["a"], np.int32).astype(np.int64)
         rows.append((at, np.frombuffer(r["x"], np.float32) * idf[at] * SCALE, number[r["lang"]]))
-    held = [r for i, r in enumerate(rows) if i % 5 == 4]
-    weights = fit_multinomial([r for i, r in enumerate(rows) if i % 5 != 4], len(langs))
+    # a language with few documents needs them all to be learned
+    size = np.bincount([y for *_, y in rows], minlength=len(langs))
+    apart = [i % 5 == 4 and size[y] >= 5 for i, (*_, y) in enumerate(rows)]
+    held = [r for r, x in zip(rows, apart) if x]
+    weights = fit_multinomial([r for r, x in zip(rows, apart) if not x], len(langs))
     scores = np.array([x @ weights[at] + weights[DIM] for at, x, _ in held]).reshape(len(held), len(langs))
     t = temperature(scores, np.array([y for _, _, y in held], dtype=int))
     weights[:DIM] *= (idf * SCALE)[:, None]

@@ -380,6 +380,25 @@ def test_quality_rules_agree_with_labels(spark):
     assert all(r["kept"] for r in rows if r["quality"] == 1)
 
 
+def test_quality_rules_without_a_reference_keep_clean_texts(spark):
+    rng = random.Random(4)
+    foreign = " ".join("".join(rng.choice("ابتثجحخدذرزس") for _ in range(rng.randint(2, 7))) for _ in range(60))
+    rows = [(i, prose(rng, 400), "en", "a", 0) for i in range(10)]
+    rows += [(20, foreign, "ar", "a", 0), (21, foreign, None, "a", 0), (22, "again " * 60, None, "a", 0)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(spark.createDataFrame(rows, DOC)).collect()}
+    assert got[20] and got[21] and not got[22]
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 70 * 12)]
+    word = lambda k: "".join(rng.choice(letters[12 * k : 12 * k + 12]) for _ in range(rng.randint(2, 5)))
+    rows = [(8 * k + i, " ".join(word(k) for _ in range(150)), f"l{k:02}", "a", 0) for k in range(70) for i in range(8)]
+    frame = spark.createDataFrame(rows, DOC)
+    assert quality_rules.references(frame).count() == 70
+    assert {r["lang_pred"] for r in language_id.identify(frame).collect()} == {f"l{k:02}" for k in range(70)}
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
