@@ -9,14 +9,15 @@ notice, sidebar or reader comments) are left out while parsing.
 A line's text-to-tag ratio, smoothed over its neighbours by a Gaussian, splits
 the lines into two clusters at a threshold (the ratios' standard deviation, at
 most half their largest). The region of the page that holds the dense cluster
-is selected: the ``article`` or ``main`` element with most dense text, else
-the deepest element that holds nearly all of it. Every line of that region
-belongs to the result, short ones too.
+is selected: all ``article`` and ``main`` elements, else the deepest container
+(no paragraph, list or table) that holds all of it. Every line of that region
+belongs to the result, short ones too, but for lines of links outside dense text.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -29,7 +30,6 @@ from epistar.llm.common import bounded_batches, table
 
 SIGMA = 1.0
 RADIUS = 2
-REGION_SHARE = 0.8
 LINK_SHARE = 0.8
 # HTML's void and block elements, and names that mark what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +40,7 @@ BLOCK = frozenset(
 NEVER = frozenset(
     "script style noscript template head title nav footer aside button select textarea option iframe object svg canvas audio video dialog menu map math".split()
 )
+HOLDERS = frozenset("html body main article section div center".split())
 CLOSES_ITSELF = {"p": {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = BLOCK - {"br", "p", "li", "td", "th", "tr", "dd", "dt", "option"}
 LISTS = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "p": set()}
@@ -76,12 +77,13 @@ def marked(tag: str, attrs: list[tuple[str, str | None]]) -> int:
 
 
 class Lines(HTMLParser):
-    """Cuts a page into lines (text, tags, link characters, path of element numbers, article number)."""
+    """Cuts a page into lines (text, tags, link characters, path of element numbers, number of the outermost article or main)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, int]] = []  # element, its number, 0 or why it is left out
         self.count = 0
+        self.holders: set[int] = set()  # elements that hold paragraphs
         self.lines: list[tuple[str, int, int, tuple[int, ...], int]] = []
         self.parts: list[str] = []
         self.tags = self.link = 0
@@ -91,7 +93,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             path = tuple(n for _, n, _ in self.stack)
-            inside = next((n for t, n, _ in reversed(self.stack) if t in ("article", "main")), -1)
+            inside = next((n for t, n, _ in self.stack if t in ("article", "main")), -1)
             self.lines.append((text, self.tags, self.link, path, inside))
             self.tags = self.link = 0
         self.parts = []
@@ -115,6 +117,8 @@ class Lines(HTMLParser):
         if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.stack):
             out = max(out, NAMED)
         self.count += 1
+        if tag in HOLDERS:
+            self.holders.add(self.count)
         self.stack.append((tag, self.count, out))
         self.in_link += tag == "a"
 
@@ -174,23 +178,17 @@ def main_text(html: str | None) -> str:
     sizes = np.array([len(x[0]) for x in lines], dtype=float)
     ratio = smoothed(sizes / np.maximum(1, [x[1] for x in lines]))
     dense = ratio >= min(float(ratio.std()), float(ratio.max()) / 2)
-    named = {}
-    for (_, _, _, _, inside), size, d in zip(lines, sizes, dense):
-        if inside >= 0 and d:
-            named[inside] = named.get(inside, 0.0) + size
+    named = {inside for (_, _, _, _, inside), d in zip(lines, dense) if inside >= 0 and d}
     if named:
-        # an article may hold further articles: all lines below the chosen element count
-        chosen = max(named, key=lambda k: (named[k], -k))
-        return " ".join(text for text, _, _, path, _ in lines if chosen in path)
-    weight: dict[int, float] = {}
-    depth: dict[int, int] = {}
-    for (_, _, _, path, _), size, d in zip(lines, sizes, dense):
-        for level, n in enumerate(path):
-            weight[n] = weight.get(n, 0.0) + size * d
-            depth[n] = level
-    total = float((sizes * dense).sum())
-    holders = [n for n in weight if weight[n] >= REGION_SHARE * total]
-    chosen = max(holders, key=lambda n: depth[n], default=None)
+        # all lines of elements with dense text count; of the other articles those that are no mere links
+        return " ".join(
+            text for text, _, link, _, inside in lines
+            if inside in named or (inside >= 0 and link <= LINK_SHARE * len(text))
+        )
+    common = set.intersection(*[set(path) for (_, _, _, path, _), d in zip(lines, dense) if d])
+    held = Counter(n for _, _, _, path, _ in lines for n in path)
+    # numbers grow with depth; an element of one line is a paragraph, whatever its kind
+    chosen = max((n for n in common & parser.holders if held[n] > 1), default=None)
     return " ".join(
         text for (text, _, link, path, _), d in zip(lines, dense)
         if (chosen is None or chosen in path) and (d or link <= LINK_SHARE * len(text))

@@ -310,6 +310,16 @@ def test_html_pages():
         assert html_text.main_text(html) == text, html
 
 
+def test_html_keeps_the_whole_article():
+    long, short, more = "word " * 180 + "end", "a last paragraph " * 6 + "end", "other words " * 40 + "end"
+    for tag in ("p", "div", "blockquote"):
+        page = f"<div><a href='/'>home</a></div><div><h1>T</h1><{tag}>{long}</{tag}><{tag}>{short}</{tag}></div>"
+        assert html_text.main_text(page) == f"T {long} {short}"
+    assert html_text.main_text(f"<article><p>{long}</p></article><article><p>{more}</p></article>") == f"{long} {more}"
+    assert html_text.main_text(f"<main><p>{more}</p><article><p>{long}</p></article><p>{short}</p></main>") == f"{more} {long} {short}"
+    assert html_text.main_text(f"<div><section><p>{long}</p></section><section><p>{more}</p></section></div>") == f"{long} {more}"
+
+
 def test_html_on_pages(spark):
     got = {r["page_id"]: r for r in html_text.op6_html_extraction(spark, SF).collect()}
     for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
