@@ -2,7 +2,9 @@
 
 A candidate is a run of at least ``MIN_LENGTH`` key characters that looks
 unlike a word: it mixes letters and digits, mixes cases inside, or is a long
-run of capitals or digits. The scan over the texts finds candidates with
+run of capitals or digits. So is the whole value after a name with a
+credential word in it and ``=`` or ``:``, of any length and any signs but blanks
+(quoted: any signs), without its quotes and the marks that end a clause. The scan over the texts finds candidates with
 their surroundings, turns each into numbers (length, character transitions,
 dictionary coverage, path signs, neighbouring words) and lets the forest score
 it.
@@ -41,6 +43,7 @@ CUTOFF = 0.5
 MASK = "[SECRET]"
 
 RUN = re.compile(r"[A-Za-z0-9+/_\-]{12,}={0,2}")
+NAMED = re.compile(r"""(?<![A-Za-z0-9_\-])([A-Za-z0-9_\-]++)["']?[ \t]*(?:=>|:=|[=:])[ \t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']\S*))""")
 # Names that announce a credential, words of ordinary identifiers, signs of a checksum or an id.
 KEY_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "auth", "bearer", "credential", "private_key")
 PLAIN_WORDS = (
@@ -57,10 +60,24 @@ DICTIONARY = (
 )
 FEATURES = (
     "length", "digits", "upper", "lower", "other", "digit_letter", "case_change", "same_class", "entropy", "hex", "coverage", "longest_letters",
-    "vowels", "slashes", "dashes", "prefix_capitals", "after_equals", "after_quote", "url_before", "path_before", "key_word", "key_near", "plain_word", "dotted", "known_prefix",
+    "vowels", "slashes", "dashes", "prefix_capitals", "after_equals", "after_quote", "url_before", "path_before", "key_word", "key_near", "plain_word", "dotted", "known_prefix", "signs", "brackets",
 )
 
 
+def named_values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the values that stand after the name of a credential."""
+    for m in NAMED.finditer(text):
+        name = m.group(1).lower()
+        if any(k in name for k in KEY_WORDS):
+            k = m.lastindex
+            a, b = m.span(k)
+            if k == 4:
+                value = re.split(r"&(?=[A-Za-z0-9_\-]+=)", m.group(k))[0].rstrip(".,;:)]}>\"'")
+                b = a + len(value)
+            if b > a:
+                yield a, b
+
+
 def is_candidate(x: str) -> bool:
     letters = sum(c.isalpha() for c in x)
     digits = sum(c.isdigit() for c in x)
@@ -95,6 +112,7 @@ def features(before: str, x: str, after: str) -> list[float]:
         float(bool(re.match(r"[A-Z]{3,}", x))), float(lead[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'")), float("://" in near[-30:]),
         float(bool(re.search(r"[/.\\]$", before))), float(bool(words) and any(k in words[-1] for k in KEY_WORDS)),
         float(any(k in w for w in words[-4:] for k in KEY_WORDS)), float(any(w in PLAIN_WORDS for w in words[-2:])), float(after[:1] == "."), float(x.startswith(PREFIXES)),
+        float(sum(c in "!@#$%^&*?~+" for c in x)), float(sum(c in "()<>{}[]." for c in x)),
     ]
 
 
@@ -105,12 +123,15 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
     hexa, caps = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     prose = lambda: " ".join(pick("aeinorst", rng.randint(2, 8)) for _ in range(rng.randint(2, 5))) + " "
+    spoilt = lambda x: "".join({"a": "@", "o": "0", "e": "3", "i": "1", "s": "$"}.get(c, c) if rng.random() < 0.5 else c for c in x)
+    signed_word = lambda: "".join(c + (pick("!@#$%^&*?", 1) if k in (1, 4, 6) and rng.random() < 0.7 else "") for k, c in enumerate(pick("abcdefghijklmnopqrstuvwxyz", rng.randint(5, 12)) + pick("!@#$&", 1)))
     out = []
     for _ in range(each):
         word = lambda: rng.choice(DICTIONARY)
         key = rng.choice(KEY_WORDS)
         quote = rng.choice(["", "\"", "'"])
         sign = rng.choice(["=", " = ", ": ", "="])
+        made_up = lambda: spoilt(word().title() + rng.choice(["", word(), word().title()])) + rng.choice(["", "!", "&", "#", "@", "-"]) + str(rng.randint(1, 9999))
         yes = [
             (prose(), "AKIA" + pick(caps, 16), " " + prose()),
             (prose(), rng.choice(["ghp_", "gho_"]) + pick(alnum, 36), " "),
@@ -119,6 +140,10 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
             (prose() + key + sign + quote, pick(alnum, rng.randint(12, 48)), quote + " "),
             (prose() + "authorization: bearer ", "eyJ" + pick(alnum, rng.randint(20, 60)), "."),
             (prose() + key.upper() + sign + quote, pick(alnum + "+/", 40), quote),
+            (prose() + key + sign + quote, made_up(), quote + rng.choice(["", " ", ".", ", "]) + prose()),
+            (prose() + key.upper() + sign + quote, pick(alnum + "!@#$%^&*?", rng.randint(6, 20)), quote + " "),
+            (prose() + key + sign + quote, signed_word(), quote + rng.choice(["", " ", ".", ", "]) + prose()),
+            (prose() + key + sign + quote, pick("abcdefghijklmnopqrstuvwxyz", rng.choice([16, 16, 20, 24])), quote + " "),
         ]
         syllables = "".join(rng.choice("STNRLDCHMP") + rng.choice("EAIOU") + rng.choice(["", "N", "R", "S", "CH"]) for _ in range(rng.randint(6, 14)))
         number = pick("0123456789", rng.randint(12, 19))
@@ -135,6 +160,10 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
             (prose(), f"{word()}_{word()}_{rng.randint(1, 999)}_{word()}", " "),
             (prose() + rng.choice(["on ", "at ", ""]), f"20{rng.randint(10, 30)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(10, 23)}", ":15"),
             (prose(), "-".join([word(), word(), pick("0123456789", 2), word()]), " "),
+            (prose() + key + rng.choice([": ", "=", " = "]), rng.choice([word(), pick("aeinorst", rng.randint(1, 9)), "none", "null", "None", "true", "required"]), rng.choice([" ", ", ", ". "]) + prose()),
+            (prose() + key + rng.choice([": ", "=", " = "]) + quote, rng.choice(["********", "xxxxxxxx", "<" + word() + ">", "${" + word().upper() + "}", "{{" + word() + "}}", word() + "_" + word(), word() + "." + word(), "%s"]), quote + " "),
+            (prose() + key + rng.choice(["=", " = "]), rng.choice([f"get_{word()}()", f"{word()}.{word()}({word()})", f"os.environ[{word().upper()}]", f"self.{word()}"]), " "),
+            (prose() + rng.choice(["author: ", "author=", "authors: "]), rng.choice([word().title(), pick("aeinorst", 1).upper() + pick("aeinorst", rng.randint(2, 8))]), " " + prose()),
         ]
         out += [(*x, 1) for x in yes] + [(*x, 0) for x in no]
     return [(b[-CONTEXT:], x, a[:CONTEXT], y) for b, x, a, y in out]
@@ -199,15 +228,20 @@ def train_forest(spark: SparkSession, findings: DataFrame | None = None, seed: i
 
 def find(text: str, forest: Forest) -> list[tuple[int, int, float]]:
     """(start, end, score) of the findings the forest keeps, in code points."""
-    at, rows = [], []
-    for m in RUN.finditer(text):
-        if is_candidate(m.group()):
-            at.append(m.span())
-            rows.append(features(text[max(0, m.start() - CONTEXT) : m.start()], m.group(), text[m.end() : m.end() + CONTEXT]))
+    named = list(named_values(text))
+    at = sorted({*named, *(m.span() for m in RUN.finditer(text) if is_candidate(m.group()))})
     if not at:
         return []
-    scores = forest.score(np.array(rows))
-    return [(a, b, float(s)) for (a, b), s in zip(at, scores) if s >= CUTOFF]
+    scores = forest.score(np.array([features(text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT]) for a, b in at]))
+    out: list[tuple[int, int, float]] = []
+    for (a, b), s in zip(at, scores):
+        if s < CUTOFF:
+            continue
+        if out and a < out[-1][1]:  # a run and the value it is part of are one finding
+            out[-1] = out[-1][0], max(b, out[-1][1]), max(out[-1][2], float(s))
+        else:
+            out.append((a, b, float(s)))
+    return out
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", findings: DataFrame | None = None) -> DataFrame:

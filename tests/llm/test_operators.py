@@ -210,6 +210,18 @@ def test_secrets_forest_on_unseen_findings(spark):
     assert right.mean() > 0.95
 
 
+def test_secrets_short_and_with_signs(spark):
+    secret = ["Hunter2024", "Tr0ub4dor&3", "p@ss!word", "qzkvwmxrtplbnhgd", "kX9#mQ2$"]
+    plain = ["password: required", "the secret: the recipe", "token = get_token()", "author: Smith", "password=None", "auth: none", "PASSWORD=${DB_PASSWORD}"]
+    forest = secrets.train_forest(spark)
+    found = lambda text: [text[a:b] for a, b, _ in secrets.find(text, forest)]
+    for x in secret:
+        assert found(f"we log in with password={x} and go on.") == [x], x
+        assert found(f'db_password: "{x}", user: me') == [x], x
+    for text in plain:
+        assert found(f"some words {text} for it all.") == [], text
+
+
 def test_decontamination(spark, docs, none):
     bench = spark.createDataFrame([(1, "Alpha beta gamma delta epsilon zeta. The answer is forty two stones."), (2, None), (3, ""), (4, "Alpha beta gamma delta epsilon zeta. The answer is forty two stones.")], "item_id long, text string")
     rng = random.Random(2)
