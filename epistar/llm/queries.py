@@ -5,6 +5,7 @@ from __future__ import annotations
 from epistar.llm.decontaminate import op5_benchmark_decontamination
 from epistar.llm.html_text import op6_html_extraction
 from epistar.llm.language_id import op9_language_id
+from epistar.llm.merkle import op11_merkle_manifest
 from epistar.llm.mixing import op8_mix_to_weights
 from epistar.llm.ngram_join import op1_ngram_jaccard_join
 from epistar.llm.oracle_sql import ORACLE_SQL
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mix_to_weights": op8_mix_to_weights,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
