@@ -7,7 +7,7 @@ search: SQL engines score and verify text runs too differently to compare bits.
 
 from __future__ import annotations
 
-from epistar.llm import merkle, mixing, quality_rules
+from epistar.llm import merkle, mixing, ns_bounds, quality_rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -176,10 +176,46 @@ SELECT l.doc_id, l.leaf, sub.h AS subroot, root, sha256(proof) AS proof_sha256,
 FROM l JOIN done ON done.own = l.tree AND done.leaf_pos = l.pos JOIN sub ON sub.tree = l.tree, root
 """
 
+
+_N = ns_bounds
+
+
+def _assigned(k: int) -> str:
+    """CTEs of round k: every vector's nearest of the centroids c{k}."""
+    return f"""e{k} AS MATERIALIZED (
+  SELECT n, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT x.n, x.v, c{k}.c, list_sum(list_transform(list_zip(x.v, c{k}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM x, c{k})
+  GROUP BY n, v)"""
+
+
+def _moved(k: int) -> str:
+    """CTEs of round k: the centroids after it; floor of the exact mean, as division of a multiple."""
+    return f"""s{k} AS (
+  SELECT c, p, (s - ((s % n) + n) % n) // n AS m FROM (
+    SELECT c, p, sum(a)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(v) AS a, generate_subscripts(v, 1) AS p FROM e{k}) GROUP BY c, p)),
+c{k + 1} AS MATERIALIZED (
+  SELECT c{k}.c, coalesce(g.v, c{k}.v) AS v FROM c{k} LEFT JOIN (SELECT c, list(m ORDER BY p) AS v FROM s{k} GROUP BY c) g ON g.c = c{k}.c)"""
+
+
+CENTROIDS = f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: floor({_N.SCALE} * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {_N.DIMS} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {_N.DIMS}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+    SELECT sha256('{_N.SEED}:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM x ORDER BY h, v LIMIT {_N.CLUSTERS})),
+{", ".join(f"{_assigned(k)}, {_moved(k)}" for k in range(_N.ROUNDS))},
+{_assigned(_N.ROUNDS)}
+SELECT x.vec_id, e.c::INTEGER AS cluster, e.d AS distance, sum(e.d) OVER (PARTITION BY e.c)::BIGINT AS cluster_inertia, sum(e.d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(z.v, ',')) AS centroid_sha256
+FROM e{_N.ROUNDS} e JOIN x USING (n) JOIN c{_N.ROUNDS} z ON z.c = e.c
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": JACCARD,
     "op4_substring_dedup": SUBSTRINGS,
     "op8_mix_to_weights": MIXING,
     "op10_quality_rules": QUALITY,
     "op11_merkle_manifest": MERKLE,
+    "op13_centroid_clustering": CENTROIDS,
 }

@@ -8,6 +8,7 @@ from epistar.llm.language_id import op9_language_id
 from epistar.llm.merkle import op11_merkle_manifest
 from epistar.llm.mixing import op8_mix_to_weights
 from epistar.llm.ngram_join import op1_ngram_jaccard_join
+from epistar.llm.ns_bounds import op13_centroid_clustering
 from epistar.llm.oracle_sql import ORACLE_SQL
 from epistar.llm.pii import op2_pii
 from epistar.llm.quality_model import op7_quality_classifier
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
