@@ -1,18 +1,19 @@
 """Exact centroid clustering with norm-of-sum (ns) bounds.
 
-Lloyd's rounds over integer vectors. A vector keeps what its last evaluation found: the round, its
-nearest centroid and the distances to all of them. The history of all centroids
-is kept too, so at a later round a bound loosens by the norm of a centroid's
+Lloyd's rounds over integer vectors. A vector keeps its nearest centroid and, for
+every centroid, the distance of its last evaluation and the round of that. The history of all centroids
+is kept too, so at a later round a bound loosens by the norm of the centroid's
 *total* displacement since that evaluation (never more than the sum of its
 drifts round by round, and less where a centroid turns back). If the nearest
 centroid's upper bound is below every other one's lower bound, the assignment
-stands without a distance; all other vectors are scanned again, exactly.
+stands without a distance. A vector that fails is scanned again, exactly: its
+nearest centroid first, then all whose lower bounds are not above that.
 
 Each round is one pass over the state table, whose tasks send a sum a
 cluster and component to Spark's own aggregation; 8 x 64 sums reach the driver. As
 bounds start from the last evaluation whichever round that was, a round needs no new state:
-the table is written again (to the shared folder, the superseded one is removed) only when more than ``REFRESH`` of the
-vectors had to be scanned. History and centroids are rounds x clusters x components numbers.
+the table is written again (to the shared folder, the superseded one is removed) only when a round took more than
+``REFRESH`` of the distances of a full scan. History and centroids are rounds x clusters x components numbers.
 
 All arithmetic that decides is on integers. Bounds are doubles, and count as
 apart only by more than ``SLACK`` of their size, far above their rounding.
@@ -45,7 +46,7 @@ SCALE = 1024
 LIMIT = 1 << 27
 REFRESH = 0.3
 SLACK = 1e-9
-STATE = "vec_id {id}, v array<int>, seen int, nearest int, d array<long>"
+STATE = "vec_id {id}, v array<int>, seen array<int>, nearest int, d array<long>"
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vec_col: str, dims: int = DIMS) -> DataFrame:
@@ -67,37 +68,45 @@ def first_centroids(vectors: DataFrame, clusters: int = CLUSTERS, seed: int = SE
     return np.array([r["v"] for r in rows], dtype=np.int64)
 
 
-def distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Exact squared distances (rows, centroids) of integer vectors."""
-    out = np.empty((len(x), len(centroids)), dtype=np.int64)
-    for j, c in enumerate(centroids):
-        diff = x - c
-        out[:, j] = np.einsum("ij,ij->i", diff, diff)
-    return out
+def distance(x: np.ndarray, centroid: np.ndarray) -> np.ndarray:
+    """Exact squared distances of integer vectors from one centroid."""
+    diff = x - centroid
+    return np.einsum("ij,ij->i", diff, diff)
 
 
-def assign(x: np.ndarray, seen: np.ndarray, nearest: np.ndarray, d: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """Brings ``nearest``, ``seen`` and ``d`` up to the last round of ``history``, in place; returns which rows were scanned.
+def assign(x: np.ndarray, seen: np.ndarray, nearest: np.ndarray, d: np.ndarray, history: np.ndarray) -> int:
+    """Brings ``nearest``, ``seen`` and ``d`` up to the last round of ``history``, in place; returns the distances it took.
 
-    Rows that keep their bounds keep the round and distances of their last evaluation.
+    ``seen`` and ``d`` are (rows, centroids): the round of each distance's last evaluation (-1: none) and the distance then.
+    A row whose bounds stay apart is not touched. Otherwise its nearest centroid is measured, and then those whose
+    lower bounds are not above that distance; the others cannot be nearer.
     """
-    now = len(history) - 1
+    now, k = len(history) - 1, history.shape[1]
     moved = np.sqrt(((history[now][None].astype(np.float64) - history.astype(np.float64)) ** 2).sum(axis=2))  # (round, centroid)
     at = np.arange(len(x))
-    known = seen >= 0
-    away = moved[np.maximum(seen, 0)]
+    away = moved[np.maximum(seen, 0), np.arange(k)]
     root = np.sqrt(d.astype(np.float64))
-    upper = root[at, nearest] + away[at, nearest]
-    lower = root - away
-    lower[at, nearest] = np.inf
-    apart = lower.min(axis=1) * (1 - SLACK) > upper * (1 + SLACK)
-    scan = ~(known & apart)
-    rows = np.flatnonzero(scan)
-    if len(rows):
-        d[rows] = distances(x[rows], history[now])
-        nearest[rows] = d[rows].argmin(axis=1)
-        seen[rows] = now
-    return scan
+    lower = np.where(seen >= 0, (root - away) * (1 - SLACK), -np.inf)
+    upper = np.where(seen[at, nearest] >= 0, (root + away)[at, nearest] * (1 + SLACK), np.inf)
+    others = np.arange(k) != nearest[:, None]
+    failed = np.flatnonzero((others & (lower <= upper[:, None])).any(axis=1))
+    taken = 0
+
+    def measure(rows: np.ndarray, j: int) -> None:
+        nonlocal taken
+        rows = rows[seen[rows, j] != now]
+        d[rows, j] = distance(x[rows], history[now][j])
+        seen[rows, j] = now
+        taken += len(rows)
+
+    for j in range(k):
+        measure(failed[nearest[failed] == j], j)
+    upper = np.sqrt(d[failed, nearest[failed]].astype(np.float64)) * (1 + SLACK)
+    for j in range(k):
+        measure(failed[others[failed, j] & (lower[failed, j] <= upper)], j)
+    exact = np.where(seen[failed] == now, d[failed], np.iinfo(np.int64).max)
+    nearest[failed] = exact.argmin(axis=1)
+    return taken
 
 
 def _columns(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
@@ -105,26 +114,30 @@ def _columns(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
     n = batch.num_rows
     x = np.asarray(batch.column("v").flatten(), dtype=np.int64).reshape(n, -1)
     if "seen" not in batch.schema.names:
-        return x, np.full(n, -1, dtype=np.int32), np.zeros(n, dtype=np.int32), np.zeros((n, k), dtype=np.int64)
-    d = np.array(batch.column("d").flatten(), dtype=np.int64).reshape(n, k)
-    return x, np.array(batch.column("seen"), dtype=np.int32), np.array(batch.column("nearest"), dtype=np.int32), d
+        return x, np.full((n, k), -1, dtype=np.int32), np.zeros(n, dtype=np.int32), np.zeros((n, k), dtype=np.int64)
+    lists = [np.array(batch.column(c).flatten(), dtype=t).reshape(n, k) for c, t in (("seen", np.int32), ("d", np.int64))]
+    return x, lists[0], np.array(batch.column("nearest"), dtype=np.int32), lists[1]
+
+
+def _lists(values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32), pa.array(values.ravel()))
 
 
 def round_sums(state: DataFrame, history: np.ndarray) -> tuple[np.ndarray, list, int]:
-    """(counts, sums by cluster, rows scanned) of one assignment round, the sums as Python integers."""
+    """(counts, sums by cluster, distances taken) of one assignment round, the sums as Python integers."""
     k, dims = history.shape[1:]
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, counts, scanned = np.zeros((k, dims), dtype=np.int64), np.zeros(k, dtype=np.int64), 0
+        sums, counts, taken = np.zeros((k, dims), dtype=np.int64), np.zeros(k, dtype=np.int64), 0
         for batch in batches:
             if batch.num_rows:
                 x, seen, nearest, d = _columns(batch, k)
-                scanned += int(assign(x, seen, nearest, d, history).sum())
+                taken += assign(x, seen, nearest, d, history)
                 for j in range(k):
                     rows = nearest == j
                     counts[j] += rows.sum()
                     sums[j] += x[rows].sum(axis=0)
-        cells = np.concatenate([sums.ravel(), counts, [scanned]])
+        cells = np.concatenate([sums.ravel(), counts, [taken]])
         yield pa.RecordBatch.from_pydict({"cell": np.arange(len(cells), dtype=np.int32), "n": cells})
 
     cells = state.mapInArrow(part, "cell int, n long").groupBy("cell").agg(F.sum(F.col("n").cast("decimal(38,0)")).alias("n")).collect()
@@ -153,9 +166,8 @@ def refreshed(state: DataFrame, history: np.ndarray) -> DataFrame:
             if batch.num_rows:
                 x, seen, nearest, d = _columns(batch, k)
                 assign(x, seen, nearest, d, history)
-                lists = pa.ListArray.from_arrays(np.arange(0, d.size + 1, k, dtype=np.int32), pa.array(d.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("vec_id"), batch.column("v"), pa.array(seen), pa.array(nearest), lists], names=["vec_id", "v", "seen", "nearest", "d"])
+                    [batch.column("vec_id"), batch.column("v"), _lists(seen), pa.array(nearest), _lists(d)], names=["vec_id", "v", "seen", "nearest", "d"])
 
     return cut_lineage(state.mapInArrow(part, STATE.format(id=state.schema["vec_id"].dataType.simpleString())))
 
@@ -174,7 +186,7 @@ def cluster(
 ) -> tuple[DataFrame, np.ndarray]:
     """(vec_id, cluster, distance) of every kept vector, and the final centroids.
 
-    ``report`` receives (round, rows scanned, rows) of each round.
+    ``report`` receives (round, distances taken, distances of a full scan) of each round.
     """
     spark = rows.sparkSession
     bounded_batches(spark)
@@ -188,11 +200,11 @@ def cluster(
         seen = np.stack(history)
         if k == rounds:
             break
-        counts, sums, scanned = round_sums(state, seen)
-        n = int(counts.sum())
+        counts, sums, taken = round_sums(state, seen)
+        full = int(counts.sum()) * len(start)
         if report is not None:
-            report.append((k, scanned, n))
-        if scanned > refresh * n:
+            report.append((k, taken, full))
+        if taken > refresh * full:
             old, state = state, refreshed(state, seen)
             drop_table(spark, old)
         history.append(next_centroids(history[-1], counts, sums))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from epistar.llm.decontaminate import op5_benchmark_decontamination
+from epistar.llm.fingerprint import op12_document_fingerprints
 from epistar.llm.html_text import op6_html_extraction
 from epistar.llm.language_id import op9_language_id
 from epistar.llm.merkle import op11_merkle_manifest
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
