@@ -93,17 +93,13 @@ f AS (SELECT *, {_OTHER} AS c_other, length(t) AS chars FROM base),
 prose AS (SELECT * FROM f WHERE 100 * c_symbol <= {_Q.MAX_REFERENCE_SYMBOL_PCT} * chars),
 classes AS (
   SELECT lang, sum(len(pw)) AS n, {", ".join(f"sum(c_{c}) AS c_{c}" for c in _Q.CLASSES)} FROM prose GROUP BY lang),
-ref AS (
-  SELECT * FROM classes WHERE lang IS NOT NULL AND n >= {_Q.MIN_REFERENCE_WORDS} ORDER BY n DESC, lang LIMIT {_Q.MAX_LANGUAGES}),
-allref AS (
-  SELECT '{_Q.ALL}' AS lang, sum(n) AS n, {", ".join(f"sum(c_{c}) AS c_{c}" for c in _Q.CLASSES)} FROM classes HAVING sum(n) >= {_Q.MIN_REFERENCE_WORDS}),
-refs AS (SELECT *, {" + ".join(f"c_{c}" for c in _Q.CLASSES)} AS chars FROM (SELECT * FROM ref UNION ALL SELECT * FROM allref)),
+refs AS (SELECT *, {" + ".join(f"c_{c}" for c in _Q.CLASSES)} AS chars FROM classes WHERE lang IS NOT NULL AND n >= {_Q.MIN_REFERENCE_WORDS}),
 short AS (
   SELECT lang, x, count(*) AS k FROM (SELECT lang, unnest(pw) AS x FROM prose) WHERE length(x) <= {_Q.SHORT} AND regexp_matches(x, '\p{{L}}') GROUP BY ALL),
 top AS (
   SELECT lang, x, k FROM short WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY k DESC, x) <= {_Q.COMMON_WORDS}),
 q AS (SELECT top.lang, x, k / refs.n AS q FROM top JOIN refs ON refs.lang = top.lang),
-keyed AS (SELECT f.*, CASE WHEN lang IN (SELECT lang FROM ref) THEN lang ELSE '{_Q.ALL}' END AS key FROM f),
+keyed AS (SELECT f.*, f.lang AS key FROM f WHERE lang IN (SELECT lang FROM refs)),
 hist AS (
   SELECT doc_id, key, x, count(*) AS c FROM (SELECT doc_id, key, unnest(pw) AS x FROM keyed) GROUP BY ALL),
 bins AS (

@@ -40,7 +40,6 @@ MAX_REPEAT_PCT = 20
 WINDOW = 5
 COMMON_WORDS = 12
 SHORT = 4
-MAX_LANGUAGES = 64  # read by the SQL only; the operator has a reference for every language
 MIN_REFERENCE_WORDS = 1000
 MAX_REFERENCE_SYMBOL_PCT = 1
 MIN_DIVERGENCE_WORDS = 30
@@ -52,7 +51,6 @@ GAP = r"[\x20\x09-\x0D]+"
 SENTENCE_MARKS = r"""[.,;:!?'"()\-]"""
 SYMBOLS = "[#*$%&|<>]"
 CLASSES = ("upper", "plain", "blank", "mark", "symbol", "other")
-ALL = "*"  # read by the SQL only
 
 
 def _only(text: Column, keep: str) -> Column:
@@ -66,15 +64,14 @@ def _prose_words(text: Column) -> Column:
 
 
 def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``_m`` of the base counts and character classes."""
+    """``docs`` with a struct column ``_m`` of the base counts and columns ``_c_*``, ``_chars`` of the character classes."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    step = docs.withColumn("_t", text)
+    step = _with_classes(docs.withColumn("_t", text), F.col("_t"))
     step = step.withColumn("_w", F.array_remove(F.split("_t", GAP), ""))
-    step = step.withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
     n = F.size("_w")
-    windows = F.transform(
-        F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get("_h", i + k) for k in range(WINDOW)])
-    )
+    # shifted copies side by side make the windows; one function a window hashes them
+    shifted = F.arrays_zip(*[F.slice("_w", k + 1, n - (WINDOW - 1)) for k in range(WINDOW)])
+    windows = F.transform(shifted, lambda words: F.xxhash64(words))
     step = step.withColumn("_win", F.when(n >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")))
     # positions of windows that occur twice or more; only texts with such windows are sorted
     step = step.withColumn(
@@ -98,45 +95,48 @@ def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     measures = F.struct(
         F.size("_w").cast("long").alias("n_words"),
         F.char_length(F.array_join("_w", "")).cast("long").alias("word_chars"),
-        _only(F.col("_t"), "[^#*$%&|<>]+").alias("n_symbols"),
+        F.col("_c_symbol").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"),
     )
-    return step.withColumn("_m", measures).drop("_w", "_h", "_win", "_s", "_p", "_lines", "_t")
-
-
-def class_counts(text: Column) -> list[Column]:
-    """Characters by class; small letters and digits are ``plain``, what is in no class is ``other``."""
-    counts = [
-        _only(text, r"\P{Lu}+"), _only(text, r"[^\p{Ll}0-9]+"), _only(text, r"[^\x20\x09-\x0D]+"),
-        _only(text, r"""[^.,;:!?'"()\-]+"""), _only(text, "[^#*$%&|<>]+"),
-    ]
-    return [c.alias(f"_c_{name}") for c, name in zip(counts, CLASSES)]
+    return step.withColumn("_m", measures).drop("_w", "_win", "_s", "_p", "_lines", "_t")
 
 
 def _with_classes(docs: DataFrame, text: Column) -> DataFrame:
-    named = docs.select("*", *class_counts(text), F.char_length(text).cast("long").alias("_chars"))
-    return named.withColumn("_c_other", F.col("_chars") - reduce(lambda a, b: a + b, [F.col(f"_c_{c}") for c in CLASSES[:-1]]))
+    """``docs`` with the characters by class (``_c_*``) and in all (``_chars``).
+
+    Small letters and digits are ``plain``, what is in no class is ``other``. One pass over the text takes the plain
+    characters out; the other classes are counted in what it leaves, a quarter of a usual text, and then in what is
+    left of that without the blanks.
+    """
+    size = lambda c: F.char_length(c).cast("long")
+    step = docs.withColumns({"_chars": size(text), "_rest": F.regexp_replace(text, r"[\p{Ll}0-9]+", "")})
+    step = step.withColumn("_solid", F.regexp_replace("_rest", GAP, ""))
+    step = step.withColumns({
+        "_c_upper": _only(F.col("_solid"), r"\P{Lu}+"), "_c_plain": F.col("_chars") - size("_rest"), "_c_blank": size("_rest") - size("_solid"),
+        "_c_mark": _only(F.col("_solid"), r"""[^.,;:!?'"()\-]+"""), "_c_symbol": _only(F.col("_solid"), "[^#*$%&|<>]+"),
+    })
+    other = F.col("_chars") - reduce(lambda a, b: a + b, [F.col(f"_c_{c}") for c in CLASSES[:-1]])
+    return step.withColumn("_c_other", other).drop("_rest", "_solid")
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Reference histograms (_lang, _qc: shares of the classes, _qw: shares of the common words), a row for each language."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = _with_classes(docs.select(F.col(f"`{lang_col}`").cast("string").alias("_lang"), text.alias("_t")), F.col("_t"))
-    base = base.withColumn("_w", F.when(100 * F.col("_c_symbol") <= MAX_REFERENCE_SYMBOL_PCT * F.col("_chars"), _prose_words(F.col("_t"))))
-    # one pass counts both: short words, and the classes as entries that no word can equal
-    entry = lambda name, k: F.struct(F.lit(name).alias("word"), k.cast("long").alias("k"))
-    totals = F.array(entry(" n", F.size("_w")), *[entry(f" {c}", F.col(f"_c_{c}")) for c in CLASSES])
-    short = F.filter("_w", lambda w: (F.char_length(w) <= SHORT) & w.rlike(r"\p{L}"))
-    entries = F.concat(totals, F.transform(short, lambda w: F.struct(w.alias("word"), F.lit(1).cast("long").alias("k"))))
-    counted = cut_lineage(base.select("_lang", F.explode(entries).alias("e")).groupBy("_lang", "e.word").agg(F.sum("e.k").alias("k")))
-    counted = counted.where("_lang is not null")
-    sum_of = lambda name: F.sum(F.when(F.col("word") == f" {name}", F.col("k")))
-    sums = counted.where(F.col("word").startswith(" ")).groupBy("_lang").agg(sum_of("n").alias("_n"), *[sum_of(c).alias(f"_c_{c}") for c in CLASSES])
+    base = base.where((100 * F.col("_c_symbol") <= MAX_REFERENCE_SYMBOL_PCT * F.col("_chars")) & F.col("_lang").isNotNull())
+    base = base.withColumn("_w", _prose_words(F.col("_t"))).withColumn("_c_n", F.size("_w").cast("long"))
+    # one pass counts both: short words, and the classes with a first entry that no word can equal
+    sums = ["_c_n", *[f"_c_{c}" for c in CLASSES]]
+    rows = base.select("_lang", *sums, F.posexplode(F.concat(F.array(F.lit(" ")), "_w")).alias("pos", "word"))
+    rows = rows.where(F.char_length("word") <= SHORT)
+    counted = rows.groupBy("_lang", "word").agg(F.count(F.lit(1)).alias("k"), *[F.sum(F.when(F.col("pos") == 0, F.col(c))).alias(c) for c in sums])
+    counted = cut_lineage(counted)
+    sums = counted.where("word = ' '").select("_lang", F.col("_c_n").alias("_n"), *[f"_c_{c}" for c in CLASSES])
     chars = reduce(lambda a, b: a + b, [F.col(f"_c_{c}") for c in CLASSES])
     sums = sums.where((F.col("_n") >= MIN_REFERENCE_WORDS) & (chars > 0))
     by_count = Window.partitionBy("_lang").orderBy(F.desc("k"), "word")
-    common = counted.where(~F.col("word").startswith(" ")).withColumn("r", F.row_number().over(by_count)).where(F.col("r") <= COMMON_WORDS)
+    common = counted.where(F.col("word").rlike(r"\p{L}")).withColumn("r", F.row_number().over(by_count)).where(F.col("r") <= COMMON_WORDS)
     common = common.groupBy("_lang").agg(F.map_from_entries(F.collect_list(F.struct("word", "k"))).alias("_top"))
     share = F.transform_values("_top", lambda w, k: k / F.col("_n"))
     return cut_lineage(
@@ -154,10 +154,10 @@ def _js(p: Column, q: Column) -> Column:
 
 
 def divergences(docs: DataFrame, refs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``_js_classes`` and ``_js_words`` (null without a reference or without text)."""
+    """``docs`` of ``base_measures`` with ``_js_classes`` and ``_js_words`` (null without a reference or without text)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     step = docs.withColumn("_key", F.col(f"`{lang_col}`").cast("string"))
-    step = _with_classes(step.join(refs, F.col("_key") == F.col("_lang"), "left"), text)
+    step = step.join(refs, F.col("_key") == F.col("_lang"), "left")
     js_classes = reduce(
         lambda a, b: a + b, [_js(F.col(f"_c_{c}") / F.col("_chars"), F.get("_qc", F.lit(i))) for i, c in enumerate(CLASSES)]
     )
@@ -227,4 +227,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; null texts are empty and fail, an empty table gives no rows."""
     return quality_rules(table(spark, sf_dir, "documents"))
