@@ -98,16 +98,73 @@ def token_sort(c) -> Column:
 TOKEN_SORT_WEIGHT = 95
 
 
-def similarity(a, b) -> Column:
-    """0-100 similarity of two normalised names (see ``normalize_name``).
+# The other forms of the score, and their weights in 100.
+TOKEN_SET_WEIGHT = 95
+PARTIAL_WEIGHT = 90
+PARTIAL_FAR_WEIGHT = 60
+# A partial match needs lengths 3:2 apart or more (beyond 8:1 it weighs less) and this many characters.
+PARTIAL_MIN_LENGTH = 4
+PLAIN_FORMS = ("plain", "sort")
+ALL_FORMS = ("plain", "sort", "set", "partial")
 
-    The larger of the plain edit ratio and a 0.95-weighted edit ratio of the
-    token-sorted strings, so word order counts for little.
+
+def _weighted(score: Column, weight: int) -> Column:
+    return ((score * weight + 50) / 100).cast("int")
+
+
+def tokens(c) -> Column:
+    """Distinct words of a normalised name."""
+    return F.array_distinct(F.filter(F.split(col_of(c), " "), lambda t: t != ""))
+
+
+def joined_length(words: Column) -> Column:
+    """Characters of words joined by one space."""
+    return F.length(F.array_join(words, " "))
+
+
+def token_set_ratio(a, b) -> Column:
+    """Share (0-100, by characters) of the shorter name's words that the other name has too.
+
+    100 where one name holds all words of the other ("Republic of Moldova" and "Moldova").
+    """
+    x, y = tokens(a), tokens(b)
+    shorter = F.least(joined_length(x), joined_length(y))
+    common = joined_length(F.array_intersect(x, y))
+    return F.when(shorter == 0, F.lit(0)).otherwise(((F.lit(200) * common + shorter) / (F.lit(2) * shorter)).cast("int"))
+
+
+def partial_ratio(a, b) -> Column:
+    """Best edit ratio of the shorter name with a stretch of the longer of the same length."""
+    x, y = col_of(a), col_of(b)
+    short, long_ = F.when(F.length(x) <= F.length(y), x).otherwise(y), F.when(F.length(x) <= F.length(y), y).otherwise(x)
+    m = F.length(short)
+    starts = F.sequence(F.lit(1), F.length(long_) - m + 1)
+    return _int_ratio(F.array_min(F.transform(starts, lambda i: F.levenshtein(short, F.substr(long_, i, m)))), m)
+
+
+def partial_applies(a, b) -> Column:
+    """Whether the lengths of two names are far enough apart for the partial form."""
+    m, n = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    return (m >= PARTIAL_MIN_LENGTH) & (2 * n >= 3 * m)
+
+
+def similarity(a, b, forms: tuple[str, ...] = PLAIN_FORMS) -> Column:
+    """0-100 similarity of two normalised names (see ``normalize_name``), the largest of ``forms``.
+
+    ``plain``: edit ratio. ``sort``: that of the token-sorted names, weighted 0.95, so word order
+    counts for little. ``set``: words in common, weighted 0.95, so added words count for little.
+    ``partial``: the best stretch of the longer name, weighted 0.9 (0.6 if it is over 8 times as long).
     """
-    plain = edit_ratio(a, b)
-    sorted_ratio = edit_ratio(token_sort(a), token_sort(b))
-    weighted = ((sorted_ratio * TOKEN_SORT_WEIGHT + 50) / 100).cast("int")
-    return F.greatest(plain, weighted)
+    x, y = col_of(a), col_of(b)
+    scores = [edit_ratio(x, y), _weighted(edit_ratio(token_sort(x), token_sort(y)), TOKEN_SORT_WEIGHT)]
+    if "set" in forms:
+        scores.append(_weighted(token_set_ratio(x, y), TOKEN_SET_WEIGHT))
+    if "partial" in forms:
+        far = F.greatest(F.length(x), F.length(y)) > 8 * F.least(F.length(x), F.length(y))
+        part = partial_ratio(x, y)
+        part = F.when(far, _weighted(part, PARTIAL_FAR_WEIGHT)).otherwise(_weighted(part, PARTIAL_WEIGHT))
+        scores.append(F.when(partial_applies(x, y), part).otherwise(F.lit(0)))
+    return F.greatest(*scores)
 
 
 def length_window(length, min_score: int) -> tuple[Column, Column]:

@@ -715,3 +715,32 @@ FROM p JOIN m ON p.nationkey = m.nationkey AND p.order_date BETWEEN m.month_star
 
 # the segment-blocking path must return exactly what the length-window path returns
 ORACLE_SQL["j2_fuzzy_segments"] = ORACLE_SQL["j2_fuzzy"]
+
+# every pair of the names and the lookup is scored in all forms; the library meets candidates only
+_RATIO = "(CASE WHEN {n} = 0 THEN 100 ELSE (200 * ({n} - {d}) + {n}) // (2 * {n}) END)"
+ORACLE_SQL["j2_all_forms"] = f"""
+WITH lk AS (
+  SELECT lower(p_name || ' ' || p_type) AS b, min(p_partkey) AS pos FROM part GROUP BY b),
+names AS (
+  SELECT DISTINCT CASE p_partkey % 3
+    WHEN 0 THEN p_type || ' ' || replace(p_brand, '#', ' ') || ' ' || p_name
+    WHEN 1 THEN 'a ' || p_name || ' of the old ' || p_type
+    ELSE substring(p_name, 2, 100) || 's' || p_type || ' and others' END AS name FROM part),
+pairs AS (
+  SELECT name, lower(name) AS a, b, pos, list_distinct(string_split(lower(name), ' ')) AS ta, list_distinct(string_split(b, ' ')) AS tb,
+    least(length(lower(name)), length(b)) AS m, greatest(length(lower(name)), length(b)) AS n
+  FROM names, lk),
+forms AS (
+  SELECT *, {_RATIO.format(n="n", d="levenshtein(a, b)")} AS plain,
+    (95 * {_RATIO.format(n="n", d="levenshtein(array_to_string(list_sort(string_split(a, ' ')), ' '), array_to_string(list_sort(string_split(b, ' ')), ' '))")} + 50) // 100 AS sorted,
+    length(array_to_string(list_intersect(ta, tb), ' ')) AS common, least(length(array_to_string(ta, ' ')), length(array_to_string(tb, ' '))) AS shorter,
+    CASE WHEN m >= 4 AND 2 * n >= 3 * m THEN list_min(list_transform(range(1, n - m + 2), lambda i:
+      levenshtein(CASE WHEN length(a) <= length(b) THEN a ELSE b END, substring(CASE WHEN length(a) <= length(b) THEN b ELSE a END, i, m)))) END AS off
+  FROM pairs),
+scored AS (
+  SELECT name, b, pos, greatest(plain, sorted, (95 * ((200 * common + shorter) // (2 * shorter)) + 50) // 100,
+    CASE WHEN off IS NULL THEN 0 ELSE ((CASE WHEN n > 8 * m THEN 60 ELSE 90 END) * {_RATIO.format(n="m", d="off")} + 50) // 100 END) AS score
+  FROM forms)
+SELECT name, b AS match_name, score::INTEGER AS match_score, pos::VARCHAR AS code FROM scored
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, pos) = 1 AND score >= 75
+"""

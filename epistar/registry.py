@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from epistar.functions import calendar as cal
 from epistar.functions import text as tx
+from epistar.functions.text import PLAIN_FORMS
 from epistar.operators import columns as colops
 from epistar.operators import dedupe, lookup, projection, series
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, with_unknown_member
@@ -382,7 +383,7 @@ def _fuzzy_best(spark: SparkSession, sf_dir: str, blocking: str) -> DataFrame:
     names = _t(spark, sf_dir, "customer").select(_perturbed_segment().alias("name"))
     exact = lookup.exact_lookup(names, "name", lk, "code_exact")
     unmatched = exact.filter(F.col("code_exact").isNull()).select(F.col("name").alias("_match_name"))
-    best = lookup.best_fuzzy_matches(unmatched, lk, lookup.FUZZY_MIN_SCORE, blocking)
+    best = lookup.best_fuzzy_matches(unmatched, lk, lookup.FUZZY_MIN_SCORE, blocking, PLAIN_FORMS)
     return best.select(F.col("_match_name").alias("name"), "match_name", "match_score", F.col("code_fuzzy").alias("code"))
 
 
@@ -391,6 +392,26 @@ def j2_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fuzzy_best(spark, sf_dir, "window")
 
 
+def j2_all_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2+F12 with token-set and partial forms: part names, reworded, against the list of all part names.
+
+    The lookup has an entry for every distinct name and type. A name is asked for with its words moved, some added,
+    or cut to a stretch of it.
+    """
+    part = _t(spark, sf_dir, "part")
+    entry = F.concat_ws(" ", "p_name", "p_type")
+    listed = part.groupBy(entry.alias("Name")).agg(F.min("p_partkey").cast("string").alias("Code"), F.min("p_partkey").alias("_pos"))
+    lk = lookup.prepare_lookup(listed, "Name", "Code", "_pos")
+    kind = F.col("p_partkey") % 3
+    asked = (
+        F.when(kind == 0, F.concat_ws(" ", "p_type", F.regexp_replace("p_brand", "#", " "), "p_name"))
+        .when(kind == 1, F.concat(F.lit("a "), F.col("p_name"), F.lit(" of the old "), F.col("p_type")))
+        .otherwise(F.concat(F.substring("p_name", 2, 100), F.lit("s"), F.col("p_type"), F.lit(" and others")))
+    )
+    best = lookup.best_fuzzy_matches(part.select(asked.alias("_match_name")), lk)
+    return best.select(F.col("_match_name").alias("name"), "match_name", "match_score", F.col("code_fuzzy").alias("code"))
+
+
 def j2_fuzzy_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 as run against a lookup too large to broadcast: exact segment blocking, same result."""
     return _fuzzy_best(spark, sf_dir, "segments")
@@ -405,7 +426,7 @@ def j3_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("T"), F.col("c_nationkey").cast("string"))).alias("territory_code"),
         F.concat(F.lit("X"), F.substring("c_mktsegment", 1, 1)).alias("country_code"),
     )
-    out = lookup.resolve_codes(cust, lk, "country_name", "territory_code", "country_code")
+    out = lookup.resolve_codes(cust, lk, "country_name", "territory_code", "country_code", forms=PLAIN_FORMS)
     return out.select("c_custkey", "country_name", "country_code")
 
 
@@ -603,6 +624,7 @@ QUERIES: dict[str, QueryFn] = {
     "j4_week_interval": j4_week_interval,
     "j2_fuzzy": j2_fuzzy,
     "j2_fuzzy_segments": j2_fuzzy_segments,
+    "j2_all_forms": j2_all_forms,
     "j3_fallback": j3_fallback,
     "j6_dim_keys": j6_dim_keys,
     "h5_surrogate": h5_surrogate,
