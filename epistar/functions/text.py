@@ -35,6 +35,7 @@ def prefix(c, n: int = 2) -> Column:
 # The open age band runs to 200 and an unbanded group spans 0..200.
 AGE_OPEN_UPPER = 200
 AGE_ALL_LOWER = 0
+AGE_PATTERN = "^(?:1_)?Age(.*)$"
 
 
 def age_band(group) -> tuple[Column, Column]:
@@ -44,26 +45,15 @@ def age_band(group) -> tuple[Column, Column]:
     same after a ``1_`` prefix; anything else (``ALL``, ``AgeUNK``, ``HCW``)
     -> (0, 200). Numbers that do not parse become null.
     """
-    g = col_of(group)
-    banded = g.startswith("Age") | g.startswith("1_Age")
-    body = F.when(g.startswith("Age"), F.substring(g, 4, 1 << 20)).otherwise(F.substring(g, 6, 1 << 20))
-    has_range = banded & body.contains("_")
-    has_upper = banded & body.contains("<")
-    has_plus = banded & body.contains("+")
-    range_parts = F.split(body, "_")
-    two_parts = F.size(range_parts) == 2
-    lower = (
-        F.when(has_range, F.when(two_parts, range_parts.getItem(0).try_cast("int")))
-        .when(has_upper, F.lit(AGE_ALL_LOWER))
-        .when(has_plus, F.replace(body, F.lit("+"), F.lit("")).try_cast("int"))
-        .otherwise(F.lit(AGE_ALL_LOWER))
-    )
-    upper = (
-        F.when(has_range, F.when(two_parts, range_parts.getItem(1).try_cast("int")))
-        .when(has_upper, F.replace(body, F.lit("<"), F.lit("")).try_cast("int"))
-        .when(has_plus, F.lit(AGE_OPEN_UPPER))
-        .otherwise(F.lit(AGE_OPEN_UPPER))
-    )
+    # a band is what follows "Age": two limits around "_", an upper one after "<", or a lower one before "+"
+    found = F.regexp_extract(col_of(group), AGE_PATTERN, 1)
+    limits = F.split(found, "_")
+    open_below, open_above, pair = found.contains("<"), found.contains("+"), found.contains("_")
+    number = lambda text: F.trim(text).try_cast("int")
+    of_pair = lambda k: F.when(F.size(limits) == 2, number(F.get(limits, F.lit(k))))
+    alone = F.regexp_replace(found, "[<+]", "")
+    lower = F.when(pair, of_pair(0)).when(open_above & ~open_below, number(alone)).otherwise(F.lit(AGE_ALL_LOWER))
+    upper = F.when(pair, of_pair(1)).when(open_below, number(alone)).otherwise(F.lit(AGE_OPEN_UPPER))
     return lower, upper
 
 

@@ -1,20 +1,18 @@
 """Validated insert and upsert into versioned Parquet tables (H2-H4, H7-H9).
 
-Parquet has no row-level MERGE, so a load writes a complete new version of
-the table next to the old one (``<root>/<table>/version=<n>``) and readers
-always take the highest complete version. The path being read is never
+Parquet has no row-level MERGE, so a load writes new files and commits a new
+version of the table that lists them beside the files it left alone
+(``operators/manifest.py``). The files being read are never
 overwritten, and a failed job leaves the previous version intact.
 
-Upsert plan: when the source batch is proven small, its keys are broadcast
-and the target is split map-side into untouched rows (``left_anti``) and
-matched rows (``left_semi``), so the large target is never shuffled. Larger
-batches fall back to a shuffled full outer join on the keys.
+An upsert rewrites the files that hold a key of the batch: the manifest's key ranges
+leave few to look at, a semi-join on the key columns of those tells which are hit, and
+only their rows meet the batch. Rows with new keys become files of their own.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +21,17 @@ from pyspark.sql import functions as F
 from epistar.operators.columns import fill_numeric_zero, present_in
 from epistar.operators.dedupe import has_rows, keep_first
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, unknown_member_row, with_unknown_member
-from epistar.operators.sizing import row_count_at_most
+from epistar.operators.manifest import (
+    current_version,
+    files_with_keys,
+    list_versions,
+    read_current,
+    read_files,
+    read_version,
+    remove_old_versions,
+    version_path,
+    write_version,
+)
 from epistar.session import cut_lineage
 from epistar.spec import AUDIT_COLUMNS, UNKNOWN_KEY, TableSpec
 
@@ -37,8 +45,7 @@ def audit_time(batch_ts: _dt.datetime):
     return F.lit(batch_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(AUDIT_TYPE)
 
 
-# Fixed value: batches up to this many rows are upserted without shuffling the target.
-UPSERT_BROADCAST_ROWS = 5_000_000
+__all__ = ["current_version", "list_versions", "read_current", "remove_old_versions", "version_path", "write_version"]
 
 
 def validate_against_spec(
@@ -135,50 +142,45 @@ def upsert_rows(
     spec: TableSpec,
     batch_ts: _dt.datetime,
     order_cols: Sequence[str] | None = None,
-    broadcast_rows: int = UPSERT_BROADCAST_ROWS,
 ) -> DataFrame | None:
     """H4 (+H5, H7): MERGE semantics on the unique keys; returns the whole new table.
 
     Matched rows take every *supplied* column from the source (a supplied
     null overwrites), keep unsupplied columns and ``created_ts``, and get
     ``updated_ts = batch_ts``. Unmatched source rows are inserted, with new
-    surrogate keys for dimensions. Null keys never match. Running the same
+    surrogate keys for dimensions. Keys match null-safely, so a fact with a null in its key is
+    one row however often it is loaded. Running the same
     source twice gives the same table apart from ``updated_ts``.
     """
     valid = validate_against_spec(source, spec, order_cols)
     if valid is None:
         return None
     src, keys, supplied = valid
-    # the batch is written once: the size check and the merge read the same rows,
-    # and a retried task never sees a recomputed (possibly different) batch
-    src = cut_lineage(src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in supplied], F.lit(True).alias("_in_s")))
-    tgt = _complete(target, spec).withColumn("_in_t", F.lit(True))
+    return _merged(target, _batch(src, keys, supplied), keys, supplied, spec, batch_ts, _max_key(target, spec) if spec.surrogate_key else 0)
+
+
+def _batch(src: DataFrame, keys: Sequence[str], supplied: Sequence[str]) -> DataFrame:
+    """The validated batch, written once: all steps of the merge, and retried tasks, read the same rows."""
+    return cut_lineage(src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in supplied], F.lit(True).alias("_in_s")))
 
-    if row_count_at_most(src, broadcast_rows):
-        # map-side split of the target: only the matched rows meet the source
-        src_keys = F.broadcast(src.select(*keys))
-        untouched = tgt.join(src_keys, keys, "left_anti").drop("_in_t")
-        matched_t = tgt.join(src_keys, keys, "left_semi")
-        both = src.join(matched_t, keys, "left")
-    else:
-        untouched = None
-        both = src.join(tgt, keys, "full_outer")
 
-    in_s = F.coalesce(F.col("_in_s"), F.lit(False))
-    merged_cols = {}
-    for c in supplied:
-        merged_cols[c] = F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(c))
+def _merged(
+    target: DataFrame, src: DataFrame, keys: Sequence[str], supplied: Sequence[str], spec: TableSpec, batch_ts: _dt.datetime, start: int
+) -> DataFrame:
+    """``target`` with the batch merged in; new members are numbered after ``start``."""
+    tgt = _complete(target, spec).withColumn("_in_t", F.lit(True))
+    side = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in src.columns if c not in keys])
+    both = tgt.join(side, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "full_outer")
+    in_s, in_t = F.coalesce(F.col("_in_s"), F.lit(False)), F.coalesce(F.col("_in_t"), F.lit(False))
+    merged_cols = {k: F.when(in_t, F.col(k)).otherwise(F.col(f"_k_{k}")) for k in keys}
+    merged_cols |= {c: F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(c)) for c in supplied}
     merged_cols["created_ts"] = F.coalesce(F.col("created_ts"), audit_time(batch_ts))
     merged_cols["updated_ts"] = F.when(in_s, audit_time(batch_ts)).otherwise(F.col("updated_ts"))
     merged = both.withColumns(merged_cols)
     if not spec.surrogate_key:
-        merged = _complete(merged, spec)
-    else:
-        is_new = F.col("_in_t").isNull()
-        start = _max_key(target, spec)
-        inserted = assign_consecutive_keys(merged.filter(is_new).drop(spec.surrogate_key), keys, spec.surrogate_key, start)
-        merged = _complete(merged.filter(~is_new), spec).unionByName(_complete(inserted, spec))
-    return merged if untouched is None else _complete(untouched, spec).unionByName(merged)
+        return _complete(merged, spec)
+    inserted = assign_consecutive_keys(merged.filter(~in_t).drop(spec.surrogate_key), keys, spec.surrogate_key, start)
+    return _complete(merged.filter(in_t), spec).unionByName(_complete(inserted, spec))
 
 
 def prepare_fact(
@@ -195,57 +197,6 @@ def prepare_fact(
 # ---------------------------------------------------------------- storage
 
 
-_VERSION_RE = re.compile(r"version=(\d+)$")
-
-
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
-
-
-def list_versions(spark: SparkSession, table_root: str, complete_only: bool = True) -> list[int]:
-    """Versions of a table, ascending; by default only complete ones (with ``_SUCCESS``)."""
-    fs, root, jvm = _hadoop_fs(spark, table_root)
-    if not fs.exists(root):
-        return []
-    out = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        m = _VERSION_RE.match(name)
-        if m and (not complete_only or fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))):
-            out.append(int(m.group(1)))
-    return sorted(out)
-
-
-def version_path(table_root: str, version: int) -> str:
-    return f"{table_root.rstrip('/')}/version={version:06d}"
-
-
-def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
-    """The highest complete version of a table, or ``None`` if none exists."""
-    versions = list_versions(spark, table_root)
-    if not versions:
-        return None
-    return spark.read.parquet(version_path(table_root, versions[-1]))
-
-
-def write_version(df: DataFrame, table_root: str, cluster_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as the next version of a table and return its path.
-
-    ``cluster_by`` sorts each write task's rows (no shuffle), so Parquet
-    min/max statistics let range filters on those columns skip row groups.
-    Numbering skips versions left half-written by a failed job, which
-    readers ignore because they lack ``_SUCCESS``.
-    """
-    versions = list_versions(df.sparkSession, table_root, complete_only=False)
-    path = version_path(table_root, (versions[-1] + 1) if versions else 1)
-    if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
 def load_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -253,21 +204,35 @@ def load_table(
     table_root: str,
     batch_ts: _dt.datetime,
     order_cols: Sequence[str] | None = None,
+    commit: tuple[str, int] | None = None,
 ) -> str | None:
-    """H8: insert when the table holds no data rows, else upsert; write a new version.
+    """H8: insert when the table holds no data rows, else upsert; commit a new version.
 
-    For dimensions "holds data" ignores the unknown member (A7).
+    For dimensions "holds data" ignores the unknown member (A7). ``commit`` names a stream and its epoch: the
+    manifest records it, and an epoch that the table already holds is not applied again.
     """
-    current = read_current(spark, table_root)
+    version = current_version(spark, table_root)
+    epochs = dict(version.epochs) if version else {}
+    if commit is not None:
+        if epochs.get(commit[0], -1) >= commit[1]:
+            return version_path(table_root, version.number)
+        epochs[commit[0]] = commit[1]
     key = spec.surrogate_key if spec.kind == "dimension" else None
-    if current is not None and has_rows(current, key, UNKNOWN_KEY):
-        new = upsert_rows(current, source, spec, batch_ts, order_cols)
-    else:
+    current = read_version(spark, version) if version else None
+    # files cluster on the unique keys; the leading one is a date key for most facts, the business key for dimensions
+    if current is None or not has_rows(current, key, UNKNOWN_KEY):
         new = insert_rows(current, source, spec, batch_ts, order_cols)
-    if new is None:
+        return None if new is None else write_version(new, table_root, spec.unique_keys, epochs=epochs)
+    valid = validate_against_spec(source, spec, order_cols)
+    if valid is None:
         return None
-    # facts cluster on their leading key (a date key for most), dimensions on their business key
-    return write_version(new, table_root, spec.unique_keys[:1])
+    rows, keys, supplied = valid
+    batch = _batch(rows, keys, supplied)
+    hit = files_with_keys(spark, version, batch.select(*keys), keys)
+    paths = {f["path"] for f in hit}
+    start = _max_key(current, spec) if spec.surrogate_key else 0
+    new = _merged(read_files(spark, version.schema, sorted(paths)), batch, keys, supplied, spec, batch_ts, start)
+    return write_version(new, table_root, spec.unique_keys, keep=[f for f in version.files if f["path"] not in paths], epochs=epochs)
 
 
 def empty_table(spark: SparkSession, spec: TableSpec, batch_ts: _dt.datetime) -> DataFrame:

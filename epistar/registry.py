@@ -136,14 +136,21 @@ def _events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("value", F.when(F.col("value") >= 10, F.col("value")))
 
 
-# The event types of the driver's events table.
-EVENT_TYPES = ("purchase", "error", "click", "view", "signup")
+# A wide result has a column a type: more types than this are no dimension to turn into columns, and fail.
+MAX_EVENT_TYPES = 1000
+
+
+def _event_types(events: DataFrame) -> list[str]:
+    found = events.where("event_type is not null").select("event_type").distinct().limit(MAX_EVENT_TYPES + 1).collect()
+    if len(found) > MAX_EVENT_TYPES:
+        raise ValueError(f"more than {MAX_EVENT_TYPES} event types")
+    return sorted(r["event_type"] for r in found)
 
 
 def a4_first_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4+A6: per user, the first non-null value of each event type (long -> wide)."""
     events = _events_with_gaps(spark, sf_dir)
-    value_map = {f"{t}_value": (t, "value") for t in EVENT_TYPES}
+    value_map = {f"{t}_value": (t, "value") for t in _event_types(events)}
     # one aggregation: the per-type columns and the first value of any type
     wide = dedupe.long_to_wide(events, ["user_id"], "event_type", value_map, ["event_id"], carry=["value"])
     return wide.withColumnRenamed("value", "first_any_value")

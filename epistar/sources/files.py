@@ -107,16 +107,16 @@ def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T
 
 
 def read_json_table(spark: SparkSession, paths: str | Sequence[str], schema=None) -> DataFrame:
-    """A plain JSON document (array of rows) as a table, with order columns."""
-    reader = spark.read.option("multiLine", True)
+    """A plain JSON document (array of rows) as a table, with order columns; one that breaks off fails the read."""
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     return _with_order(reader.json(paths if isinstance(paths, str) else list(paths)))
 
 
 def read_json_lines(spark: SparkSession, paths: str | Sequence[str], schema=None) -> DataFrame:
-    """JSON-lines input (splittable: many tasks per file)."""
-    reader = spark.read
+    """JSON-lines input (splittable: many tasks per file); a broken line fails the read."""
+    reader = spark.read.option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(paths if isinstance(paths, str) else list(paths))
@@ -140,7 +140,7 @@ def read_cleansed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "jsonl":
-        return spark.read.json(path)
+        return spark.read.option("mode", "FAILFAST").json(path)
     raise ValueError(f"unknown intermediate format {fmt!r}")
 
 

@@ -2,9 +2,8 @@
 
 Landed chunk files (JSON lines or Parquet) are read by the file source with
 ``maxFilesPerTrigger``; every micro-batch is transformed and upserted by key
-into the versioned warehouse tables. The upsert is idempotent by key, so a
-batch replayed after a failure (the checkpoint records which files were
-committed) yields the same table. An upsert replaces: a transform hands over
+into the versioned warehouse tables. A table's manifest records the last epoch of each stream, so a batch whose table was
+committed but whose checkpoint was not is recognised when it is replayed, and skipped. An upsert replaces: a transform hands over
 rows under their own unique key and leaves totals to the reader; totals of one
 batch would overwrite those of the batch before. Order columns come from the
 data (file, split, position in the split), never from arrival time.
@@ -76,7 +75,7 @@ def upsert_batches(
             if spec is None:
                 continue
             order = [c for c in ORDER_COLUMNS if c in df.columns] or None
-            load_table(batch.sparkSession, spec, df, f"{warehouse_root.rstrip('/')}/{name}", ts, order)
+            load_table(batch.sparkSession, spec, df, f"{warehouse_root.rstrip('/')}/{name}", ts, order, commit=(query_name, epoch_id))
 
     return (
         stream.writeStream.queryName(query_name)
