@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names differ beyond case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small (rows; a smaller setting stays)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

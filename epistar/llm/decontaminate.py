@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistar.llm.common import bounded_batches, table
+from epistar.llm.common import bounded_batches, free_name, table
 from epistar.llm.tokens import chunks, grams, hash_runs, ranges, runs
 
 STRIDE = 64
@@ -312,10 +312,15 @@ def _search(docs: DataFrame, id_col: str, text_col: str, shared, threshold: floa
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no test item (all columns; a null id can't be told apart and stays)."""
-    leaks = contaminated(docs, benchmark).select(F.col("doc_id").alias("_leak")).where("_leak is not null").distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("_leak"), "left_anti")
+    """The documents that hold no test item (all columns; a null id can't be told apart and stays).
+
+    Null and empty texts stay; an empty table stays empty, and no test items remove nothing; other columns may have any names.
+    """
+    leak = free_name(docs, "_leak")
+    leaks = contaminated(docs, benchmark).select(F.col("doc_id").alias(leak)).where(F.col(leak).isNotNull()).distinct()
+    return docs.join(leaks, F.col("doc_id") == F.col(leak), "left_anti")
 
 
 def op5_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, with the item and its overlaps; empty tables on either side give no rows."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

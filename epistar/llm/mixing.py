@@ -97,7 +97,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     inside = Window.partitionBy("source", "bucket").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     ordered = keyed.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     ordered = ordered.join(ranges, F.col("source").eqNullSafe(F.col("r_source")) & (F.col("bucket") == F.col("r_bucket")))
-    ordered = ordered.join(F.broadcast(targets) if _few(targets) else targets, F.col("source").eqNullSafe(F.col("m_source")))
+    ordered = ordered.join(targets, F.col("source").eqNullSafe(F.col("m_source")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     ordered = ordered.withColumn("whole", whole)
     rest = F.floor(F.col("target")).cast("long") - F.col("whole") * F.col("source_size")
@@ -109,17 +109,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     )
 
 
-def _few(targets: DataFrame) -> bool:
-    return targets.count() <= 10_000
-
-
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: the columns of ``docs``, ``repetition`` (from 1) and ``taken`` words, a row per repetition.
 
     A cut repetition holds its first words, joined by one space, and ``n_chars``
     (if there) counts them. Documents that take no word leave the mix. Rows that
-    agree in id, source and size share a cut between them evenly.
+    agree in id, source and size share a cut between them evenly. Input columns
+    named ``repetition`` or ``taken`` give way to the mix's own. An empty table stays empty.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("repetition", "taken")])
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("text"), F.col("source"))
     plans = plan(docs).where("taken > 0").groupBy(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size")).agg(
         F.max("whole").alias("whole"), F.floor(F.sum("part") / F.count("*")).cast("long").alias("part")
@@ -140,4 +138,5 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def op8_mix_to_weights(spark, sf_dir: str) -> DataFrame:
+    """Size, target and taken words of every document; null texts have size 0 and take nothing, an empty table gives no rows."""
     return plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epistar.llm.common import bounded_batches, key_groups, merge_sketches, sketch_rows, table
+from epistar.llm.common import bounded_batches, free_name, key_groups, merge_sketches, sketch_rows, table
 from epistar.llm.tokens import distinct, mix, ranges, shingle_sets, signed
 from epistar.session import cut_lineage
 
@@ -503,12 +503,16 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The document with the smallest id of each component (all columns; rows without a text class stay).
 
     Rows with equal ids share one verdict: they stay if one of them names its
-    component. Rows with a null id stay, as nothing tells them apart.
+    component. Rows with a null id stay, as nothing tells them apart. An empty
+    table stays empty; other columns may have any names.
     """
-    kept = jaccard_components(docs, id_col, text_col).where(f"`{id_col}` = component_id").select(F.col(id_col).alias("_keep")).distinct()
-    picked = docs.join(kept, F.col(id_col) == F.col("_keep"), "left_semi")
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    keep = free_name(docs, "_keep")
+    kept = jaccard_components(slim, "id", "text").where("id = component_id").select(F.col("id").alias(keep)).distinct()
+    picked = docs.join(kept, F.col(id_col) == F.col(keep), "left_semi")
     return picked.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document; null and empty texts are linked with nothing, an empty table gives no rows."""
     return jaccard_components(table(spark, sf_dir, "documents"))

@@ -12,7 +12,7 @@ are added.
 Weights are learned by stochastic gradient on the conditional likelihood, from
 labelled islands: ``default_islands`` (seeded, by written format, with look-alikes)
 and at most ``TRAIN_DOCS`` documents whose base spans are the labels (a documented
-bound; in hash order of the id). Finding reads every whole text, in one pass
+bound; in hash order of the id, one row an id, the first ``PER_TEXT`` islands of each). Finding reads every whole text, in one pass
 without a shuffle.
 """
 
@@ -33,9 +33,12 @@ from epistar.llm.common import bounded_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = "none"
-MAX_WORDS = 4
+MAX_WORDS = 6
 MAX_CHARS = 80
-MAX_ISLAND = 200  # words; longer runs are cut there, which bounds a table of the dynamic program
+# Longer islands are read in windows of this many words, which bounds the table of the dynamic program. A window decides
+# on the spans that begin inside it, MARGIN words away from where it was cut; its neighbours, which overlap it, on the rest.
+WINDOW = 200
+MARGIN = 20
 CERTAIN = 0.95
 TRAIN_DOCS = 600
 EPOCHS = 4
@@ -111,7 +114,7 @@ def islands(text: str) -> Iterator[list[tuple[int, int]]]:
             a -= 1
         b = WORD.match(text, m.start()).end()
         pos = b
-        if words and (a - last > 1 or len(words) >= MAX_ISLAND):
+        if words and a - last > 1:
             yield words
             words = []
         last = b
@@ -213,15 +216,28 @@ class SemiMarkov:
         return out
 
     def find(self, text: str, certain: float = CERTAIN) -> list[tuple[str, int, int]]:
-        out = []
-        for words in islands(text):
-            scored = self.scores(candidates(text, words))
-            chosen = [k for k in self.best(scored, len(words)) if scored[k][2] != NONE]
-            if chosen:
-                p = self.marginals(scored, len(words))
-                out += [(scored[k][2], words[scored[k][0]][0], words[scored[k][1] - 1][1]) for k in chosen if p[k] >= certain]
+        """Spans (kind, start, end) of all islands, in order and without overlap."""
+        out: list[tuple[str, int, int]] = []
+        for island in islands(text):
+            for lo in range(0, max(1, len(island) - 2 * MARGIN), WINDOW - 2 * MARGIN):
+                hi = min(len(island), lo + WINDOW)
+                first = lo + MARGIN if lo else 0
+                after = hi - MARGIN if hi < len(island) else hi
+                for kind, i, j in self._found(text, island[lo:hi], certain):
+                    a = island[lo + i][0]
+                    if first <= lo + i < after and (not out or out[-1][2] <= a):
+                        out.append((kind, a, island[lo + j - 1][1]))
         return out
 
+    def _found(self, text: str, words: list[tuple[int, int]], certain: float) -> list[tuple[str, int, int]]:
+        """(kind, first word, end word) of the best segmentation's certain entities."""
+        scored = self.scores(candidates(text, words))
+        chosen = [k for k in self.best(scored, len(words)) if scored[k][2] != NONE]
+        if not chosen:
+            return []
+        p = self.marginals(scored, len(words))
+        return sorted(((scored[k][2], scored[k][0], scored[k][1]) for k in chosen if p[k] >= certain), key=lambda x: x[1])
+
 
 def train(examples: list[tuple[str, list[tuple[int, int]], list[tuple[str, int, int]]]], epochs: int = EPOCHS, seed: int = 2) -> SemiMarkov:
     """Learn from (text, island words, true spans) by gradient steps on the conditional likelihood.
@@ -280,6 +296,7 @@ def default_islands(seed: int = 4, each: int = 60) -> list[tuple[str, list[tuple
             ("ip", rng.choice(["", "host", "from", "ip"]), ".".join(str(rng.randint(0, 255)) for _ in range(4))),
             ("card", rng.choice(["", "card", "visa"]), c), ("card", "card", " ".join(c[k : k + 4] for k in range(0, 16, 4))),
             ("card", rng.choice(["", "card"]), "-".join(c[k : k + 4] for k in range(0, 16, 4))),
+            ("phone", rng.choice(["tel", "call", "phone", "fax"]), f"0{rng.randint(1, 9)} {d(2)} {d(2)} {d(2)} {d(2)}"),
             (NONE, rng.choice(["on", "", "in"]), f"20{d(2)}-0{rng.randint(1, 9)}-1{d(1)}"), (NONE, rng.choice(["version", "v", ""]), f"{d(1)}.{d(1)}.{d(2)}"),
             (NONE, rng.choice(["order", "invoice", "no", ""]), d(rng.randint(4, 10))), (NONE, rng.choice(["", "id", "ref"]), d(rng.choice([13, 16, 20, 24]))),
             (NONE, rng.choice(["price", ""]), f"{d(2)}.{d(2)}"), (NONE, rng.choice(["at", ""]), f"1{d(1)}:{d(2)}"), (NONE, "", f"{w()}{d(2)}"),
@@ -291,11 +308,22 @@ def default_islands(seed: int = 4, each: int = 60) -> list[tuple[str, list[tuple
             text = f"{w()} {w()} {lead} {x} {w()} {w()}.".replace("  ", " ")
             a = text.index(f" {x} ") + 1
             out.append((text, [(kind, a, a + len(x))] if kind != NONE else []))
+        # lists: several of one format in a row
+        one = rng.choice([lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"+{rng.randint(1, 99)} ({d(3)}) {d(3)}-{d(4)}"])
+        text, spans = f"{w()} {rng.choice(['phones', 'call', 'tel', 'numbers'])}", []
+        for x in (one() for _ in range(rng.randint(2, 8))):
+            spans.append(("phone", len(text) + 1, len(text) + 1 + len(x)))
+            text += f" {x}"
+        out.append((f"{text} {w()}.", spans))
+        out.append((f"{w()} table {' '.join(d(rng.randint(1, 5)) for _ in range(rng.randint(5, 25)))} {w()}.", []))
     return out
 
 
-def _examples(rows: list[tuple[str, list[tuple[str, int, int]]]], per_text: int = 4) -> list:
-    return [(text, words, spans) for text, spans in rows for _, words in zip(range(per_text), islands(text))]
+PER_TEXT = 4  # islands of a labelled document that train, of at most WINDOW words each (a documented bound)
+
+
+def _examples(rows: list[tuple[str, list[tuple[str, int, int]]]]) -> list:
+    return [(text, words[:WINDOW], spans) for text, spans in rows for _, words in zip(range(PER_TEXT), islands(text))]
 
 
 def fit(docs: DataFrame) -> SemiMarkov:
@@ -304,14 +332,16 @@ def fit(docs: DataFrame) -> SemiMarkov:
     # only ids are ordered; at most TRAIN_DOCS of them meet the texts again
     picked = with_anchor.where("id is not null").select(F.col("id").alias("p_id")).distinct().orderBy(F.xxhash64("p_id"), "p_id").limit(TRAIN_DOCS)
     sample = with_anchor.join(F.broadcast(picked), F.col("id") == F.col("p_id"), "left_semi")
+    # repeated rows of an id don't widen the sample
+    sample = sample.groupBy("id").agg(F.min("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Only the islands travel to the driver, with their surroundings."""
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
-                for _, words in zip(range(4), islands(text)):
-                    out.append(text[max(0, words[0][0] - 30) : words[-1][1] + 5])
+                for _, words in zip(range(PER_TEXT), islands(text)):
+                    out.append(text[max(0, words[0][0] - 30) : words[:WINDOW][-1][1] + 5])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["text"])
 
     texts = sorted(r["text"] for r in sample.mapInArrow(cut, "text string").collect())
@@ -353,6 +383,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def op2_pii(spark, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans of every document, and all spans; null texts are empty, an empty table gives no rows."""
     found = find_pii(table(spark, sf_dir, "documents"))
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     of_kind = lambda kind: F.filter("base", lambda s: s["kind"] == kind)

@@ -44,8 +44,7 @@ MASK = "[SECRET]"
 
 RUN = re.compile(r"[A-Za-z0-9+/_\-]{12,}={0,2}")
 NAMED = re.compile(r"""(?<![A-Za-z0-9_\-])([A-Za-z0-9_\-]++)["']?[ \t]*(?:=>|:=|[=:])[ \t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']\S*))""")
-# Names that announce a credential, words of ordinary identifiers, signs of a checksum or an id.
-KEY_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "auth", "bearer", "credential", "private_key")
+# Words of ordinary identifiers, signs of a checksum or an id.
 PLAIN_WORDS = (
     "commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "id", "build", "version", "revision", "etag", "order", "invoice",
     "isbn", "phone", "card", "image", "asset", "file", "path", "page", "ref",
@@ -64,11 +63,29 @@ FEATURES = (
 )
 
 
+# Last words of a credential's name, and those that are one after a word of the second list.
+KEY_PARTS = ("password", "passwords", "passwd", "pwd", "passphrase", "secret", "secrets", "token", "tokens", "apikey", "auth", "bearer", "credential", "credentials")
+KEY_TAILS, KEY_HEADS = ("key", "keys", "value", "string", "hash"), ("api", "access", "private", "secret", "auth", "token", "password", "client")
+PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+# the password of an address (scheme://user:password@host) and of a command line's user option
+IN_ADDRESS = re.compile(r"""[A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\s:/@"']{0,200}:([^\s@"'/]{1,200})@""")
+USER_OPTION = re.compile(r"""(?<!\S)(?:-u|--user)[ =]["']?[^\s:"']{1,200}:([^\s"']{1,200})""")
+
+
+def names_credential(name: str) -> bool:
+    """Whether a name's last part, or the last two, announce a credential ("db_password", "apiKey", not "secretary")."""
+    parts = [p.lower() for p in PART.findall(name) if not p.isdigit()]
+    if not parts:
+        return False
+    return parts[-1] in KEY_PARTS or (parts[-1] in KEY_TAILS and len(parts) > 1 and parts[-2] in KEY_HEADS)
+
+
 def named_values(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of the values that stand after the name of a credential."""
+    """(start, end) of the values that stand after the name of a credential or in its place in an address."""
+    for pattern in (IN_ADDRESS, USER_OPTION):
+        yield from (m.span(1) for m in pattern.finditer(text))
     for m in NAMED.finditer(text):
-        name = m.group(1).lower()
-        if any(k in name for k in KEY_WORDS):
+        if names_credential(m.group(1)):
             k = m.lastindex
             a, b = m.span(k)
             if k == 4:
@@ -110,8 +127,8 @@ def features(before: str, x: str, after: str) -> list[float]:
         float(bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", x))), float(covered.mean()), float(max(map(len, re.findall(r"[A-Za-z]+", x)), default=0)),
         sum(c in "aeiou" for c in low) / n, float(x.count("/")), float(x.count("-") + x.count("_")),
         float(bool(re.match(r"[A-Z]{3,}", x))), float(lead[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'")), float("://" in near[-30:]),
-        float(bool(re.search(r"[/.\\]$", before))), float(bool(words) and any(k in words[-1] for k in KEY_WORDS)),
-        float(any(k in w for w in words[-4:] for k in KEY_WORDS)), float(any(w in PLAIN_WORDS for w in words[-2:])), float(after[:1] == "."), float(x.startswith(PREFIXES)),
+        float(bool(re.search(r"[/.\\]$", before))), float(bool(words) and names_credential(words[-1])),
+        float(any(names_credential(w) for w in words[-4:])), float(any(w in PLAIN_WORDS for w in words[-2:])), float(after[:1] == "."), float(x.startswith(PREFIXES)),
         float(sum(c in "!@#$%^&*?~+" for c in x)), float(sum(c in "()<>{}[]." for c in x)),
     ]
 
@@ -128,7 +145,7 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
     out = []
     for _ in range(each):
         word = lambda: rng.choice(DICTIONARY)
-        key = rng.choice(KEY_WORDS)
+        key = rng.choice((*KEY_PARTS, "api_key", "api-key", "access_key", "private_key"))
         quote = rng.choice(["", "\"", "'"])
         sign = rng.choice(["=", " = ", ": ", "="])
         made_up = lambda: spoilt(word().title() + rng.choice(["", word(), word().title()])) + rng.choice(["", "!", "&", "#", "@", "-"]) + str(rng.randint(1, 9999))
@@ -144,6 +161,8 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
             (prose() + key.upper() + sign + quote, pick(alnum + "!@#$%^&*?", rng.randint(6, 20)), quote + " "),
             (prose() + key + sign + quote, signed_word(), quote + rng.choice(["", " ", ".", ", "]) + prose()),
             (prose() + key + sign + quote, pick("abcdefghijklmnopqrstuvwxyz", rng.choice([16, 16, 20, 24])), quote + " "),
+            (prose() + rng.choice(["postgres", "mysql", "https", "amqp", "redis"]) + f"://{word()}:", rng.choice([made_up, signed_word])(), f"@{word()}.{word()} "),
+            (prose() + rng.choice(["curl -u ", "curl --user ", "wget --user="]) + word() + ":", rng.choice([made_up, signed_word])(), " " + prose()),
         ]
         syllables = "".join(rng.choice("STNRLDCHMP") + rng.choice("EAIOU") + rng.choice(["", "N", "R", "S", "CH"]) for _ in range(rng.randint(6, 14)))
         number = pick("0123456789", rng.randint(12, 19))
@@ -163,6 +182,7 @@ def default_findings(seed: int = 11, each: int = 150) -> list[tuple[str, str, st
             (prose() + key + rng.choice([": ", "=", " = "]), rng.choice([word(), pick("aeinorst", rng.randint(1, 9)), "none", "null", "None", "true", "required"]), rng.choice([" ", ", ", ". "]) + prose()),
             (prose() + key + rng.choice([": ", "=", " = "]) + quote, rng.choice(["********", "xxxxxxxx", "<" + word() + ">", "${" + word().upper() + "}", "{{" + word() + "}}", word() + "_" + word(), word() + "." + word(), "%s"]), quote + " "),
             (prose() + key + rng.choice(["=", " = "]), rng.choice([f"get_{word()}()", f"{word()}.{word()}({word()})", f"os.environ[{word().upper()}]", f"self.{word()}"]), " "),
+            (prose() + f"https://{word()}:", rng.choice(["********", "${" + word().upper() + "}", "<" + word() + ">", word()]), f"@{word()}.{word()} "),
             (prose() + rng.choice(["author: ", "author=", "authors: "]), rng.choice([word().title(), pick("aeinorst", 1).upper() + pick("aeinorst", rng.randint(2, 8))]), " " + prose()),
         ]
         out += [(*x, 1) for x in yes] + [(*x, 0) for x in no]
@@ -306,4 +326,5 @@ def redact_secrets(docs: DataFrame, findings: DataFrame | None = None) -> DataFr
 
 
 def op3_secret_scan(spark, sf_dir: str) -> DataFrame:
+    """The findings in ``documents`` that the forest keeps; null texts and an empty table have none."""
     return scan_secrets(table(spark, sf_dir, "documents"))

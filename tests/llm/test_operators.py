@@ -222,6 +222,61 @@ def test_secrets_short_and_with_signs(spark):
         assert found(f"some words {text} for it all.") == [], text
 
 
+def test_secrets_in_addresses_and_names_that_only_look_alike(spark):
+    forest = secrets.train_forest(spark)
+    found = lambda text: [text[a:b] for a, b, _ in secrets.find(text, forest)]
+    assert found("connect to postgres://admin:Hunter2024@db.local for it") == ["Hunter2024"]
+    assert found("then curl -u admin:S3cr3t!9 http://host.example/x") == ["S3cr3t!9"]
+    for text in ("secretary: Johnson2 was there", "authors: Smith2019 and others", "token_count = 12345678 in all", "keyboard: Azerty1234 layout"):
+        assert found(text) == [], text
+
+
+def test_pii_long_rows_of_numbers(spark):
+    model = pii.train(pii._examples(pii.default_islands()))
+    assert [k for k, *_ in model.find("please call tel 06 12 34 56 78 today")] == ["phone"]
+    row = " ".join(f"({k % 800 + 200}) 555-{k:04d}" for k in range(500))
+    found = model.find(f"the numbers {row} are ours")
+    assert len(found) == 500 and all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
+def test_pii_sums_and_best_equal_an_enumeration(spark):
+    model = pii.train(pii._examples(pii.default_islands(each=5)))
+    text = "call (212) 555-1234 10.1.2.3 a@b"
+    words = list(pii.islands(text))[0]
+    scored = model.scores(pii.candidates(text, words))
+    n = len(words)
+
+    def ways(at):
+        if at == n:
+            yield []
+        for k, seg in enumerate(scored):
+            if seg[0] == at:
+                for rest in ways(seg[1]):
+                    yield [k, *rest]
+
+    every = [(w, sum(scored[k][3] for k in w)) for w in ways(0)]
+    import math
+
+    total = sum(math.exp(s) for _, s in every)
+    want = [sum(math.exp(s) for w, s in every if k in w) / total for k in range(len(scored))]
+    assert model.marginals(scored, n) == pytest.approx(want, abs=1e-9)
+    assert sorted(model.best(scored, n)) == sorted(max(every, key=lambda e: e[1])[0])
+
+
+def test_pipeline_stages_on_odd_tables_and_clashing_names(spark, docs, none):
+    import corpus_pipeline
+
+    for frame in (docs, none):
+        odd = frame.selectExpr("*", "1 AS _keep", "2 AS _leak", "3 AS taken", "4 AS repetition", "5 AS row", "6 AS id", "7 AS start", "8 AS n")
+        step = odd
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            step = stage(spark, step, SF)
+            assert step.columns == odd.columns, name
+        mixed = corpus_pipeline.STAGES[-1][1](spark, step, SF)
+        assert mixed.columns == [*[c for c in odd.columns if c not in ("taken", "repetition")], "repetition", "taken"]
+        assert mixed.count() >= 0
+
+
 def test_decontamination(spark, docs, none):
     bench = spark.createDataFrame([(1, "Alpha beta gamma delta epsilon zeta. The answer is forty two stones."), (2, None), (3, ""), (4, "Alpha beta gamma delta epsilon zeta. The answer is forty two stones.")], "item_id long, text string")
     rng = random.Random(2)
