@@ -1,17 +1,23 @@
 """Main text of web pages: parser events, text-to-tag ratio by line, smoothing, threshold clustering.
 
 A page streams through the standard library's HTML parser. Block elements cut it
-into lines; each line knows its text, its tags and where it stands. Elements
-that never hold the article (menus, page headers, footers, asides, forms,
-scripts, styles, and containers whose class, id or role names a menu, advert,
-notice, sidebar or reader comments) are left out while parsing.
+into lines; each line knows its text, its tags and the element that holds it. Elements
+that cannot hold the article (menus, page footers, asides, scripts, styles, hidden
+ones, reader comments) are left out while parsing.
 
 A line's text-to-tag ratio, smoothed over its neighbours by a Gaussian, splits
 the lines into two clusters at a threshold (the ratios' standard deviation, at
-most half their largest). The region of the page that holds the dense cluster
-is selected: all ``article`` and ``main`` elements, else the deepest container
-(no paragraph, list or table) that holds all of it. Every line of that region
-belongs to the result, short ones too, but for lines of links outside dense text.
+most half their largest). The dense cluster decides twice:
+
+1. A container whose class, id or role names an advert, notice, sidebar and the like, or
+   a form, is a rival of the text around it, at a lower rank: it stays only if its dense
+   text, times the rank of its name, exceeds the dense text outside it.
+2. The region of the rest that holds the dense text is selected: all ``article`` and ``main``
+   elements if they hold at least half of it, else the deepest container (no
+   paragraph, list or table) around all its lines that are dense of themselves.
+
+Every line of that region belongs to the result, short ones too, but for lines of
+links outside dense text. Time and memory are linear in the page.
 """
 
 from __future__ import annotations
@@ -31,6 +37,11 @@ from epistar.llm.common import bounded_batches, table
 SIGMA = 1.0
 RADIUS = 2
 LINK_SHARE = 0.8
+# ranks of containers by name: a plain sign ("ad", "site-footer"), and a sign among other words ("job-search-guide")
+PLAIN_RANK, MIXED_RANK = 1 / 16, 1 / 2
+# a container with a plain sign needs this much dense text, so that a page's lone notice is no article
+PLAIN_LINES, PLAIN_CHARS = 3, 400
+SENTENCE = 80  # a dense line of so many characters is text of its own, whatever its tags
 # HTML's void and block elements, and names that mark what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -51,55 +62,64 @@ SIGNS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 TALK = frozenset("comment comments reply replies disqus".split())
+PLACES = frozenset("site page main top bottom left right inner outer box block area bar list item section container wrapper wrap content link links icon".split())
 
-
-IN, NAMED, TALKED, ELEMENT = 0, 1, 2, 3  # why an element is left out: its name or a form, reader comments, its kind
+IN, MIXED, PLAIN, TALKED, ELEMENT = 0, 1, 2, 3, 4  # marks: an uncertain name, a plain one or a form, reader comments, its kind
+LEFT_OUT = TALKED  # marks from here on are left out while parsing
 
 
 def marked(tag: str, attrs: list[tuple[str, str | None]]) -> int:
-    """NAMED or TALKED for a container that is named, or hidden, as something else than the article."""
+    """The mark of a container that is named, or hidden, as something else than the article."""
     if tag in ("html", "body", "main"):
         return IN
+    found = IN
+    wanted = TALK if tag == "article" else SIGNS - {"header"} if tag in ("h1", "h2", "h3", "h4", "h5", "h6") else SIGNS
     for name, value in attrs:
         value = value or ""
         if name in ("class", "id"):
-            parts = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-            wanted = TALK if tag == "article" else SIGNS - {"header"} if tag in ("h1", "h2", "h3", "h4", "h5", "h6") else SIGNS
-            if parts & wanted:
-                return TALKED if parts & TALK else NAMED
+            for token in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+                parts = set(re.findall(r"[a-z]+", token))
+                if parts & wanted:
+                    plain = parts <= SIGNS | PLACES
+                    talk = bool(parts & TALK)
+                    found = max(found, (TALKED if talk else PLAIN) if plain else PLAIN if talk else MIXED)
         elif name == "role" and value.lower() in ROLES:
-            return NAMED
+            found = max(found, PLAIN)
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return NAMED
+            return ELEMENT
         elif name == "style" and re.search(r"display\s*:\s*none", value.lower()):
-            return NAMED
-    return IN
+            return ELEMENT
+    return found
 
 
 class Lines(HTMLParser):
-    """Cuts a page into lines (text, tags, link characters, path of element numbers, number of the outermost article or main)."""
+    """Cuts a page into lines (text, tags, link characters, number of the innermost element).
+
+    Elements are numbered as they open, 0 being the page: ``parent`` holds the number of
+    the element around each, ``mark`` its own mark, ``holders`` those that hold paragraphs,
+    ``articles`` the outermost ``article`` and ``main`` elements.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int]] = []  # element, its number, 0 or why it is left out
-        self.count = 0
-        self.holders: set[int] = set()  # elements that hold paragraphs
-        self.lines: list[tuple[str, int, int, tuple[int, ...], int]] = []
+        self.stack: list[tuple[str, int, int]] = []  # element, its number, the largest mark down to it
+        self.open: Counter[str] = Counter()
+        self.parent, self.mark = [0], [IN]
+        self.holders: set[int] = set()
+        self.articles: set[int] = set()
+        self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
         self.tags = self.link = 0
-        self.in_link = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(n for _, n, _ in self.stack)
-            inside = next((n for t, n, _ in self.stack if t in ("article", "main")), -1)
-            self.lines.append((text, self.tags, self.link, path, inside))
+            self.lines.append((text, self.tags, self.link, self.stack[-1][1] if self.stack else 0))
             self.tags = self.link = 0
         self.parts = []
 
-    def out(self) -> int:
-        return self.stack[-1][2] if self.stack else IN
+    def out(self) -> bool:
+        return bool(self.stack) and self.stack[-1][2] >= LEFT_OUT
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -107,33 +127,40 @@ class Lines(HTMLParser):
         self.tags += not self.out()
         if tag in VOID:
             return
-        if tag in ("article", "main") and self.out() == NAMED and marked(tag, attrs) == IN:
-            self._pop_to_open()  # an unclosed advert or a form around the page does not hide the article
+        mark = marked(tag, attrs)
+        if tag in ("article", "main") and self.stack and self.stack[-1][2] in (MIXED, PLAIN) and mark == IN:
+            while self.stack and self.stack[-1][2]:  # an unclosed advert or a form around the page does not hide the article
+                self._pop()
         if tag in CLOSES_ITSELF:
             self._close_within(CLOSES_ITSELF[tag], LISTS[tag])
         elif tag in ENDS_P:
             self._close_within({"p"}, ENDS_P)
-        out = max(self.out(), ELEMENT * (tag in NEVER), NAMED * (tag == "form"), marked(tag, attrs))
-        if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.stack):
-            out = max(out, NAMED)
-        self.count += 1
+        in_article = self.open["article"] + self.open["main"] > 0
+        mark = max(mark, ELEMENT * (tag in NEVER), PLAIN * (tag == "form"), ELEMENT * (tag == "header" and not in_article))
+        number = len(self.parent)
+        self.parent.append(self.stack[-1][1] if self.stack else 0)
+        self.mark.append(mark)
         if tag in HOLDERS:
-            self.holders.add(self.count)
-        self.stack.append((tag, self.count, out))
-        self.in_link += tag == "a"
+            self.holders.add(number)
+        if tag in ("article", "main") and not in_article:
+            self.articles.add(number)
+        self.stack.append((tag, number, max(mark, self.stack[-1][2] if self.stack else IN)))
+        self.open[tag] += 1
 
-    def _pop_to_open(self) -> None:
-        while self.stack and self.stack[-1][2]:
-            self.in_link -= self.stack.pop()[0] == "a"
+    def _pop(self) -> str:
+        tag = self.stack.pop()[0]
+        self.open[tag] -= 1
+        return tag
 
     def _close_within(self, names: set[str], limits) -> None:
         """Close the nearest open element of ``names``, unless one of ``limits`` stands before it."""
+        if not any(self.open[t] for t in names):
+            return
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] in names:
                 self.flush()
-                for t, _, _ in self.stack[k:]:
-                    self.in_link -= t == "a"
-                del self.stack[k:]
+                while len(self.stack) > k:
+                    self._pop()
                 return
             if self.stack[k][0] in limits:
                 return
@@ -142,17 +169,13 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             self.flush()
         self.tags += not self.out()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                for t, _, _ in self.stack[k:]:
-                    self.in_link -= t == "a"
-                del self.stack[k:]
-                return
+        while self.open[tag] and self._pop() != tag:
+            pass
 
     def handle_data(self, data):
         if not self.out():
             self.parts.append(data)
-            if self.in_link > 0:
+            if self.open["a"]:
                 self.link += len(data)
 
 
@@ -164,39 +187,95 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[RADIUS : RADIUS + len(ratios)]
 
 
+def dense_lines(sizes: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The dense cluster of the smoothed ratios, and those of its lines that are dense of themselves."""
+    raw = sizes / np.maximum(1, tags)
+    ratio = smoothed(raw)
+    threshold = min(float(ratio.std()), float(ratio.max()) / 2)
+    dense = ratio >= threshold
+    core = dense & ((raw >= threshold) | (sizes >= SENTENCE))
+    return dense, core if core.any() else dense
+
+
+def rejected(page: Lines, held: np.ndarray, core: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """By element: whether it lies in a marked container that its rivals outweigh (rule 1 above).
+
+    A container's rival is the dense text around it that no deeper mark covers, up to the next marked container or the page.
+    """
+    parent, mark = page.parent, page.mark
+    n = len(parent)
+    weight, count = np.bincount(held, core * sizes, n), np.bincount(held, core, n)
+    scope = list(range(n))  # the nearest marked element, itself included; numbers grow with depth
+    for e in range(n):
+        if e and mark[e] == IN:
+            scope[e] = scope[parent[e]]
+    own = np.bincount(scope, weight, n)
+    whole, lines = weight.copy(), count.copy()
+    for e in range(n - 1, 0, -1):
+        whole[parent[e]] += whole[e]
+        lines[parent[e]] += lines[e]
+    out = np.zeros(n, bool)
+    for e in range(1, n):
+        out[e] = out[parent[e]]
+        if mark[e] and not out[e]:
+            rank = PLAIN_RANK if mark[e] == PLAIN else MIXED_RANK
+            slight = mark[e] == PLAIN and (lines[e] < PLAIN_LINES or whole[e] < PLAIN_CHARS)
+            out[e] = slight or whole[e] * rank <= own[scope[parent[e]]]
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The article's text; empty if there is none."""
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    lines = parser.lines
-    if not lines:
+    page = Lines()
+    page.feed(html)
+    page.close()
+    page.flush()
+    if not page.lines:
         return ""
-    sizes = np.array([len(x[0]) for x in lines], dtype=float)
-    ratio = smoothed(sizes / np.maximum(1, [x[1] for x in lines]))
-    dense = ratio >= min(float(ratio.std()), float(ratio.max()) / 2)
-    named = {inside for (_, _, _, _, inside), d in zip(lines, dense) if inside >= 0 and d}
-    if named:
+    texts, tags, links, held = ([x[k] for x in page.lines] for k in range(4))
+    sizes, tags, links, held = np.array([len(t) for t in texts], float), np.array(tags, float), np.array(links), np.array(held)
+    if any(page.mark):
+        kept = np.flatnonzero(~rejected(page, held, dense_lines(sizes, tags)[1], sizes)[held])
+        if not len(kept):
+            return ""
+        texts, sizes, tags, links, held = [texts[i] for i in kept], sizes[kept], tags[kept], links[kept], held[kept]
+    dense, core = dense_lines(sizes, tags)
+    plain = links <= LINK_SHARE * sizes
+    n = len(page.parent)
+    article = [e in page.articles for e in range(n)]
+    for e in range(1, n):
+        article[e] = article[e] or article[page.parent[e]]
+    inside = np.array(article)[held]
+    if (core * sizes * inside).sum() >= (core * sizes).sum() / 2:
         # all lines of elements with dense text count; of the other articles those that are no mere links
-        return " ".join(
-            text for text, _, link, _, inside in lines
-            if inside in named or (inside >= 0 and link <= LINK_SHARE * len(text))
-        )
-    common = set.intersection(*[set(path) for (_, _, _, path, _), d in zip(lines, dense) if d])
-    held = Counter(n for _, _, _, path, _ in lines for n in path)
-    # numbers grow with depth; an element of one line is a paragraph, whatever its kind
-    chosen = max((n for n in common & parser.holders if held[n] > 1), default=None)
-    return " ".join(
-        text for (text, _, link, path, _), d in zip(lines, dense)
-        if (chosen is None or chosen in path) and (d or link <= LINK_SHARE * len(text))
-    )
+        outer = list(range(n))
+        for e in range(1, n):
+            if e not in page.articles:
+                outer[e] = outer[page.parent[e]]
+        outer = np.array(outer)[held]
+        chosen = inside & (np.isin(outer, outer[dense & inside]) | plain)
+    else:
+        cores, held_lines = np.bincount(held, core, n), np.bincount(held, minlength=n)
+        for e in range(n - 1, 0, -1):
+            cores[page.parent[e]] += cores[e]
+            held_lines[page.parent[e]] += held_lines[e]
+        # numbers grow with depth; an element of one line is a paragraph, whatever its kind
+        region = max((e for e in page.holders if cores[e] == core.sum() and held_lines[e] > 1), default=0)
+        within = [e == region for e in range(n)]
+        for e in range(1, n):
+            within[e] = within[e] or within[page.parent[e]]
+        chosen = np.array(within)[held] & (dense | plain)
+    return " ".join(t for t, c in zip(texts, chosen) if c)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: id, url, text, n_chars. Null and empty html gives an empty text; pages repeat as they come."""
+    """One row per page: id, url, text, n_chars.
+
+    Null and empty html gives an empty text, a null id or url stays null, repeated pages give repeated
+    rows, an empty table gives none; other columns of ``pages`` are not read. Whole pages are parsed, of any length.
+    """
     bounded_batches(pages.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,4 +289,5 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def op6_html_extraction(spark, sf_dir: str) -> DataFrame:
+    """The main text of every page: page_id, url, text, n_chars."""
     return extract_pages(table(spark, sf_dir, "pages"))
