@@ -20,6 +20,7 @@ import os
 from pyspark.sql import SparkSession
 
 from epistar.operators.lookup import prepare_lookup
+from epistar.operators.contract import ContractReport
 from epistar.plans import cases_deaths, movement, vaccines
 from epistar.plans.load import load_warehouse
 from epistar.session import build_session, cut_lineage
@@ -72,12 +73,12 @@ def run(
     years: int,
     refresh: bool,
     land_partitions: int | None = None,
+    report: ContractReport | None = None,
 ) -> dict:
     outputs = transform_landed(spark, raw, land_partitions)
     batch_ts = _dt.datetime.combine(run_date, _dt.time())
-    return load_warehouse(
-        spark, outputs, warehouse, batch_ts, date_span_args={"today": run_date, "num_years": years}, refresh=refresh
-    )
+    span = {"today": run_date, "num_years": years}
+    return load_warehouse(spark, outputs, warehouse, batch_ts, date_span_args=span, refresh=refresh, report=report)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -89,11 +90,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     parser.add_argument("--refresh", action="store_true")
     parser.add_argument("--master", default=None)
     parser.add_argument("--land-partitions", type=int, default=None)
+    parser.add_argument("--quarantine", default=None, help="folder of rows that break a table's contract (default: <warehouse>/_quarantine)")
     args = parser.parse_args(argv)
     spark = spark or build_session(args.master)
     raw = os.path.abspath(args.raw) if "://" not in args.raw else args.raw
-    written = run(spark, raw, args.warehouse, args.run_date, args.years, args.refresh, args.land_partitions)
-    print(json.dumps(written, indent=1))
+    report = ContractReport(args.quarantine or f"{args.warehouse.rstrip('/')}/_quarantine")
+    written = run(spark, raw, args.warehouse, args.run_date, args.years, args.refresh, args.land_partitions, report)
+    print(json.dumps({**written, "contract": report.batches}, indent=1))
     return written
 
 

@@ -123,6 +123,9 @@ def week_interval_join(
     return d.join(w, on=[*keys, "_w_start"], how=how).withColumnRenamed("_w_start", week_start_col)
 
 
+MAX_LEVEL = 11  # 4^11 days are more than the calendar of the years 1-9999 has
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -130,30 +133,49 @@ def interval_join(
     point_col: str,
     start_col: str,
     end_col: str,
-    bucket_days: int = 7,
+    bucket_days: int = 1,
     how: str = "inner",
 ) -> DataFrame:
     """J4, general form: ``key equal and start <= point <= end`` for arbitrary date intervals.
 
-    Each interval is exploded over the ``bucket_days`` buckets it covers and
-    joined on (keys, bucket); the ``between`` test then removes false hits.
-    Work per interval grows with its length / bucket size, never with the
-    number of points, so no nested-loop join is planned.
+    Buckets come in levels of ``bucket_days`` times 1, 4, 16, ... days. An interval belongs to the first level
+    whose buckets are as long as it is, so it covers two buckets at most, whatever its length. A point is
+    joined on (keys, level, bucket) once per level in use, which the intervals tell (``MAX_LEVEL`` + 1 numbers at most);
+    intervals of about one length, as weeks or months, make one level and no copy of a point. The ``between``
+    test then removes false hits, at most eight days for one. Null bounds, and bounds in the wrong order, match nothing.
+    ``how`` is ``inner`` or ``left``; clashing column names are left to the caller.
     """
-    def bucket_of(c: Column) -> Column:
-        return F.floor(F.unix_date(c) / bucket_days)
-
-    iv = intervals.withColumn(
-        "_bucket", F.explode(F.sequence(bucket_of(F.col(start_col)), bucket_of(F.col(end_col))))
-    )
-    pts = points.withColumn("_bucket", bucket_of(F.col(point_col)))
-    cond = [pts[k] == iv[k] for k in keys] + [
-        pts["_bucket"] == iv["_bucket"],
-        pts[point_col] >= iv[start_col],
-        pts[point_col] <= iv[end_col],
-    ]
-    joined = pts.join(iv, on=cond, how=how)
-    return joined.select(
-        *[pts[c] for c in points.columns],
-        *[iv[c] for c in intervals.columns if c not in keys],
-    )
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how!r}")
+    day = F.unix_date(F.col(start_col).cast("date")), F.unix_date(F.col(end_col).cast("date"))
+    length = day[1] - day[0] + 1
+    level = sum((F.when(length > bucket_days * 4**k, 1).otherwise(0) for k in range(MAX_LEVEL)), F.lit(0))
+    sized = intervals.where(length > 0).withColumn("_level", level.cast("int"))
+    levels = sorted(r["_level"] for r in sized.select("_level").distinct().collect())
+    width = bucket_days * F.pow(F.lit(4), F.col("_level")).cast("long")
+    iv = sized.withColumn("_bucket", F.explode(F.sequence(F.floor(day[0] / width), F.floor(day[1] / width))))
+    iv = iv.select(*[F.col(k).alias(f"_iv_{k}") for k in keys], *[c for c in iv.columns if c not in keys])
+    same_key = [F.col(k) == F.col(f"_iv_{k}") for k in keys]
+    between = F.col(point_col).between(F.col(start_col), F.col(end_col))
+    out = [*points.columns, *[c for c in intervals.columns if c not in keys]]
+    point_day = F.unix_date(F.col(point_col).cast("date"))
+
+    def bucket(k: int) -> Column:
+        return F.floor(point_day / (bucket_days * 4**k))
+
+    if len(levels) == 1 or not levels:
+        at = points.withColumn("_point_bucket", bucket(levels[0] if levels else 0))
+        return at.join(iv, [*same_key, F.col("_point_bucket") == F.col("_bucket"), between], how).select(*out)
+    places = F.array(*[F.struct(F.lit(k).alias("k"), bucket(k).alias("b")) for k in levels])
+    at = points.withColumn("_place", F.explode(places))
+    hit = [*same_key, F.col("_place.k") == F.col("_level"), F.col("_place.b") == F.col("_bucket"), between]
+    matched = at.join(iv, hit, "inner").select(*out)
+    if how == "inner":
+        return matched
+    # a point without a match at any level: one anti join a level, each on points that are not copied
+    rest = points
+    for k in levels:
+        side = iv.where(F.col("_level") == k)
+        rest = rest.withColumn("_point_bucket", bucket(k))
+        rest = rest.join(side, [*same_key, F.col("_point_bucket") == F.col("_bucket"), between], "left_anti").drop("_point_bucket")
+    return matched.unionByName(rest, allowMissingColumns=True)

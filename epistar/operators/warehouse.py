@@ -60,6 +60,17 @@ def validate_against_spec(
     with a null in it are left out, and facts that point there fall to the
     unknown member.
     """
+    found = one_row_per_key(df, spec, order_cols)
+    if found is None:
+        return None
+    rows, keys, supplied = found
+    return rows.select(*[F.col(c).cast(spec.type_of(c)).alias(c) for c in keys + supplied]), keys, supplied
+
+
+def one_row_per_key(
+    df: DataFrame, spec: TableSpec, order_cols: Sequence[str] | None = None
+) -> tuple[DataFrame, list[str], list[str]] | None:
+    """The rows of ``validate_against_spec`` in the types they came with."""
     keys = list(spec.unique_keys)
     if not set(keys).issubset(df.columns):
         return None
@@ -76,8 +87,7 @@ def validate_against_spec(
             rows = rows.groupBy(*keys).agg(F.min_by(F.struct(*supplied), F.struct(*nulls_last)).alias("_r")).select(*keys, "_r.*")
     else:
         rows = rows.select(*keys).distinct()
-    rows = rows.select(*[F.col(c).cast(spec.type_of(c)).alias(c) for c in cols])
-    return rows, keys, supplied
+    return rows.select(*cols), keys, supplied
 
 
 def _typed_null(spec: TableSpec, col: str):

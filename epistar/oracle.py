@@ -504,7 +504,8 @@ _TARGET_DESCRIPTION = """CASE {g}
 
 _VT_BASE = """
 vt AS (
-  SELECT strftime(CAST(l.l_shipdate AS DATE), '%G-W%V') AS year_week,
+  SELECT l.l_orderkey * 10 + l.l_linenumber AS pos,
+         strftime(CAST(l.l_shipdate AS DATE), '%G-W%V') AS year_week,
          CAST(date_trunc('week', CAST(l.l_shipdate AS DATE)) AS DATE) AS week_start_date,
          concat('C', s.s_nationkey) AS country_code,
          CASE WHEN l.l_linenumber <= 2 THEN concat('C', s.s_nationkey)
@@ -658,7 +659,8 @@ SELECT target_group, {_age_lower("target_group")} AS age_lower_limit, {_age_uppe
        vaccine_code,
        CAST(sum(first_dose) AS BIGINT) AS first_dose, CAST(sum(second_dose) AS BIGINT) AS second_dose,
        CAST(sum(additional_dose_1) AS BIGINT) AS additional_doses, CAST(sum(unknown_dose) AS BIGINT) AS unknown_dose
-FROM vt WHERE region_code = country_code
+FROM (SELECT * FROM vt WHERE region_code = country_code
+      QUALIFY row_number() OVER (PARTITION BY week_start_date, country_code, vaccine_code, target_group ORDER BY pos) = 1)
 GROUP BY ALL
 """,
         "n3_status_star": f"""

@@ -19,15 +19,25 @@ from epistar.functions.calendar import date_dimension_rows, date_range_between
 from epistar.operators.columns import fill_numeric_zero
 from epistar.operators.dedupe import union_all
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, with_unknown_member
-from epistar.plans.load import DIMENSION_ORDER, FACT_ORDER
+from epistar.operators.warehouse import one_row_per_key
+from epistar.plans.load import DIMENSION_ORDER, FACT_ORDER, source_order
 from epistar.session import cut_lineage
 from epistar.spec import DIMENSIONS, FACTS, TableSpec
 
 
 def conform_dimension(frames: Sequence[DataFrame], spec: TableSpec) -> DataFrame:
-    """One row per business key; each column from the last frame supplying it."""
+    """One row per business key, keyed and written; each column from the last frame supplying it.
+
+    Written, a dimension has a measured size, and joins to it need no shuffle of the fact while it is small.
+    """
     keys = list(spec.unique_keys)
-    cols = [c for c in spec.columns if c not in keys]
+    conformed = last_supplied(frames, keys, [c for c in spec.columns if c not in keys], spec, whole_keys=True)
+    keyed = assign_consecutive_keys(conformed, keys, spec.surrogate_key)
+    return cut_lineage(with_unknown_member(keyed, spec, check=False))
+
+
+def last_supplied(frames: Sequence[DataFrame], keys: list[str], cols: list[str], spec: TableSpec, whole_keys: bool) -> DataFrame:
+    """One row per key over all frames; each column from the last frame that supplies it for the key (a null included)."""
     staged = []
     for order, frame in enumerate(frames):
         names = set(frame.columns)
@@ -40,16 +50,26 @@ def conform_dimension(frames: Sequence[DataFrame], spec: TableSpec) -> DataFrame
                 *[F.lit(c in present).alias(f"_has_{c}") for c in cols],
             )
         )
-    merged = union_all(*staged).filter(F.coalesce(*[F.col(k).isNotNull() for k in keys]))
+    merged = union_all(*staged)
+    if whole_keys:
+        merged = merged.dropna(subset=keys)
     aggs = [F.max_by(F.col(c), F.when(F.col(f"_has_{c}"), F.col("_src"))).alias(c) for c in cols]
-    conformed = merged.groupBy(*keys).agg(*aggs) if aggs else merged.select(*keys).distinct()
-    keyed = assign_consecutive_keys(conformed, keys, spec.surrogate_key)
-    return with_unknown_member(keyed, spec, check=False)
+    return merged.groupBy(*keys).agg(*aggs) if aggs else merged.select(*keys).distinct()
 
 
-def _contract(fact: DataFrame, spec: TableSpec) -> DataFrame:
-    names = set(fact.columns)
-    return fact.select(*[c for c in spec.all_columns if c in names])
+def conform_fact(frames: Sequence[DataFrame], spec: TableSpec) -> DataFrame:
+    """H2: one row per key and source (the first one of the source's order), the last source's columns over all.
+
+    One source keeps the types it came with; several are cast to the contract's, as the load does.
+    """
+    found = [one_row_per_key(f, spec, source_order(f)) for f in frames]
+    whole = [f for f in found if f is not None]
+    if not whole:
+        raise ValueError(f"no source of {spec.name} has its keys")
+    if len(whole) == 1:
+        return whole[0][0]
+    supplied = {c for _, _, cols in whole for c in cols}
+    return last_supplied([rows for rows, _, _ in whole], list(spec.unique_keys), [c for c in spec.columns if c in supplied], spec, whole_keys=False)
 
 
 def calendar_for(facts: Sequence[DataFrame]) -> DataFrame:
@@ -62,7 +82,7 @@ def calendar_for(facts: Sequence[DataFrame]) -> DataFrame:
                 spans.append(fact.select(F.col(c).cast("date").alias("d")))
     bounds = union_all(*spans).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     days = bounds.select(F.explode(date_range_between("lo", "hi")).alias("date"))
-    return assign_consecutive_keys(date_dimension_rows(days), ["date"], "dim_date_key")
+    return cut_lineage(assign_consecutive_keys(date_dimension_rows(days), ["date"], "dim_date_key"))
 
 
 def assemble_star(
@@ -112,9 +132,8 @@ def assemble_star(
     for name, frames in raw_facts.items():
         if not frames:
             continue
-        # dimensions here come out of shuffles: AQE sizes them before picking a join
+        # dimensions are written tables here: their file size decides between a broadcast and a shuffle
         spec = fact_specs[name]
         keyed = [fill_numeric_zero(resolve_foreign_keys(f, spec, dims, dim_specs, None)) for f in frames]
-        # H2: a fact holds its keys and measures only, as the loaded table does
-        facts[name] = union_all(*[_contract(k, spec) for k in keyed])
+        facts[name] = conform_fact(keyed, spec)
     return dims, facts

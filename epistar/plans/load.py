@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from epistar.functions.calendar import date_dimension_rows, date_range_frame, date_span
+from epistar.operators.contract import ContractReport, admit
 from epistar.operators.warehouse import load_table, prepare_fact, read_current, refresh_tables
 from epistar.spec import DIMENSIONS, FACTS, TableSpec
 
@@ -59,9 +60,12 @@ def load_dimensions(
     outputs: Mapping[str, Mapping[str, DataFrame]],
     warehouse_root: str,
     batch_ts: _dt.datetime,
+    report: ContractReport | None = None,
 ) -> dict[str, list[str]]:
     """Every dimension data set of every source, in source order.
 
+    With a ``report`` every batch is held against its contract first (``operators/contract.py``).
+
     Tables are independent, so each table's loads run in their own thread
     (Spark schedules the jobs side by side); inside a table the sources are
     applied one after another, as their order decides which values win.
@@ -73,6 +77,8 @@ def load_dimensions(
             df = outputs[source].get(dim)
             if df is None:
                 continue
+            if report is not None:
+                df = admit(df, DIMENSIONS[dim], source, batch_ts, report)
             path = load_table(spark, DIMENSIONS[dim], df, table_root(warehouse_root, dim), batch_ts, source_order(df))
             if path:
                 paths.append(path)
@@ -108,8 +114,9 @@ def load_facts(
     warehouse_root: str,
     batch_ts: _dt.datetime,
     fact_specs: Mapping[str, TableSpec] = FACTS,
+    report: ContractReport | None = None,
 ) -> dict[str, list[str]]:
-    """Resolve dimension keys (J6-J8), numeric nulls -> 0 (P15), then load (H8)."""
+    """Resolve dimension keys (J6-J8), numeric nulls -> 0 (P15), check the contract (with a ``report``), then load (H8)."""
     dims = current_dimensions(spark, warehouse_root)
 
     def load_one(fact: str) -> list[str]:
@@ -120,6 +127,8 @@ def load_facts(
             if df is None:
                 continue
             keyed = prepare_fact(df, spec, dims, DIMENSIONS)
+            if report is not None:
+                keyed = admit(keyed, spec, source, batch_ts, report)
             path = load_table(spark, spec, keyed, table_root(warehouse_root, fact), batch_ts, source_order(keyed))
             if path:
                 paths.append(path)
@@ -135,11 +144,12 @@ def load_warehouse(
     batch_ts: _dt.datetime,
     date_span_args: Mapping | None = None,
     refresh: bool = False,
+    report: ContractReport | None = None,
 ) -> dict[str, list[str]]:
-    """D4+D5+D6 (and H9 when ``refresh``): the whole load in dependency order."""
+    """D4+D5+D6 (and H9 when ``refresh``): the whole load in dependency order, against the contracts with a ``report``."""
     if refresh:
         refresh_tables(spark, {**DIMENSIONS, **FACTS}, warehouse_root, batch_ts)
     written = {"dim_date": [p for p in [load_date_dimension(spark, warehouse_root, batch_ts, **(date_span_args or {}))] if p]}
-    written.update(load_dimensions(spark, outputs, warehouse_root, batch_ts))
-    written.update(load_facts(spark, outputs, warehouse_root, batch_ts))
+    written.update(load_dimensions(spark, outputs, warehouse_root, batch_ts, report))
+    written.update(load_facts(spark, outputs, warehouse_root, batch_ts, report=report))
     return written

@@ -1047,10 +1047,9 @@ QUERIES["t1_incremental_upsert"] = t1_incremental_upsert
 def j4_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4, general form: each order matched to its nation's calendar-month shipping interval.
 
-    Intervals are arbitrary date ranges (months of 28-31 days), so the join
-    explodes each interval over 7-day buckets, equi-joins on (nation,
-    bucket) and keeps ``start <= date <= end``. Intervals of one nation do
-    not overlap, so an order matches at most one.
+    Intervals are arbitrary date ranges (months of 28-31 days, all of one level), so the join
+    spreads each interval over at most two buckets, equi-joins on (nation, bucket) and keeps
+    ``start <= date <= end``. Intervals of one nation do not overlap, so an order matches at most one.
     """
     li = _t(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("ship"), "l_quantity")
     supp = _t(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nationkey"))
@@ -1063,7 +1062,7 @@ def j4_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _order_date(_t(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey", "order_date")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nationkey"))
     points = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select("o_orderkey", "nationkey", "order_date")
-    out = series.interval_join(points, months, ["nationkey"], "order_date", "month_start", "month_end", bucket_days=7)
+    out = series.interval_join(points, months, ["nationkey"], "order_date", "month_start", "month_end")
     return out.select("o_orderkey", "nationkey", "order_date", "month_start", "month_end", "month_qty")
 
 

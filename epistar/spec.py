@@ -16,6 +16,11 @@ from dataclasses import dataclass, field
 DATE_ROLES = {"dim_date_key": "date", "dim_week_start_date_key": "week_start_date", "dim_week_end_date_key": "week_end_date"}
 
 
+# The longest text of a column, and of every other text column.
+TEXT_LENGTHS = {"country_code": 10, "territory_code": 10, "region_code": 10, "vaccine_code": 20, "month_name": 10, "day_name": 10}
+TEXT_LENGTH = 255
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -33,6 +38,16 @@ class TableSpec:
         lead = [self.surrogate_key] if self.surrogate_key else []
         return lead + list(self.unique_keys) + [c for c in self.columns if c not in self.unique_keys]
 
+    @property
+    def required(self) -> list[str]:
+        """Columns that hold no null: the keys, and a fact's numbers (the load fills those)."""
+        numbers = [c for c, kind in self.columns.items() if kind != "string"] if self.kind == "fact" else []
+        return list(self.unique_keys) + numbers
+
+    def length_of(self, col: str) -> int | None:
+        """The longest text that ``col`` holds, in characters; ``None`` if it is no text."""
+        return TEXT_LENGTHS.get(col, TEXT_LENGTH) if self.type_of(col) == "string" else None
+
     def type_of(self, col: str) -> str:
         if col == self.surrogate_key or col.endswith("_key"):
             return "int"

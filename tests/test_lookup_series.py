@@ -203,3 +203,33 @@ def test_interval_join_long_intervals_and_left_rows(spark):
         for d in range(0, 400, 9)
     }
     assert got == want
+
+
+def test_interval_join_of_many_lengths_equals_all_pairs(spark):
+    import random
+
+    rng = random.Random(5)
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    pts = [(rng.choice("AB"), day(rng.randrange(9000)), i) for i in range(400)] + [("A", None, 400), (None, day(1), 401)]
+    ivs = [(rng.choice("AB"), day(s := rng.randrange(9000)), day(s + rng.choice([0, 1, 6, 30, 364, 3000])), i) for i in range(120)]
+    ivs += [("A", day(50), day(40), 120), ("A", None, day(9), 121), (None, day(0), day(9000), 122)]
+    points = spark.createDataFrame(pts, "k string, d date, id int")
+    intervals = spark.createDataFrame(ivs, "k string, s date, e date, iv int")
+    pairs = {(p[2], v[3]) for p in pts for v in ivs if p[0] and p[0] == v[0] and p[1] and v[1] and v[1] <= p[1] <= v[2]}
+    for width in (1, 7):
+        got = [(r.id, r.iv) for r in series.interval_join(points, intervals, ["k"], "d", "s", "e", width).collect()]
+        assert len(got) == len(pairs) and set(got) == pairs
+        left = [(r.id, r.iv) for r in series.interval_join(points, intervals, ["k"], "d", "s", "e", width, "left").collect()]
+        lone = {(p[2], None) for p in pts} - {(i, None) for i, _ in pairs}
+        assert len(left) == len(pairs) + len(lone) and set(left) == pairs | lone
+    none = intervals.where("iv < 0")
+    assert series.interval_join(points, none, ["k"], "d", "s", "e").count() == 0
+    assert series.interval_join(points, none, ["k"], "d", "s", "e", how="left").count() == len(pts)
+
+
+def test_long_intervals_take_two_buckets(spark):
+    intervals = spark.createDataFrame([("A", dt.date(2000, 1, 1), dt.date(2009, 12, 31))], "k string, s date, e date")
+    points = spark.createDataFrame([("A", dt.date(2005, 5, 5))], "k string, d date")
+    plan = series.interval_join(points, intervals, ["k"], "d", "s", "e")
+    assert plan.count() == 1
+    assert "NestedLoop" not in plan._jdf.queryExecution().executedPlan().toString()
