@@ -29,6 +29,7 @@ from epistar.functions.text import (
     ALL_FORMS,
     PARTIAL_MIN_LENGTH,
     PARTIAL_WEIGHT,
+    PLAIN_FORMS,
     TOKEN_SET_WEIGHT,
     TOKEN_SORT_WEIGHT,
     joined_length,
@@ -297,6 +298,8 @@ def best_fuzzy_matches(
     pair that can score ``min_score`` or more.
     Returns ``_match_name, match_name, match_score, code_fuzzy``.
     """
+    if blocking != "index":
+        forms = tuple(f for f in forms if f in PLAIN_FORMS)
     cand = names.select("_match_name").distinct().withColumn("_norm", normalize_name(F.col("_match_name")))
     if blocking == "index":
         # the names are read once for all indexes
