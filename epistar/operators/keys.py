@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistar.operators.sizing import DIMENSION_MAX_ROWS, row_count_at_most
+from epistar.operators.sizing import row_count_at_most
 from epistar.session import cut_lineage
 from epistar.spec import UNKNOWN_KEY, TableSpec
 
@@ -92,7 +92,7 @@ def resolve_foreign_keys(
     spec: TableSpec,
     dimensions: Mapping[str, DataFrame],
     dim_specs: Mapping[str, TableSpec],
-    max_broadcast_rows: int | None = DIMENSION_MAX_ROWS,
+    max_broadcast_rows: int | None = None,
     bounded_by_construction: frozenset[str] = frozenset({"dim_date"}),
 ) -> DataFrame:
     """Add every foreign key of ``spec`` to ``fact``.
@@ -102,13 +102,12 @@ def resolve_foreign_keys(
     * Other dimensions join on their business key; a miss gives ``-1`` (J6).
     * When the fact lacks the business key, the FK is the constant ``-1`` (J8).
 
-    Dimensions are broadcast behind a row-count check, made once per
-    dimension however many roles it plays; above the bound the join
-    shuffles. A calendar is bounded by construction (one row per day of the
-    years 1-9999 at most, about 3.7 million rows of two columns) and skips
-    the check. ``max_broadcast_rows=None`` makes no explicit broadcast for
-    other dimensions (for dimensions derived from a shuffle, where AQE decides
-    from the measured size).
+    Whether a dimension is broadcast follows from its bytes: the file sizes of a
+    written one, or what AQE measures of one that comes out of a shuffle. A
+    calendar is bounded by construction (one row per day of the
+    years 1-9999 at most, about 3.7 million rows of two columns) and always broadcast.
+    With ``max_broadcast_rows`` a caller asks for a broadcast behind a row-count check,
+    made once per dimension however many roles it plays.
     """
     out = fact
     small: dict[str, bool] = {}

@@ -15,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bounds for broadcast sides.
+# Fixed value: the default row bound of a broadcast side.
 LOOKUP_MAX_ROWS = 100_000
-DIMENSION_MAX_ROWS = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:

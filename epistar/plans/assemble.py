@@ -134,6 +134,6 @@ def assemble_star(
             continue
         # dimensions are written tables here: their file size decides between a broadcast and a shuffle
         spec = fact_specs[name]
-        keyed = [fill_numeric_zero(resolve_foreign_keys(f, spec, dims, dim_specs, None)) for f in frames]
+        keyed = [fill_numeric_zero(resolve_foreign_keys(f, spec, dims, dim_specs)) for f in frames]
         facts[name] = conform_fact(keyed, spec)
     return dims, facts

@@ -59,7 +59,8 @@ def weekly_orders_through_date_dimension(spark: SparkSession, sf_dir: str) -> Da
 
 
 def _dim(dims, name: str, *cols: str) -> DataFrame:
-    return F.broadcast(dims[name].select(*cols))
+    # a written table: its file size decides whether it is broadcast
+    return dims[name].select(*cols)
 
 
 def weekly_cases_trend(facts: dict, dims: dict) -> DataFrame:
