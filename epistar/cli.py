@@ -23,8 +23,9 @@ from epistar.operators.lookup import prepare_lookup
 from epistar.operators.contract import ContractReport
 from epistar.plans import cases_deaths, movement, vaccines
 from epistar.plans.load import load_warehouse
-from epistar.session import build_session, cut_lineage
-from epistar.sources.files import find_files, read_json_records, read_lookup_csv
+from epistar.session import build_session
+from epistar.sources.declared import CASES_FIELDS, MOVEMENT_FIELDS, VACCINE_FIELDS, read_declared
+from epistar.sources.files import find_files, read_lookup_csv
 
 # Landed file patterns of the three source families and the country list.
 MOVEMENT_FILES = "movementindicators*.json"
@@ -33,34 +34,34 @@ VACCINE_FILES = "vaccine-tracker*.json"
 LOOKUP_FILE = "data.csv"
 
 
-def transform_landed(spark: SparkSession, raw: str, land_partitions: int | None = None) -> dict:
+def transform_landed(spark: SparkSession, raw: str, land_partitions: int | None = None, counts: dict | None = None) -> dict:
     """The three transforms over whatever families are landed in ``raw``.
 
-    ``land_partitions`` spreads each parsed document over that many tasks
-    while landing it (one shuffle), for documents too large for the single
-    task that parses them to feed the rest of the job.
+    Documents are read by their splits with declared fields, whatever their size, and landed as
+    Parquet in the shared checkpoint folder, as a transform reads its inputs more than once.
+    ``land_partitions`` spreads the rows of each over that many tasks (one shuffle).
+    ``counts`` receives rows, and rows with undeclared keys, of every file.
     """
     lookup_path = find_files(spark, raw, LOOKUP_FILE)
     lookup = prepare_lookup(read_lookup_csv(spark, lookup_path[0]), pos_col="_pos") if lookup_path else None
 
-    def inputs(pattern: str):
-        # A multi-line JSON document is parsed by one task, and a transform reads
-        # its inputs more than once, so each file is parsed once and landed as
-        # Parquet in the shared checkpoint folder; later reads are columnar.
-        files = find_files(spark, raw, pattern)
-        parsed = [read_json_records(spark, f) for f in files or []]
-        if land_partitions:
-            parsed = [df.repartition(land_partitions) for df in parsed]
-        return [cut_lineage(df) for df in parsed]
+    def inputs(pattern: str, fields: dict[str, str]):
+        frames = []
+        for path in find_files(spark, raw, pattern) or []:
+            frame, read = read_declared(spark, path, fields, land_partitions)
+            frames.append(frame)
+            if counts is not None:
+                counts[path] = read
+        return frames
 
     outputs = {}
-    if mi := inputs(MOVEMENT_FILES):
+    if mi := inputs(MOVEMENT_FILES, MOVEMENT_FIELDS):
         outputs["mi"] = movement.transform(mi, lookup, materialize=True)
-    if nd := inputs(CASES_FILES):
+    if nd := inputs(CASES_FILES, CASES_FIELDS):
         result = cases_deaths.transform(nd, lookup, materialize=True)
         if result:
             outputs["nd"] = result
-    if vt := inputs(VACCINE_FILES):
+    if vt := inputs(VACCINE_FILES, VACCINE_FIELDS):
         outputs["vt"] = vaccines.transform(vt, materialize=True)
     return outputs
 
@@ -74,8 +75,9 @@ def run(
     refresh: bool,
     land_partitions: int | None = None,
     report: ContractReport | None = None,
+    counts: dict | None = None,
 ) -> dict:
-    outputs = transform_landed(spark, raw, land_partitions)
+    outputs = transform_landed(spark, raw, land_partitions, counts)
     batch_ts = _dt.datetime.combine(run_date, _dt.time())
     span = {"today": run_date, "num_years": years}
     return load_warehouse(spark, outputs, warehouse, batch_ts, date_span_args=span, refresh=refresh, report=report)
@@ -94,9 +96,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = parser.parse_args(argv)
     spark = spark or build_session(args.master)
     raw = os.path.abspath(args.raw) if "://" not in args.raw else args.raw
+    counts: dict = {}
     report = ContractReport(args.quarantine or f"{args.warehouse.rstrip('/')}/_quarantine")
-    written = run(spark, raw, args.warehouse, args.run_date, args.years, args.refresh, args.land_partitions, report)
-    print(json.dumps({**written, "contract": report.batches}, indent=1))
+    written = run(spark, raw, args.warehouse, args.run_date, args.years, args.refresh, args.land_partitions, report, counts)
+    print(json.dumps({**written, "sources": counts, "contract": report.batches}, indent=1))
     return written
 
 
