@@ -2,11 +2,10 @@
 previous-week lookup (J9) and week-interval joins (J4).
 
 Skew: a window partitioned only by an entity key sends all of that entity's
-rows to one task. The running total here is two-level instead: totals per
-(key, bucket) come from a partially aggregated ``groupBy``, their prefix sums
-are taken over that small per-key calendar, and each row only adds the
-running sum inside its own (key, bucket) window. A hot key is thus spread
-over its buckets.
+rows to one task. The running total here is a distributed prefix scan instead:
+rows are placed in ranges of (key, order), each range sums on its own, and what a key
+summed up in earlier ranges is added. Ranges follow the data, so a hot key, or a hot day of one,
+is spread over as many of them as it needs.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from epistar.session import cut_lineage
+
 
 def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -32,13 +33,16 @@ def running_total(
     """Cumulative sum of each value column per key, ordered by ``order_cols``.
 
     A row whose value is null gets null, and does not break the sum of
-    later rows (1, null, 2 -> 1, null, 3). ``bucket`` must be a monotone
-    function of the leading order column (default: the first order column
-    itself, e.g. the date), so that buckets are contiguous runs of the order.
-    Rows without an order value come after all others; null keys are a key.
+    later rows (1, null, 2 -> 1, null, 3). Rows without an order value come after all others; null keys are a key.
+    The order should be unique in a key: tied rows are summed in any order.
+
+    Rows are placed by ranges of (key, order) and written once, as another evaluation of a range shuffle need not
+    place them alike. With ``bucket``, a monotone function of the order (e.g. the day), nothing is
+    written: totals per (key, bucket) are prefix-summed instead, and one (key, bucket) is ordered in one task.
     """
+    if bucket is None:
+        return _range_scan(df, _as_list(keys), _as_list(order_cols), _as_list(value_cols), suffix)
     keys, order, values = _as_list(keys), _as_list(order_cols), _as_list(value_cols)
-    bucket = F.col(order[0]) if bucket is None else bucket
     staged = df.withColumn("_bucket", bucket)
 
     # level 1: per (key, bucket) totals, partially aggregated map-side
@@ -66,6 +70,30 @@ def running_total(
     return out.drop("_bucket", *helpers, *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
 
 
+def _range_scan(df: DataFrame, keys: list[str], order: list[str], values: list[str], suffix: str) -> DataFrame:
+    """Running totals by ranges; only a range's first key can have begun in an earlier range."""
+    in_order = [F.col(c).asc_nulls_last() for c in order]
+    ranged = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *in_order)
+    placed = cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
+    totals = placed.groupBy("_range", *keys).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    # a key has one row a range here; rows that carry nothing over are left out, so one a range at most remains
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    if not keys:
+        earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_range").alias("_key__range"),
+        F.count(F.lit(1)).over(earlier).alias("_before"),
+        *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_off_{v}") for v in values],
+    ).where("_before > 0")
+    within = Window.partitionBy("_range", *keys).orderBy(*in_order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumns({f"_in_{v}": F.sum(v).over(within) for v in values})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    out = summed.join(F.broadcast(carried), [F.col("_range") == F.col("_key__range"), *same], "left")
+    totals_of = {f"{v}{suffix}": F.when(F.col(v).isNotNull(), F.coalesce(F.col(f"_off_{v}"), F.lit(0)) + F.col(f"_in_{v}")) for v in values}
+    return out.select(*df.columns, *[total.alias(name) for name, total in totals_of.items()])
+
+
 def previous_period_value(
     df: DataFrame,
     keys: Sequence[str],

@@ -39,12 +39,12 @@ def test_merges_aggregate_partially_before_the_shuffle(spark):
         assert re.search(r"(HashAggregate|SortAggregate)[\s\S]*Exchange[\s\S]*(HashAggregate|SortAggregate)", text), name
 
 
-def test_running_total_windows_are_bucketed(spark):
+def test_running_total_windows_are_split(spark):
     df = spark.createDataFrame([(1, dt.date(2021, 1, 1), 1, 0)], "k int, d date, v int, pos int")
     plan = _plan(series.running_total(df, ["k"], ["d", "pos"], ["v"]))
-    # the row-level window is partitioned by key *and* bucket, never by key alone
+    # the row-level window is partitioned by range *and* key, never by key alone; what earlier ranges carry over is broadcast
     specs = re.findall(r"Window \[[^\]]*\], \[([^\]]*)\]", plan)
-    assert any("_bucket" in s for s in specs)
+    assert any("_range" in s for s in specs) and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_hot_key_running_total_is_exact(spark):
@@ -59,6 +59,32 @@ def test_hot_key_running_total_is_exact(spark):
             assert got[r[3]] == i
 
 
+def test_one_hot_cell_is_spread_over_ranges(spark):
+    # one key and one day hold a third of the rows, another third has neither
+    def cell(i):
+        return (7, dt.date(2021, 1, 1)) if i % 3 == 0 else (None, None) if i % 3 == 1 else (i % 9, dt.date(2021, 1, 1) + dt.timedelta(days=i % 40))
+
+    rows = [(*cell(i), None if i % 11 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, d date, v int, pos int")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        for keys in (["k"], []):
+            out = series.running_total(df, keys, ["d", "pos"], ["v"])
+            got = {r.pos: r.v_cumulative for r in out.collect()}
+            sums, want = {}, {}
+            for k, d, v, pos in sorted(rows, key=lambda r: (r[1] is None, r[1] or dt.date.min, r[3])):
+                group = k if keys else 0
+                sums[group] = sums.get(group, 0) + (v or 0)
+                want[pos] = None if v is None else sums[group]
+            assert got == want
+            # the ranges follow the rows: none holds much more than its share
+            landed = spark.read.parquet(*out.inputFiles()).groupBy("_range").count().collect()
+            assert len(landed) == 4 and max(r["count"] for r in landed) < 1.5 * len(rows) / 4
+    finally:
+        spark.conf.set(key, "true")
+
+
 def test_dimension_side_is_broadcast_after_size_check(spark):
     plan = _plan(E.queries()["j6_dim_keys"](spark, SF))
     assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan
