@@ -1,13 +1,14 @@
 """Command-line run: transform the landed source files and load the warehouse.
 
     python -m epistar.cli --raw <folder> --warehouse <folder> [--run-date YYYY-MM-DD]
-                          [--years -10] [--refresh] [--master local[8]]
+                          [--years -10] [--refresh] [--keep-snapshots 2] [--master local[8]]
 
 The raw folder holds the landed files (``movementindicators*.json``,
 ``nationalcasedeath*.json``, ``vaccine-tracker*.json`` and the country list
 ``data.csv``). A family without files is skipped; without the country list
 names are not resolved to codes. Every table is written as a new version
-under the warehouse folder.
+under the warehouse folder, and the load is published as one snapshot of it.
+The run's own intermediate tables are removed at its end.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from pyspark.sql import SparkSession
 
 from epistar.operators.lookup import prepare_lookup
 from epistar.operators.contract import ContractReport
+from epistar.operators.snapshot import clean_up
 from epistar.plans import cases_deaths, movement, vaccines
 from epistar.plans.load import load_warehouse
-from epistar.session import build_session
+from epistar.session import build_session, scratch_scope
 from epistar.sources.declared import CASES_FIELDS, MOVEMENT_FIELDS, VACCINE_FIELDS, read_declared
 from epistar.sources.files import find_files, read_lookup_csv
 
@@ -77,10 +79,11 @@ def run(
     report: ContractReport | None = None,
     counts: dict | None = None,
 ) -> dict:
-    outputs = transform_landed(spark, raw, land_partitions, counts)
     batch_ts = _dt.datetime.combine(run_date, _dt.time())
     span = {"today": run_date, "num_years": years}
-    return load_warehouse(spark, outputs, warehouse, batch_ts, date_span_args=span, refresh=refresh, report=report)
+    with scratch_scope(spark):
+        outputs = transform_landed(spark, raw, land_partitions, counts)
+        return load_warehouse(spark, outputs, warehouse, batch_ts, date_span_args=span, refresh=refresh, report=report)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -92,6 +95,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     parser.add_argument("--refresh", action="store_true")
     parser.add_argument("--master", default=None)
     parser.add_argument("--land-partitions", type=int, default=None)
+    parser.add_argument("--keep-snapshots", type=int, default=None, help="remove older snapshots, and the versions and files that only they read")
     parser.add_argument("--quarantine", default=None, help="folder of rows that break a table's contract (default: <warehouse>/_quarantine)")
     args = parser.parse_args(argv)
     spark = spark or build_session(args.master)
@@ -99,6 +103,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     counts: dict = {}
     report = ContractReport(args.quarantine or f"{args.warehouse.rstrip('/')}/_quarantine")
     written = run(spark, raw, args.warehouse, args.run_date, args.years, args.refresh, args.land_partitions, report, counts)
+    if args.keep_snapshots is not None:
+        clean_up(spark, args.warehouse, args.keep_snapshots)
     print(json.dumps({**written, "sources": counts, "contract": report.batches}, indent=1))
     return written
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -34,19 +35,40 @@ class Version:
     epochs: dict[str, int] = field(default_factory=dict)
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath, jvm = hadoop_fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def commit_text(spark: SparkSession, path: str, body: str) -> None:
+    """Write a small file beside ``path`` and put it in place by one rename; one that is there already is not replaced."""
+    fs, target, jvm = hadoop_fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(body.encode("utf8")))
+    stream.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise FileExistsError(f"{path} could not be committed")
+
+
 def version_path(table_root: str, version: int) -> str:
     return f"{table_root.rstrip('/')}/version={version:06d}"
 
 
 def list_versions(spark: SparkSession, table_root: str, complete_only: bool = True) -> list[int]:
     """Versions of a table, ascending; by default only committed ones (with a manifest)."""
-    fs, root, jvm = _hadoop_fs(spark, table_root)
+    fs, root, jvm = hadoop_fs(spark, table_root)
     if not fs.exists(root):
         return []
     out = []
@@ -58,12 +80,7 @@ def list_versions(spark: SparkSession, table_root: str, complete_only: bool = Tr
 
 
 def read_manifest(spark: SparkSession, table_root: str, version: int) -> Version:
-    fs, path, jvm = _hadoop_fs(spark, f"{version_path(table_root, version)}/{MANIFEST}")
-    stream = fs.open(path)
-    try:
-        raw = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    raw = json.loads(read_text(spark, f"{version_path(table_root, version)}/{MANIFEST}"))
     return Version(version, T.StructType.fromJson(raw["schema"]), raw["lead"], raw["files"], raw["epochs"])
 
 
@@ -114,13 +131,7 @@ def write_version(
         F.count(F.lit(1)).alias("rows"), F.min(key).cast("string").alias("lo"), F.max(key).cast("string").alias("hi"), F.count_if(key.isNull()).alias("nulls"))
     files = [dict(f) for f in keep] + [r.asDict() for r in stats.orderBy("path").collect()]
     body = json.dumps({"schema": json.loads(schema.json()), "lead": lead, "files": files, "epochs": dict(epochs or {})})
-    fs, target, jvm = _hadoop_fs(spark, f"{path}/{MANIFEST}")
-    draft = jvm.org.apache.hadoop.fs.Path(f"{path}/_{MANIFEST}.draft")
-    stream = fs.create(draft, True)
-    stream.write(bytearray(body.encode("utf8")))
-    stream.close()
-    if not fs.rename(draft, target):
-        raise OSError(f"{path} could not be committed")
+    commit_text(spark, f"{path}/{MANIFEST}", body)
     return path
 
 
@@ -152,20 +163,26 @@ def files_with_keys(spark: SparkSession, version: Version, keys: DataFrame, name
 
 
 def remove_old_versions(spark: SparkSession, table_root: str, keep: int = 2) -> int:
-    """Drop all versions but the last ``keep`` and every data file that none of these lists; returns the files removed.
+    """Drop all versions but the last ``keep`` and every data file that none of these lists; returns the files removed."""
+    committed = list_versions(spark, table_root)
+    return remove_versions(spark, table_root, set(committed[-keep:])) if committed else 0
+
+
+def remove_versions(spark: SparkSession, table_root: str, pinned: set[int]) -> int:
+    """Drop the versions below the last of ``pinned`` that are not in it, and every data file that no version left lists.
 
-    A version that is being written (a number above the last committed one) is left alone.
+    Versions above it, committed or being written, are left alone. Returns the files removed.
     """
     committed = list_versions(spark, table_root)
-    kept, old = committed[-keep:], set(committed[:-keep])
-    if not kept:
-        return 0
+    kept = [v for v in committed if v in pinned or v > max(pinned)]
+    old = {v for v in committed if v not in kept}
+    last = max(pinned)
     used = {f["path"] for v in kept for f in read_manifest(spark, table_root, v).files}
     removed = 0
     for number in list_versions(spark, table_root, complete_only=False):
-        if number > kept[-1]:
+        if number > last:
             continue
-        fs, folder, jvm = _hadoop_fs(spark, version_path(table_root, number))
+        fs, folder, jvm = hadoop_fs(spark, version_path(table_root, number))
         if number in old:
             fs.delete(jvm.org.apache.hadoop.fs.Path(folder, MANIFEST), False)
         left = 0

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epistar.functions.calendar import date_dimension_rows, date_range_frame, date_span
 from epistar.operators.contract import ContractReport, admit
+from epistar.operators.snapshot import publish
 from epistar.operators.warehouse import load_table, prepare_fact, read_current, refresh_tables
 from epistar.spec import DIMENSIONS, FACTS, TableSpec
 
@@ -146,10 +147,15 @@ def load_warehouse(
     refresh: bool = False,
     report: ContractReport | None = None,
 ) -> dict[str, list[str]]:
-    """D4+D5+D6 (and H9 when ``refresh``): the whole load in dependency order, against the contracts with a ``report``."""
+    """D4+D5+D6 (and H9 when ``refresh``): the whole load in dependency order, against the contracts with a ``report``.
+
+    The versions it leaves are published as one snapshot at the end (``operators/snapshot.py``): a reader of snapshots
+    sees the warehouse before the load or after it, also during a refresh or when the load fails.
+    """
     if refresh:
         refresh_tables(spark, {**DIMENSIONS, **FACTS}, warehouse_root, batch_ts)
     written = {"dim_date": [p for p in [load_date_dimension(spark, warehouse_root, batch_ts, **(date_span_args or {}))] if p]}
     written.update(load_dimensions(spark, outputs, warehouse_root, batch_ts, report))
     written.update(load_facts(spark, outputs, warehouse_root, batch_ts, report=report))
+    publish(spark, warehouse_root, [*DIMENSIONS, *FACTS])
     return written

@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +71,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+# folders of the open scopes, the innermost last; threads of a load share them
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Tables that ``cut_lineage`` writes inside are removed at the end; nothing that reads them may be used after it."""
+    name = f"scope-{uuid.uuid4().hex}"
+    _scopes.append(name)
+    path = os.path.join(checkpoint_dir(spark), "tables", name)
+    try:
+        yield path
+    finally:
+        _scopes.remove(name)
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
 
@@ -78,7 +98,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     to broadcast a small result.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    path = os.path.join(checkpoint_dir(spark), "tables", *_scopes[-1:], uuid.uuid4().hex)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
