@@ -17,14 +17,21 @@ def composite_key(*cols, sep: str = "|") -> Column:
     return F.concat_ws(sep, *[col_of(c).cast("string") for c in cols])
 
 
-# Fixed value: stands for a null in a hashed key, as no text key holds it.
+# Fixed value: stands for a null in a hashed key.
 NULL_MARK = "\0"
 
 
 def row_hash(*cols, sep: str = "|") -> Column:
-    """SHA-256 hex digest of the ``|``-joined key columns (a null keeps its place)."""
-    marked = [F.coalesce(col_of(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.sha2(F.concat_ws(sep, *marked), 256)
+    """SHA-256 hex digest of the ``|``-joined key columns.
+
+    A null keeps its place. A separator, backslash or null mark inside a part gets a backslash before it, so
+    different rows never join to one text; ordinary parts hash as they stand.
+    """
+    if len(sep) != 1 or sep in ("\\", NULL_MARK):
+        raise ValueError("sep must be one character, no backslash and not the null mark")
+    special = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in ("\\", NULL_MARK, sep)) + "]"
+    part = lambda c: F.regexp_replace(col_of(c).cast("string"), special, r"\\$0")
+    return F.sha2(F.concat_ws(sep, *[F.coalesce(part(c), F.lit(NULL_MARK)) for c in cols]), 256)
 
 
 def prefix(c, n: int = 2) -> Column:

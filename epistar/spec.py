@@ -259,3 +259,11 @@ FACTS = {
     )
 }
 TABLES = {**DIMENSIONS, **FACTS}
+
+
+def natural_columns(spec: TableSpec) -> list[str]:
+    """The columns a fact is loaded from: the business keys behind its foreign keys (a date's day for a date key), then its numbers."""
+    keys: list[str] = []
+    for key, dim in spec.foreign_keys:
+        keys += [spec.date_roles[key]] if dim == DIM_DATE.name else list(DIMENSIONS[dim].unique_keys)
+    return [*dict.fromkeys(keys), *spec.columns]

@@ -35,6 +35,18 @@ def test_row_hash_and_key(spark):
     assert r.h == hashlib.sha256(b"2021-W10|DE|\0|ALL").hexdigest()
 
 
+def test_row_hash_tells_parts_apart(spark):
+    # every split of texts over the special characters is another row
+    parts = [None, "", "|", "\\", "\0", "a|b", "a", "b", "a\\", "|b", "\\|", "\\\\"]
+    rows = [(x, y) for x in parts for y in parts]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(tx.row_hash("x", "y").alias("h")).distinct().count() == len(rows)
+    pairs = df.select(tx.row_hash("x", "y", sep=";").alias("h"))
+    assert pairs.distinct().count() == len(rows)
+    with pytest.raises(ValueError):
+        tx.row_hash("x", sep="\\")
+
+
 @pytest.mark.parametrize(
     "endpoint,slug",
     [
