@@ -181,3 +181,27 @@ def union_all(*frames: DataFrame) -> DataFrame:
     if not frames:
         raise ValueError("union_all needs at least one frame")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def combine(*frames: DataFrame | None, on: Sequence[str] | str, how: str = "inner") -> DataFrame:
+    """Frames side by side, matched on the row key ``on``.
+
+    ``inner`` keeps the keys that all frames have, ``left`` those of the first (the others' columns null where
+    they have none). Null keys match each other. A key should occur once in each frame; if not, its rows
+    multiply as in any join. Other columns that two frames share raise ``ValueError``; ``None`` frames are skipped.
+    """
+    frames = [f for f in frames if f is not None]
+    keys = [on] if isinstance(on, str) else list(on)
+    if not frames or not keys:
+        raise ValueError("combine needs at least one frame and a row key")
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how!r}")
+    out = frames[0]
+    for frame in frames[1:]:
+        rest = [c for c in frame.columns if c not in keys]
+        clash = sorted({c.lower() for c in rest} & {c.lower() for c in out.columns})
+        if clash:
+            raise ValueError(f"columns in more than one frame: {', '.join(clash)}")
+        side = frame.select(*[F.col(k).alias(f"_on_{k}") for k in keys], *rest)
+        out = out.join(side, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in keys], how).drop(*[f"_on_{k}" for k in keys])
+    return out

@@ -746,3 +746,25 @@ scored AS (
 SELECT name, b AS match_name, score::INTEGER AS match_score, pos::VARCHAR AS code FROM scored
 QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, pos) = 1 AND score >= 75
 """
+
+ORACLE_SQL.update(
+    {
+        "a2_distinct": "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders",
+        "f5_previous_week": """
+WITH w AS (SELECT CAST(date_trunc('week', CAST(o_orderdate AS DATE)) AS DATE) AS week_start_date, count(*) AS n_orders FROM orders GROUP BY 1)
+SELECT w.week_start_date, CAST(w.week_start_date - INTERVAL 7 DAY AS DATE) AS previous_start_date, w.n_orders, coalesce(p.n_orders, 0) AS n_previous
+FROM w LEFT JOIN w p ON p.week_start_date = w.week_start_date - INTERVAL 7 DAY
+""",
+        "s4_lookup_csv": """
+SELECT c_name AS "Name", CASE WHEN c_mktsegment = 'BUILDING' THEN 'NA' ELSE substr(c_mktsegment, 1, 2) END AS "Code" FROM customer
+""",
+        "s7_round_trip": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+        "h9_snapshots": """
+SELECT seen, o_orderkey, o_custkey FROM orders, (VALUES ('during', true), ('first', true), ('after', false)) s(seen, open_orders)
+WHERE (o_orderstatus = 'O') = open_orders
+""",
+        # the loaded warehouse answers as the assembled star does
+        "n2_loaded_star": ORACLE_SQL["n2_doses_star"],
+        "n3_loaded_star": ORACLE_SQL["n3_status_star"],
+    }
+)

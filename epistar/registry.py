@@ -12,6 +12,7 @@ whole tables; none filters rows away to stay cheap.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,10 +24,12 @@ from epistar.functions.text import PLAIN_FORMS
 from epistar.operators import columns as colops
 from epistar.operators import dedupe, lookup, projection, series
 from epistar.operators.keys import assign_consecutive_keys, resolve_foreign_keys, with_unknown_member
-from epistar.operators.warehouse import insert_rows, upsert_rows
+from epistar.operators.snapshot import publish, read_snapshot
+from epistar.operators.warehouse import insert_rows, load_table, refresh_tables, upsert_rows
+from epistar.plans.load import load_warehouse
 from epistar.plans.vaccines import TARGET_DESCRIPTIONS
-from epistar.session import cut_lineage
-from epistar.sources.files import unseen_files
+from epistar.session import cut_lineage, scratch_path
+from epistar.sources.files import read_cleansed, read_lookup_csv, unseen_files, write_datasets
 from epistar.spec import TableSpec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -550,8 +553,8 @@ def j10_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_open = (
         orders.filter(F.col("o_orderstatus") == "O").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_open"))
     )
-    inner = cust.join(n_orders, "c_custkey", "inner")
-    return inner.join(n_open, "c_custkey", "left")
+    inner = dedupe.combine(cust, n_orders, on="c_custkey")
+    return dedupe.combine(inner, n_open, on="c_custkey", how="left")
 
 
 # ----------------------------------------------------------------- star analysis
@@ -1067,3 +1070,101 @@ def j4_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["j4_interval_join"] = j4_interval_join
+
+
+# ----------------------------------------------------------------- files, loads and snapshots
+
+
+def _run_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one run of a query, in the shared checkpoint folder."""
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+def a2_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: distinct rows, with no key and a column that the table lacks."""
+    return dedupe.keep_first(_t(spark, sf_dir, "orders"), ["o_custkey", "o_orderstatus", "o_orderpriority", "no_such_column"], None)
+
+
+def f5_previous_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders of each ISO week beside those of the week before (0 where it has none)."""
+    weeks = _order_date(_t(spark, sf_dir, "orders")).groupBy(F.trunc("order_date", "week").alias("week_start_date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    before = weeks.select(F.col("week_start_date").alias("previous_start_date"), F.col("n_orders").alias("n_previous"))
+    here = weeks.withColumn("previous_start_date", cal.previous_week_start("week_start_date"))
+    return dedupe.combine(here, before, on="previous_start_date", how="left").withColumn("n_previous", F.coalesce("n_previous", F.lit(0)))
+
+
+def s4_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as a ``Name,Code`` list and read back; a code spelled ``NA`` stays text."""
+    folder = _run_folder(spark, "s4")
+    code = F.when(F.col("c_mktsegment") == "BUILDING", "NA").otherwise(F.substring("c_mktsegment", 1, 2))
+    _t(spark, sf_dir, "customer").select(F.col("c_name").alias("Name"), code.alias("Code")).write.option("header", True).csv(folder)
+    return read_lookup_csv(spark, folder).select("Name", "Code")
+
+
+def s7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open orders written as a data set, the others appended, the old content replaced first; read back whole."""
+    folder = _run_folder(spark, "s7")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    is_open = F.col("o_orderstatus") == "O"
+    write_datasets({"orders": orders}, folder)
+    write_datasets({"orders": orders.where(is_open)}, folder)
+    paths = write_datasets({"orders": orders.where(~is_open)}, folder, mode="append")
+    return read_cleansed(spark, paths["orders"])
+
+
+def h9_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two published loads around a refresh; each snapshot keeps its own rows.
+
+    Open orders are loaded and published. The table is refreshed (its defaults only) and loaded with the orders that are
+    not open; a reader sees the first snapshot until the second is published.
+    """
+    spec = TableSpec("orders_table", "fact", ("o_orderkey",), {"o_custkey": "bigint"}, key_types={"o_orderkey": "bigint"})
+    root = _run_folder(spark, "h9")
+    orders = _t(spark, sf_dir, "orders")
+    is_open = F.col("o_orderstatus") == "O"
+    load_table(spark, spec, orders.where(is_open), f"{root}/{spec.name}", _BATCH_0)
+    publish(spark, root, [spec.name])
+    refresh_tables(spark, {spec.name: spec}, root, _BATCH_1)
+    meanwhile = read_snapshot(spark, root)[spec.name]
+    load_table(spark, spec, orders.where(~is_open), f"{root}/{spec.name}", _BATCH_2)
+    publish(spark, root, [spec.name])
+    seen = {"during": meanwhile, "after": read_snapshot(spark, root)[spec.name], "first": read_snapshot(spark, root, 1)[spec.name]}
+    return dedupe.union_all(*[df.select(F.lit(name).alias("seen"), "o_orderkey", "o_custkey") for name, df in seen.items()])
+
+
+def _loaded(spark: SparkSession, name: str, outputs: dict[str, dict[str, DataFrame]]):
+    """(facts, dimensions) of a warehouse loaded from the outputs (D4-D6) and read by its snapshot."""
+    root = _run_folder(spark, name)
+    # the calendar has every week of the facts, or the rows of those outside would share the unknown date
+    facts = [df.select("week_start_date", "week_end_date") for out in outputs.values() for table, df in out.items() if table.startswith("fact_")]
+    first, last = dedupe.union_all(*facts).agg(F.min("week_start_date"), F.max("week_end_date")).first()
+    load_warehouse(spark, outputs, root, _BATCH_0, date_span_args={"start": last, "num_years": first.year - last.year - 1})
+    tables = read_snapshot(spark, root)
+    return tables, tables
+
+
+def n2_loaded_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2 on the loaded warehouse (D3 -> D4-D6 -> snapshot): equals the assembled star's doses."""
+    from epistar.plans.star import doses_by_group_and_vaccine
+
+    return doses_by_group_and_vaccine(*_loaded(spark, "n2", {"vt": _vaccine_outputs(spark, sf_dir, materialize=True)}))
+
+
+def n3_loaded_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N3 on the loaded warehouse (D1 -> D4-D6 -> snapshot): equals the assembled star's regions per status."""
+    from epistar.plans.star import regions_per_status
+
+    return regions_per_status(*_loaded(spark, "n3", {"mi": _movement_outputs(spark, sf_dir, materialize=True)}))
+
+
+QUERIES.update(
+    {
+        "a2_distinct": a2_distinct,
+        "f5_previous_week": f5_previous_week,
+        "s4_lookup_csv": s4_lookup_csv,
+        "s7_round_trip": s7_round_trip,
+        "h9_snapshots": h9_snapshots,
+        "n2_loaded_star": n2_loaded_star,
+        "n3_loaded_star": n3_loaded_star,
+    }
+)

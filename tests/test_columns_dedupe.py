@@ -163,3 +163,20 @@ def test_long_to_wide(spark):
     )
     r = dedupe.long_to_wide(df, ["yw", "t"], "indicator", {"cases": ("cases", "n"), "deaths": ("deaths", "n")}, ["pos"]).first()
     assert (r.cases, r.deaths) == (10, 1)
+
+
+def test_combine_matches_on_the_row_key(spark):
+    import pytest
+
+    from epistar.operators.dedupe import combine
+
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, a string")
+    b = spark.createDataFrame([(1, 10), (None, 30), (9, 90)], "k int, b int")
+    c = spark.createDataFrame([(None, 0.5)], "k int, c double")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    assert rows(combine(a, b, on="k")) == sorted([(1, "a", 10), (None, "c", 30)], key=str)
+    assert rows(combine(a, None, b, c, on=["k"], how="left")) == sorted([(1, "a", 10, None), (2, "b", None, None), (None, "c", 30, 0.5)], key=str)
+    assert rows(combine(a, on="k")) == rows(a)
+    for bad in (lambda: combine(a, a, on="k"), lambda: combine(on="k"), lambda: combine(a, b, on="k", how="outer"), lambda: combine(a, b, on=[])):
+        with pytest.raises(ValueError):
+            bad()
