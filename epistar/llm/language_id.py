@@ -28,6 +28,7 @@ from epistar.llm.tokens import mix
 
 DIM = 1 << 16
 PER_LANGUAGE = 800
+CELLS = 64  # hash cells of a language, each cut to the sample before they meet
 TRAIN_DOCS = 6000
 LEAST_DOCS = 10
 EPOCHS = 2
@@ -135,6 +136,9 @@ def train(learn: DataFrame) -> tuple[list[str], np.ndarray, float]:
     df, n_docs = document_frequencies(learn)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
     slim = learn.select("id", "lang", F.xxhash64("id", "text").alias("h"))
+    # a language may hold most rows: cells of it are cut first, so at most CELLS * PER_LANGUAGE rows of one meet
+    by_cell = Window.partitionBy("lang", F.pmod("h", F.lit(CELLS))).orderBy("h", "id")
+    slim = slim.withColumn("r", F.row_number().over(by_cell)).where(F.col("r") <= PER_LANGUAGE).drop("r")
     by_hash = Window.partitionBy("lang").orderBy("h", "id")
     picked = slim.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= PER_LANGUAGE)
     picked = picked.orderBy("r", "lang", "h", "id").limit(max(TRAIN_DOCS, LEAST_DOCS * len(langs))).select(F.col("h").alias("p_h"), F.col("lang").alias("p_lang")).distinct()
@@ -153,7 +157,8 @@ def train(learn: DataFrame) -> tuple[list[str], np.ndarray, float]:
                 a, x, y, i = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(x), pa.array(y), pa.array(i, pa.int64())], names=["a", "x", "lang", "id"])
 
-    found = sample.select("id", "text", "lang").mapInArrow(scan, "a binary, x binary, lang string, id long").collect()
+    # repeated rows are learned once, so what reaches the driver has the bound of the picked hashes
+    found = sample.select("id", "text", "lang").mapInArrow(scan, "a binary, x binary, lang string, id long").distinct().collect()
     found.sort(key=lambda r: (r["id"] is None, r["id"] or 0, r["lang"], bytes(r["a"]), bytes(r["x"])))
     number = {x: i for i, x in enumerate(langs)}
     rows = []

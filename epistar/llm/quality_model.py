@@ -94,7 +94,7 @@ def fold(id_col: Column, k: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Feature rows of the bounded training sample."""
+    """Feature rows of the bounded training sample, one an id: ``TRAIN_DOCS`` at most, however often an id occurs."""
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (fold(F.col(id_col), 3) != 1))
         .groupBy(F.col(id_col).alias("l_id")).agg(F.min(label_col).cast("int").alias("y"))
@@ -118,8 +118,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
                 a, x, y_, i = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(x), pa.array(y_, pa.int32()), pa.array(i, pa.int64())], names=["a", "x", "y", "id"])
 
-    rows = sample.select(F.col("id").cast("long").alias("id"), "text", "y").mapInArrow(scan, "a binary, x binary, y int, id long").collect()
-    rows.sort(key=lambda r: (r["id"], bytes(r["a"]), bytes(r["x"])))  # reruns see one order
+    found = sample.select(F.col("id").cast("long").alias("id"), "text", "y").mapInArrow(scan, "a binary, x binary, y int, id long")
+    # of rows that share an id one is learned, so what reaches the driver has the bound of the ids
+    rows = [r["r"] for r in found.groupBy("id").agg(F.min(F.struct("id", "a", "x", "y")).alias("r")).collect()]
+    rows.sort(key=lambda r: r["id"])  # reruns see one order
     return [(np.frombuffer(r["a"], np.int32).astype(np.int64), np.frombuffer(r["x"], np.float32).astype(float), r["y"]) for r in rows]
 
 

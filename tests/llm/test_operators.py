@@ -519,3 +519,20 @@ def test_query_equals_its_sql(spark, name):
     got = sorted(tuple(r) for r in frame.collect())
     cur = con.execute(f"SELECT {', '.join(frame.columns)} FROM ({ORACLE_SQL[name]})")
     assert got == sorted(cur.fetchall())
+
+
+def test_repeated_rows_do_not_widen_the_training_samples(spark, monkeypatch):
+    rows = [(i, ("good words of a clear text " if i % 2 else "bad bad $$ ## bad ") * (3 + i % 5) + f"w{i}", "ab"[i % 2]) for i in range(60)]
+    once = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hot = once.unionByName(spark.range(0, 5000, 1, 8).selectExpr("4L doc_id", "'bad bad $$ ## bad again' text", "'a' lang"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    learned = quality_model.training_rows(once, labels, "doc_id", "text", "quality")
+    again = quality_model.training_rows(hot.unionByName(once), labels, "doc_id", "text", "quality")
+    assert len(again) == len(learned) > 0
+    assert sum(any((a[0] == b[0]).all() for b in again if len(b[0]) == len(a[0])) for a in learned) >= len(learned) - 1
+
+    seen = []
+    fit = language_id.fit_multinomial
+    monkeypatch.setattr(language_id, "fit_multinomial", lambda rows, n: seen.append(len(rows)) or fit(rows, n))
+    language_id.identify(hot).count()
+    assert seen and seen[0] <= 61
