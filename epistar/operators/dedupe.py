@@ -146,23 +146,21 @@ def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "dupe_count") ->
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def split_by_duplicates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """A3+J5: (rows whose key occurs once, rows whose key repeats).
+def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "dupe_count") -> DataFrame:
+    """A3+J5: every row with the number of rows of its key (null keys are keys).
 
-    The size table has one row per key, so the join back is skew-safe under
-    AQE (a hot key's partition is split on the large side only). Keys are
-    compared null-safely.
+    The size table has one row per key, so the join back is skew-safe under AQE (a hot key's partition is
+    split on the large side only).
     """
-    sizes = group_sizes(df, keys, "_n")
-    joined = df.alias("d").join(
-        sizes.alias("s"),
-        on=reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]),
-        how="inner",
-    )
-    body = [F.col(f"d.{c}").alias(c) for c in df.columns]
-    unique = joined.filter(F.col("s._n") == 1).select(*body)
-    dupes = joined.filter(F.col("s._n") > 1).select(*body)
-    return unique, dupes
+    sizes = group_sizes(df, keys, name).select(*[F.col(k).alias(f"_g_{k}") for k in keys], name)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    return df.join(sizes, same, "inner").select(*df.columns, name)
+
+
+def split_by_duplicates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """A3+J5: (rows whose key occurs once, rows whose key repeats)."""
+    sized = with_group_size(df, keys, "_n")
+    return sized.where(F.col("_n") == 1).drop("_n"), sized.where(F.col("_n") > 1).drop("_n")
 
 
 def has_rows(df: DataFrame, key: str | None = None, unknown_value=-1) -> bool:

@@ -189,10 +189,9 @@ def a5_suffix_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a3_group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3+J5: split rows by whether their (user, type, day) key repeats; count each side."""
     events = _t(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))
-    unique, dupes = dedupe.split_by_duplicates(events, ["user_id", "event_type", "event_date"])
-    u = unique.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_unique_rows"))
-    d = dupes.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_dupe_rows"))
-    return u.join(d, "event_type", "full_outer").fillna(0)
+    sized = dedupe.with_group_size(events, ["user_id", "event_type", "event_date"], "n")
+    # both sides are counted in one pass over the rows
+    return sized.groupBy("event_type").agg(F.count_if(F.col("n") == 1).alias("n_unique_rows"), F.count_if(F.col("n") > 1).alias("n_dupe_rows"))
 
 
 def u1_union(spark: SparkSession, sf_dir: str) -> DataFrame:
