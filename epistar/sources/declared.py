@@ -57,7 +57,7 @@ def read_declared(
     ``{"rows": n, "undeclared": rows with other keys}``. Other keys are left out. A value that
     does not fit its type becomes null; a record that is no JSON object fails the read, as does a document
     that breaks off. Names that differ in case only are one column, under the first declared name, the first
-    non-null value winning. An empty array has no columns but the two of the order.
+    non-null value winning; of a key that a record repeats the first value counts. An empty array has no columns but the two of the order.
     """
     names = list(fields)
     record = F.from_json("text", "map<string,string>", {"mode": "FAILFAST"})

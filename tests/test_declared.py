@@ -71,3 +71,11 @@ def test_broken_and_empty_documents(spark, scratch):
         read_declared(spark, path, CASES_FIELDS)
     df, counts = read_declared(spark, write_json(scratch, "empty.json", []), CASES_FIELDS)
     assert df.columns == ["_file", "_pos"] and counts["rows"] == 0
+
+
+def test_a_repeated_key_and_nested_values(spark, scratch):
+    path = os.path.join(scratch, "twice.json")
+    with open(path, "w", encoding="utf8") as fh:
+        fh.write('[{"a": "1", "a": "2", "b": {"x": [1, "}"]}, "c": true}]')
+    df, _ = read_declared(spark, path, {"a": "bigint", "b": "string", "c": "string"})
+    assert [tuple(r)[:3] for r in df.collect()] == [(1, '{"x":[1,"}"]}', "true")]
